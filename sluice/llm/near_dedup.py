@@ -34,6 +34,8 @@ from sluice.llm.graph import connected_components
 from sluice.llm.tokens import blocks
 
 BLOCK = 1024
+#: Buckets of up to so many nodes send on all their candidates, larger ones a forest.
+SMALL = 8
 
 
 @dataclass(frozen=True)
@@ -56,24 +58,35 @@ class Shingler:
     fewer words than a shingle has one, its whole sequence; one without words none.
     """
 
-    def __init__(self, n: int, entries: int = 500_000):
-        self._n, self._entries, self._hashes = n, entries, {}
-        self._odd = np.random.default_rng(11).integers(1, 2**63, size=n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-    def words(self, text: str | None) -> list[bytes]:
-        return text.encode().lower().split() if text else []
-
-    def hashes(self, words: list[bytes]) -> np.ndarray:
-        known = self._hashes
-        if len(known) > self._entries:
-            known.clear()
-        for w in words:
-            if w not in known:
-                known[w] = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-
-    def shingles(self, words: list[bytes]) -> np.ndarray:
-        h = self.hashes(words)
+    def __init__(self, n: int):
+        self._n = n
+        rng = np.random.default_rng(11)
+        self._odd = _odd(rng, n)
+        values = rng.integers(0, 2**63, size=256, dtype=np.uint64)
+        values[ord("A") : ord("Z") + 1] = values[ord("a") : ord("z") + 1]
+        self._values = values
+        self._inside = np.ones(258, bool)
+        self._inside[[*range(9, 14), 32]] = False
+        self._base = _odd(rng, 1)[0]
+        self._inverse = np.uint64(pow(int(self._base), -1, 2**64))
+        self._grow(1 << 14)
+
+    def _grow(self, n: int) -> None:
+        self._up, self._down = (np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(n, x)))) for x in (self._base, self._inverse))
+
+    def words(self, text: str | None) -> np.ndarray:
+        """A hash of each word: its letters' values as a polynomial modulo 2**64, taken
+        from running sums over the text and then mixed."""
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        if len(data) >= len(self._up):
+            self._grow(2 * len(data))
+        inside = self._inside[data]
+        edge = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).astype(np.int8)))
+        first, past = edge[::2], edge[1::2]
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(self._values[data] * self._up[: len(data)], dtype=np.uint64)))
+        return mixed((sums[past] - sums[first]) * self._down[first] + (past - first).astype(np.uint64))
+
+    def shingles(self, h: np.ndarray) -> np.ndarray:
         n = min(self._n, len(h))
         if not n:
             return h
@@ -83,6 +96,10 @@ class Shingler:
         return np.unique(out)
 
 
+def _odd(rng: np.random.Generator, n: int) -> np.ndarray:
+    return rng.integers(0, 2**63, size=n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A permutation of the 64-bit integers that spreads every bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -96,30 +113,24 @@ class Sketcher:
         rng = np.random.default_rng(7)
         self.k = p.bands * p.rows
         self.a = rng.integers(0, 2**32, size=self.k, dtype=np.uint32) | np.uint32(1)
-        self.b = rng.integers(0, 2**32, size=self.k, dtype=np.uint32)
+        self.b = rng.integers(0, 2**32, size=self.k, dtype=np.uint32) | np.uint32(1)
         self.salt = rng.integers(0, 2**63, size=self.k, dtype=np.uint64)
-        self.band_odd = rng.integers(0, 2**63, size=p.rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.band_odd, self.band_salt = _odd(rng, p.rows), _odd(rng, p.bands)
 
     def samples(self, s: np.ndarray) -> np.ndarray:
         """The least value of each of the hash functions over the set."""
         x, y = s.astype(np.uint32), (s >> np.uint64(32)).astype(np.uint32)
         out = np.empty(self.k, np.uint32)
-        step = max(1, 200_000 // len(s))
+        step = max(1, 30_000 // len(s))
         for i in range(0, self.k, step):
-            z = (x[None, :] ^ self.b[i : i + step, None]) * self.a[i : i + step, None]
-            z ^= z >> np.uint32(15)
-            z += y[None, :]
-            z *= np.uint32(0x9E3779B1)
-            z ^= z >> np.uint32(13)
+            z = x[None, :] * self.a[i : i + step, None]
+            z += y[None, :] * self.b[i : i + step, None]
             out[i : i + step] = z.min(axis=1)
         return out
 
     def bands(self, samples: np.ndarray) -> np.ndarray:
         v = samples.reshape(self.p.bands, self.p.rows).astype(np.uint64)
-        key = np.arange(1, self.p.bands + 1, dtype=np.uint64)
-        for r in range(self.p.rows):
-            key = mixed((key ^ v[:, r]) * self.band_odd[r])
-        return key.view(np.int64)
+        return mixed((v * self.band_odd).sum(axis=1, dtype=np.uint64) ^ self.band_salt).view(np.int64)
 
     def parity(self, members: np.ndarray, bits: int) -> bytes:
         """Bitmap of the positions that an odd number of members fall on."""
@@ -141,7 +152,7 @@ def _sketch_partition(p: NearDup):
                 for t in texts[part]:
                     words = shingler.words(t)
                     s = shingler.shingles(words)
-                    word_key = hashlib.md5(b" ".join(words)).digest()
+                    word_key = hashlib.md5(words.tobytes()).digest()
                     rows.append((word_key, len(s), *(sketcher.sketch(s) if len(s) else (None, None, None))))
                 out = pd.DataFrame(rows, columns=["word_key", "n_shingles", "bands", "sample_sketch", "set_sketch"])
                 for c in ("rid", "doc_id", "text_key"):
@@ -157,16 +168,20 @@ def sketched(docs: DataFrame, p: NearDup) -> DataFrame:
     return stored(rows.mapInPandas(_sketch_partition(p), "word_key binary, n_shingles long, bands array<long>, sample_sketch binary, set_sketch binary, rid long, doc_id long, text_key binary"))
 
 
-def _similar(p: NearDup, n1, n2, sample1, sample2, set1, set2) -> np.ndarray:
-    """Rows by columns: whether the sketches allow the pair to reach the threshold."""
-    j = p.percent / 100
-    ok = np.bitwise_count(set1[:, None, :] ^ set2[None, :, :]).sum(axis=2, dtype=np.int32) <= ((1 - j) / (1 + j) * (n1[:, None] + n2[None, :]) + 1e-6)
-    k, bits = p.bands * p.rows, p.sample_bits
+def _limits(p: NearDup) -> tuple[float, float]:
+    """The share of two sets' sizes that may differ at the threshold, and the most XOR
+    bits of the MinHash bitmaps: what six standard deviations below it would leave."""
+    j, k, bits = p.percent / 100, p.bands * p.rows, p.sample_bits
     lowest = max(0.0, j - 6 * np.sqrt(j * (1 - j) / k))
-    # expected XOR count of 2k(1-J) toggled samples, and six deviations of it
-    expected = bits / 2 * (1 - np.exp(-4 * k * (1 - lowest) / bits))
-    most = expected + 6 * np.sqrt(expected) / 2
-    return ok & (np.bitwise_count(sample1[:, None, :] ^ sample2[None, :, :]).sum(axis=2, dtype=np.int32) <= most)
+    expected = bits / 2 * (1 - np.exp(-4 * k * (1 - lowest) / bits))  # of 2k(1-J) toggled samples
+    return (1 - j) / (1 + j), expected + 6 * np.sqrt(expected) / 2
+
+
+def _similar(limits: tuple[float, float], sizes: np.ndarray, sample: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """Whether the XORed bitmaps of each pair allow it to reach the threshold."""
+    share, most = limits
+    ok = np.bitwise_count(whole).sum(axis=1, dtype=np.int32) <= share * sizes + 1e-6
+    return ok & (np.bitwise_count(sample).sum(axis=1, dtype=np.int32) <= most)
 
 
 def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -187,29 +202,96 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return keep
 
 
+def _pairs_of(sizes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All pairs of rows within groups of consecutive rows, and each pair's group."""
+    a, b, g = [], [], []
+    for size in np.unique(sizes):
+        if size > 1:
+            groups = np.flatnonzero(sizes == size)
+            x, y = np.triu_indices(size, 1)
+            a.append((starts[groups][:, None] + x).ravel())
+            b.append((starts[groups][:, None] + y).ravel())
+            g.append(np.repeat(groups, len(x)))
+    none = [np.empty(0, np.int64)]
+    return np.concatenate(a or none), np.concatenate(b or none), np.concatenate(g or none)
+
+
+class _Group:
+    """Columns of rows that lie in order of their groups."""
+
+    def __init__(self, pdf: pd.DataFrame):
+        self.nid, self.label, self.n = pdf["nid"].to_numpy(), pdf["label"].to_numpy(), pdf["n_shingles"].to_numpy()
+        self.own = pdf["own"].to_numpy()
+        self.sample = np.frombuffer(b"".join(pdf["sample_sketch"]), np.uint64).reshape(len(pdf), -1)
+        self.whole = np.frombuffer(b"".join(pdf["set_sketch"]), np.uint64).reshape(len(pdf), -1)
+
+
 def _meet(p: NearDup, forest: bool):
-    """All pairs of one block, or of two; out go the candidates between labels."""
-
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("nid", ignore_index=True)
-        nid, label, n = pdf["nid"].to_numpy(), pdf["label"].to_numpy(), pdf["n_shingles"].to_numpy()
-        own, i, j = pdf["own"].to_numpy(), key[1], key[2]
-        sample = np.array([np.frombuffer(x, np.uint64) for x in pdf["sample_sketch"]])
-        whole = np.array([np.frombuffer(x, np.uint64) for x in pdf["set_sketch"]])
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        found: list[tuple[np.ndarray, np.ndarray]] = []
+    """All pairs of one block, or of two blocks, of a bucket; out go the candidates
+    between labels, as a spanning forest of each larger block in the first round."""
+    limits = _limits(p)
+
+    def allowed(g: _Group, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        ok = g.label[a] != g.label[b]
+        a, b = a[ok], b[ok]
+        good = _similar(limits, g.n[a] + g.n[b], g.sample[a] ^ g.sample[b], g.whole[a] ^ g.whole[b])
+        ok[ok] = good
+        return ok
+
+    def small(g: _Group, starts: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+        a, b, _ = _pairs_of(sizes, starts)
+        out = []
+        for s in range(0, len(a), 200_000):
+            x, y = a[s : s + 200_000], b[s : s + 200_000]
+            ok = allowed(g, x, y)
+            out.append(np.stack((x[ok], y[ok])))
+        return out
+
+    def large(g: _Group, start: int, size: int, i: int, j: int) -> list[np.ndarray]:
+        rows = np.arange(start, start + size)
+        left, right = rows[g.own[rows] == i], rows[g.own[rows] == j]
+        out = []
         for s in range(0, len(left), 128):
-            rows = left[s : s + 128]
-            ok = _similar(p, n[rows], n[right], sample[rows], sample[right], whole[rows], whole[right]) & (label[rows][:, None] != label[right][None, :])
+            x, y = (z.ravel() for z in np.meshgrid(left[s : s + 128], right, indexing="ij"))
             if i == j:
-                ok &= rows[:, None] < right[None, :]
-            x, y = np.nonzero(ok)
-            found.append((rows[x], right[y]))
-        a, b = (np.concatenate([f[k] for f in found]) if found else np.empty(0, np.int64) for k in (0, 1))
-        if forest and len(a):
-            keep = _forest(len(nid), a, b)
-            a, b = a[keep], b[keep]
-        return pd.DataFrame({"a": np.minimum(nid[a], nid[b]), "b": np.maximum(nid[a], nid[b])})
+                x, y = x[x < y], y[x < y]
+            ok = allowed(g, x, y)
+            out.append(np.stack((x[ok], y[ok])))
+        found = np.concatenate(out, axis=1) if out else np.empty((2, 0), np.int64)
+        return [found[:, _forest(size, found[0] - start, found[1] - start)]] if forest else [found]
+
+    def whole_groups(pdf: pd.DataFrame) -> pd.DataFrame:
+        g = _Group(pdf)
+        band, i, j = pdf["band"].to_numpy(), pdf["i"].to_numpy(), pdf["j"].to_numpy()
+        starts = np.flatnonzero(np.concatenate(([True], (band[1:] != band[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))))
+        sizes = np.diff(starts, append=len(pdf))
+        few = (sizes <= SMALL) & (i[starts] == j[starts])
+        out = small(g, starts[few], sizes[few])
+        for s, n in zip(starts[~few].tolist(), sizes[~few].tolist(), strict=True):
+            out += large(g, s, n, i[s], j[s])
+        a, b = np.concatenate(out, axis=1) if out else np.empty((2, 0), np.int64)
+        a, b = g.nid[a], g.nid[b]
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []  # the rows of a group whose end has not come yet
+        of: tuple | None = None
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            first, last = (tuple(pdf[["band", "i", "j"]].iloc[k]) for k in (0, -1))
+            own = np.ones(len(pdf), bool)
+            for column, value in zip(("band", "i", "j"), last, strict=True):
+                own &= (pdf[column] == value).to_numpy()
+            if own.all() and first == of:
+                held.append(pdf)
+                continue
+            done = pd.concat([*held, pdf[~own]], ignore_index=True)
+            if len(done):
+                yield whole_groups(done)
+            held, of = [pdf[own]], last
+        if held:
+            yield whole_groups(pd.concat(held, ignore_index=True))
 
     return run
 
@@ -228,8 +310,8 @@ def _candidates(nodes: DataFrame, p: NearDup, labels: DataFrame | None) -> DataF
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks_ - 1)))
     dealt = dealt.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "nid", "label", "own")
     dealt = dealt.join(nodes.select("nid", "n_shingles", "sample_sketch", "set_sketch"), "nid")
-    pairs = dealt.groupBy("band", "i", "j").applyInPandas(_meet(p, labels is None), "a long, b long")
-    return stored(pairs.distinct())
+    grouped = dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "nid")
+    return stored(grouped.mapInPandas(_meet(p, labels is None), "a long, b long").distinct())
 
 
 def _confirm_partition(p: NearDup):

@@ -9,9 +9,47 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sluice.llm import secrets
 from sluice.llm.common import read
+from sluice.llm.decontaminate import contamination
+from sluice.llm.hmm_lm import scored
+from sluice.llm.langid import identified
 from sluice.llm.near_dedup import NearDup, near_duplicates
+from sluice.llm.packing import pack_documents
+from sluice.llm.token_files import token_files
+from sluice.llm.tokens import public_tokenizer_path
+
+
+def op1_ngram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("item_ids", ","), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
+def op2_hidden_markov_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored(read(spark, sf_dir, "documents"))
+
+
+def op4_large_item_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read(spark, sf_dir, "documents"), public_tokenizer_path(), keep_ids=False)
+
+
+def op6_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identified(read(spark, sf_dir, "documents"))
+
+
+def op8_packed_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(read(spark, sf_dir, "documents"), public_tokenizer_path(), end_id=1).drop("file")
+
+
+def op9_trigram_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = secrets.BASE + secrets.MORE
+    found = secrets.scan(read(spark, sf_dir, "documents").select("doc_id", "text"), rules)
+    count = {r.kind: F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{r.kind}") for k, r in enumerate(secrets.BASE)}
+    base = F.filter("spans", lambda s: s["kind"] < len(secrets.BASE))
+    return found.select("doc_id", *count.values(), F.sha2(secrets.written(base, rules), 256).alias("base_sha256"), secrets.written(F.col("spans"), rules).alias("spans"))
 
 
 def op10_odd_sketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +57,15 @@ def op10_odd_sketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op10_odd_sketch_near_dedup": op10_odd_sketch_near_dedup,
+    q.__name__: q
+    for q in (
+        op1_ngram_decontamination,
+        op2_hidden_markov_scores,
+        op4_large_item_packing,
+        op6_hyperdimensional_language,
+        op8_packed_token_files,
+        op9_trigram_secret_scan,
+        op10_odd_sketch_near_dedup,
+    )
 }
 SQL: dict[str, str] = {}
