@@ -18,8 +18,11 @@ from sluice.llm.hmm_lm import scored
 from sluice.llm.langid import identified
 from sluice.llm.near_dedup import NearDup, near_duplicates
 from sluice.llm.packing import pack_documents
+from sluice.llm.sharding import shard_documents
 from sluice.llm.token_files import token_files
 from sluice.llm.tokens import public_tokenizer_path
+from sluice.llm.vector_search import embedding_search
+from sluice.llm.warc import archive_pages
 
 
 def op1_ngram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,14 +35,27 @@ def op2_hidden_markov_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(read(spark, sf_dir, "documents"))
 
 
+def op3_virtual_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = shard_documents(read(spark, sf_dir, "documents"), 16)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("place").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), F.col("unit").alias("virtual_slot"))
+
+
 def op4_large_item_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"), public_tokenizer_path(), keep_ids=False)
 
 
+def op5_vector_approximation_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_search(read(spark, sf_dir, "embeddings"))
+
+
 def op6_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identified(read(spark, sf_dir, "documents"))
 
 
+def op7_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(read(spark, sf_dir, "pages"))
+
+
 def op8_packed_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(read(spark, sf_dir, "documents"), public_tokenizer_path(), end_id=1).drop("file")
 
@@ -53,7 +69,7 @@ def op9_trigram_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_odd_sketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents"), NearDup(shingle=3, percent=85))
+    return near_duplicates(read(spark, sf_dir, "documents"), NearDup(shingle=3, percent=85, bands=30, rows=6))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -61,8 +77,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for q in (
         op1_ngram_decontamination,
         op2_hidden_markov_scores,
+        op3_virtual_slot_shards,
         op4_large_item_packing,
+        op5_vector_approximation_search,
         op6_hyperdimensional_language,
+        op7_arc_to_warc,
         op8_packed_token_files,
         op9_trigram_secret_scan,
         op10_odd_sketch_near_dedup,

@@ -163,12 +163,20 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, mark: str = "
     """``docs`` with every secret in its text replaced by ``mark`` (overlapping spans by
     one); texts without secrets, and nulls, stay as they are."""
     found = scan(docs, rules)
+    spans = F.col("spans")
 
     def step(acc: Column, s: Column) -> Column:
         more = F.when(s["start"] < acc["at"], F.lit("")).otherwise(F.concat(F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)))
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], more).alias("out"))
 
-    done = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
-    cut = F.concat(done["out"], F.expr("substring(text, done.at + 1)"))
-    out = found.withColumn("done", F.when(F.size("spans") > 0, done))
-    return out.select(*[F.when(F.col("done").isNull(), F.col("text")).otherwise(cut).alias("text") if c == "text" else F.col(c) for c in found.columns if c != "spans"])
+    done = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
+    marked = found.withColumn("_done", F.when(F.size(spans) > 0, done))
+    rest = F.substring(F.col("text"), F.col("_done.at") + 1, F.length("text"))
+    text = F.when(F.col("_done").isNull(), F.col("text")).otherwise(F.concat("_done.out", rest))
+    return marked.select(*[text.alias("text") if c == "text" else F.col(c) for c in found.columns if c != "spans"])
+
+
+def redact_stage(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE) -> DataFrame:
+    """``redact`` of every row; a column ``n_chars`` is kept at the length of the text."""
+    out = redact(docs, rules)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
