@@ -63,7 +63,7 @@ def op8_packed_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_trigram_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = secrets.BASE + secrets.MORE
     found = secrets.scan(read(spark, sf_dir, "documents").select("doc_id", "text"), rules)
-    count = {r.kind: F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{r.kind}") for k, r in enumerate(secrets.BASE)}
+    count = {r.kind: F.size(F.filter("spans", secrets.of_kind(k))).cast("long").alias(f"n_{r.kind}") for k, r in enumerate(secrets.BASE)}
     base = F.filter("spans", lambda s: s["kind"] < len(secrets.BASE))
     return found.select("doc_id", *count.values(), F.sha2(secrets.written(base, rules), 256).alias("base_sha256"), secrets.written(F.col("spans"), rules).alias("spans"))
 

@@ -153,6 +153,11 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE) -> DataFrame:
     return out.withColumn("spans", F.array_sort(F.concat(*each))).drop(*each)
 
 
+def of_kind(number: int):
+    """A condition on spans: that they are of the rule of this number."""
+    return lambda s: s["kind"] == number
+
+
 def written(spans: Column, rules: tuple[Rule, ...]) -> Column:
     """kind:start:end of each span, comma-joined."""
     kinds = F.array(*[F.lit(r.kind) for r in rules])
