@@ -4,7 +4,328 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from sluice.functions import ip, jsonpath, timestamps
+from sluice.functions.coerce import coerced
+from sluice.operators import enrich, flatten, intake, mapping
+from sluice.operators.extract import extract
+from sluice.operators.model import ColumnSpec, ExternalTopic, Quality, Risk, Routing, Settings, TableSpec
+from sluice.operators.routing import route
+from sluice.plans import pipeline
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def event_messages(spark: SparkSession, d: str) -> DataFrame:
+    """``events`` as JSON messages with ``event_id`` as offset."""
+    e = table(spark, d, "events")
+    body = F.to_json(F.struct("event_id", timestamps.utc_text(F.col("ts")).alias("timestamp"), F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("user"), "event_type", "value", F.parse_json("props").alias("props")))
+    return intake.messages(e, body, "events_land", F.col("event_id"))
+
+
+ROUTING = Routing(table_fields=("event_type",), source_to_table={"click": "clicks", "view": "views", "error": "errors"}, default_table="events", default_db="main")
+KNOWN = [f"main.{t}" for t in ("clicks", "views", "errors", "events")]
+ADDRESS = F.concat_ws(".", F.when(F.col("user_id") % 3 == 0, "10").otherwise("8"), (F.col("user_id") % 256).cast("string"), (F.col("event_id") % 256).cast("string"), F.lit("7"))
+_ADDRESS_SQL = "CASE WHEN user_id % 3 = 0 THEN '10' ELSE '8' END || '.' || (user_id % 256) || '.' || (event_id % 256) || '.7'"
+
+
+@query("""SELECT 'main.' || CASE event_type WHEN 'click' THEN 'clicks' WHEN 'view' THEN 'views' WHEN 'error' THEN 'errors' ELSE 'events' END AS "table", count(*) AS rows FROM events GROUP BY 1""")
+def route_events_by_type(spark, d):
+    good = pipeline.routed(event_messages(spark, d), Settings(routing=ROUTING), KNOWN).good
+    return good.groupBy(F.concat_ws(".", "_db", "_table").alias("table")).agg(F.count("*").alias("rows"))
+
+
+@query("SELECT CASE WHEN event_type IN ('click','view','error','signup','purchase') THEN 'named' ELSE 'default' END AS choice, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def route_choice_counts(spark, d):
+    good = pipeline.routed(event_messages(spark, d), Settings(routing=ROUTING)).good
+    return good.groupBy(F.col("_choice").alias("choice"), jsonpath.string_field(F.col("_record"), "event_type").alias("event_type")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderstatus IN ('O','F') THEN o_orderstatus ELSE 'F' END AS org, o_orderstatus NOT IN ('O','F') AS replaced FROM orders")
+def tenant_enforce_external(spark, d):
+    o = table(spark, d, "orders")
+    m = intake.messages(o, F.to_json(F.struct(F.col("o_orderstatus").alias("_org_id"), "o_orderkey")), "partner_land", F.col("o_orderkey"))
+    r = Routing(external=(ExternalTopic("partner_land", "F", ("O", "F")),))
+    good = route(intake.parse(m), r)
+    return good.select(F.col("offset").alias("o_orderkey"), F.col("_org").alias("org"), F.col("_tenant_replaced").alias("replaced"))
+
+
+@query("SELECT event_id, coalesce(json_extract_string(props, '$.missing'), json_extract_string(props, '$.k')) AS first_present FROM events")
+def extract_props_first_present(spark, d):
+    e = table(spark, d, "events").withColumn("r", F.parse_json("props"))
+    return e.select("event_id", jsonpath.as_text(jsonpath.first_field(F.col("r"), ("missing", "k"))).alias("first_present"))
+
+
+EVENT_TABLE = TableSpec("main", "events", (
+    ColumnSpec("event_id", "Int64"), ColumnSpec("event_type"), ColumnSpec("k", "Int32", "the key @source: props.k"), ColumnSpec("topic", "String", '@source: nowhere | topic_name'),
+    ColumnSpec("level", "String", "@default: info"), ColumnSpec("_timestamp", "DateTime64(6)"), ColumnSpec("_json"),
+))
+
+
+def _events_extracted(spark, d, settings=Settings(routing=Routing(default_db="main"))):
+    m = event_messages(spark, d)
+    return extract(intake.parse(m), EVENT_TABLE, settings, F.lit("2025-01-01 00:00:00").cast("timestamp"))
+
+
+@query("SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS k, date_trunc('milliseconds', ts) AS at_ms FROM events")
+def extract_to_schema(spark, d):
+    return _events_extracted(spark, d).select("event_id", "event_type", "k", F.date_trunc("millisecond", "_timestamp").cast("timestamp_ntz").alias("at_ms"))
+
+
+@query("SELECT event_id, 'info' AS level, 'events_land' AS topic_name FROM events")
+def directive_defaults(spark, d):
+    m = event_messages(spark, d).withColumnRenamed("topic", "t").withColumn("topic", F.col("t"))
+    out = extract(intake.parse(m), TableSpec("main", "events", (ColumnSpec("event_id", "Int64"), ColumnSpec("level", "String", "@default: info"), ColumnSpec("topic_name", "String", "@source: nowhere | topic_name"))), Settings())
+    return out.select("event_id", "level", "topic_name")
+
+
+@query("SELECT mode, count(*) AS n, CAST(sum(CASE WHEN mode IN ('full','json_only') THEN 1 ELSE 0 END) AS BIGINT) AS with_json, CAST(sum(CASE WHEN mode = 'raw_only' THEN 1 ELSE 0 END) AS BIGINT) AS with_raw FROM events, (VALUES ('full'),('json_only'),('raw_only'),('extracted_only')) AS m(mode) GROUP BY mode")
+def capture_modes(spark, d):
+    m, out = intake.parse(event_messages(spark, d)), None
+    for mode in ("full", "json_only", "raw_only", "extracted_only"):
+        t = TableSpec("main", "events", (ColumnSpec("event_id", "Int64"), ColumnSpec("_json"), ColumnSpec("_raw")), f"@capture_mode: {mode}")
+        one = extract(m, t, Settings()).agg(F.lit(mode).alias("mode"), F.count("*").alias("n"), F.count_if(F.col("_json").isNotNull()).alias("with_json"), F.count_if(F.col("_raw").isNotNull()).alias("with_raw"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+_BAD = ["plain text", '{"a":', '{"a":1}{"b":2}', "[1,2]", '{"_org_id":"a","_org_id":"b"}', "[" * 70 + "]" * 70, ""]
+_REASONS = ("not JSON", "JSON parse error", "several records", "JSON array", "header key", "nested past", "not JSON")
+
+
+@query("""SELECT CASE event_id % 8 WHEN 0 THEN 'good' WHEN 1 THEN 'not JSON' WHEN 2 THEN 'JSON parse error' WHEN 3 THEN 'several records' WHEN 4 THEN 'JSON array' WHEN 5 THEN 'header key' WHEN 6 THEN 'nested past' ELSE 'not JSON' END AS reason, count(*) AS n FROM events GROUP BY 1""")
+def json_gate_reasons(spark, d):
+    e = table(spark, d, "events")
+    value = F.when(F.col("event_id") % 8 == 0, F.col("props")).otherwise(F.get(F.array(*map(F.lit, _BAD)), (F.col("event_id") % 8 - 1).cast("int")))
+    df = pipeline.admitted(intake.messages(e, value, "events_land", F.col("event_id")), Settings())
+    short = F.lit("good")
+    for r in sorted(set(_REASONS)):
+        short = F.when(F.col("_reject").startswith(r), r).otherwise(short)
+    return df.groupBy(short.alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT conv_id, turn, role, length(text) AS n FROM conversations")
+def fanout_conversation_array(spark, d):
+    c = table(spark, d, "conversations")
+    body = F.to_json(F.sort_array(F.collect_list(F.struct("turn", "conv_id", "role", "text"))))
+    m = intake.messages(c.groupBy("conv_id").agg(body.alias("value")), F.col("value"), "conv_land", F.col("conv_id"))
+    r = F.from_json("value", "conv_id long, turn long, role string, text string")
+    return intake.split_arrays(m).select(r.alias("r")).select("r.conv_id", "r.turn", "r.role", F.length("r.text").alias("n"))
+
+
+@query("SELECT conv_id, count(*) AS turns, CAST(sum(turn) AS BIGINT) AS turn_sum FROM conversations GROUP BY conv_id")
+def fanout_conversation_lines(spark, d):
+    c = table(spark, d, "conversations")
+    lines = F.array_join(F.sort_array(F.collect_list(F.to_json(F.struct("turn", "conv_id", "role", "text")))), "\n")
+    m = intake.messages(c.groupBy("conv_id").agg(lines.alias("value")), F.col("value"), "conv_land", F.col("conv_id"))
+    r = F.from_json("value", "conv_id long, turn long")
+    return intake.split_lines(m).select(r.alias("r")).groupBy("r.conv_id").agg(F.count("*").alias("turns"), F.sum("r.turn").alias("turn_sum"))
+
+
+@query("""SELECT o_orderkey AS "order.key", c_name AS "customer.name", n_name AS "customer.nation.name" FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""")
+def flatten_order_customer(spark, d):
+    o, c, n = (table(spark, d, t) for t in ("orders", "customer", "nation"))
+    j = o.join(c, o["o_custkey"] == c["c_custkey"]).join(n, c["c_nationkey"] == n["n_nationkey"])
+    return flatten.flatten(j.select(F.struct(F.col("o_orderkey").alias("key")).alias("order"), F.struct(F.col("c_name").alias("name"), F.struct(F.col("n_name").alias("name")).alias("nation")).alias("customer")))
+
+
+@query("SELECT event_id, 'k' AS key, CAST(json_extract_string(props, '$.k') AS VARCHAR) AS value FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL")
+def flatten_dynamic(spark, d):
+    e = table(spark, d, "events").select("event_id", flatten.flatten_map(F.concat(F.lit('{"@_k__":'), F.get_json_object("props", "$.k"), F.lit("}"))).alias("m"))
+    return e.select("event_id", F.explode(flatten.clean_keys(F.col("m")))).select("event_id", "key", "value")
+
+
+@query("SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, c_name AS label, c_acctbal FROM customer")
+def mapping_rename_copy(spark, d):
+    c = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    R = mapping.Rule
+    return mapping.apply_mapping(c, (R("id", ("nothing", "c_custkey")), R("label", ("c_name",), "copy"), R("name", ("c_name",)), R("segment", ("c_mktsegment",)))).select("id", "name", "segment", "label", "c_acctbal")
+
+
+@query("SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity > 25 AND l_returnflag = 'R' THEN 'large return' WHEN l_quantity > 25 THEN 'large' ELSE 'small' END AS size, l_discount <> 0 AS cut FROM lineitem")
+def computed_ternary(spark, d):
+    rows, failed = mapping.compute(table(spark, d, "lineitem"), {"size": 'if(l_quantity > 25 && l_returnflag == "R", "large return", if(l_quantity > 25, "large", "small"))', "cut": "!(l_discount == 0)", "bad": "regexp_like(l_returnflag, 'R')"})
+    assert failed == ["bad"]
+    return rows.select("l_orderkey", "l_linenumber", "size", "cut")
+
+
+@query("SELECT event_id, make_timestamp(CASE event_id % 4 WHEN 0 THEN (1700000000 + event_id) * 1000000 WHEN 1 THEN (1700000000 + event_id) * 1000000 + 250000 WHEN 2 THEN (1700000000 + event_id) * 1000000 + 250500 ELSE (1700000000 + event_id) * 1000000 + 250500 END) AS at FROM events")
+def timestamp_epoch_magnitude(spark, d):
+    s = F.col("event_id") + 1700000000
+    n = F.when(F.col("event_id") % 4 == 0, s).when(F.col("event_id") % 4 == 1, s * 1000 + 250).when(F.col("event_id") % 4 == 2, s * 1000000 + 250500).otherwise(s * 1000000000 + 250500999)
+    return table(spark, d, "events").select("event_id", timestamps.from_epoch(n).cast("timestamp_ntz").alias("at"))
+
+
+_NOW = "2024-01-15 00:00:00"
+
+
+@query(f"""SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'corrected' WHEN event_id % 5 = 1 THEN 'replaced' WHEN epoch(ts) - epoch(TIMESTAMP '{_NOW}') > 600 OR epoch(TIMESTAMP '{_NOW}') - epoch(ts) > 864000 THEN 'replaced' ELSE 'valid' END AS quality FROM (SELECT event_id, date_trunc('second', ts) AS ts FROM events)""")
+def timestamp_dq_bounds(spark, d):
+    text = F.when(F.col("event_id") % 5 == 0, "1700000000").when(F.col("event_id") % 5 == 1, "yesterday").otherwise(timestamps.utc_text(F.date_trunc("second", "ts")))
+    got = timestamps.checked(text, F.lit(None).cast("long"), F.lit(_NOW).cast("timestamp"), 600, 864000)
+    return table(spark, d, "events").select("event_id", got["quality"].alias("quality"))
+
+
+@query("SELECT event_id, strftime(date_trunc('milliseconds', ts) - INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS utc FROM events")
+def timestamp_zoned_text(spark, d):
+    text = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("+0200"))
+    return table(spark, d, "events").select("event_id", timestamps.normalise_zoned(text).alias("utc"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, TRY_CAST(CAST(l_extendedprice AS BIGINT) % 70000 AS USMALLINT)::INTEGER AS u16, CAST(l_extendedprice AS BIGINT) % 70000 > 65535 AS refused FROM lineitem""")
+def coerce_int_bounds(spark, d):
+    n = F.expr("CAST(rint(l_extendedprice) AS BIGINT) % 70000")
+    made, bad = coerced("UInt16", F.parse_json(n.cast("string")))
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", made.alias("u16"), bad.alias("refused"))
+
+
+@query("SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN '{\"list\":[' || turn || ']}' WHEN turn % 3 = 1 THEN '{\"value\":' || turn || '}' ELSE '{\"t\":' || turn || '}' END AS j FROM conversations")
+def coerce_json_wrap(spark, d):
+    t = F.col("turn").cast("string")
+    v = F.when(F.col("turn") % 3 == 0, F.concat(F.lit("["), t, F.lit("]"))).when(F.col("turn") % 3 == 1, t).otherwise(F.concat(F.lit('{"t":'), t, F.lit("}")))
+    return table(spark, d, "conversations").select("conv_id", "turn", coerced("JSON", F.parse_json(v))[0].alias("j"))
+
+
+@query("SELECT s_suppkey, [s_suppkey] AS one, round(s_acctbal, 2) AS balance, lpad(hex(s_suppkey), 32, '0') AS id FROM supplier")
+def coerce_shapes(spark, d):
+    s = table(spark, d, "supplier")
+    as_json = lambda c: F.parse_json(F.to_json(F.struct(c.alias("x"))))
+    get = lambda c: F.try_variant_get(as_json(c), "$.x", "variant")
+    raw = F.lpad(F.hex("s_suppkey"), 32, "0")
+    id_, _ = coerced("UUID", get(raw))
+    return s.select("s_suppkey", coerced("Array(Int64)", get(F.col("s_suppkey")))[0].alias("one"), coerced("Decimal(12,2)", get(F.round("s_acctbal", 2).cast("string")))[0].cast("double").alias("balance"), F.upper(F.regexp_replace(id_, "-", "")).alias("id"))
+
+
+@query(f"SELECT event_id, user_id % 3 = 0 AS private FROM (SELECT *, {_ADDRESS_SQL} AS ip FROM events)")
+def ip_private_class(spark, d):
+    return table(spark, d, "events").select("event_id", ip.is_private_v4(ADDRESS).alias("private"))
+
+
+THREATS = [("8.0.0.0/12", "vpn", "a", 10, 1), ("8.3.0.0/16", "tor", "b", 60, 2), ("8.4.5.7", "botnet", "a", 0, 3), ("10.0.0.0/8", "scanner", "c", 5, 4), ("junk", "spam", "c", 0, 5)]
+_THREATS_SQL = "(VALUES (8,0,15,0,255,'vpn',10,1),(8,3,3,0,255,'tor',60,2),(8,4,4,5,5,'botnet',0,3),(10,0,255,0,255,'scanner',5,4)) AS t(a, b1, b2, c1, c2, threat, score, o)"
+_MATCHED_SQL = f"(SELECT event_id, min_by(threat, o) AS threat, max(score) AS score, bool_or(threat IN ('vpn','tor')) AS anon, bool_or(threat = 'vpn') AS vpn, bool_or(threat = 'tor') AS tor, bool_or(threat = 'botnet') AS botnet, bool_or(threat = 'scanner') AS scanner, count(DISTINCT threat) AS n FROM events JOIN {_THREATS_SQL} ON a = CASE WHEN user_id % 3 = 0 THEN 10 ELSE 8 END AND user_id % 256 BETWEEN b1 AND b2 AND event_id % 256 BETWEEN c1 AND c2 GROUP BY event_id)"
+
+
+def _threats(spark):
+    return spark.createDataFrame(THREATS, "network string, threat string, source string, score int, order int")
+
+
+@query(f"SELECT e.event_id, coalesce(threat, 'none') AS threat, coalesce(anon, false) AS anonymizer, coalesce(n, 0) AS n FROM events e LEFT JOIN {_MATCHED_SQL} m ON e.event_id = m.event_id")
+def ip_blocklist_cidr(spark, d):
+    rows = table(spark, d, "events").select("event_id", ADDRESS.alias("ip"))
+    out = enrich.reputation_lookup(rows, "ip", _threats(spark))
+    n = F.coalesce(F.size("rep_threat_types"), (F.col("rep_threat_type") != "none").cast("int"))
+    return out.select("event_id", F.col("rep_threat_type").alias("threat"), F.col("rep_is_anonymizer").alias("anonymizer"), n.cast("long").alias("n"))
+
+
+RANGES = [("8.0.0.0/8", "US"), ("8.16.0.0/12", "FR"), ("8.17.0.0/16", "DE")]
+
+
+@query("SELECT event_id, CASE WHEN user_id % 3 = 0 THEN NULL WHEN user_id % 256 = 17 THEN 'DE' WHEN user_id % 256 BETWEEN 16 AND 31 THEN 'FR' ELSE 'US' END AS country, user_id % 3 = 0 AS private FROM events")
+def ip_geo_longest_prefix(spark, d):
+    rows = table(spark, d, "events").select("event_id", ADDRESS.alias("ip"))
+    out = enrich.geo_lookup(rows, "ip", spark.createDataFrame(RANGES, "network string, country_code string"))
+    return out.select("event_id", F.col("geo_country_code").alias("country"), F.col("geo_is_private").alias("private"))
+
+
+@query(f"""WITH s AS (SELECT e.event_id, CASE WHEN user_id % 3 = 0 THEN 0 WHEN user_id % 256 = 17 THEN 60 WHEN user_id % 256 BETWEEN 16 AND 31 THEN 90 ELSE 15 END AS geo,
+ least(100, CASE WHEN vpn THEN 50 ELSE 0 END + CASE WHEN tor THEN 80 ELSE 0 END) AS rep, CASE WHEN vpn AND tor THEN 70 WHEN vpn OR tor THEN 40 ELSE 0 END AS priv,
+ least(100, CASE WHEN botnet THEN 95 + 90 ELSE 0 END + CASE WHEN scanner THEN 60 ELSE 0 END + coalesce(score, 0)) AS threat FROM events e LEFT JOIN {_MATCHED_SQL} m ON e.event_id = m.event_id),
+ c AS (SELECT event_id, CAST((geo * 15 + rep * 25 + priv * 25 + threat * 35) // 100 AS INTEGER) AS risk_score FROM s)
+ SELECT event_id, risk_score, CASE WHEN risk_score >= 80 THEN 'critical' WHEN risk_score >= 60 THEN 'high' WHEN risk_score >= 40 THEN 'medium' WHEN risk_score >= 20 THEN 'low' ELSE 'minimal' END AS risk_level FROM c""")
+def risk_score_levels(spark, d):
+    rows = table(spark, d, "events").select("event_id", ADDRESS.alias("ip"))
+    found = enrich.reputation_lookup(enrich.geo_lookup(rows, "ip", spark.createDataFrame(RANGES, "network string, country_code string")), "ip", _threats(spark))
+    return enrich.risk(found, Risk(high_countries=frozenset({"FR"}), medium_countries=frozenset({"DE"}))).select("event_id", "risk_score", "risk_level")
+
+
+_TABLE_SQL = "'main.' || CASE event_type WHEN 'click' THEN 'clicks' WHEN 'view' THEN 'views' WHEN 'error' THEN 'errors' ELSE 'events' END"
+
+
+def _prop_messages(spark, d):
+    """Messages that hold ``props`` alone, routed by a column: sizes that SQL can count."""
+    e = table(spark, d, "events")
+    return e.select(F.col("props").alias("value"), F.lit("t").alias("topic"), (F.col("event_id") % 4).cast("int").alias("partition"), F.col("event_id").alias("offset"), F.lit("main").alias("_db"), F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in ROUTING.source_to_table.items() for x in kv]), F.col("event_type")), F.lit("events")).alias("_table"))
+
+
+@query(f"""SELECT {_TABLE_SQL} AS "table", count(*) AS rows, CAST(sum(strlen(props)) AS BIGINT) AS bytes FROM events GROUP BY 1""")
+def buffer_stats_by_table(spark, d):
+    return pipeline.buffer_stats(_prop_messages(spark, d))
+
+
+@query("SELECT 't' AS topic, CAST(event_id % 4 AS INTEGER) AS partition, max(event_id) AS commit FROM events WHERE event_id < (CASE event_id % 4 WHEN 0 THEN 400 WHEN 1 THEN 401 ELSE 1000000000 END) GROUP BY 1, 2")
+def commit_floor(spark, d):
+    m = _prop_messages(spark, d)
+    return pipeline.committable(m, m.where("offset >= 400 and partition < 2"))
+
+
+@query(f"""SELECT event_id, (row_number() OVER (PARTITION BY {_TABLE_SQL}, event_id % 4 ORDER BY event_id) - 1) // 100 AS flush FROM events""")
+def flush_plan_rows(spark, d):
+    return pipeline.flush_plan(_prop_messages(spark, d), rows=100).select(F.col("offset").alias("event_id"), F.col("_flush").alias("flush"))
+
+
+@query(f"""SELECT {_TABLE_SQL} AS "table", count(*) AS rows FROM events GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 3""")
+def deepest_tables_topk(spark, d):
+    return pipeline.deepest(_prop_messages(spark, d), 3)
+
+
+@query("SELECT count(*) AS input, count(*) AS placed FROM events")
+def conservation_check(spark, d):
+    e = table(spark, d, "events")
+    value = F.when(F.col("event_id") % 10 == 0, "junk").otherwise(F.to_json(F.struct(F.when(F.col("event_id") % 7 == 0, "x").otherwise(F.col("event_id").cast("string")).alias("event_id"), "event_type")))
+    m = intake.messages(e, value, "events_land", F.col("event_id"))
+    tables = [TableSpec("main", t, (ColumnSpec("event_id", "Int64"),)) for t in ("clicks", "events")]
+    rows, dead = pipeline.run(m, tables, Settings(routing=ROUTING), hold=lambda df: df.persist())
+    placed = dead.select("offset")
+    for df in rows.values():
+        placed = placed.union(df.select("event_id"))
+    return m.agg(F.count("*").alias("input")).crossJoin(placed.agg(F.count("*").alias("placed")))  # two single rows
+
+
+@query(f"""SELECT 'accepted' AS name, count(*) AS value FROM events UNION ALL SELECT 'defaulted', 0 UNION ALL SELECT 'tenant_replaced', 0""")
+def pipeline_metrics(spark, d):
+    parts = pipeline.routed(event_messages(spark, d), Settings(routing=ROUTING))
+    return pipeline.metrics(parts.good, parts.dead)
+
+
+# Relational extensions: what Spark gives beside the reference's own work
+
+
+@query("SELECT l_returnflag, l_linestatus, CAST(sum(l_quantity) AS BIGINT) AS sum_qty, round(sum(l_extendedprice * (1 - l_discount)), 0) AS revenue, count(*) AS n FROM lineitem GROUP BY ALL")
+def pricing_summary(spark, d):
+    return table(spark, d, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.sum("l_quantity").cast("long").alias("sum_qty"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 0).alias("revenue"), F.count("*").alias("n"))
+
+
+@query("SELECT o_custkey, o_orderkey, rn FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders) WHERE rn <= 3")
+def top_orders_per_customer(spark, d):
+    w = Window.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey")
+    return table(spark, d, "orders").withColumn("rn", F.row_number().over(w)).where("rn <= 3").select("o_custkey", "o_orderkey", F.col("rn").cast("long").alias("rn"))
+
+
+@query("SELECT r_name, n_name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ROLLUP (r_name, n_name)")
+def customers_rollup(spark, d):
+    c, n, r = (table(spark, d, t) for t in ("customer", "nation", "region"))
+    return c.join(n, c["c_nationkey"] == n["n_nationkey"]).join(r, n["n_regionkey"] == r["r_regionkey"]).rollup("r_name", "n_name").agg(F.count("*").alias("n"))
+
+
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+def customers_without_orders(spark, d):
+    c, o = table(spark, d, "customer"), table(spark, d, "orders")
+    return c.join(o, c["c_custkey"] == o["o_custkey"], "left_anti").select("c_custkey")
