@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import secrets
+from sluice.llm import secrets, sql
 from sluice.llm.common import read
 from sluice.llm.decontaminate import contamination
 from sluice.llm.hmm_lm import scored
@@ -87,4 +87,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_odd_sketch_near_dedup,
     )
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_ngram_decontamination": sql.OP1,
+    "op5_vector_approximation_search": sql.OP5,
+    "op7_arc_to_warc": sql.OP7,
+    "op9_trigram_secret_scan": sql.OP9,
+    "op10_odd_sketch_near_dedup": sql.OP10,
+}
