@@ -42,7 +42,10 @@ def event_messages(spark: SparkSession, d: str) -> DataFrame:
 
 ROUTING = Routing(table_fields=("event_type",), source_to_table={"click": "clicks", "view": "views", "error": "errors"}, default_table="events", default_db="main")
 KNOWN = [f"main.{t}" for t in ("clicks", "views", "errors", "events")]
-ADDRESS = F.concat_ws(".", F.when(F.col("user_id") % 3 == 0, "10").otherwise("8"), (F.col("user_id") % 256).cast("string"), (F.col("event_id") % 256).cast("string"), F.lit("7"))
+def address() -> Column:
+    """A made-up address of an event, private for every third user."""
+    return F.concat_ws(".", F.when(F.col("user_id") % 3 == 0, "10").otherwise("8"), (F.col("user_id") % 256).cast("string"), (F.col("event_id") % 256).cast("string"), F.lit("7"))
+
 _ADDRESS_SQL = "CASE WHEN user_id % 3 = 0 THEN '10' ELSE '8' END || '.' || (user_id % 256) || '.' || (event_id % 256) || '.7'"
 
 
@@ -215,7 +218,7 @@ def coerce_shapes(spark, d):
 
 @query(f"SELECT event_id, user_id % 3 = 0 AS private FROM (SELECT *, {_ADDRESS_SQL} AS ip FROM events)")
 def ip_private_class(spark, d):
-    return table(spark, d, "events").select("event_id", ip.is_private_v4(ADDRESS).alias("private"))
+    return table(spark, d, "events").select("event_id", ip.is_private_v4(address()).alias("private"))
 
 
 THREATS = [("8.0.0.0/12", "vpn", "a", 10, 1), ("8.3.0.0/16", "tor", "b", 60, 2), ("8.4.5.7", "botnet", "a", 0, 3), ("10.0.0.0/8", "scanner", "c", 5, 4), ("junk", "spam", "c", 0, 5)]
@@ -229,7 +232,7 @@ def _threats(spark):
 
 @query(f"SELECT e.event_id, coalesce(threat, 'none') AS threat, coalesce(anon, false) AS anonymizer, coalesce(n, 0) AS n FROM events e LEFT JOIN {_MATCHED_SQL} m ON e.event_id = m.event_id")
 def ip_blocklist_cidr(spark, d):
-    rows = table(spark, d, "events").select("event_id", ADDRESS.alias("ip"))
+    rows = table(spark, d, "events").select("event_id", address().alias("ip"))
     out = enrich.reputation_lookup(rows, "ip", _threats(spark))
     n = F.coalesce(F.size("rep_threat_types"), (F.col("rep_threat_type") != "none").cast("int"))
     return out.select("event_id", F.col("rep_threat_type").alias("threat"), F.col("rep_is_anonymizer").alias("anonymizer"), n.cast("long").alias("n"))
@@ -240,7 +243,7 @@ RANGES = [("8.0.0.0/8", "US"), ("8.16.0.0/12", "FR"), ("8.17.0.0/16", "DE")]
 
 @query("SELECT event_id, CASE WHEN user_id % 3 = 0 THEN NULL WHEN user_id % 256 = 17 THEN 'DE' WHEN user_id % 256 BETWEEN 16 AND 31 THEN 'FR' ELSE 'US' END AS country, user_id % 3 = 0 AS private FROM events")
 def ip_geo_longest_prefix(spark, d):
-    rows = table(spark, d, "events").select("event_id", ADDRESS.alias("ip"))
+    rows = table(spark, d, "events").select("event_id", address().alias("ip"))
     out = enrich.geo_lookup(rows, "ip", spark.createDataFrame(RANGES, "network string, country_code string"))
     return out.select("event_id", F.col("geo_country_code").alias("country"), F.col("geo_is_private").alias("private"))
 
@@ -251,7 +254,7 @@ def ip_geo_longest_prefix(spark, d):
  c AS (SELECT event_id, CAST((geo * 15 + rep * 25 + priv * 25 + threat * 35) // 100 AS INTEGER) AS risk_score FROM s)
  SELECT event_id, risk_score, CASE WHEN risk_score >= 80 THEN 'critical' WHEN risk_score >= 60 THEN 'high' WHEN risk_score >= 40 THEN 'medium' WHEN risk_score >= 20 THEN 'low' ELSE 'minimal' END AS risk_level FROM c""")
 def risk_score_levels(spark, d):
-    rows = table(spark, d, "events").select("event_id", ADDRESS.alias("ip"))
+    rows = table(spark, d, "events").select("event_id", address().alias("ip"))
     found = enrich.reputation_lookup(enrich.geo_lookup(rows, "ip", spark.createDataFrame(RANGES, "network string, country_code string")), "ip", _threats(spark))
     return enrich.risk(found, Risk(high_countries=frozenset({"FR"}), medium_countries=frozenset({"DE"}))).select("event_id", "risk_score", "risk_level")
 
