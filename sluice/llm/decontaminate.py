@@ -3,10 +3,10 @@ benchmark n-grams, with DataFrame functions only.
 
 Words are lower-cased (A-Z) runs of letters, digits and non-ASCII characters.  Each
 benchmark item gives every window of ``n`` consecutive words, an item of fewer words
-its whole sequence.  A document's windows are hashed where the document is read and
-probed against the set of window hashes; a hit is verified on the words themselves.
-The set is broadcast while it holds at most ``BROADCAST_WINDOWS`` windows, and
-joined by a shuffle beyond.
+its whole sequence.  The set of windows is hashed by the anchor of each, its longest
+word; a document's words are probed against it where the document is read, and a
+window around a hit is verified on all its words.  The set is broadcast while it
+holds at most ``BROADCAST_WINDOWS`` windows, and joined by a shuffle beyond.
 """
 
 from __future__ import annotations
@@ -14,10 +14,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import ascii_lower, text_digest
+from sluice.llm.common import ascii_lower, stored, text_digest
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same before letters are put in lower case.
+EITHER_CASE_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Windows of the broadcast set at most; about 300 bytes each.
 BROADCAST_WINDOWS = 200_000
 
@@ -27,12 +29,6 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), GAP), "")
 
 
-def _windows(words: Column, n: int) -> Column:
-    """(n, at, hash) of every window of n words."""
-    starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - n + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.struct(F.lit(n).alias("n"), i.alias("at"), F.xxhash64(F.slice(words, i, n)).alias("hash")))
-
-
 def benchmark_windows(benchmark: DataFrame, n: int) -> DataFrame:
     """(item_id string, n, window): the distinct windows of each item."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
@@ -41,21 +37,27 @@ def benchmark_windows(benchmark: DataFrame, n: int) -> DataFrame:
     return items.select("item_id", length.alias("n"), F.explode(F.transform(starts, lambda i: F.slice("words", i, length))).alias("window")).distinct()
 
 
+def anchored(windows: DataFrame) -> DataFrame:
+    """``windows`` (n, window) with the ``anchor`` of each, its longest word, and the
+    number of words before it.  Long words are rare, so few places are probed twice."""
+    ranked = F.transform("window", lambda w, i: F.struct(F.length(w).alias("size"), F.xxhash64(w).alias("hash"), i.alias("at")))
+    at = F.array_max(ranked)["at"]
+    return windows.select(F.col("n").alias("length"), "window", at.alias("before"), F.element_at("window", at + 1).alias("anchor"))
+
+
 def hits(docs: DataFrame, benchmark: DataFrame, n: int = 13) -> DataFrame:
-    """Distinct (doc_id, text_key, at, n, window) of the verified occurrences; ``at``
-    counts words from 1."""
-    windows = benchmark_windows(benchmark, n).select("n", "window").distinct()
-    lengths = sorted(r["n"] for r in windows.select("n").distinct().collect())  # n values at most
-    known = windows.select(F.col("n").alias("length"), F.xxhash64("window").alias("hash"), "window")
+    """Distinct (doc_id, text_key, at, n, window) of the verified occurrences, stored;
+    ``at`` counts words from 1."""
+    known = anchored(benchmark_windows(benchmark, n).select("n", "window").distinct())
     if known.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS:
         known = F.broadcast(known)
-    words = docs.select(F.col("doc_id"), "text", words_of(F.col("text")).alias("words"))
-    if not lengths:
-        lengths = [n]
-    every = words.select("doc_id", "text", "words", F.explode(F.concat(*[_windows(F.col("words"), k) for k in lengths])).alias("w"))
-    every = every.select("doc_id", "text", "words", "w.n", "w.at", F.col("w.hash").alias("doc_hash"))
-    same = (F.col("doc_hash") == F.col("hash")) & (F.col("n") == F.col("length")) & (F.slice("words", F.col("at"), F.col("n")) == F.col("window"))
-    return every.join(known, same).select("doc_id", text_digest(F.col("text")).alias("text_key"), "at", "n", "window").distinct()
+    words = docs.select("doc_id", "text", words_of(F.col("text")).alias("words"))
+    every = words.select("doc_id", "text", "words", F.posexplode("words").alias("place", "word"))
+    start = F.col("place") - F.col("before") + 1
+    inside = (start >= 1) & (start + F.col("length") - 1 <= F.size("words"))
+    same = (F.col("word") == F.col("anchor")) & inside & (F.slice("words", F.greatest(start, F.lit(1)), F.col("length")) == F.col("window"))
+    found = every.join(known, same).select("doc_id", text_digest(F.col("text")).alias("text_key"), start.alias("at"), F.col("length").alias("n"), "window")
+    return stored(found.distinct())
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 13, share: int = 20) -> DataFrame:
@@ -80,7 +82,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 13, share: int
     owners = benchmark_windows(benchmark, n).select("item_id", "window")
     items = found.select(*key, "window").distinct().join(owners, "window").groupBy(*key).agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
     per_text = covered.join(items, [covered[k].eqNullSafe(items[k]) for k in key]).select(covered["doc_id"].alias("_id"), covered["text_key"].alias("_key"), "n_hit", "spans", "item_ids")
-    rows = docs.select("doc_id", text_digest(F.col("text")).alias("text_key"), F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
+    n_words = F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), EITHER_CASE_GAP), "")).cast("long")
+    rows = docs.select("doc_id", text_digest(F.col("text")).alias("text_key"), n_words.alias("n_words"))
     out = rows.join(per_text, rows["doc_id"].eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return out.select(

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.common import partitions, stored
-from sluice.llm.tokens import ChunkEncoder, blocks
+from sluice.llm.tokens import blocks, worker_encoder
 
 
 def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -94,7 +94,7 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int,
 
 def _piece_partition(path: str, end_id: int, capacity: int, keep_ids: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, end = ChunkEncoder(path), np.array([end_id], np.uint32)
+        encoder, end = worker_encoder(path), np.array([end_id], np.uint32)
         for pdf in batches:
             texts, doc_ids, rids = list(pdf["text"]), pdf["doc_id"].astype("Int64"), pdf["rid"].to_numpy()
             for part in blocks(texts):

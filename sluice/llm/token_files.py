@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.common import partitions, shared_dir, stored
-from sluice.llm.tokens import ChunkEncoder, blocks
+from sluice.llm.tokens import blocks, worker_encoder
 
 MAGIC, HEAD, BLOCK_IDS = b"SLTP", struct.Struct("<4sHHIIQ"), 4096
 SEGMENT_IDS = 2_000_000
@@ -108,7 +108,7 @@ def segments(content: bytes) -> Iterator[Segment]:
 
 def _pack_partition(path: str, end_id: int, bits: int | None):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = ChunkEncoder(path)
+        encoder = worker_encoder(path)
         width = bits or (max(encoder.vocabulary_size, end_id + 1) - 1).bit_length()
         end = np.array([end_id], np.uint32)
         doc_ids, ids, size = [], [], 0

@@ -19,7 +19,7 @@ from itertools import chain, repeat
 import numpy as np
 
 #: Chunks and pre-tokens kept by one worker before its table starts afresh; bounds its memory.
-CACHE_ENTRIES = 1_200_000
+CACHE_ENTRIES = 700_000
 
 # Letters whose lower case is one code point and that NFC leaves alone.
 _LETTER = "a-zA-ZÀ-ÖØ-öø-įĲ-ňŊ-ž"
@@ -153,6 +153,16 @@ class ChunkEncoder:
         return self.encode_many([text])[0]
 
 
+_encoders: dict[str, ChunkEncoder] = {}
+
+
+def worker_encoder(path: str) -> ChunkEncoder:
+    """The encoder of this Python worker, whose table serves all tasks it runs."""
+    if path not in _encoders:
+        _encoders[path] = ChunkEncoder(path)
+    return _encoders[path]
+
+
 def blocks(texts: list[str | None], most: int = 4_000_000):
     """Slices of ``texts`` with about ``most`` characters at most, one text at least."""
     first = size = 0
