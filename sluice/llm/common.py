@@ -44,7 +44,7 @@ def ascii_lower(text: Column) -> Column:
 
 def text_digest(text: Column) -> Column:
     """16 bytes that stand for a text; null for null."""
-    return F.unhex(F.md5(F.encode(text, "UTF-8")))
+    return F.unhex(F.md5(text.cast("binary")))
 
 
 def partitions(spark: SparkSession) -> int:

@@ -17,11 +17,13 @@ from re import _parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import ascii_lower, text_digest
+from sluice.llm.common import stored, text_digest
 
 #: Candidate texts up to which their keys are broadcast to the scan (about 100 bytes each).
 BROADCAST_CANDIDATES = 200_000
 _ALTERNATIVES = 64
+#: Letters of a class that is spelt out as alternatives, at most.
+_CLASS = 8
 
 
 @dataclass(frozen=True)
@@ -59,6 +61,8 @@ def _fragments(parsed, done: list[tuple[str, ...]]) -> list[tuple[str, ...]]:
             done = [(*a[:-1], a[-1] + chr(value).lower()) for a in done]
         elif kind is op.SUBPATTERN:
             done = _fragments(value[-1], done)
+        elif kind is op.IN and len(value) <= _CLASS and all(k is op.LITERAL for k, _ in value):
+            done = [x for letter in value for x in _fragments([letter], done)]
         elif kind is op.BRANCH:
             done = [x for arm in value[1] for x in _fragments(arm, done)]
         elif kind is op.MAX_REPEAT and value[:2] == (0, 1) and all(k is op.LITERAL for k, _ in value[2]):
@@ -91,8 +95,8 @@ def _lit(text: str) -> str:
 
 def postings(docs: DataFrame, trigrams: list[str]) -> DataFrame:
     """The inverted index over ``trigrams``: (trigram, text_key) for each text of
-    ``docs`` (text) whose A-Z-lowered form holds the trigram."""
-    lowered = docs.where("text is not null").select(text_digest(F.col("text")).alias("text_key"), ascii_lower(F.col("text")).alias("low"))
+    ``docs`` (text) whose lower-case form holds the trigram."""
+    lowered = docs.where("text is not null").select(text_digest(F.col("text")).alias("text_key"), F.lower("text").alias("low"))
     there = F.array(*[F.when(F.contains("low", F.lit(t)), F.lit(t)) for t in trigrams])
     return lowered.select("text_key", F.explode(there).alias("trigram")).where("trigram is not null")
 
@@ -111,14 +115,14 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return met.groupBy("text_key").agg(F.collect_set("rule").alias("rules"))
 
 
-def _spans(rule: Rule, number: int) -> Column:
-    """(start, kind number, end) of a rule's matches in ``text``; code points, end
-    exclusive.  The gaps between matches give their places."""
-    pattern = F.lit(rule.pattern)
-    measured = F.regexp_extract_all("text", pattern, F.lit(rule.group))
+def _spans(rules: tuple[Rule, ...], number: Column) -> Column:
+    """(start, kind number, end) of the matches in ``text`` of the rule of that number;
+    code points, end exclusive.  The gaps between matches give their places."""
+    of = lambda values: F.get(F.array(*map(F.lit, values)), number)
+    pattern, least = of([r.pattern for r in rules]), of([r.least for r in rules])
     parts = F.zip_with(
-        F.split("text", rule.pattern, -1),
-        F.arrays_zip(F.regexp_extract_all("text", pattern, F.lit(0)).alias("whole"), measured.alias("measured")),
+        F.split("text", pattern, -1),
+        F.arrays_zip(F.regexp_extract_all("text", pattern, F.lit(0)).alias("whole"), F.regexp_extract_all("text", pattern, of([r.group for r in rules])).alias("measured")),
         lambda gap, m: F.struct(F.length(gap).alias("gap"), F.length(m["whole"]).alias("whole"), F.length(m["measured"]).alias("measured")),
     )
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
@@ -126,8 +130,8 @@ def _spans(rule: Rule, number: int) -> Column:
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["gap"]
         end = start + F.coalesce(x["whole"], F.lit(0))
-        span = F.array(F.struct(start.alias("start"), F.lit(number).alias("kind"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(x["measured"] >= rule.least, F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
+        span = F.array(F.struct(start.alias("start"), number.alias("kind"), end.alias("end")))
+        return F.struct(end.alias("at"), F.when(x["measured"] >= least, F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
 
     return F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda acc: acc["spans"])
 
@@ -140,17 +144,14 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE) -> DataFrame:
     repeated or null ids are each scanned alike; an empty table gives an empty one.
     Columns of ``docs`` named ``spans`` or beginning with an underscore are replaced.
     """
-    found = candidates(docs, rules).select(F.col("text_key").alias("_key"), F.col("rules").alias("_rules"))
+    found = stored(candidates(docs, rules).select(F.col("text_key").alias("_key"), F.col("rules").alias("_rules")))
     if found.limit(BROADCAST_CANDIDATES + 1).count() <= BROADCAST_CANDIDATES:
         found = F.broadcast(found)
     joined = docs.join(found, text_digest(docs["text"]) == F.col("_key"), "left")
-    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    each = {}
-    for k, rule in enumerate(rules):
-        may = F.array_contains("_rules", k) if trigram_query(rule.pattern) is not None else F.col("text").rlike(rule.pattern)
-        each[f"_spans{k}"] = F.when(F.col("text").isNotNull() & F.coalesce(may, F.lit(False)), _spans(rule, k)).otherwise(none)
-    out = joined.select(*[docs[c] for c in docs.columns if c != "spans" and not c.startswith("_")], *[c.alias(n) for n, c in each.items()])
-    return out.withColumn("spans", F.array_sort(F.concat(*each))).drop(*each)
+    unled = [F.when(F.col("text").rlike(r.pattern), F.lit(k)) for k, r in enumerate(rules) if trigram_query(r.pattern) is None]
+    asked = F.array_compact(F.concat(F.coalesce("_rules", F.array().cast("array<int>")), F.array(*unled).cast("array<int>")))
+    spans = F.array_sort(F.flatten(F.transform(asked, lambda k: _spans(rules, k))))
+    return joined.select(*[docs[c] for c in docs.columns if c != "spans" and not c.startswith("_")], spans.alias("spans"))
 
 
 def of_kind(number: int):
