@@ -14,17 +14,17 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import chain, repeat
+from itertools import chain, islice, repeat
 
 import numpy as np
 
-#: Chunks and pre-tokens kept by one worker before its table starts afresh; bounds its memory.
-CACHE_ENTRIES = 700_000
+#: Chunks, and pre-tokens, kept by one worker; bounds its memory.
+CACHE_ENTRIES = 250_000
 
 # Letters whose lower case is one code point and that NFC leaves alone.
 _LETTER = "a-zA-ZÀ-ÖØ-öø-įĲ-ňŊ-ž"
-_PLAIN = re.compile(f"[!-~{_LETTER}]+")
-_SPLIT = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LETTER}]+|[0-9]|[^0-9{_LETTER}]+")
+_ODD = re.compile(f"[^!-~{_LETTER}\n]")
+_SPLIT = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LETTER}]+|[0-9]|\n|[^0-9{_LETTER}\n]+")
 
 
 def public_tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -72,6 +72,17 @@ class _Rows:
         total = int(ends[-1]) if len(ends) else 0
         return self.flat[np.arange(total) + np.repeat(self.start[at] - ends + n, n)], n
 
+    def cut(self, rows: int) -> None:
+        """Forget all but the first ``rows`` rows."""
+        self.rows, self.used = rows, int(self.start[rows - 1] + self.length[rows - 1]) if rows else 0
+
+
+def _first(place: dict, n: int, rows: _Rows) -> dict:
+    """The first ``n`` entries, which hold the first rows."""
+    kept = dict(islice(place.items(), n))
+    rows.cut(1 + max(kept.values(), default=-1))
+    return kept
+
 
 class ChunkEncoder:
     """Ids of texts by the tokenizer file at ``path``, without special tokens added.
@@ -86,11 +97,11 @@ class ChunkEncoder:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self._whole = Tokenizer.from_file(path)
-        self._words = Tokenizer.from_file(path)  # pre-tokens between blanks, as they are
+        self._words = Tokenizer(self._whole.model)  # pre-tokens between blanks, as they are
         self._words.normalizer, self._words.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
         self._letters = _byte_letters()
         self._entries = entries
-        self._marks = tuple(t.content for t in self._whole.get_added_tokens_decoder().values())
+        self._marks = re.compile("|".join(re.escape(t.content) for t in self._whole.get_added_tokens_decoder().values()) or r"(?!)")
         vocabulary = self._whole.get_vocab(with_added_tokens=True)
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -99,8 +110,16 @@ class ChunkEncoder:
     def _clear(self) -> None:
         self._place: dict[bytes, int] = {}
         self._chunks = _Rows()
-        self._piece_place: dict[str, int] = {}
         self._pieces = _Rows()
+        self._pieces.add(np.empty(0, np.uint32), np.zeros(1, np.int64))
+        self._piece_place: dict[str, int] = {"\n": 0}  # the end of a chunk has no ids
+
+    def _shrink(self) -> None:
+        """Of a full table the first half stays: what was met first is mostly frequent."""
+        if len(self._place) > self._entries:
+            self._place = _first(self._place, self._entries // 2, self._chunks)
+        if len(self._piece_place) > self._entries:
+            self._piece_place = _first(self._piece_place, self._entries // 2, self._pieces)
 
     @property
     def vocabulary_size(self) -> int:
@@ -114,37 +133,39 @@ class ChunkEncoder:
         self._piece_place.update(zip(new, range(first, first + len(new)), strict=True))
 
     def _learn(self, new: list[bytes]) -> None:
-        plain: list[bytes] = []
-        pieces: list[list[str]] = []
-        for chunk in new:
-            text = chunk.decode()
-            if _PLAIN.fullmatch(text) and not ("<" in text and any(m in text for m in self._marks)):
-                plain.append(chunk)
-                pieces.append(_SPLIT.findall(text.lower()))
-            else:
-                ids = np.asarray(self._whole.encode(text, add_special_tokens=False).ids, np.uint32)
-                self._place[chunk] = self._chunks.add(ids, np.array([len(ids)]))
-        if plain:
-            every = list(chain.from_iterable(pieces))
-            if unknown := [p for p in dict.fromkeys(every) if p not in self._piece_place]:
-                self._learn_pieces(unknown)
-            at = np.fromiter(map(self._piece_place.__getitem__, every), np.int64, len(every))
-            flat, n = self._pieces.take(at)
-            ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
-            length = np.diff(np.concatenate(([0], np.cumsum(n)))[ends], prepend=0)
-            first = self._chunks.add(flat, length)
-            self._place.update(zip(plain, range(first, first + len(plain)), strict=True))
+        text = b"\n".join(new).decode()
+        lines = text.split("\n")
+        odd = [m.start() for m in _ODD.finditer(text)] + [m.start() for m in self._marks.finditer(text)]
+        if odd:
+            ends = np.cumsum(np.fromiter(map(len, lines), np.int64, len(lines)) + 1)
+            whole = np.unique(np.searchsorted(ends, odd, side="right")).tolist()
+            for i in whole:
+                ids = np.asarray(self._whole.encode(lines[i], add_special_tokens=False).ids, np.uint32)
+                self._place[new[i]] = self._chunks.add(ids, np.array([len(ids)]))
+            plain = np.delete(np.arange(len(new)), whole).tolist()
+            new, text = [new[i] for i in plain], "\n".join([lines[i] for i in plain])
+        if not new:
+            return
+        every = _SPLIT.findall(text.lower() + "\n")
+        at = np.fromiter(map(self._piece_place.get, every, repeat(-1)), np.int64, len(every))
+        missing = np.flatnonzero(at < 0).tolist()
+        if missing:
+            self._learn_pieces(list(dict.fromkeys(map(every.__getitem__, missing))))
+            at[missing] = list(map(self._piece_place.__getitem__, map(every.__getitem__, missing)))
+        flat, n = self._pieces.take(at)
+        length = np.diff(np.cumsum(n)[at == 0], prepend=0)
+        first = self._chunks.add(flat, length)
+        self._place.update(zip(new, range(first, first + len(new)), strict=True))
 
     def encode_many(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text as unsigned 32-bit integers."""
-        if len(self._place) + len(self._piece_place) > self._entries:
-            self._clear()
+        self._shrink()
         split = [t.encode().split() if t else [] for t in texts]
         every = list(chain.from_iterable(split))
         at = np.fromiter(map(self._place.get, every, repeat(-1)), np.int64, len(every))
-        if len(missing := np.flatnonzero(at < 0)):
-            self._learn(list(dict.fromkeys(every[i] for i in missing)))
-            at[missing] = [self._place[every[i]] for i in missing]
+        if missing := np.flatnonzero(at < 0).tolist():
+            self._learn(list(dict.fromkeys(map(every.__getitem__, missing))))
+            at[missing] = list(map(self._place.__getitem__, map(every.__getitem__, missing)))
         flat, n = self._chunks.take(at)
         ends = np.concatenate(([0], np.cumsum(n)))[np.cumsum([len(c) for c in split])]
         return np.split(flat, ends[:-1]) if len(texts) else []
@@ -163,7 +184,7 @@ def worker_encoder(path: str) -> ChunkEncoder:
     return _encoders[path]
 
 
-def blocks(texts: list[str | None], most: int = 4_000_000):
+def blocks(texts: list[str | None], most: int = 1_500_000):
     """Slices of ``texts`` with about ``most`` characters at most, one text at least."""
     first = size = 0
     for i, t in enumerate(texts):
