@@ -23,6 +23,7 @@ CACHE_ENTRIES = 250_000
 
 # Letters whose lower case is one code point and that NFC leaves alone.
 _LETTER = "a-zA-ZÀ-ÖØ-öø-įĲ-ňŊ-ž"
+_NOT_ASCII = re.compile(r"[^\x00-\x7F]+")
 _ODD = re.compile(f"[^!-~{_LETTER}\n]")
 _SPLIT = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LETTER}]+|[0-9]|\n|[^0-9{_LETTER}\n]+")
 
@@ -125,8 +126,11 @@ class ChunkEncoder:
     def vocabulary_size(self) -> int:
         return self._whole.get_vocab_size(with_added_tokens=True)
 
+    def _spelt(self, m: re.Match) -> str:
+        return "".join(map(self._letters.__getitem__, m[0].encode()))
+
     def _learn_pieces(self, new: list[str]) -> None:
-        text = " ".join(p if p.isascii() else "".join(map(self._letters.__getitem__, p.encode())) for p in new)
+        text = _NOT_ASCII.sub(self._spelt, " ".join(new))
         ids = np.asarray(self._words.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
         length = np.diff(np.flatnonzero(self._ends[ids]), prepend=-1)
         first = self._pieces.add(ids, length)
