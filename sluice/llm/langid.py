@@ -40,7 +40,7 @@ class Bundler:
     def __init__(self, p: Profiles):
         self.p = p
         rng = np.random.default_rng(p.seed)
-        letters = (rng.integers(0, 2, size=(ALPHABET, p.dimensions), dtype=np.int8) * 2 - 1).astype(np.float32)
+        letters = (rng.integers(0, 2, size=(ALPHABET, p.dimensions), dtype=np.int8) * 2 - 1).astype(np.int8)
         self._shifted = [np.roll(letters, k, axis=1) for k in range(p.gram)]
         code = np.zeros(0x110000, np.int64)
         alphas = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
@@ -49,7 +49,7 @@ class Bundler:
         code[ord("a") : ord("z") + 1] = np.arange(1, 27)
         self._code = code
         self._row: dict[int, int] = {}
-        self._vectors = np.empty((1024, p.dimensions), np.float32)
+        self._vectors = np.empty((1024, p.dimensions), np.int8)
 
     def grams(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
         """Distinct n-grams of a text and their counts; None if it has no letter."""
@@ -72,7 +72,7 @@ class Bundler:
         if new:
             first, end = len(row), len(row) + len(new)
             if end > len(self._vectors):
-                self._vectors = np.resize(self._vectors, (2 * end, self.p.dimensions))
+                self._vectors = np.resize(self._vectors, (end + end // 2, self.p.dimensions))
             g = np.array(new)
             bound = self._shifted[0][g % ALPHABET]
             for k in range(1, self.p.gram):
@@ -83,7 +83,7 @@ class Bundler:
         return self._vectors[[row[g] for g in grams.tolist()]]
 
     def bundle(self, grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        return counts.astype(np.float32) @ self.vectors(grams)
+        return counts.astype(np.float32) @ self.vectors(grams).astype(np.float32)
 
 
 def _train_partition(p: Profiles):
