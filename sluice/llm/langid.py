@@ -169,7 +169,7 @@ def identified(docs: DataFrame, p: Profiles = Profiles()) -> DataFrame:
 
 def language_stage(docs: DataFrame, least: float = 0.0, p: Profiles = Profiles()) -> DataFrame:
     """The rows of ``docs``, with all their columns, that have a language: a letter at
-    least and a cosine of more than ``least`` with the best prototype."""
+    least and a cosine of ``least`` or more with the best prototype."""
     model = train(docs.where(fold(F.col("doc_id"), 3) != 1), p)
 
     def run(batches):
@@ -177,7 +177,9 @@ def language_stage(docs: DataFrame, least: float = 0.0, p: Profiles = Profiles()
 
         scorer = _Scorer(model, p)
         for batch in batches:
-            scored = [scorer(t) for t in batch.column("text").to_pylist()]
-            yield batch.filter(pa.array([lang != "und" and score > least for lang, score in scored], pa.bool_()))
+            for at in range(0, len(batch), 500):  # few texts at a time as Python strings
+                rows = batch.slice(at, 500)
+                found = [scorer(t) for t in rows.column("text").to_pylist()]
+                yield rows.filter(pa.array([lang != "und" and score >= least for lang, score in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
