@@ -1,45 +1,58 @@
 """Scoring of texts with a hidden Markov language model.
 
 Tokens are lower-cased (A-Z) words between ASCII white space, then one end token.
-Token counts come from the whole training part.  The model sees symbols: the end,
-each of the most frequent words, and one class (by hash) for every other word; a
-word's share within its class comes from the counts, a word never seen counting as
-one more word of its class, so that the words' probabilities sum to one.
-
-Baum-Welch: each iteration runs the scaled forward and backward recursions over every
-training text where it lies, and sums the expected counts over the partitions; the
-model itself has a fixed size.  Scoring runs the forward recursion over each text.
+Token counts come from the whole training part, and every training word has emissions
+of its own.  The more frequent words, the end and the classes (by hash) of words never
+seen are symbols, whose emissions the tasks hold.  A class counts as one word, so that
+the probabilities sum to one.
+
+Baum-Welch: sequences lie in blocks, each with the list of its rarer words.  An
+iteration runs the scaled forward and backward recursions over every training block;
+the expected counts of each word and state are summed over the blocks in buckets of
+words, stored, and sent back to the blocks that hold the word.  The emission of a word
+is its expected counts plus its prior over the state's total, so a block needs no more
+than that and the fixed-size part of the model.  A word's expected counts add up to
+its count.  Scoring runs the forward recursion over each text.
+
 Words too rare for the table that the tasks hold meet their counts by a join; being
 rare, none of them is a hot key.
 """
 
 from __future__ import annotations
 
-import zlib
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 from itertools import repeat
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import ascii_lower, stored
+from sluice.llm.common import ascii_lower, partitions, stored
 from sluice.llm.langid import fold
-from sluice.llm.tokens import blocks
+from sluice.llm.tokens import blocks as text_blocks
+
+
+#: In place of a symbol: a word that is none.
+RARE = 0xFFFFFF
+#: Tokens of a block, and of a batch within, about.
+BLOCK, BATCH = 2_000_000, 600_000
 
 
 @dataclass(frozen=True)
 class HiddenMarkov:
     states: int = 8
     iterations: int = 5
-    #: Words with a symbol of their own, classes of the others, and words whose counts
-    #: the tasks hold, at most.
+    #: Words whose first emissions differ by state, classes of words never seen, and words
+    #: whose counts and emissions the tasks hold, at most.
     symbols: int = 30_000
     classes: int = 512
     held_words: int = 300_000
-    #: Weight of the symbols' overall shares in a state's emissions, in tokens.
+    #: Weight of the words' overall shares in a state's emissions, in tokens.
     prior: float = 50.0
     seed: int = 3
 
@@ -67,10 +80,8 @@ class Tables:
 
     index: dict[bytes, int]  # held words
     counts: np.ndarray  # of held words
-    symbol: np.ndarray  # of held words
-    own: np.ndarray  # whether a held word is its own symbol
+    n_apart: int  # of the first held words, whose first emissions differ by state
     classes: int
-    class_total: np.ndarray  # weight of each class: counts + words + 1
     n_symbols: int  # words, then classes, then the end
     end_count: int
     tokens: int
@@ -80,6 +91,26 @@ class Tables:
     def end(self) -> int:
         return self.n_symbols - 1
 
+    @property
+    def weight(self) -> int:
+        """Of all words, the classes and the end: count + 1 each."""
+        return self.tokens + self.types + self.classes + (self.end_count == 0)
+
+
+def packed(symbols: np.ndarray) -> bytes:
+    """Two low bytes of each symbol, then the third, which is mostly 0."""
+    return symbols.astype("<u2").tobytes() + (symbols >> 16).astype("u1").tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    n = len(data) // 3
+    return np.frombuffer(data, "<u2", n).astype(np.int64) | np.frombuffer(data, "u1", n, 2 * n).astype(np.int64) << 16
+
+
+def word_key(word: bytes) -> int:
+    """64 bits that stand for a word."""
+    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+
 
 def tables_of(counts: DataFrame, n_docs: int, p: HiddenMarkov) -> tuple[Tables, int]:
     """Bounded tables from the stored counts, and the least count of a held word."""
@@ -90,29 +121,21 @@ def tables_of(counts: DataFrame, n_docs: int, p: HiddenMarkov) -> tuple[Tables,
     held = counts.where(F.col("c") >= least_held).toPandas().sort_values(["c", "word"], ascending=[False, True])  # p.held_words rows at most
     words = [w.encode() for w in held["word"]]
     c = held["c"].to_numpy(np.int64)
-    own = c >= least_symbol
-    n_own = int(own.sum())
-    cls = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % p.classes
-    total = np.ones(p.classes)
-    rare = counts.where(F.col("c") < least_symbol)
-    for r in rare.groupBy((F.crc32(F.col("word").cast("binary")) % p.classes).alias("k")).agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect():  # p.classes rows
-        total[r["k"]] += r["c"] + r["n"]
+    n_apart = int((c >= least_symbol).sum())
     tokens = sum(r["c"] for r in histogram) + n_docs
     types = sum(r["n"] for r in histogram) + (n_docs > 0)
-    return Tables(dict(zip(words, range(len(words)), strict=True)), c, np.where(own, np.arange(len(words)), n_own + cls), own, p.classes, total, n_own + p.classes + 1, n_docs, tokens, types), least_held
+    return Tables(dict(zip(words, range(len(words)), strict=True)), c, n_apart, p.classes, len(words) + p.classes + 1, n_docs, tokens, types), least_held
 
 
 def _sequence_partition(tables: Tables):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t = tables
         find, denominator = t.index.get, np.log10(t.tokens + t.types + 1)
-        first_class = t.n_symbols - 1 - t.classes
         base = np.log10(t.counts + 1.0) - denominator
-        share = np.where(t.own, 0.0, np.log10(t.counts + 1.0) - np.log10(t.class_total[np.where(t.own, 0, t.symbol - first_class)]))
         end_base = float(np.log10(t.end_count + 1.0) - denominator)
         for pdf in batches:
             texts = list(pdf["text"])
-            for part in blocks(texts):
+            for part in text_blocks(texts):
                 rows = []
                 for text in texts[part]:
                     words = text.encode().lower().split() if text else []
@@ -120,11 +143,11 @@ def _sequence_partition(tables: Tables):
                     missing = np.flatnonzero(at < 0)
                     known = at[at >= 0]
                     symbols = np.full(len(words) + 1, t.end, np.int64)
-                    symbols[:-1] = t.symbol[at] if len(t.symbol) else 0
+                    symbols[:-1] = np.where(at < 0, RARE, at)
                     rest = [words[i] for i in missing]
-                    symbols[missing] = first_class + np.fromiter(map(zlib.crc32, rest), np.int64, len(rest)) % t.classes
-                    rows.append((symbols.astype("<u2").tobytes(), len(words) + 1, len(known) + (t.end_count > 0), float(base[known].sum()) + end_base, float(share[known].sum()), [w.decode() for w in rest]))
-                out = pd.DataFrame(rows, columns=["symbols", "n_tokens", "n_known", "base", "share", "rest"])
+                    keys = np.fromiter(map(word_key, rest), "<u8", len(rest))
+                    rows.append((packed(symbols), keys.tobytes(), len(words) + 1, len(known) + (t.end_count > 0), float(base[known].sum()) + end_base, [w.decode() for w in rest]))
+                out = pd.DataFrame(rows, columns=["symbols", "rare", "n_tokens", "n_known", "base", "rest"])
                 for c in ("rid", "doc_id", "held_out"):
                     out[c] = pdf[c][part].array
                 yield out
@@ -133,9 +156,10 @@ def _sequence_partition(tables: Tables):
 
 
 def sequences(docs: DataFrame, tables: Tables) -> DataFrame:
-    """A stored row per document: its symbols, and what its held words add to the scores."""
+    """A stored row per document: its symbols (RARE for a word that is none), the keys of
+    those words, and what its held words add to the base score."""
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "held_out", "text")
-    schema = "symbols binary, n_tokens long, n_known long, base double, share double, rest array<string>, rid long, doc_id long, held_out boolean"
+    schema = "symbols binary, rare binary, n_tokens long, n_known long, base double, rest array<string>, rid long, doc_id long, held_out boolean"
     return stored(rows.mapInPandas(_sequence_partition(tables), schema).sortWithinPartitions("n_tokens"))
 
 
@@ -205,27 +229,173 @@ class Batch:
             emit[:, k] += np.bincount(self.symbols, weight[:, k], len(emit))
 
 
-def _batches(frames: Iterator[pd.DataFrame], most: int = 600_000) -> Iterator[tuple[pd.DataFrame, Batch]]:
+def _block_partition(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def block(held_out: bool, rows: list) -> pd.DataFrame:
+        keys = np.frombuffer(b"".join(r[1] for r in rows), "<u8")
+        words, at = np.unique(keys, return_inverse=True)
+        symbols = packed(np.concatenate([unpacked(r[0]) for r in rows]))
+        lengths = np.array([len(r[0]) // 3 for r in rows], "<i4")
+        return pd.DataFrame({"block": [rows[0][2]], "held_out": held_out, "symbols": symbols, "lengths": lengths.tobytes(), "words": words.astype("<u8").tobytes(), "at": at.astype("<u4").tobytes(), "rids": np.array([r[2] for r in rows], "<i8").tobytes()})
+
+    open_, size = {False: [], True: []}, {False: 0, True: 0}
     for pdf in frames:
-        every = [np.frombuffer(x, "<u2").astype(np.int64) for x in pdf["symbols"]]
-        first = size = 0
-        for i in range(len(every)):
-            size += len(every[i])
-            if size >= most or i == len(every) - 1:
-                yield pdf.iloc[first : i + 1], Batch(every[first : i + 1])
-                first, size = i + 1, 0
+        for symbols, rare, rid, held_out in zip(pdf["symbols"], pdf["rare"], pdf["rid"], pdf["held_out"], strict=True):
+            held_out = bool(held_out)
+            open_[held_out].append((symbols, rare, rid))
+            size[held_out] += len(symbols) // 3
+            if size[held_out] >= BLOCK:
+                yield block(held_out, open_[held_out])
+                open_[held_out], size[held_out] = [], 0
+    for held_out, rows in open_.items():
+        if rows:
+            yield block(held_out, rows)
+
+
+def blocks_of(rows: DataFrame) -> DataFrame:
+    """Blocks of the rows of ``sequences``, of like lengths, training rows and
+    others apart: their symbols, and their rarer words by key, each kept once.  They are
+    kept on disk by their number, so that no iteration deals them out again."""
+    schema = "block long, held_out boolean, symbols binary, lengths binary, words binary, at binary, rids binary"
+    made = rows.select("symbols", "rare", "rid", "held_out").mapInPandas(_block_partition, schema)
+    return made.repartition(partitions(rows.sparkSession), "block").persist(StorageLevel.DISK_ONLY)
+
+
+_SUMS = "bucket int, block long, words binary, sums binary"
+
+
+def _in_buckets(block: int, words: np.ndarray, sums: np.ndarray | None, buckets: int, first: int = 0) -> pd.DataFrame:
+    """A row for each bucket that has some of ``words``, which ascend within it."""
+    bucket = (words % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+    parts = np.split(order, cuts) if len(order) else []
+    return pd.DataFrame([(first + int(bucket[i[0]]), block, words[i].astype("<u8").tobytes(), b"" if sums is None else sums[i].astype("<f4").tobytes()) for i in parts], columns=["bucket", "block", "words", "sums"])
+
+
+def _ask_partition(buckets: int, count: bool):
+    """What blocks ask of the buckets: their words' sums; with ``count`` they add the
+    number of times that they hold each word."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for b in pdf.itertuples():
+                words = np.frombuffer(b.words, "<u8")
+                sums = np.bincount(np.frombuffer(b.at, "<u4"), minlength=len(words))[:, None] if count else None
+                yield _in_buckets(b.block, words, sums, buckets)
+
+    return run
 
 
-def _expect_partition(m: Model):
+def _sum_bucket(buckets: int):
+    """Sums over the blocks of a bucket's words, for each block that has asked; those of
+    the symbols once, as block -1."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("block")
+        words = [np.frombuffer(w, "<u8") for w in pdf["words"]]
+        every, at = np.unique(np.concatenate(words), return_inverse=True)
+        at = np.split(at, np.cumsum(list(map(len, words)))[:-1])
+        width = max(1, *(len(s) // 4 // len(w) for s, w in zip(pdf["sums"], words, strict=True)))
+        total = np.zeros((len(every), width))
+        for i, s in zip(at, pdf["sums"], strict=True):
+            if s:
+                total[i] += np.frombuffer(s, "<f4").reshape(len(i), width)  # a block has a word once
+        bucket = int(pdf["bucket"].iloc[0])
+        if bucket >= buckets:
+            return pd.DataFrame({"bucket": [bucket], "block": [-1], "words": [every.astype("<u8").tobytes()], "sums": [total.astype("<f8").tobytes()]})
+        return pd.DataFrame({"bucket": bucket, "block": pdf["block"].array, "words": b"", "sums": [total[i].astype("<f4").tobytes() for i in at]})
+
+    return run
+
+
+def _summed(asked: DataFrame, buckets: int) -> DataFrame:
+    return stored(asked.groupBy("bucket").applyInPandas(_sum_bucket(buckets), _SUMS))
+
+
+@dataclass
+class Known:
+    """What a block needs beside its words' sums."""
+
+    model: Model  # of the symbols
+    norm: np.ndarray  # total weight of each state
+    prior: float
+    weight: int  # of all words
+    classes: int
+    buckets: int
+
+    def local(self, block, sums: pd.DataFrame) -> tuple[Model, np.ndarray, np.ndarray]:
+        """The model of the symbols and then the block's words, the block's tokens in it,
+        and its words."""
+        m, words = self.model, np.frombuffer(block.words, "<u8")
+        n = len(m.emit)
+        symbols = unpacked(block.symbols)
+        if len(words) == 0:
+            return m, symbols, words
+        order = np.argsort(words % np.uint64(self.buckets), kind="stable")
+        found = np.frombuffer(b"".join(sums.sort_values("bucket")["sums"]), "<f4").reshape(len(words), -1)
+        got = np.empty_like(found)
+        got[order] = found
+        share = (np.rint(got.sum(axis=1, dtype=np.float64)) + 1) / self.weight
+        emit = (got + self.prior * share[:, None]) / self.norm if got.shape[1] > 1 else np.repeat(share[:, None], len(m.start), 1)
+        unseen = share * self.weight < 1.5
+        place = np.where(unseen, n - 1 - self.classes + (words % np.uint64(self.classes)).astype(np.int64), n + np.arange(len(words)))
+        symbols[symbols == RARE] = place[np.frombuffer(block.at, "<u4")]
+        return Model(m.start, m.move, np.vstack((m.emit, emit.astype(m.emit.dtype)))), symbols, words
+
+
+def _batches(symbols: np.ndarray, lengths: np.ndarray, most: int) -> Iterator[tuple[int, int, Batch]]:
+    every, first, size = np.split(symbols, np.cumsum(lengths)[:-1]), 0, 0
+    for i in range(len(every)):
+        size += len(every[i])
+        if size >= most or i == len(every) - 1:
+            yield first, i + 1, Batch(every[first : i + 1])
+            first, size = i + 1, 0
+
+
+def _expect_block(known: Known):
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for b in left.itertuples():
+            m, symbols, words = known.local(b, right)
+            k, n = len(m.start), len(known.model.emit)
+            start, move, emit = np.zeros(k), np.zeros((k, k)), np.zeros(m.emit.shape)
+            for _, _, batch in _batches(symbols, np.frombuffer(b.lengths, "<i4"), BATCH):
+                batch.expect(m, start, move, emit)
+            used = np.flatnonzero(emit[:n].sum(axis=1))
+            # after the symbols: the start, the moves and the total of the other words
+            dense = np.concatenate((used, n + np.arange(k + 2))).astype(np.uint64)
+            out.append(_in_buckets(b.block, dense, np.vstack((emit[used], start, move, emit[n:].sum(axis=0))), known.buckets, known.buckets))
+            out.append(_in_buckets(b.block, words, emit[n:], known.buckets))
+        return pd.concat(out) if out else pd.DataFrame({"bucket": [], "block": [], "words": [], "sums": []})
+
+    return run
+
+
+def _add_symbols(known: Known):
+    """Of a task's rows, those of the symbols added up."""
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        k = len(m.start)
-        start, move, emit = np.zeros(k), np.zeros((k, k)), np.zeros(m.emit.shape)
-        for _, batch in _batches(frames):
-            batch.expect(m, start, move, emit)
-        used = np.flatnonzero(emit.sum(axis=1))
-        if len(used):
-            what = np.concatenate((used, [-1], -2 - np.arange(k)))
-            yield pd.DataFrame(np.vstack((emit[used], start[None, :], move)), columns=[f"s{i}" for i in range(k)]).assign(what=what)
+        k = len(known.model.start)
+        total = np.zeros((len(known.model.emit) + k + 2, k))
+        for pdf in frames:
+            dense = pdf["bucket"] >= known.buckets
+            for words, sums in zip(pdf["words"][dense], pdf["sums"][dense], strict=True):
+                total[np.frombuffer(words, "<u8").astype(np.int64)] += np.frombuffer(sums, "<f4").reshape(-1, k)
+            yield pdf[~dense]
+        used = np.flatnonzero(total.sum(axis=1))
+        yield _in_buckets(-1, used.astype(np.uint64), total[used], known.buckets, known.buckets)
+
+    return run
+
+
+def _score_block(known: Known):
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for b in left.itertuples():
+            m, symbols, _ = known.local(b, right)
+            rids = np.frombuffer(b.rids, "<i8")
+            out += [pd.DataFrame({"rid": rids[i:j], "chain": batch.log10(m).astype(float)}) for i, j, batch in _batches(symbols, np.frombuffer(b.lengths, "<i4"), BATCH // 2)]
+        return pd.concat(out) if out else pd.DataFrame({"rid": [], "chain": []})
 
     return run
 
@@ -234,39 +404,47 @@ def _normal(x: np.ndarray, axis: int) -> np.ndarray:
     return x / x.sum(axis=axis, keepdims=True)
 
 
-def train(training: DataFrame, tables: Tables, p: HiddenMarkov) -> Model:
-    """Baum-Welch over all ``training`` rows of ``sequences``."""
+def initial(tables: Tables, p: HiddenMarkov) -> tuple[Model, np.ndarray]:
+    """The first model of the symbols, whose emissions and those of the other words (their
+    shares, in each state) sum to one; and the symbols' overall shares."""
     k, n = p.states, tables.n_symbols
     overall = np.ones(n)
-    np.add.at(overall, tables.symbol[tables.own], tables.counts[tables.own])
-    overall[n - 1 - tables.classes : n - 1] = tables.class_total
+    overall[: len(tables.counts)] += tables.counts
     overall[n - 1] += tables.end_count
-    overall /= overall.sum()
+    overall /= tables.weight
     rng = np.random.default_rng(p.seed)
-    emit = _normal(overall[:, None] * np.exp(rng.normal(0, 0.7, size=(n, k))), 0)
-    m = Model(np.full(k, 1 / k), 0.1 / k + 0.9 * np.eye(k), emit)
-    schema = ", ".join(f"s{i} double" for i in range(k)) + ", what long"
-    for _ in range(p.iterations):
-        narrow = Model(m.start.astype(np.float32), m.move.astype(np.float32), m.emit.astype(np.float32))
-        sums = training.select("symbols").mapInPandas(_expect_partition(narrow), schema).groupBy("what").agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(k)])
-        found = sums.toPandas().set_index("what").sort_index()  # symbols + states + 1 rows
-        if found.empty:
-            break
-        counts = np.zeros((n, k))
-        words = found[found.index >= 0]
-        counts[words.index.to_numpy()] = words.to_numpy()
-        emit = _normal(counts + p.prior * overall[:, None], 0)
-        move = _normal(found.loc[[-2 - i for i in range(k)]].to_numpy() + 1e-3, 1)
-        m = Model(_normal(found.loc[-1].to_numpy() + 1e-3, 0), move, emit)
-    return m
-
-
-def _score_partition(m: Model):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf, batch in _batches(frames, 300_000):
-            yield pd.DataFrame({"rid": pdf["rid"].array, "chain": batch.log10(m)})
-
-    return run
+    noise = rng.normal(0, 0.7, size=(n, k))
+    noise[tables.n_apart : len(tables.counts)] = 0
+    emit = _normal(overall[:, None] * np.exp(noise), 0) * overall.sum()
+    return Model(np.full(k, 1 / k), 0.1 / k + 0.9 * np.eye(k), emit), overall
+
+
+def train(blocks: DataFrame, tables: Tables, p: HiddenMarkov) -> tuple[Known, DataFrame]:
+    """Baum-Welch over all training ``blocks``: what every block needs to score its texts,
+    and the sums of the words of each."""
+    k, n, buckets = p.states, tables.n_symbols, partitions(blocks.sparkSession)
+    training = blocks.where("not held_out")
+    asking = blocks.where("held_out").select("block", "words", "at").mapInPandas(_ask_partition(buckets, False), _SUMS)
+    m, overall = initial(tables, p)
+    narrow = lambda m: Model(m.start.astype(np.float32), m.move.astype(np.float32), m.emit.astype(np.float32))
+    known = Known(narrow(m), np.ones(k), p.prior, tables.weight, p.classes, buckets)
+    asked = training.select("block", "words", "at").mapInPandas(_ask_partition(buckets, True), _SUMS)
+    sums = _summed(asked if p.iterations and tables.end_count else asked.union(asking), buckets)
+    for i in range(p.iterations if tables.end_count else 0):
+        asked = training.groupBy("block").cogroup(sums.groupBy("block")).applyInPandas(_expect_block(known), _SUMS).mapInPandas(_add_symbols(known), _SUMS)
+        sums = _summed(asked if i < p.iterations - 1 else asked.union(asking), buckets)
+        counts = np.zeros((n + k + 2, k))
+        for r in sums.where("block = -1").select("words", "sums").collect():  # symbols + states + 2 rows of counts
+            counts[np.frombuffer(r["words"], "<u8").astype(np.int64)] = np.frombuffer(r["sums"], "<f8").reshape(-1, k)
+        norm = counts[:n].sum(axis=0) + counts[-1] + p.prior
+        m = Model(_normal(counts[n] + 1e-3, 0), _normal(counts[n + 1 : n + 1 + k] + 1e-3, 1), (counts[:n] + p.prior * overall[:, None]) / norm)
+        known = Known(narrow(m), norm, p.prior, tables.weight, p.classes, buckets)
+        sums = sums.where("block >= 0")
+        del asked
+        gc.collect()
+        blocks.sparkSession._jvm.System.gc()  # else the shuffles of all iterations stay on disk
+    known.model = m
+    return known, sums
 
 
 def score_texts(docs: DataFrame, p: HiddenMarkov = HiddenMarkov()) -> DataFrame:
@@ -281,25 +459,22 @@ def score_texts(docs: DataFrame, p: HiddenMarkov = HiddenMarkov()) -> DataFrame:
     counts = stored(token_counts(training))
     tables, least_held = tables_of(counts, training.count(), p)
     rows = sequences(docs, tables)
-    model = train(rows.where("not held_out"), tables, p)
-    chain = rows.select("rid", "symbols").mapInPandas(_score_partition(model), "rid long, chain double")
+    blocks = blocks_of(rows)
+    known, sums = train(blocks, tables, p)
+    chain = blocks.groupBy("block").cogroup(sums.groupBy("block")).applyInPandas(_score_block(known), "rid long, chain double")
     denominator = float(np.log10(tables.tokens + tables.types + 1))
-    # a row for each class
-    weights = docs.sparkSession.createDataFrame([(i, float(np.log10(x))) for i, x in enumerate(tables.class_total)], "k long, weight double")
-    rest = rows.select("rid", F.explode("rest").alias("word"))
-    rest = rest.join(counts.where(F.col("c") < least_held), "word", "left").withColumn("k", F.crc32(F.col("word").cast("binary")) % p.classes).join(F.broadcast(weights), "k")
+    rest = rows.select("rid", F.explode("rest").alias("word")).join(counts.where(F.col("c") < least_held), "word", "left")
     logc = F.log10(F.coalesce("c", F.lit(0)) + 1)
-    by_text = rest.groupBy("rid").agg(F.count("c").alias("rest_known"), F.sum(logc - denominator).alias("rest_base"), F.sum(logc - F.col("weight")).alias("rest_share"))
-    out = rows.drop("symbols", "rest").join(chain, "rid").join(by_text, "rid", "left")
-    zero = F.lit(0.0)
+    by_text = rest.groupBy("rid").agg(F.count("c").alias("rest_known"), F.sum(logc - denominator).alias("rest_base"))
+    out = rows.drop("symbols", "rare", "rest").join(chain, "rid").join(by_text, "rid", "left")
     return out.select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("rest_known", F.lit(0))).alias("n_known"),
         F.lit(tables.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rest_base", zero)).alias("base_score"),
-        (F.col("chain") + F.col("share") + F.coalesce("rest_share", zero)).alias("score"),
+        (F.col("base") + F.coalesce("rest_base", F.lit(0.0))).alias("base_score"),
+        F.col("chain").alias("score"),
     )
 
 

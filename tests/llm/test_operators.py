@@ -4,7 +4,7 @@ import math
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -171,6 +171,37 @@ def test_language_model(spark, docs):
     assert hmm_lm.scored(table(spark, []), p).count() == 0
 
 
+def test_every_training_word_has_emissions(spark):
+    """Scores against Baum-Welch on one dense table of all training words, most of which are not symbols."""
+    rng = random.Random(8)
+    mine = [(i, " ".join(rng.choice(["the", "of"]) + " " + rng.choice("abcdefghijklmnopq" if j % 2 else "rstuvwxyz") + str(rng.randrange(3)) for j in range(rng.randrange(1, 40)))) for i in range(60)] + [(100, "never the seen")]
+    p = hmm_lm.HiddenMarkov(states=3, iterations=4, symbols=4, classes=2, held_words=20)
+    is_held = lambda i: brute.fold(i, 7) == 2 or i == 100
+    docs = spark.createDataFrame([(i, t, is_held(i)) for i, t in mine], "doc_id long, text string, held_out boolean")
+    tables, _ = hmm_lm.tables_of(hmm_lm.token_counts(docs.where("not held_out")), sum(not is_held(i) for i, _ in mine), p)
+    c = Counter(w for i, t in mine if not is_held(i) for w in brute.words(t))
+    own = list(tables.index)
+    rare = sorted(set(c) - set(own))
+    assert 0 < tables.n_apart <= 4 and len(own) <= 20 and len(rare) > 40
+    m, overall = hmm_lm.initial(tables, p)
+    n = tables.n_symbols
+    shares = np.array([(c[w] + 1) / tables.weight for w in rare])
+    overall = np.concatenate((overall, shares))
+    m = hmm_lm.Model(m.start, m.move, np.vstack((m.emit, np.repeat(shares[:, None], 3, 1))))
+    assert np.allclose(m.emit.sum(axis=0), 1)
+    at = {w: i for i, w in enumerate(own)} | {w: n + i for i, w in enumerate(rare)}
+    unseen = lambda w: len(own) + hmm_lm.word_key(w) % p.classes
+    line = {i: np.array([*(at.get(w, unseen(w)) for w in brute.words(t)), n - 1]) for i, t in mine}
+    batch = hmm_lm.Batch([x for i, x in line.items() if not is_held(i)])
+    for _ in range(p.iterations):
+        start, move, emit = np.zeros(3), np.zeros((3, 3)), np.zeros(m.emit.shape)
+        batch.expect(m, start, move, emit)
+        m = hmm_lm.Model(hmm_lm._normal(start + 1e-3, 0), hmm_lm._normal(move + 1e-3, 1), hmm_lm._normal(emit + p.prior * overall[:, None], 0))
+    want = hmm_lm.Batch(list(line.values())).log10(m)
+    got = {r.doc_id: r.score for r in hmm_lm.score_texts(docs, p).collect()}
+    assert np.allclose([got[i] for i in line], want, rtol=1e-4)
+
+
 def test_shards(spark, docs):
     mine = docs + EDGE + [(77, "hot")] * 300
     rows, slot_map = sharding.shard_documents(table(spark, mine), 4)
