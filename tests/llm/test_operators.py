@@ -390,6 +390,25 @@ def test_secrets(spark, docs):
     assert secrets.scan(table(spark, [])).count() == 0
 
 
+def test_private_key_bodies_are_cut(spark):
+    rng = random.Random(5)
+    lines = ["".join(rng.choice("ABCDEFghijkl0123456789+/") for _ in range(64)) for _ in range(300)] + ["Zx9+Qw=="]
+    head, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    crypt = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00112233\n\n"
+    texts = {
+        f"a {head}\n" + "\n".join(lines) + f"\n{end} b": "a [SECRET] b",
+        f"a {head}\r\n{crypt}" + "\r\n".join(lines) + f"\r\n{end} b": "a [SECRET] b",
+        f'a {head}\\n' + "\\n".join(lines) + f'\\n{end} b': "a [SECRET] b",
+        f"a {head} " + " ".join(lines) + ". b": "a [SECRET]. b",
+        f"a {head}\n" + "\n".join(lines) + " and more": "a [SECRET] and more",
+        f"a {head}\n{crypt}" + "\n".join(lines) + " and more": "a [SECRET] and more",
+        f"{head} {lines[0]} {lines[1]}, then {head}\n{lines[2]}\n{end}, then": "[SECRET], then [SECRET], then",
+        f"the line {head} opens a key": "the line [SECRET] opens a key",
+    }
+    got = [r.text for r in secrets.redact(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert got == list(texts.values())
+
+
 def test_trigram_queries():
     assert secrets.trigram_query("[0-9a-f]{24,}") is None
     assert secrets.trigram_query("AKIA[A-Z]+") == [frozenset({"aki", "kia"})]
