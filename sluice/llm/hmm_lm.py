@@ -20,7 +20,6 @@ rare, none of them is a hot key.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import blake2b
@@ -440,9 +439,6 @@ def train(blocks: DataFrame, tables: Tables, p: HiddenMarkov) -> tuple[Known, Da
         m = Model(_normal(counts[n] + 1e-3, 0), _normal(counts[n + 1 : n + 1 + k] + 1e-3, 1), (counts[:n] + p.prior * overall[:, None]) / norm)
         known = Known(narrow(m), norm, p.prior, tables.weight, p.classes, buckets)
         sums = sums.where("block >= 0")
-        del asked
-        gc.collect()
-        blocks.sparkSession._jvm.System.gc()  # else the shuffles of all iterations stay on disk
     known.model = m
     return known, sums
 
