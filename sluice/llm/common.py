@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _own: dict[str, str] = {}
+_paths: dict[int, str] = {}  # of stored tables
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,24 +19,70 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder that driver and executors share, under ``spark.checkpoint.dir``.
+    """A fresh folder that driver and executors share, in this session's own under
+    ``spark.checkpoint.dir``.
 
     Only a local session may go without that setting; it gets a temporary folder.
     """
-    top = spark.conf.get("spark.checkpoint.dir", None) or _own.get(spark.sparkContext.applicationId)
+    application = spark.sparkContext.applicationId
+    top = spark.conf.get("spark.checkpoint.dir", None) or _own.get(application)
     if not top:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        top = _own[spark.sparkContext.applicationId] = "file://" + tempfile.mkdtemp(prefix="sluice-")
-    return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
+        top = _own[application] = "file://" + tempfile.mkdtemp(prefix="sluice-")
+    return f"{top.rstrip('/')}/sluice-{application}/{uuid.uuid4().hex}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def stored(df: DataFrame, **options: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder, and that table: its rows
-    stay the same whatever executor is lost, and plans on it start from files."""
-    path = shared_dir(df.sparkSession)
-    df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stay the same whatever executor is lost, and plans on it start from files.  The
+    shuffles that made it are no longer needed and go when it is written."""
+    spark = df.sparkSession
+    path, before = shared_dir(spark), spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    _paths[id(out)] = path
+    weakref.finalize(out, _paths.pop, id(out), None)
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete ``stored`` tables that nothing reads any more, results that are still to be
+    computed included."""
+    for df in tables:
+        _delete(df.sparkSession, _paths[id(df)])
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete all that this session has stored in the shared folder, once results that
+    read it have been written elsewhere."""
+    _delete(spark, shared_dir(spark).rpartition("/")[0])
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names`` with underscores before them, as many as make them differ from every
+    column of ``df``, whatever the case."""
+    taken, mark = {c.lower() for c in df.columns}, "_"
+    while any((mark + n).lower() in taken for n in names):
+        mark += "_"
+    return [mark + n for n in names]
+
+
+def column(df: DataFrame, name: str) -> Column:
+    """A column of ``df`` by its literal name, dots and all."""
+    return df["`" + name.replace("`", "``") + "`"]
 
 
 def ascii_lower(text: Column) -> Column:

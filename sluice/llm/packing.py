@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.common import partitions, stored
-from sluice.llm.tokens import blocks, worker_encoder
+from sluice.llm.tokens import ENCODE_BLOCK, blocks, worker_encoder
 
 
 def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -97,7 +97,7 @@ def _piece_partition(path: str, end_id: int, capacity: int, keep_ids: bool):
         encoder, end = worker_encoder(path), np.array([end_id], np.uint32)
         for pdf in batches:
             texts, doc_ids, rids = list(pdf["text"]), pdf["doc_id"].astype("Int64"), pdf["rid"].to_numpy()
-            for part in blocks(texts):
+            for part in blocks(texts, ENCODE_BLOCK):
                 ids = [np.concatenate((x, end)).astype("<u4") for x in encoder.encode_many(texts[part])]
                 counts = [-(-len(x) // capacity) for x in ids]
                 pieces = [x[i : i + capacity] for x in ids for i in range(0, len(x), capacity)]

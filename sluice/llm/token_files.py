@@ -7,8 +7,10 @@ ids (u64); then the documents' ids (i64), their null flags (u8) and lengths in i
 ``BLOCK_IDS`` ids of which each takes ``bits`` bits, lowest bit first.  Any id is
 found from its block's offset, and a block unpacks with a few numpy calls.
 
-Files are written and read through Spark's own file formats, so they may lie in any
-store Spark reaches, and the commit of each task is atomic.
+Texts are encoded where they are read; what is dealt out by ranges of doc_id and sorted
+are their ids.  Files are written and read through Spark's own
+file formats, so they may lie in any store Spark reaches, and the commit of each task
+is atomic.
 """
 
 from __future__ import annotations
@@ -23,31 +25,46 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import partitions, shared_dir, stored
-from sluice.llm.tokens import blocks, worker_encoder
+from sluice.llm.common import discard, partitions, shared_dir, stored
+from sluice.llm.tokens import ENCODE_BLOCK, blocks, worker_encoder
 
 MAGIC, HEAD, BLOCK_IDS = b"SLTP", struct.Struct("<4sHHIIQ"), 4096
 SEGMENT_IDS = 2_000_000
-#: Bytes of text behind one file.
-FILE_TEXT_BYTES = 128_000_000
+#: Ids of one file, about.
+FILE_IDS = 40_000_000
 MOST_FILES_BROADCAST = 100_000
 
 
+def _shares(bits: int) -> Iterator[tuple[int, int, int]]:
+    """(id, byte, shift): eight ids take ``bits`` bytes; which ids lie in which of them, and
+    by how many bits the byte begins later than the id."""
+    for k in range(8):
+        for j in range(k * bits // 8, (k * bits + bits - 1) // 8 + 1):
+            yield k, j, 8 * j - k * bits
+
+
 def pack_bits(ids: np.ndarray, bits: int) -> bytes:
     """Each id in ``bits`` bits, lowest first, filled up to a whole byte."""
     if bits in (8, 16, 32):
         return ids.astype(f"<u{bits // 8}").tobytes()
-    each = np.unpackbits(ids.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :bits]
-    return np.packbits(each, bitorder="little").tobytes()
+    eights = np.zeros((-(-len(ids) // 8), 8), np.uint64)
+    eights.ravel()[: len(ids)] = ids
+    out = np.zeros((len(eights), bits), np.uint8)
+    for k, j, shift in _shares(bits):
+        out[:, j] |= (eights[:, k] >> np.uint64(shift) if shift >= 0 else eights[:, k] << np.uint64(-shift)).astype(np.uint8)
+    return out.tobytes()[: -(-len(ids) * bits // 8)]
 
 
 def unpack_bits(data: bytes | memoryview, count: int, bits: int) -> np.ndarray:
     if bits in (8, 16, 32):
         return np.frombuffer(data, f"<u{bits // 8}", count).astype(np.uint32)
-    each = np.unpackbits(np.frombuffer(data, np.uint8), count=count * bits, bitorder="little").reshape(count, bits)
-    wide = np.zeros((count, 32), np.uint8)
-    wide[:, :bits] = each
-    return np.packbits(wide, axis=1, bitorder="little").view("<u4").ravel()
+    packed = np.zeros((-(-count // 8), bits), np.uint8)
+    packed.ravel()[: len(data)] = np.frombuffer(data, np.uint8)
+    eights = np.zeros((len(packed), 8), np.uint64)
+    for k, j, shift in _shares(bits):
+        byte = packed[:, j].astype(np.uint64)
+        eights[:, k] |= byte << np.uint64(shift) if shift >= 0 else byte >> np.uint64(-shift)
+    return (eights.ravel()[:count] & np.uint64((1 << bits) - 1)).astype(np.uint32)
 
 
 def segment(doc_ids: list[int | None], ids: list[np.ndarray], bits: int) -> bytes:
@@ -106,25 +123,32 @@ def segments(content: bytes) -> Iterator[Segment]:
         at = s.end + 1
 
 
-def _pack_partition(path: str, end_id: int, bits: int | None):
+def _encode_partition(path: str, end_id: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = worker_encoder(path)
-        width = bits or (max(encoder.vocabulary_size, end_id + 1) - 1).bit_length()
-        end = np.array([end_id], np.uint32)
-        doc_ids, ids, size = [], [], 0
+        end = np.array([end_id], "<u4").tobytes()
         for pdf in batches:
             texts = list(pdf["text"])
-            every = [None if null else int(d) for d, null in zip(pdf["doc_id"], pdf["doc_id"].isna(), strict=True)]
-            for part in blocks(texts):
-                for d, x in zip(every[part], encoder.encode_many(texts[part]), strict=True):
-                    doc_ids.append(d)
-                    ids.append(np.concatenate((x, end)))
-                    size += len(x) + 1
-                    if size >= SEGMENT_IDS:
-                        yield pd.DataFrame({"segment": [segment(doc_ids, ids, width)]})
-                        doc_ids, ids, size = [], [], 0
+            for part in blocks(texts, ENCODE_BLOCK):
+                ids = [x.astype("<u4").tobytes() + end for x in encoder.encode_many(texts[part])]
+                yield pd.DataFrame({"doc_id": pdf["doc_id"][part].astype("Int64").array, "rid": pdf["rid"][part].array, "n": [len(x) // 4 for x in ids], "ids": ids})
+
+    return run
+
+
+def _pack_partition(bits: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        doc_ids, ids, size = [], [], 0
+        for pdf in batches:
+            for d, null, x in zip(pdf["doc_id"], pdf["doc_id"].isna(), pdf["ids"], strict=True):
+                doc_ids.append(None if null else int(d))
+                ids.append(np.frombuffer(x, "<u4"))
+                size += len(ids[-1])
+                if size >= SEGMENT_IDS:
+                    yield pd.DataFrame({"segment": [segment(doc_ids, ids, bits)]})
+                    doc_ids, ids, size = [], [], 0
         if ids:
-            yield pd.DataFrame({"segment": [segment(doc_ids, ids, width)]})
+            yield pd.DataFrame({"segment": [segment(doc_ids, ids, bits)]})
 
     return run
 
@@ -136,15 +160,18 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, b
     ``bits`` is by default the least that holds every id of the vocabulary.  A null
     text is empty; repeated doc_ids lie next to each other.  The rows are dealt by
     ranges of doc_id and, within one doc_id, of their place in the input, so that a
-    doc_id with very many rows is spread over several files.
+    doc_id with very many rows is spread over several files.  A very long text is a
+    row of its own in its block; its ids go into one segment.
     """
-    spark = docs.sparkSession
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(partitions(spark), -(-total // FILE_TEXT_BYTES))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("rid"))
-    sorted_ = rows.repartitionByRange(n, "doc_id", "rid").sortWithinPartitions("doc_id", "rid")
-    packed = sorted_.select("doc_id", "text").mapInPandas(_pack_partition(tokenizer, end_id, bits), "segment binary")
+    encoded = stored(rows.mapInPandas(_encode_partition(tokenizer, end_id), "doc_id long, rid long, n long, ids binary"))
+    total = encoded.agg(F.sum("n")).first()[0] or 0
+    n = max(partitions(docs.sparkSession), -(-total // FILE_IDS))
+    width = bits or (max(worker_encoder(tokenizer).vocabulary_size, end_id + 1) - 1).bit_length()
+    sorted_ = encoded.repartitionByRange(n, "doc_id", "rid").sortWithinPartitions("doc_id", "rid")
+    packed = sorted_.select("doc_id", "ids").mapInPandas(_pack_partition(width), "segment binary")
     packed.select(F.col("segment").cast("string")).write.text(path)
+    discard(encoded)
 
 
 def _read_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -176,8 +203,9 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     return rows.join(before, "file").select("doc_id", (F.col("before") + F.col("in_file")).alias("start"), "n_tokens", "ids_crc32", "file")
 
 
-def token_files(docs: DataFrame, tokenizer: str, end_id: int, path: str | None = None) -> DataFrame:
-    """Write token files (by default in the shared folder) and list what they hold."""
+def token_files(docs: DataFrame, tokenizer: str, end_id: int, path: str | None = None, bits: int | None = None) -> DataFrame:
+    """Write token files (by default in the shared folder) and list what they hold.
+    Further columns are left out; no rows give no rows."""
     path = path or shared_dir(docs.sparkSession)
-    write_token_files(docs, path, tokenizer, end_id)
+    write_token_files(docs, path, tokenizer, end_id, bits)
     return read_token_files(docs.sparkSession, path)
