@@ -36,7 +36,7 @@ def op2_hidden_markov_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_virtual_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, _ = shard_documents(read(spark, sf_dir, "documents"), 16)
+    rows, _ = shard_documents(read(spark, sf_dir, "documents"), 16)  # by the map as it is read again
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("place").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), F.col("unit").alias("virtual_slot"))
 
 
