@@ -5,13 +5,17 @@ An ARC file begins with a version block, whose own header line starts with
 follow; each record is a header line, then as many bytes as the line's last field
 declares.  Version 1 lines have five fields, version 2 lines ten.  The converter reads
 records by those lengths alone and makes for each the WARC headers an equivalent
-capture would have: a record id derived from the capture (so that a second run gives
-the same), the date in ISO form, the block's type and the digests.  Captures with
-equal payloads become one response and revisits of it.
-
-Archives are written with Spark's text writer, a record a row and the format's record
-separator as the line separator, compressed as gzip; they are read whole as binary
-files, so their size is bounded by ``ARCHIVE_BYTES``.
+capture would have: a record id derived from the capture and its place in the archives
+(so that a second conversion of them gives the same, and no two records share one), the
+date in ISO form, the block's type and the digests.  Captures with equal payloads become
+one response and revisits of it.
+
+Archives are written with Spark's text writer, an archive a row and a row a file,
+compressed as gzip; they are read whole as binary files, so their size is bounded by
+``ARCHIVE_BYTES`` and one record.  A conversion reads the archives twice: what the first
+pass finds out about each capture, its digest above all, meets the archives themselves
+again by their number, so that payloads go through a shuffle only as the compressed
+archive that holds them.
 """
 
 from __future__ import annotations
@@ -25,13 +29,14 @@ from collections.abc import Iterator
 from datetime import UTC, datetime
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import partitions, shared_dir, stored
+from sluice.llm.common import discard, shared_dir, stored
 
-#: Bytes of pages behind one archive.
-ARCHIVE_BYTES = 64_000_000
+#: Bytes of one archive, about: it is closed by the record that reaches them.
+ARCHIVE_BYTES = 16_000_000
 #: Fixed by the format.
 FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
@@ -66,26 +71,30 @@ def version_block(date: str, version: int) -> bytes:
     return f"filedesc://pages.arc 0.0.0.0 {date} {middle} {len(text)}\n{text}".encode()
 
 
-def _write_records(records: DataFrame, path: str, separator: str) -> None:
-    records.select(F.col("record").cast("string")).write.options(lineSep=separator, compression="gzip").text(path)
+def _write_archives(archives: DataFrame, path: str, end: str) -> None:
+    """A file for each row of ``archives`` (archive binary), which lacks its last ``end``."""
+    options = {"lineSep": end, "compression": "gzip", "maxRecordsPerFile": "1", "zlib.compress.level": "BEST_SPEED"}
+    archives.select(F.col("archive").cast("string")).write.options(**options).text(path)
 
 
 def write_arc(pages: DataFrame, path: str, date: str = "20240101000000", version: int = 1) -> None:
     """Write ``pages`` (page_id, url, html) as ARC files; null html is empty."""
-    total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    n = max(partitions(pages.sparkSession), -(-total // ARCHIVE_BYTES))
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = pages.select(arc_record(F.col("url"), F.col("page_id"), payload, date, version).alias("record")).repartition(n)
+    rows = pages.select(arc_record(F.col("url"), F.col("page_id"), payload, date, version).alias("record"))
 
-    def with_version(batches):
-        begun = False
+    def archives(batches):
+        held, size = [version_block(date, version)], 0
         for pdf in batches:
-            if not begun:
-                yield pd.DataFrame({"record": [version_block(date, version)]})
-                begun = True
-            yield pdf
+            for record in pdf["record"]:
+                held.append(record)
+                size += len(record)
+                if size >= ARCHIVE_BYTES:
+                    yield pd.DataFrame({"archive": [b"\n".join(held)]})
+                    held, size = [version_block(date, version)], 0
+        if size:
+            yield pd.DataFrame({"archive": [b"\n".join(held)]})
 
-    _write_records(rows.mapInPandas(with_version, "record binary"), path, "\n")
+    _write_archives(rows.mapInPandas(archives, "archive binary"), path, "\n")
 
 
 def parse_arc(data: bytes) -> Iterator[tuple[dict[str, str], bytes, int]]:
@@ -139,30 +148,37 @@ def _page(text: str | None) -> int | None:
     return int(text) if text and re.fullmatch(r"-?\d+", text) else None
 
 
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, content): the number of each archive at ``path``, of its task and then in it,
+    and its bytes."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    part, more = (F.regexp_extract("path", pattern, 1).try_cast("long") for pattern in (r"part-(\d+)[^/]*$", r"part-[^/]*-c(\d+)[^/]*$"))
+    return files.select((part * 1_000_000 + F.coalesce(more, F.lit(0))).alias("file"), "content")
+
+
 def _arc_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"], strict=True):
-            file = int(re.search(r"part-(\d+)[^/]*$", path)[1])
+        for file, content in zip(pdf["file"], pdf["content"], strict=True):
             rows = []
             for fields, block, at in parse_arc(_unzipped(content)):
-                head, headers, body = _http(block)
-                rows.append((file, at, _page(headers.get(PAGE.lower())), fields["url"], fields["ip-address"], fields["archive-date"], head, body, base32_sha1(body)))
-            out = pd.DataFrame(rows, columns=["file", "at", "page_id", "url", "ip", "date", "head", "body", "digest"])
+                _, headers, body = _http(block)
+                rows.append((file, at, _page(headers.get(PAGE.lower())), fields["url"], fields["archive-date"], base32_sha1(body), len(body)))
+            out = pd.DataFrame(rows, columns=["file", "at", "page_id", "url", "date", "digest", "size"])
             yield out.astype({"page_id": "Int64"})
 
 
 def captures(spark: SparkSession, path: str) -> DataFrame:
-    """The captures of the ARC files at ``path``."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
-    return files.mapInPandas(_arc_partition, "file int, at long, page_id long, url string, ip string, date string, head binary, body binary, digest string")
+    """The captures of the ARC files at ``path``: file, at (the place in it), page_id, url,
+    date, digest and size of the payload."""
+    return _files(spark, path).mapInPandas(_arc_partition, "file long, at long, page_id long, url string, date string, digest string, size long")
 
 
 # WARC
 
 
-def record_id(url: str, date: str, page: int | None) -> str:
-    """The same id for the same capture in every run."""
-    return uuid.uuid5(_NAMES, f"{date} {page} {url}").urn
+def record_id(url: str, date: str, file: int, at: int) -> str:
+    """The same id for the same capture of the same archives in every run."""
+    return uuid.uuid5(_NAMES, f"{file} {at} {date} {url}").urn
 
 
 def _iso(date: str) -> str:
@@ -175,56 +191,51 @@ def warc_record(kind: str, headers: list[tuple[str, str]], block: bytes) -> byte
     return f"WARC/1.1\r\n{lines}\r\n".encode() + block
 
 
-def _convert_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    begun = False
-    for pdf in batches:
-        records = []
-        if not begun:
-            records.append(warc_record("warcinfo", [("WARC-Record-ID", f"<{uuid.uuid5(_NAMES, 'info').urn}>"), ("WARC-Date", _iso("")), ("Content-Type", "application/warc-fields")], b"software: sluice\r\nformat: WARC file version 1.1\r\n"))
-            begun = True
-        nulls, first_nulls = pdf["page_id"].isna(), pdf["first_page"].isna()
-        for k, r in enumerate(pdf.itertuples(index=False)):
-            page = None if nulls.iloc[k] else int(r.page_id)
-            first = None if first_nulls.iloc[k] else int(r.first_page)
-            headers = [
-                ("WARC-Record-ID", f"<{record_id(r.url, r.date, page)}>"), ("WARC-Date", _iso(r.date)), ("WARC-Target-URI", r.url), ("WARC-IP-Address", r.ip),
-                ("WARC-Payload-Digest", f"sha1:{r.digest}"), ("Content-Type", "application/http; msgtype=response"),
+def _warc_of(file: int, content: bytes, digests: list[str], first_of: dict[int, dict]) -> bytes:
+    """One WARC archive of an ARC archive: ``digests`` of its captures in their order, and
+    for those that are revisits, by place, their first capture."""
+    info = b"software: sluice\r\nformat: WARC file version 1.1\r\n"
+    records = [warc_record("warcinfo", [("WARC-Record-ID", f"<{uuid.uuid5(_NAMES, f'info {file}').urn}>"), ("WARC-Date", _iso("")), ("Content-Type", "application/warc-fields")], info)]
+    for (fields, block, at), digest in zip(parse_arc(content), digests, strict=True):
+        url, date, first = fields["url"], fields["archive-date"], first_of.get(at)
+        headers = [
+            ("WARC-Record-ID", f"<{record_id(url, date, file, at)}>"), ("WARC-Date", _iso(date)), ("WARC-Target-URI", url), ("WARC-IP-Address", fields["ip-address"]),
+            ("WARC-Payload-Digest", f"sha1:{digest}"), ("Content-Type", "application/http; msgtype=response"),
+        ]
+        if first is not None:
+            block = _http(block)[0]
+            headers += [
+                ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Truncated", "length"),
+                ("WARC-Refers-To", f"<{record_id(first['url'], first['date'], first['file'], first['at'])}>"), ("WARC-Refers-To-Target-URI", first["url"]), ("WARC-Refers-To-Date", _iso(first["date"])), (FIRST, "-" if first["page_id"] is None else str(first["page_id"])),
             ]
-            block = r.head if r.revisit else r.head + r.body
-            if r.revisit:
-                headers += [
-                    ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Truncated", "length"),
-                    ("WARC-Refers-To", f"<{record_id(r.first_url, r.first_date, first)}>"), ("WARC-Refers-To-Target-URI", r.first_url), ("WARC-Refers-To-Date", _iso(r.first_date)), (FIRST, "-" if first is None else str(first)),
-                ]
-            headers.append(("WARC-Block-Digest", f"sha1:{base32_sha1(block)}"))
-            records.append(warc_record("revisit" if r.revisit else "response", headers, block))
-        yield pd.DataFrame({"record": records})
+        headers.append(("WARC-Block-Digest", f"sha1:{base32_sha1(block)}"))
+        records.append(warc_record("response" if first is None else "revisit", headers, block))
+    return WARC_END.encode().join(records)
 
 
-def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = 0) -> None:
-    """Write the captures at ``arc_path`` as WARC files.  Of captures with equal payloads
-    of at least ``least`` bytes the one with the smallest page id (null ids last, then
-    by place in the archives) is a response, the others are revisits of it.
+def _convert_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in range(batch.num_rows):
+            file, content, rows = (batch.column(c)[row].as_py() for c in ("file", "content", "rows"))
+            first_of = {r["at"]: r["first"] for r in rows if r["first"] is not None}
+            yield pa.RecordBatch.from_pydict({"archive": [_warc_of(file, _unzipped(content), [r["digest"] for r in rows], first_of)]})
+
 
-    Digests and ids go through the shuffles that find the first captures; payloads go
-    through one, by their place in the archives, which no page makes a hot key.
+def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = 0) -> None:
+    """Write the captures at ``arc_path`` as WARC files, one for each archive.  Of captures
+    with equal payloads of at least ``least`` bytes the one with the smallest page id (null
+    ids last, then by place in the archives) is a response, the others are revisits of it.
     """
-    every = captures(spark, arc_path)
-    size = F.octet_length("body")
-    slim = stored(every.select("file", "at", "page_id", "url", "date", "digest", size.alias("size")))
+    slim = stored(captures(spark, arc_path))
     order = F.struct(F.col("page_id").isNull().alias("last"), "page_id", "file", "at", "url", "date")
     first = slim.where(F.col("size") >= least).groupBy("digest", "size").agg(F.min(order).alias("first"))
     found = slim.select("file", "at", "digest", "size").join(first, ["digest", "size"], "left")
-    found = found.select(
-        F.col("file").alias("_file"),
-        F.col("at").alias("_at"),
-        (F.col("first").isNotNull() & ((F.col("first.file") != F.col("file")) | (F.col("first.at") != F.col("at")))).alias("revisit"),
-        F.col("first.page_id").alias("first_page"),
-        F.col("first.url").alias("first_url"),
-        F.col("first.date").alias("first_date"),
-    )
-    rows = every.join(found, (F.col("file") == F.col("_file")) & (F.col("at") == F.col("_at"))).drop("_file", "_at")
-    _write_records(rows.mapInPandas(_convert_partition, "record binary"), warc_path, WARC_END)
+    other = (F.col("first.file") != F.col("file")) | (F.col("first.at") != F.col("at"))
+    # an archive's captures are as bounded as the archive
+    by_file = found.select("file", F.struct("at", "digest", F.when(other, F.col("first")).alias("first")).alias("row")).groupBy("file").agg(F.sort_array(F.collect_list("row")).alias("rows"))
+    archives = _files(spark, arc_path).join(by_file, "file").mapInArrow(_convert_partition, "archive binary")
+    _write_archives(archives, warc_path, WARC_END)
+    discard(slim)
 
 
 def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -267,8 +278,7 @@ def _warc_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """The response and revisit records of the WARC files at ``path``."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
-    return files.mapInPandas(_warc_partition, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string, url string, date string")
+    return _files(spark, path).select("content").mapInPandas(_warc_partition, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string, url string, date string")
 
 
 def archive_pages(pages: DataFrame, least: int = 0, version: int = 1) -> DataFrame:
@@ -277,7 +287,8 @@ def archive_pages(pages: DataFrame, least: int = 0, version: int = 1) -> DataFra
 
     Null html is empty, a null url is written as about:blank, and blanks in a url as
     underscores.  Repeated rows each have their record, all but the first a revisit;
-    a null page_id comes back as null.  No rows give no rows.
+    a null page_id comes back as null.  No rows give no rows, further columns are left
+    out, and a very long page closes its archive.
     """
     spark = pages.sparkSession
     arc, warc = shared_dir(spark), shared_dir(spark)
