@@ -14,6 +14,8 @@
 4. The first round sends on a spanning forest of each block's candidates; these are
    confirmed on the full sets.  The second round sends on every candidate whose two
    ends the first has not connected, so no link between components is lost.
+5. To be confirmed, nodes are dealt into groups and candidates into pairs of groups: a
+   node's full set goes once to each such pair, however many candidates it has there.
 
 A pair at a threshold of 0.8 misses all 36 bands with probability 6e-7; at 0.85, 30
 bands of 6 values do as well with fewer keys.
@@ -30,11 +32,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import partitions, stored, text_digest
+from sluice.llm.common import discard, free_names, stored, text_digest
 from sluice.llm.graph import connected_components
 from sluice.llm.tokens import blocks
 
-BLOCK = 1024
+BLOCK = 512
+#: Candidates confirmed in one group, about.
+CONFIRM = 1000
 #: Buckets of up to so many nodes send on all their candidates, larger ones a forest.
 SMALL = 8
 
@@ -315,38 +319,60 @@ def _candidates(nodes: DataFrame, p: NearDup, labels: DataFrame | None) -> DataF
     return stored(grouped.mapInPandas(_meet(p, labels is None), "a long, b long").distinct())
 
 
-def _confirm_partition(p: NearDup):
+def _sets_partition(p: NearDup):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingler, kept = Shingler(p.shingle), {}
+        shingler = Shingler(p.shingle)
+        for pdf in batches:
+            texts = list(pdf["text"])
+            for part in blocks(texts):
+                yield pd.DataFrame({"nid": pdf["nid"][part].array, "members": [shingler.shingles(shingler.words(t)).tobytes() for t in texts[part]]})
 
-        def members(nid: int, text: str) -> np.ndarray:
-            if nid not in kept:
-                if len(kept) > 2000:
-                    kept.clear()
-                kept[nid] = shingler.shingles(shingler.words(text))
-            return kept[nid]
+    return run
 
-        for pdf in batches:
-            keep = []
-            for a, b, s, t in zip(pdf["a"], pdf["b"], pdf["text_a"], pdf["text_b"], strict=True):
-                x, y = members(a, s), members(b, t)
+
+def _confirm_group(p: NearDup):
+    """Of a group's candidates those whose full sets reach the threshold; one whose ends
+    the confirmed ones have connected already is passed over."""
+
+    def run(pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
+        of = {n: np.frombuffer(m, np.uint64) for n, m in zip(sets["nid"], sets["members"], strict=True)}
+        parent: dict[int, int] = {}
+        keep = []
+
+        def top(x: int) -> int:
+            while (y := parent.get(x, x)) != x:
+                parent[x] = parent.get(y, y)
+                x = y
+            return x
+
+        for a, b in zip(pairs["a"].tolist(), pairs["b"].tolist(), strict=True):
+            x, y, good = of[a], of[b], False
+            if top(a) != top(b):
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= p.percent * (len(x) + len(y) - both))
-            yield pdf.loc[keep, ["a", "b"]]
+                good = 100 * both >= p.percent * (len(x) + len(y) - both)
+            if good:
+                parent[top(a)] = top(b)
+            keep.append(good)
+        return pairs.loc[np.array(keep, bool), ["a", "b"]]
 
     return run
 
 
 def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, p: NearDup) -> DataFrame:
-    """The pairs whose full shingle sets reach the threshold."""
+    """Of the ``pairs`` those whose full shingle sets reach the threshold, as far as they
+    are needed to connect what they connect."""
     ends = pairs.select(F.col("a").alias("nid")).union(pairs.select(F.col("b").alias("nid"))).distinct()
     wanted = nodes.join(ends, "nid").select("nid", F.col("doc_id").alias("id"), F.col("text_key").alias("tk"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("text_key", text_digest(F.col("text")))
-    texts = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["id"]) & (rows["text_key"] == wanted["tk"])).select("nid", "text")
-    texts = stored(texts)
-    n = partitions(docs.sparkSession)
-    both = pairs.join(texts.select(F.col("nid").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("nid").alias("b"), F.col("text").alias("text_b")), "b")
-    return stored(both.repartition(n, "a", "b").mapInPandas(_confirm_partition(p), "a long, b long").distinct())
+    texts = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["id"]) & (rows["text_key"] == wanted["tk"])).select("nid", "text").dropDuplicates(["nid"])
+    sets = stored(texts.mapInPandas(_sets_partition(p), "nid long, members binary"))
+    groups = max(1, int((2 * pairs.count() / CONFIRM) ** 0.5))
+    group = lambda c: F.pmod(F.xxhash64(c), F.lit(groups)).cast("int")
+    dealt = pairs.select("a", "b", group("a").alias("i"), group("b").alias("j"))
+    there = pairs.select(F.explode(F.array("a", "b")).alias("nid"), group("a").alias("of_i"), group("b").alias("of_j")).distinct().join(sets, "nid")
+    found = stored(dealt.groupBy("i", "j").cogroup(there.groupBy("of_i", "of_j")).applyInPandas(_confirm_group(p), "a long, b long"))
+    discard(sets)
+    return found
 
 
 def components(docs: DataFrame, p: NearDup) -> DataFrame:
@@ -355,11 +381,16 @@ def components(docs: DataFrame, p: NearDup) -> DataFrame:
     groups = stored(rows.where("n_shingles > 0").groupBy("word_key").agg(F.min("rid").alias("nid"), F.min("doc_id").alias("least")))
     nodes = rows.select("rid", "doc_id", "text_key", "n_shingles", "bands", "sample_sketch", "set_sketch").join(groups.select(F.col("nid").alias("rid"), "least"), "rid").withColumnRenamed("rid", "nid")
     nodes = stored(nodes)
-    first = _confirmed(_candidates(nodes, p, None), nodes, docs, p)
+    pairs = _candidates(nodes, p, None)
+    first = _confirmed(pairs, nodes, docs, p)
+    discard(pairs)
     labels = connected_components(first)
-    second = _confirmed(_candidates(nodes, p, labels), nodes, docs, p)
+    pairs = _candidates(nodes, p, labels)
+    second = _confirmed(pairs, nodes, docs, p)
+    discard(pairs)
     if second.limit(1).count():
         labels = connected_components(first.union(second))
+    discard(first, second)
     ids = nodes.select("nid", "least").join(labels, F.col("nid") == F.col("node"), "left").select("nid", "least", F.coalesce("root", "nid").alias("root"))
     component = ids.groupBy("root").agg(F.min("least").alias("component"))
     by_node = ids.join(component, "root").select("nid", "component")
@@ -378,13 +409,16 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     repeat a doc_id count one by one; where rows of the smallest doc_id of a
     component repeat, all of them are marked as kept.  A null doc_id is never the
     smallest unless its component has no other, and is then kept.  No rows give no
-    rows.  Further columns are left out.
+    rows, further columns are left out, and a very long text is sketched and confirmed
+    whole.
     """
     return components(docs, p).drop("text_key")
 
 
 def near_dedup_stage(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     """The rows of ``docs`` whose document ``near_duplicates`` keeps, with all their
-    columns; a row is told by its doc_id and text, so repeats of a kept row stay."""
-    drop = components(docs, p).where("not kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    return docs.join(drop, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (text_digest(F.col("text")).eqNullSafe(F.col("_key"))), "left_anti")
+    columns, whatever their names; a row is told by its doc_id and text, so repeats of a
+    kept row stay, and nulls, empty and very long texts count as they do there."""
+    id_, key = free_names(docs, "id", "key")
+    drop = components(docs, p).where("not kept").select(F.col("doc_id").alias(id_), F.col("text_key").alias(key)).distinct()
+    return docs.join(drop, docs["doc_id"].cast("long").eqNullSafe(F.col(id_)) & (text_digest(docs["text"]).eqNullSafe(F.col(key))), "left_anti")
