@@ -6,7 +6,9 @@ benchmark item gives every window of ``n`` consecutive words, an item of fewer w
 its whole sequence.  The set of windows is hashed by the anchor of each, its longest
 word; a document's words are probed against it where the document is read, and a
 window around a hit is verified on all its words.  The set is broadcast while it
-holds at most ``BROADCAST_WINDOWS`` windows, and joined by a shuffle beyond.
+holds at most ``BROADCAST_WINDOWS`` windows.  Beyond, words are probed against the
+anchors alone, which are broadcast while they are few enough; a word that may be one
+goes through a shuffle to the windows with its neighbours, never with its document.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import ascii_lower, stored, text_digest
+from sluice.llm.common import ascii_lower, column, free_names, small_enough, stored, text_digest
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -22,6 +24,8 @@ GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 EITHER_CASE_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Windows of the broadcast set at most; about 300 bytes each.
 BROADCAST_WINDOWS = 200_000
+#: Anchors of the broadcast set at most; about 50 bytes each.
+BROADCAST_ANCHORS = 1_000_000
 
 
 def words_of(text: Column) -> Column:
@@ -49,14 +53,21 @@ def hits(docs: DataFrame, benchmark: DataFrame, n: int = 13) -> DataFrame:
     """Distinct (doc_id, text_key, at, n, window) of the verified occurrences, stored;
     ``at`` counts words from 1."""
     known = anchored(benchmark_windows(benchmark, n).select("n", "window").distinct())
-    if known.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS:
-        known = F.broadcast(known)
-    words = docs.select("doc_id", "text", words_of(F.col("text")).alias("words"))
-    every = words.select("doc_id", "text", "words", F.posexplode("words").alias("place", "word"))
-    start = F.col("place") - F.col("before") + 1
-    inside = (start >= 1) & (start + F.col("length") - 1 <= F.size("words"))
-    same = (F.col("word") == F.col("anchor")) & inside & (F.slice("words", F.greatest(start, F.lit(1)), F.col("length")) == F.col("window"))
-    found = every.join(known, same).select("doc_id", text_digest(F.col("text")).alias("text_key"), start.alias("at"), F.col("length").alias("n"), "window")
+    words = docs.select("doc_id", text_digest(F.col("text")).alias("text_key"), words_of(F.col("text")).alias("words"))
+    every = words.select("doc_id", "text_key", "words", F.posexplode("words").alias("place", "word"))
+    if small_enough(known, BROADCAST_WINDOWS):
+        known, first = F.broadcast(known), F.lit(0)
+    else:
+        anchors = known.select(F.col("anchor").alias("word")).distinct()
+        if small_enough(anchors, BROADCAST_ANCHORS):
+            every = every.join(F.broadcast(anchors), "word", "left_semi")
+        first = F.greatest(F.col("place") - (n - 1), F.lit(0))
+        every = every.select("doc_id", "text_key", F.slice("words", first + 1, F.lit(2 * n - 1)).alias("words"), "place", "word", first.alias("first"))
+        first = F.col("first")
+    at = F.col("place") - F.col("before")  # of the window, from 0
+    inside = (at >= first) & (at - first + F.col("length") <= F.size("words"))
+    same = (F.col("word") == F.col("anchor")) & inside & (F.slice("words", F.greatest(at - first, F.lit(0)) + 1, F.col("length")) == F.col("window"))
+    found = every.join(known, same).select("doc_id", "text_key", (at + 1).alias("at"), F.col("length").alias("n"), "window")
     return stored(found.distinct())
 
 
@@ -69,6 +80,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 13, share: int
     benchmark is empty.  Rows are told by doc_id and text: repeated rows each come
     out with the same figures, and a null doc_id is an id like any other.  Benchmark
     items without words are passed over; a null item_id counts as the empty string.
+    Very long texts are read whole; further columns are left out.
     """
     found = hits(docs, benchmark, n)
     key = ["doc_id", "text_key"]
@@ -103,19 +115,22 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 13, share: int
 
     ``remove="documents"`` leaves out contaminated documents; ``remove="spans"``
     keeps every row and cuts the hit words, each with the gap behind it, out of
-    contaminated texts.
+    contaminated texts.  Nulls, empty texts, repeated rows and empty tables count as in
+    ``contamination``; further columns stay, whatever their names.
     """
     if remove not in ("documents", "spans"):
         raise ValueError("remove is documents or spans")
-    bad = contamination(docs, benchmark, n, share).where("contaminated").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("spans").alias("_spans")).dropDuplicates(["_id", "_key"])
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (text_digest(docs["text"]) == F.col("_key"))
+    id_, key, spans, text_, words_, gaps_ = free_names(docs, "id", "key", "spans", "text", "words", "gaps")
+    bad = contamination(docs, benchmark, n, share).where("contaminated").select(F.col("doc_id").alias(id_), F.col("text_key").alias(key), F.col("spans").alias(spans)).dropDuplicates([id_, key])
+    same = docs["doc_id"].eqNullSafe(F.col(id_)) & (text_digest(docs["text"]) == F.col(key))
     if remove == "documents":
         return docs.join(bad, same, "left_anti")
-    words, gaps = F.regexp_extract_all("text", F.lit(f"({_either_case()})"), F.lit(1)), F.split("text", _either_case(), -1)
-    kept = F.transform(words, lambda w, i: F.when(F.exists("_spans", lambda s: (i >= s["first"]) & (i < s["last"])), F.lit("")).otherwise(F.concat(w, F.get(gaps, i + 1))))
-    cut = F.concat(F.get(gaps, F.lit(0)), F.array_join(kept, ""))
-    joined = docs.join(bad, same, "left")
-    return joined.select(*[F.when(F.col("_spans").isNull(), docs["text"]).otherwise(cut).alias("text") if c == "text" else docs[c] for c in docs.columns])
+    joined = docs.join(bad, same, "left").select(*[column(docs, c) for c in docs.columns], spans)
+    joined = joined.withColumns({words_: F.regexp_extract_all("text", F.lit(f"({_either_case()})"), F.lit(1)), gaps_: F.split("text", _either_case(), -1)})
+    kept = F.transform(words_, lambda w, i: F.when(F.exists(spans, lambda s: (i >= s["first"]) & (i < s["last"])), F.lit("")).otherwise(F.concat(w, F.get(gaps_, i + 1))))
+    cut = F.concat(F.get(gaps_, F.lit(0)), F.array_join(kept, ""))
+    out = joined.withColumn(text_, F.when(F.col(spans).isNull(), F.col("text")).otherwise(cut))
+    return out.select(*[F.col(text_).alias("text") if c == "text" else column(out, c) for c in docs.columns])
 
 
 def _either_case() -> str:
