@@ -17,13 +17,16 @@ from re import _parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import stored, text_digest
+from sluice.llm.common import column, free_names, small_enough, stored, text_digest
 
 #: Candidate texts up to which their keys are broadcast to the scan (about 100 bytes each).
 BROADCAST_CANDIDATES = 200_000
 _ALTERNATIVES = 64
 #: Letters of a class that is spelt out as alternatives, at most.
 _CLASS = 8
+#: Matches, or spans, worked through at once, and letters of a piece of text: arrays grow
+#: within such blocks only, so that the work follows the length of a text.
+_BLOCK, _LETTERS = 256, 4096
 
 
 @dataclass(frozen=True)
@@ -121,43 +124,65 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return met.groupBy("text_key").agg(F.collect_set("rule").alias("rules"))
 
 
+def _blocks(items: Column) -> Column:
+    """An array as an array of arrays of ``_BLOCK`` of its items, one at least."""
+    last = F.greatest(F.lit(0), F.floor((F.size(items) - 1) / _BLOCK).cast("int"))
+    return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(items, b * _BLOCK + 1, F.lit(_BLOCK)))
+
+
+def _before(items: Column, value, join) -> Column:
+    """For each item the values, not negative, of all before it, joined; one more than items."""
+    start, add = F.lit(0), lambda acc, x: join(acc, value(x))
+
+    def within(block: Column, first: Column) -> Column:
+        return F.aggregate(block, F.array(first), lambda acc, x: F.concat(acc, F.array(add(F.element_at(acc, F.lit(-1)), x))))
+
+    blocks = _blocks(items)
+    whole = F.transform(blocks, lambda b: F.aggregate(b, start, add))
+    firsts = F.aggregate(whole, F.array(start), lambda acc, x: F.concat(acc, F.array(join(F.element_at(acc, F.lit(-1)), x))))
+    inner = F.transform(blocks, lambda b, i: F.slice(within(b, F.element_at(firsts, i + 1)), F.lit(1), F.size(b)))
+    return F.concat(F.flatten(inner), F.slice(firsts, F.size(firsts), F.lit(1)))
+
+
 def _spans(rules: tuple[Rule, ...], number: Column) -> Column:
     """(start, kind number, end) of the matches in ``text`` of the rule of that number;
     code points, end exclusive.  The gaps between matches give their places."""
     of = lambda values: F.get(F.array(*map(F.lit, values)), number)
     pattern, least = of([r.pattern for r in rules]), of([r.least for r in rules])
-    parts = F.zip_with(
+    sizes = F.zip_with(
         F.split("text", pattern, -1),
         F.arrays_zip(F.regexp_extract_all("text", pattern, F.lit(0)).alias("whole"), F.regexp_extract_all("text", pattern, of([r.group for r in rules])).alias("measured")),
-        lambda gap, m: F.struct(F.length(gap).alias("gap"), F.length(m["whole"]).alias("whole"), F.length(m["measured"]).alias("measured")),
+        lambda gap, m: F.struct(F.length(gap).alias("gap"), F.coalesce(F.length(m["whole"]), F.lit(0)).alias("whole"), F.length(m["measured"]).alias("measured")),
     )
-    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        end = start + F.coalesce(x["whole"], F.lit(0))
-        span = F.array(F.struct(start.alias("start"), number.alias("kind"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(x["measured"] >= least, F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
+    def found(parts: Column) -> Column:
+        ends = _before(parts, lambda x: x["gap"] + x["whole"], lambda a, b: a + b)
+        spans = F.transform(parts, lambda x, i: F.struct((F.get(ends, i) + x["gap"]).alias("start"), number.alias("kind"), F.get(ends, i + 1).alias("end"), x["measured"].alias("measured")))
+        kept = F.filter(spans, lambda x: x["measured"] >= least)
+        return F.transform(kept, lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")))
 
-    return F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda acc: acc["spans"])
+    # bound once, so that the parts are made once
+    return F.get(F.transform(F.array(sizes), found), F.lit(0))
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE) -> DataFrame:
-    """``docs`` with its columns and ``spans``: array of (start, kind, end) by start and
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, into: str = "spans") -> DataFrame:
+    """``docs`` with its columns and ``into``: array of (start, kind, end) by start and
     kind, kind being the number of the rule.
 
-    A null text has none.  Rows are not told apart by any id, so repeated rows,
-    repeated or null ids are each scanned alike; an empty table gives an empty one.
-    Columns of ``docs`` named ``spans`` or beginning with an underscore are replaced.
+    A null or empty text has none; a very long one is scanned whole.  Rows are not told
+    apart by any id, so repeated rows, repeated or null ids are each scanned alike; an
+    empty table gives an empty one.  A column of ``docs`` named ``into`` is replaced, all
+    others stay, whatever their names.
     """
-    found = stored(candidates(docs, rules).select(F.col("text_key").alias("_key"), F.col("rules").alias("_rules")))
-    if found.limit(BROADCAST_CANDIDATES + 1).count() <= BROADCAST_CANDIDATES:
+    key, asked_ = free_names(docs, "key", "rules")
+    found = stored(candidates(docs, rules).select(F.col("text_key").alias(key), F.col("rules").alias(asked_)))
+    if small_enough(found, BROADCAST_CANDIDATES):
         found = F.broadcast(found)
-    joined = docs.join(found, text_digest(docs["text"]) == F.col("_key"), "left")
+    joined = docs.join(found, text_digest(docs["text"]) == F.col(key), "left")
     unled = [F.when(F.col("text").rlike(r.pattern), F.lit(k)) for k, r in enumerate(rules) if trigram_query(r.pattern) is None]
-    asked = F.array_compact(F.concat(F.coalesce("_rules", F.array().cast("array<int>")), F.array(*unled).cast("array<int>")))
+    asked = F.array_compact(F.concat(F.coalesce(F.col(asked_), F.array().cast("array<int>")), F.array(*unled).cast("array<int>")))
     spans = F.array_sort(F.flatten(F.transform(asked, lambda k: _spans(rules, k))))
-    return joined.select(*[docs[c] for c in docs.columns if c != "spans" and not c.startswith("_")], spans.alias("spans"))
+    return joined.select(*[column(docs, c) for c in docs.columns if c.lower() != into.lower()], spans.alias(into))
 
 
 def of_kind(number: int):
@@ -173,22 +198,33 @@ def written(spans: Column, rules: tuple[Rule, ...]) -> Column:
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret in its text replaced by ``mark`` (overlapping spans by
-    one); texts without secrets, and nulls, stay as they are."""
-    found = scan(docs, rules)
-    spans = F.col("spans")
-
-    def step(acc: Column, s: Column) -> Column:
-        more = F.when(s["start"] < acc["at"], F.lit("")).otherwise(F.concat(F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], more).alias("out"))
-
-    done = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
-    marked = found.withColumn("_done", F.when(F.size(spans) > 0, done))
-    rest = F.substring(F.col("text"), F.col("_done.at") + 1, F.length("text"))
-    text = F.when(F.col("_done").isNull(), F.col("text")).otherwise(F.concat("_done.out", rest))
-    return marked.select(*[text.alias("text") if c == "text" else F.col(c) for c in found.columns if c != "spans"])
+    one); texts without secrets, and nulls, stay as they are, as do all other columns,
+    whatever their names.  Empty and very long texts, repeated rows and empty tables
+    count as in ``scan``."""
+    spans, done = free_names(docs, "spans", "done")
+    found = scan(docs, rules, spans)
+
+    def cut(letters: Column, first: Column, past: Column) -> Column:
+        """Letters ``first`` to before ``past`` of a text in pieces."""
+        piece = F.floor(first / _LETTERS).cast("int")
+        near = F.slice(letters, piece + 1, F.floor(past / _LETTERS).cast("int") - piece + 1)
+        return F.substring(F.array_join(near, ""), first - piece * _LETTERS + 1, past - first)
+
+    def marked(x: Column) -> Column:
+        kept = F.transform(x["spans"], lambda s, i: F.when(s["start"] < F.get(x["ends"], i), F.lit("")).otherwise(F.concat(cut(x["letters"], F.get(x["ends"], i), s["start"]), F.lit(mark))))
+        return F.concat(F.array_join(kept, ""), cut(x["letters"], F.element_at(x["ends"], F.lit(-1)), F.length("text")))
+
+    letters = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{_LETTERS}}}"), F.lit(0))
+    ends = _before(F.col(spans), lambda s: s["end"], F.greatest)
+    held = F.struct(F.col(spans).alias("spans"), ends.alias("ends"), letters.alias("letters"))
+    text = F.when(F.size(spans) > 0, F.get(F.transform(F.array(held), marked), F.lit(0))).otherwise(F.col("text"))
+    out = found.withColumn(done, text)
+    return out.select(*[F.col(done).alias("text") if c == "text" else column(out, c) for c in docs.columns])
 
 
 def redact_stage(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE) -> DataFrame:
-    """``redact`` of every row; a column ``n_chars`` is kept at the length of the text."""
+    """``redact`` of every row, with the same results for nulls, empty and very long texts,
+    repeated rows and clashing names; a column ``n_chars`` is kept at the length of the
+    text."""
     out = redact(docs, rules)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
