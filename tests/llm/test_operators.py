@@ -207,7 +207,7 @@ def test_shards(spark, docs):
     rows, slot_map = sharding.shard_documents(table(spark, mine), 4)
     got = rows.collect()
     assert len(got) == len(mine) and sorted((r.size, r.text_crc32) for r in got) == sorted((len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for _, t in mine)
-    places, sizes = defaultdict(list), defaultdict(int)
+    places, sizes = defaultdict(list), dict.fromkeys(slot_map.of, 0)
     for r in got:
         places[r.shard].append(r.place)
         sizes[r.unit] += r.size
@@ -338,7 +338,7 @@ def test_archive_parsing():
     for bad in (record, block + record[:-3], block + b"http://x/ 1 2\nxx", block.replace(b"1 0 sluice", b"9 0 sluice")):
         with pytest.raises(ValueError):
             list(warc.parse_arc(bad))
-    assert warc._iso("2001") == "2001-01-01T00:00:00Z" and warc.record_id("u", "d", 1) == warc.record_id("u", "d", 1)
+    assert warc._iso("2001") == "2001-01-01T00:00:00Z" and warc.record_id("u", "d", 1, 2) == warc.record_id("u", "d", 1, 2) != warc.record_id("u", "d", 1, 3)
 
 
 def test_token_files(spark, docs):
@@ -386,7 +386,7 @@ def test_secrets(spark, docs):
         want.append((i, t, ",".join(f"{rules[k].kind}:{a}:{b}" for a, k, b in sorted(found))))
     assert got == sorted(want, key=str)
     cut = secrets.redact(table(spark, mine))
-    assert cut.count() == len(mine) and secrets.scan(cut).where(F.size("spans") > 0).count() == 0 and cut.columns == ["doc_id", "text", "rid"]
+    assert cut.count() == len(mine) and secrets.scan(cut).where(F.size("spans") > 0).count() == 0 and cut.columns == ["doc_id", "text", "spans", "rid"] and {r.spans for r in cut.collect()} == {"mine"}
     assert secrets.scan(table(spark, [])).count() == 0
 
 
