@@ -123,26 +123,31 @@ def segments(content: bytes) -> Iterator[Segment]:
         at = s.end + 1
 
 
-def _encode_partition(path: str, end_id: int):
+def _kind(bits: int) -> str:
+    """The whole bytes in which ids of so many bits travel."""
+    return "<u2" if bits <= 16 else "<u4"
+
+
+def _encode_partition(path: str, end_id: int, kind: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = worker_encoder(path)
-        end = np.array([end_id], "<u4").tobytes()
+        end, size = np.array([end_id], kind).tobytes(), np.dtype(kind).itemsize
         for pdf in batches:
             texts = list(pdf["text"])
             for part in blocks(texts, ENCODE_BLOCK):
-                ids = [x.astype("<u4").tobytes() + end for x in encoder.encode_many(texts[part])]
-                yield pd.DataFrame({"doc_id": pdf["doc_id"][part].astype("Int64").array, "rid": pdf["rid"][part].array, "n": [len(x) // 4 for x in ids], "ids": ids})
+                ids = [x.astype(kind).tobytes() + end for x in encoder.encode_many(texts[part])]
+                yield pd.DataFrame({"doc_id": pdf["doc_id"][part].astype("Int64").array, "rid": pdf["rid"][part].array, "n": [len(x) // size for x in ids], "ids": ids})
 
     return run
 
 
-def _pack_partition(bits: int):
+def _pack_partition(bits: int, kind: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         doc_ids, ids, size = [], [], 0
         for pdf in batches:
             for d, null, x in zip(pdf["doc_id"], pdf["doc_id"].isna(), pdf["ids"], strict=True):
                 doc_ids.append(None if null else int(d))
-                ids.append(np.frombuffer(x, "<u4"))
+                ids.append(np.frombuffer(x, kind))
                 size += len(ids[-1])
                 if size >= SEGMENT_IDS:
                     yield pd.DataFrame({"segment": [segment(doc_ids, ids, bits)]})
@@ -164,12 +169,13 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, b
     row of its own in its block; its ids go into one segment.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("rid"))
-    encoded = stored(rows.mapInPandas(_encode_partition(tokenizer, end_id), "doc_id long, rid long, n long, ids binary"))
+    largest = max(worker_encoder(tokenizer).vocabulary_size, end_id + 1) - 1
+    width, kind = bits or largest.bit_length(), _kind(largest.bit_length())
+    encoded = stored(rows.mapInPandas(_encode_partition(tokenizer, end_id, kind), "doc_id long, rid long, n long, ids binary"))
     total = encoded.agg(F.sum("n")).first()[0] or 0
     n = max(partitions(docs.sparkSession), -(-total // FILE_IDS))
-    width = bits or (max(worker_encoder(tokenizer).vocabulary_size, end_id + 1) - 1).bit_length()
     sorted_ = encoded.repartitionByRange(n, "doc_id", "rid").sortWithinPartitions("doc_id", "rid")
-    packed = sorted_.select("doc_id", "ids").mapInPandas(_pack_partition(width), "segment binary")
+    packed = sorted_.select("doc_id", "ids").mapInPandas(_pack_partition(width, kind), "segment binary")
     packed.select(F.col("segment").cast("string")).write.text(path)
     discard(encoded)
 
