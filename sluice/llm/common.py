@@ -6,7 +6,7 @@ import tempfile
 import uuid
 import weakref
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -41,17 +41,23 @@ def _delete(spark: SparkSession, path: str) -> None:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stored(df: DataFrame, **options: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder, and that table: its rows
-    stay the same whatever executor is lost, and plans on it start from files.  The
-    shuffles that made it are no longer needed and go when it is written."""
-    spark = df.sparkSession
-    path, before = shared_dir(spark), spark.conf.get(_CLEANUP, None)
+def write(writer: DataFrameWriter, path: str) -> None:
+    """Save to ``path``; the shuffles that this took go when it is done."""
+    spark = writer._spark
+    before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.options(**options).parquet(path)
+        writer.save(path)
     finally:
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
+def stored(df: DataFrame, **options: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder, and that table: its rows
+    stay the same whatever executor is lost, and plans on it start from files."""
+    spark = df.sparkSession
+    path = shared_dir(spark)
+    write(df.write.format("parquet").options(**options), path)
     out = spark.read.schema(df.schema).parquet(path)
     _paths[id(out)] = path
     weakref.finalize(out, _paths.pop, id(out), None)

@@ -17,12 +17,12 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.common import partitions, stored
-from sluice.llm.tokens import ENCODE_BLOCK, blocks, worker_encoder
+from sluice.llm.tokens import slices, worker_encoder
 
 
 def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -93,22 +93,26 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int,
 
 
 def _piece_partition(path: str, end_id: int, capacity: int, keep_ids: bool):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, end = worker_encoder(path), np.array([end_id], np.uint32)
-        for pdf in batches:
-            texts, doc_ids, rids = list(pdf["text"]), pdf["doc_id"].astype("Int64"), pdf["rid"].to_numpy()
-            for part in blocks(texts, ENCODE_BLOCK):
-                ids = [np.concatenate((x, end)).astype("<u4") for x in encoder.encode_many(texts[part])]
-                counts = [-(-len(x) // capacity) for x in ids]
-                pieces = [x[i : i + capacity] for x in ids for i in range(0, len(x), capacity)]
-                number = np.concatenate([np.arange(c) for c in counts])
-                out = pd.DataFrame({
-                    "rid": np.repeat(rids[part], counts), "doc_id": doc_ids[part].repeat(counts).array, "piece": number,
-                    "start": number * capacity, "length": [len(x) for x in pieces], "ids_crc32": [zlib.crc32(x.tobytes()) for x in pieces],
-                })
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = worker_encoder(path)
+        for batch in batches:
+            for rows in slices(batch):
+                flat, n = encoder.encode_flat(rows.column("text"))
+                ids = np.insert(flat.astype("<u4"), np.cumsum(n), end_id)  # an end behind each text
+                n = n + 1
+                counts = -(-n // capacity)
+                number = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+                length = np.minimum(capacity, np.repeat(n, counts) - number * capacity)
+                past = np.cumsum(length)
+                made = [
+                    rows.column("rid").take(pa.array(np.repeat(np.arange(len(n)), counts))), rows.column("doc_id").take(pa.array(np.repeat(np.arange(len(n)), counts))), pa.array(number, pa.int32()),
+                    pa.array(number * capacity, pa.int64()), pa.array(length, pa.int64()), pa.array([zlib.crc32(ids[a:b]) for a, b in zip((past - length).tolist(), past.tolist(), strict=True)], pa.int64()),
+                ]
+                names = ["rid", "doc_id", "piece", "start", "length", "ids_crc32"]
                 if keep_ids:
-                    out["ids"] = [x.astype(np.int32) for x in pieces]
-                yield out
+                    made.append(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], past)), pa.int32()), pa.array(ids.astype(np.int32))))
+                    names.append("ids")
+                yield pa.RecordBatch.from_arrays(made, names)
 
     return run
 
@@ -118,7 +122,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int =
     A document's ids end with ``end_id``; only documents longer than ``capacity`` are cut."""
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "rid long, doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids
-    return stored(rows.mapInPandas(_piece_partition(tokenizer, end_id, capacity, keep_ids), schema))
+    return stored(rows.mapInArrow(_piece_partition(tokenizer, end_id, capacity, keep_ids), schema))
 
 
 def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:

@@ -18,20 +18,22 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import discard, partitions, shared_dir, stored
-from sluice.llm.tokens import ENCODE_BLOCK, blocks, worker_encoder
+from sluice.llm.common import partitions, shared_dir, stored, write
+from sluice.llm.tokens import slices, worker_encoder
 
 MAGIC, HEAD, BLOCK_IDS = b"SLTP", struct.Struct("<4sHHIIQ"), 4096
 SEGMENT_IDS = 2_000_000
-#: Ids of one file, about.
-FILE_IDS = 40_000_000
+#: Bytes of text behind one file.
+FILE_TEXT_BYTES = 128_000_000
 MOST_FILES_BROADCAST = 100_000
 
 
@@ -128,19 +130,33 @@ def _kind(bits: int) -> str:
     return "<u2" if bits <= 16 else "<u4"
 
 
-def _encode_partition(path: str, end_id: int, kind: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = worker_encoder(path)
-        end, size = np.array([end_id], kind).tobytes(), np.dtype(kind).itemsize
-        for pdf in batches:
-            texts = list(pdf["text"])
-            for part in blocks(texts, ENCODE_BLOCK):
-                ids = [x.astype(kind).tobytes() + end for x in encoder.encode_many(texts[part])]
-                yield pd.DataFrame({"doc_id": pdf["doc_id"][part].astype("Int64").array, "rid": pdf["rid"][part].array, "n": [len(x) // size for x in ids], "ids": ids})
+def _encode_partition(path: str, end_id: int, kind: str, bounds: list[tuple]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, size = worker_encoder(path), np.dtype(kind).itemsize
+        for batch in batches:
+            for rows in slices(batch):
+                flat, n = encoder.encode_flat(rows.column("text"))
+                data = np.insert(flat.astype(kind), np.cumsum(n), end_id)  # an end behind each text
+                past = np.concatenate(([0], np.cumsum(n + 1) * size)).astype(np.int64)
+                ids = pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(past), pa.py_buffer(data)])
+                keys = zip(rows.column("doc_id").to_pylist(), rows.column("rid").to_pylist(), strict=True)
+                file = [bisect_right(bounds, _order(d, r)) for d, r in keys]
+                yield pa.RecordBatch.from_arrays([pa.array(file, pa.int32()), rows.column("doc_id"), rows.column("rid"), pa.array(n + 1), ids.cast(pa.binary())], ["file", "doc_id", "rid", "n", "ids"])
 
     return run
 
 
+def _order(doc_id: int | None, rid: int) -> tuple[int, int, int]:
+    return (0, 0, rid) if doc_id is None else (1, doc_id, rid)
+
+
+def _bounds(rows: DataFrame, n: int) -> list[tuple]:
+    """Where the second and each later of ``n`` ranges of (doc_id, rid) begins."""
+    ranges = rows.select("doc_id", "rid").repartitionByRange(n, "doc_id", "rid").select(F.spark_partition_id().alias("k"), F.struct(F.col("doc_id").isNotNull().alias("there"), "doc_id", "rid").alias("at"))
+    found = ranges.groupBy("k").agg(F.min("at").alias("at")).collect()  # n rows
+    return sorted(_order(r["at"]["doc_id"], r["at"]["rid"]) for r in found)[1:]
+
+
 def _pack_partition(bits: int, kind: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         doc_ids, ids, size = [], [], 0
@@ -168,16 +184,17 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, b
     doc_id with very many rows is spread over several files.  A very long text is a
     row of its own in its block; its ids go into one segment.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("rid"))
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(partitions(spark), -(-total // FILE_TEXT_BYTES))
     largest = max(worker_encoder(tokenizer).vocabulary_size, end_id + 1) - 1
     width, kind = bits or largest.bit_length(), _kind(largest.bit_length())
-    encoded = stored(rows.mapInPandas(_encode_partition(tokenizer, end_id, kind), "doc_id long, rid long, n long, ids binary"))
-    total = encoded.agg(F.sum("n")).first()[0] or 0
-    n = max(partitions(docs.sparkSession), -(-total // FILE_IDS))
-    sorted_ = encoded.repartitionByRange(n, "doc_id", "rid").sortWithinPartitions("doc_id", "rid")
+    encode = _encode_partition(tokenizer, end_id, kind, _bounds(rows, n))
+    encoded = rows.mapInArrow(encode, "file int, doc_id long, rid long, n long, ids binary")
+    sorted_ = encoded.repartitionById(n, "file").sortWithinPartitions("doc_id", "rid")
     packed = sorted_.select("doc_id", "ids").mapInPandas(_pack_partition(width, kind), "segment binary")
-    packed.select(F.col("segment").cast("string")).write.text(path)
-    discard(encoded)
+    write(packed.select(F.col("segment").cast("string")).write.format("text"), path)
 
 
 def _read_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -22,9 +22,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Chunks, and pre-tokens, kept by one worker; bounds its memory.
-CACHE_ENTRIES = 250_000
-#: Characters encoded at once, about: the larger, the fewer times a chunk is met.
-ENCODE_BLOCK = 3_000_000
+CACHE_ENTRIES = 120_000
+#: Bytes encoded at once, about: the larger, the fewer times a chunk is met.
+ENCODE_BLOCK = 2_000_000
 
 # Letters whose lower case is one code point and that NFC leaves alone.
 _LETTER = "a-zA-ZÀ-ÖØ-öø-įĲ-ňŊ-ž"
@@ -173,10 +173,11 @@ class ChunkEncoder:
         first = self._chunks.add(flat, length)
         self._place.update(zip(new, range(first, first + len(new)), strict=True))
 
-    def encode_many(self, texts: list[str | None]) -> list[np.ndarray]:
-        """The ids of each text as unsigned 32-bit integers."""
+    def encode_flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one text's after the other's, as unsigned 32-bit integers,
+        and the number of each text's."""
         self._shrink()
-        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()).fill_null(""))
+        split = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
         chunks = split.flatten().dictionary_encode()
         every = _bytes_of(chunks.dictionary)
         at = np.fromiter(map(self._place.get, every, repeat(-1)), np.int64, len(every))
@@ -185,8 +186,13 @@ class ChunkEncoder:
             self._learn(new)
             at[missing] = list(map(self._place.__getitem__, new))
         flat, n = self._chunks.take(at[chunks.indices.to_numpy()])
-        ends = np.concatenate(([0], np.cumsum(n)))[np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))]
-        return np.split(flat, ends[:-1]) if len(texts) else []
+        past = np.concatenate(([0], np.cumsum(n)))[np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))]
+        return flat, np.diff(past, prepend=0)
+
+    def encode_many(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of each text."""
+        flat, n = self.encode_flat(pa.array(texts, pa.large_string()))
+        return np.split(flat, np.cumsum(n)[:-1]) if len(texts) else []
 
     def encode(self, text: str | None) -> np.ndarray:
         return self.encode_many([text])[0]
@@ -212,3 +218,13 @@ def blocks(texts: list[str | None], most: int = 1_500_000):
         size += len(t or "")
     if first < len(texts):
         yield slice(first, len(texts))
+
+
+def slices(batch: pa.RecordBatch, text: str = "text", most: int = ENCODE_BLOCK):
+    """Slices of ``batch`` with about ``most`` bytes of text at most, one row at least."""
+    size = np.cumsum(pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < len(size):
+        past = max(first + 1, int(np.searchsorted(size, (size[first - 1] if first else 0) + most, side="right")))
+        yield batch.slice(first, past - first)
+        first = past

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import discard, shared_dir, stored
+from sluice.llm.common import discard, shared_dir, stored, write
 
 #: Bytes of one archive, about: it is closed by the record that reaches them.
 ARCHIVE_BYTES = 16_000_000
@@ -74,7 +74,7 @@ def version_block(date: str, version: int) -> bytes:
 def _write_archives(archives: DataFrame, path: str, end: str) -> None:
     """A file for each row of ``archives`` (archive binary), which lacks its last ``end``."""
     options = {"lineSep": end, "compression": "gzip", "maxRecordsPerFile": "1", "zlib.compress.level": "BEST_SPEED"}
-    archives.select(F.col("archive").cast("string")).write.options(**options).text(path)
+    write(archives.select(F.col("archive").cast("string")).write.format("text").options(**options), path)
 
 
 def write_arc(pages: DataFrame, path: str, date: str = "20240101000000", version: int = 1) -> None:
