@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import weakref
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
@@ -41,17 +42,37 @@ def _delete(spark: SparkSession, path: str) -> None:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def write(writer: DataFrameWriter, path: str) -> None:
-    """Save to ``path``; the shuffles that this took go when it is done."""
-    spark = writer._spark
+@contextmanager
+def _shuffles_go(spark: SparkSession):
+    """The shuffles that a query within takes go when it is done."""
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
-        writer.save(path)
+        yield
     finally:
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
 
 
+def write(writer: DataFrameWriter, path: str) -> None:
+    """Save to ``path``; the shuffles that this took go when it is done."""
+    with _shuffles_go(writer._spark):
+        writer.save(path)
+
+
+def bucketed(df: DataFrame, key: str, n: int) -> DataFrame:
+    """``df`` written once as a Parquet table in ``n`` buckets by ``key``, so that what
+    groups or joins it by ``key`` again and again doesn't shuffle it."""
+    spark = df.sparkSession
+    path = shared_dir(spark)
+    name = "sluice_" + path.rpartition("/")[2]
+    with _shuffles_go(spark):
+        df.repartition(n, key).write.format("parquet").bucketBy(n, key).option("path", path).saveAsTable(name)
+    out = spark.table(name)
+    _paths[id(out)] = path
+    weakref.finalize(out, _paths.pop, id(out), None)
+    return out
+
+
 def stored(df: DataFrame, **options: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder, and that table: its rows
     stay the same whatever executor is lost, and plans on it start from files."""
@@ -68,7 +89,9 @@ def discard(*tables: DataFrame) -> None:
     """Delete ``stored`` tables that nothing reads any more, results that are still to be
     computed included."""
     for df in tables:
-        _delete(df.sparkSession, _paths[id(df)])
+        path = _paths[id(df)]
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS sluice_{path.rpartition('/')[2]}")
+        _delete(df.sparkSession, path)
 
 
 def clean(spark: SparkSession) -> None:

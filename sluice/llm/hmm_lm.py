@@ -7,15 +7,18 @@ seen are symbols, whose emissions the tasks hold.  A class counts as one word, s
 the probabilities sum to one.
 
 Baum-Welch: sequences lie in blocks, each with the list of its rarer words.  An
-iteration runs the scaled forward and backward recursions over every training block;
-the expected counts of each word and state are summed over the blocks in buckets of
-words, stored, and sent back to the blocks that hold the word.  The emission of a word
+iteration runs the scaled forward and backward recursions over every training block.
+The expected counts of each word and state are summed over the blocks in buckets of
+words, stored, and sent back to the blocks that hold the word; those of a word that one
+block alone holds, as of most rare words, stay with that block.  The emission of a word
 is its expected counts plus its prior over the state's total, so a block needs no more
-than that and the fixed-size part of the model.  A word's expected counts add up to
-its count.  Scoring runs the forward recursion over each text.
+than that and the fixed-size part of the model.  A word's expected counts add up to its
+count; between iterations those of the rarer words are kept in half precision.  Scoring
+runs the forward recursion over each text.
 
-Words too rare for the table that the tasks hold meet their counts by a join; being
-rare, none of them is a hot key.
+Rarer words are told apart by 64 bits of a hash, and their counts come back to the
+blocks that hold them in the same way, before the first iteration.  Being rare, none of
+them is a hot key.
 """
 
 from __future__ import annotations
@@ -27,11 +30,10 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import ascii_lower, partitions, stored
+from sluice.llm.common import ascii_lower, bucketed, discard, partitions, stored
 from sluice.llm.langid import fold
 from sluice.llm.tokens import blocks as text_blocks
 
@@ -111,8 +113,8 @@ def word_key(word: bytes) -> int:
     return int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
 
 
-def tables_of(counts: DataFrame, n_docs: int, p: HiddenMarkov) -> tuple[Tables, int]:
-    """Bounded tables from the stored counts, and the least count of a held word."""
+def tables_of(counts: DataFrame, n_docs: int, p: HiddenMarkov) -> Tables:
+    """Bounded tables from the stored counts."""
     bucket = F.floor(F.log2("c") * 16)
     histogram = counts.groupBy(bucket.alias("b")).agg(F.min("c").alias("low"), F.count("*").alias("n"), F.sum("c").alias("c")).orderBy(F.desc("b")).collect()  # 16 rows for each doubling of the count at most
     steps = [(r["low"], r["n"]) for r in histogram]
@@ -123,7 +125,7 @@ def tables_of(counts: DataFrame, n_docs: int, p: HiddenMarkov) -> tuple[Tables,
     n_apart = int((c >= least_symbol).sum())
     tokens = sum(r["c"] for r in histogram) + n_docs
     types = sum(r["n"] for r in histogram) + (n_docs > 0)
-    return Tables(dict(zip(words, range(len(words)), strict=True)), c, n_apart, p.classes, len(words) + p.classes + 1, n_docs, tokens, types), least_held
+    return Tables(dict(zip(words, range(len(words)), strict=True)), c, n_apart, p.classes, len(words) + p.classes + 1, n_docs, tokens, types)
 
 
 def _sequence_partition(tables: Tables):
@@ -143,10 +145,9 @@ def _sequence_partition(tables: Tables):
                     known = at[at >= 0]
                     symbols = np.full(len(words) + 1, t.end, np.int64)
                     symbols[:-1] = np.where(at < 0, RARE, at)
-                    rest = [words[i] for i in missing]
-                    keys = np.fromiter(map(word_key, rest), "<u8", len(rest))
-                    rows.append((packed(symbols), keys.tobytes(), len(words) + 1, len(known) + (t.end_count > 0), float(base[known].sum()) + end_base, [w.decode() for w in rest]))
-                out = pd.DataFrame(rows, columns=["symbols", "rare", "n_tokens", "n_known", "base", "rest"])
+                    keys = np.fromiter((word_key(words[i]) for i in missing), "<u8", len(missing))
+                    rows.append((packed(symbols), keys.tobytes(), len(words) + 1, len(known) + (t.end_count > 0), float(base[known].sum()) + end_base))
+                out = pd.DataFrame(rows, columns=["symbols", "rare", "n_tokens", "n_known", "base"])
                 for c in ("rid", "doc_id", "held_out"):
                     out[c] = pdf[c][part].array
                 yield out
@@ -158,7 +159,7 @@ def sequences(docs: DataFrame, tables: Tables) -> DataFrame:
     """A stored row per document: its symbols (RARE for a word that is none), the keys of
     those words, and what its held words add to the base score."""
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "held_out", "text")
-    schema = "symbols binary, rare binary, n_tokens long, n_known long, base double, rest array<string>, rid long, doc_id long, held_out boolean"
+    schema = "symbols binary, rare binary, n_tokens long, n_known long, base double, rid long, doc_id long, held_out boolean"
     return stored(rows.mapInPandas(_sequence_partition(tables), schema).sortWithinPartitions("n_tokens"))
 
 
@@ -228,87 +229,141 @@ class Batch:
             emit[:, k] += np.bincount(self.symbols, weight[:, k], len(emit))
 
 
-def _block_partition(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+#: A block's arrays: symbols of its tokens and length of its texts; its rarer words, those
+#: that other blocks hold too first, in the order of their buckets, with the count of each,
+#: and the word of each token that is none of the symbols; its texts.
+_BLOCKS = "block long, held_out boolean, symbols binary, lengths binary, words binary, counts binary, at binary, texts binary"
+_TEXT = np.dtype([("doc_id", "<i8"), ("null", "?"), ("known", "<i4"), ("base", "<f8")])
+
+
+def _block_partition(buckets: int):
     def block(held_out: bool, rows: list) -> pd.DataFrame:
-        keys = np.frombuffer(b"".join(r[1] for r in rows), "<u8")
+        keys = np.frombuffer(b"".join(r.rare for r in rows), "<u8")
         words, at = np.unique(keys, return_inverse=True)
-        symbols = packed(np.concatenate([unpacked(r[0]) for r in rows]))
-        lengths = np.array([len(r[0]) // 3 for r in rows], "<i4")
-        return pd.DataFrame({"block": [rows[0][2]], "held_out": held_out, "symbols": symbols, "lengths": lengths.tobytes(), "words": words.astype("<u8").tobytes(), "at": at.astype("<u4").tobytes(), "rids": np.array([r[2] for r in rows], "<i8").tobytes()})
-
-    open_, size = {False: [], True: []}, {False: 0, True: 0}
-    for pdf in frames:
-        for symbols, rare, rid, held_out in zip(pdf["symbols"], pdf["rare"], pdf["rid"], pdf["held_out"], strict=True):
-            held_out = bool(held_out)
-            open_[held_out].append((symbols, rare, rid))
-            size[held_out] += len(symbols) // 3
-            if size[held_out] >= BLOCK:
-                yield block(held_out, open_[held_out])
-                open_[held_out], size[held_out] = [], 0
-    for held_out, rows in open_.items():
-        if rows:
-            yield block(held_out, rows)
-
-
-def blocks_of(rows: DataFrame) -> DataFrame:
-    """Blocks of the rows of ``sequences``, of like lengths, training rows and
-    others apart: their symbols, and their rarer words by key, each kept once.  They are
-    kept on disk by their number, so that no iteration deals them out again."""
-    schema = "block long, held_out boolean, symbols binary, lengths binary, words binary, at binary, rids binary"
-    made = rows.select("symbols", "rare", "rid", "held_out").mapInPandas(_block_partition, schema)
-    return made.repartition(partitions(rows.sparkSession), "block").persist(StorageLevel.DISK_ONLY)
+        order = np.argsort(words % np.uint64(buckets), kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        symbols = packed(np.concatenate([unpacked(r.symbols) for r in rows]))
+        lengths = np.array([r.n_tokens for r in rows], "<i4")
+        texts = np.array([(0 if r.doc_id is pd.NA else r.doc_id, r.doc_id is pd.NA, r.n_known, r.base) for r in rows], _TEXT)
+        return pd.DataFrame({"block": [rows[0].rid], "held_out": held_out, "symbols": symbols, "lengths": lengths.tobytes(), "words": words[order].astype("<u8").tobytes(), "counts": b"", "at": place[at].astype("<u4").tobytes(), "texts": texts.tobytes()})
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        open_, size = {False: [], True: []}, {False: 0, True: 0}
+        for pdf in frames:
+            for r in pdf.astype({"doc_id": "Int64"}).itertuples():
+                held_out = bool(r.held_out)
+                open_[held_out].append(r)
+                size[held_out] += r.n_tokens
+                if size[held_out] >= BLOCK:
+                    yield block(held_out, open_[held_out])
+                    open_[held_out], size[held_out] = [], 0
+        for held_out, rows in open_.items():
+            if rows:
+                yield block(held_out, rows)
+
+    return run
 
 
 _SUMS = "bucket int, block long, words binary, sums binary"
 
 
-def _in_buckets(block: int, words: np.ndarray, sums: np.ndarray | None, buckets: int, first: int = 0) -> pd.DataFrame:
-    """A row for each bucket that has some of ``words``, which ascend within it."""
+def _in_buckets(block: int, words: np.ndarray, sums: np.ndarray | None, buckets: int, kind: str = "<f2", first: int = 0) -> pd.DataFrame:
+    """A row for each bucket that has some of ``words``, which lie in the buckets' order."""
     bucket = (words % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-    parts = np.split(order, cuts) if len(order) else []
-    return pd.DataFrame([(first + int(bucket[i[0]]), block, words[i].astype("<u8").tobytes(), b"" if sums is None else sums[i].astype("<f4").tobytes()) for i in parts], columns=["bucket", "block", "words", "sums"])
+    parts = np.split(np.arange(len(words)), np.flatnonzero(np.diff(bucket)) + 1) if len(words) else []
+    return pd.DataFrame([(first + int(bucket[i[0]]), block, words[i].astype("<u8").tobytes(), b"" if sums is None else sums[i].astype(kind).tobytes()) for i in parts], columns=["bucket", "block", "words", "sums"])
 
 
 def _ask_partition(buckets: int, count: bool):
-    """What blocks ask of the buckets: their words' sums; with ``count`` they add the
-    number of times that they hold each word."""
+    """What blocks ask of the buckets: their words' sums; with ``count`` the number of times
+    that they hold each word in training texts."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             for b in pdf.itertuples():
                 words = np.frombuffer(b.words, "<u8")
-                sums = np.bincount(np.frombuffer(b.at, "<u4"), minlength=len(words))[:, None] if count else None
-                yield _in_buckets(b.block, words, sums, buckets)
+                sums = np.bincount(np.frombuffer(b.at, "<u4"), minlength=len(words))[:, None] * (not b.held_out) if count else None
+                yield _in_buckets(b.block, words, sums, buckets, "<i8")
 
     return run
 
 
-def _sum_bucket(buckets: int):
+def _count_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
+    """For each block that has asked, the counts of its words over all blocks, and below
+    zero, less one, where no other block has asked."""
+    words = [np.frombuffer(w, "<u8") for w in pdf["words"]]
+    every, at = np.unique(np.concatenate(words), return_inverse=True)
+    total = np.zeros(len(every), np.int64)
+    np.add.at(total, at, np.frombuffer(b"".join(pdf["sums"]), "<i8"))
+    alone = np.bincount(at, minlength=len(every)) == 1
+    total[alone] = -1 - total[alone]
+    return pd.DataFrame({"bucket": pdf["bucket"].array, "block": pdf["block"].array, "words": b"", "sums": [total[i].tobytes() for i in np.split(at, np.cumsum(list(map(len, words)))[:-1])]})
+
+
+def _sum_bucket(buckets: int, states: int):
     """Sums over the blocks of a bucket's words, for each block that has asked; those of
-    the symbols once, as block -1."""
+    the symbols once, as block -1.  What blocks keep for themselves passes."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        bucket = int(pdf["bucket"].iloc[0])
+        if bucket < 0:
+            return pdf
+        kind = "<f2" if bucket < buckets else "<f4"
         pdf = pdf.sort_values("block")
         words = [np.frombuffer(w, "<u8") for w in pdf["words"]]
         every, at = np.unique(np.concatenate(words), return_inverse=True)
         at = np.split(at, np.cumsum(list(map(len, words)))[:-1])
-        width = max(1, *(len(s) // 4 // len(w) for s, w in zip(pdf["sums"], words, strict=True)))
-        total = np.zeros((len(every), width))
+        total = np.zeros((len(every), states))
         for i, s in zip(at, pdf["sums"], strict=True):
             if s:
-                total[i] += np.frombuffer(s, "<f4").reshape(len(i), width)  # a block has a word once
-        bucket = int(pdf["bucket"].iloc[0])
+                total[i] += np.frombuffer(s, kind).reshape(len(i), states)  # a block has a word once
         if bucket >= buckets:
             return pd.DataFrame({"bucket": [bucket], "block": [-1], "words": [every.astype("<u8").tobytes()], "sums": [total.astype("<f8").tobytes()]})
-        return pd.DataFrame({"bucket": bucket, "block": pdf["block"].array, "words": b"", "sums": [total[i].astype("<f4").tobytes() for i in at]})
+        return pd.DataFrame({"bucket": bucket, "block": pdf["block"].array, "words": b"", "sums": [total[i].astype("<f2").tobytes() for i in at]})
+
+    return run
+
+
+def _settle_block(tables: Tables):
+    """Blocks with the counts of their words: words never seen in training become classes,
+    and each text's known words and base score are whole."""
+    denominator, classes, first_class = float(np.log10(tables.tokens + tables.types + 1)), tables.classes, tables.n_symbols - 1 - tables.classes
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for b in left.itertuples():
+            words, at, symbols = np.frombuffer(b.words, "<u8"), np.frombuffer(b.at, "<u4").astype(np.int64), unpacked(b.symbols)
+            c = np.frombuffer(b"".join(right.sort_values("bucket")["sums"]), "<i8")
+            alone = c < 0
+            c = np.where(alone, -1 - c, c)
+            rare = np.flatnonzero(symbols == RARE)
+            texts, lengths = np.frombuffer(b.texts, _TEXT).copy(), np.frombuffer(b.lengths, "<i4")
+            text = np.searchsorted(np.cumsum(lengths), rare, side="right")
+            texts["known"] += np.bincount(text, c[at] > 0, len(texts)).astype(np.int32)
+            texts["base"] += np.bincount(text, np.log10(c[at] + 1.0) - denominator, len(texts))
+            unseen = c[at] == 0
+            symbols[rare[unseen]] = first_class + (words[at[unseen]] % np.uint64(classes)).astype(np.int64)
+            order = np.concatenate((np.flatnonzero((c > 0) & ~alone), np.flatnonzero((c > 0) & alone)))
+            place = np.zeros(len(words), np.int64)
+            place[order] = np.arange(len(order))
+            shared = int(((c > 0) & ~alone).sum())
+            out.append((b.block, b.held_out, packed(symbols), b.lengths, words[order[:shared]].tobytes(), c[order].astype("<u4").tobytes(), place[at[~unseen]].astype("<u4").tobytes(), texts.tobytes()))
+        return pd.DataFrame(out, columns=[x.split()[0] for x in _BLOCKS.split(", ")])
 
     return run
 
 
-def _summed(asked: DataFrame, buckets: int) -> DataFrame:
-    return stored(asked.groupBy("bucket").applyInPandas(_sum_bucket(buckets), _SUMS))
+def blocks_of(rows: DataFrame, tables: Tables) -> DataFrame:
+    """Blocks of the rows of ``sequences``, of like lengths, training rows and others apart,
+    in buckets by their number, so that no iteration deals them out again."""
+    n = partitions(rows.sparkSession)
+    made = stored(rows.mapInPandas(_block_partition(n), _BLOCKS))
+    asked = made.select("block", "held_out", "words", "at").mapInPandas(_ask_partition(n, True), _SUMS)
+    counts = stored(asked.groupBy("bucket").applyInPandas(_count_bucket, _SUMS))
+    settled = bucketed(made.groupBy("block").cogroup(counts.groupBy("block")).applyInPandas(_settle_block(tables), _BLOCKS), "block", n)
+    discard(made, counts)
+    return settled
 
 
 @dataclass
@@ -319,27 +374,21 @@ class Known:
     norm: np.ndarray  # total weight of each state
     prior: float
     weight: int  # of all words
-    classes: int
     buckets: int
 
-    def local(self, block, sums: pd.DataFrame) -> tuple[Model, np.ndarray, np.ndarray]:
-        """The model of the symbols and then the block's words, the block's tokens in it,
-        and its words."""
-        m, words = self.model, np.frombuffer(block.words, "<u8")
-        n = len(m.emit)
-        symbols = unpacked(block.symbols)
-        if len(words) == 0:
-            return m, symbols, words
-        order = np.argsort(words % np.uint64(self.buckets), kind="stable")
-        found = np.frombuffer(b"".join(sums.sort_values("bucket")["sums"]), "<f4").reshape(len(words), -1)
-        got = np.empty_like(found)
-        got[order] = found
-        share = (np.rint(got.sum(axis=1, dtype=np.float64)) + 1) / self.weight
-        emit = (got + self.prior * share[:, None]) / self.norm if got.shape[1] > 1 else np.repeat(share[:, None], len(m.start), 1)
-        unseen = share * self.weight < 1.5
-        place = np.where(unseen, n - 1 - self.classes + (words % np.uint64(self.classes)).astype(np.int64), n + np.arange(len(words)))
-        symbols[symbols == RARE] = place[np.frombuffer(block.at, "<u4")]
-        return Model(m.start, m.move, np.vstack((m.emit, emit.astype(m.emit.dtype)))), symbols, words
+    def local(self, block, sums: pd.DataFrame) -> tuple[Model, np.ndarray]:
+        """The model of the symbols and then the block's words, and the block's tokens in it."""
+        m, n = self.model, len(self.model.emit)
+        symbols, counts = unpacked(block.symbols), np.frombuffer(block.counts, "<u4")
+        if len(counts) == 0:
+            return m, symbols
+        share = (counts + 1.0) / self.weight
+        sums = sums.sort_values("bucket")
+        parts = [*sums["sums"][sums["bucket"] >= 0], *sums["sums"][sums["bucket"] < 0]]
+        got = np.frombuffer(b"".join(parts), "<f2").astype(np.float32).reshape(-1, len(m.start))
+        emit = (got + self.prior * share[:, None]) / self.norm if len(got) else np.repeat(share[:, None], len(m.start), 1)
+        symbols[symbols == RARE] = n + np.frombuffer(block.at, "<u4").astype(np.int64)
+        return Model(m.start, m.move, np.vstack((m.emit, emit.astype(m.emit.dtype)))), symbols
 
 
 def _batches(symbols: np.ndarray, lengths: np.ndarray, most: int) -> Iterator[tuple[int, int, Batch]]:
@@ -355,21 +404,30 @@ def _expect_block(known: Known):
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         for b in left.itertuples():
-            m, symbols, words = known.local(b, right)
+            m, symbols = known.local(b, right)
             k, n = len(m.start), len(known.model.emit)
             start, move, emit = np.zeros(k), np.zeros((k, k)), np.zeros(m.emit.shape)
             for _, _, batch in _batches(symbols, np.frombuffer(b.lengths, "<i4"), BATCH):
                 batch.expect(m, start, move, emit)
+            own, words = emit[n:].astype("<f2"), np.frombuffer(b.words, "<u8")
             used = np.flatnonzero(emit[:n].sum(axis=1))
             # after the symbols: the start, the moves and the total of the other words
             dense = np.concatenate((used, n + np.arange(k + 2))).astype(np.uint64)
-            out.append(_in_buckets(b.block, dense, np.vstack((emit[used], start, move, emit[n:].sum(axis=0))), known.buckets, known.buckets))
-            out.append(_in_buckets(b.block, words, emit[n:], known.buckets))
+            out.append(_dense_rows(b.block, dense, np.vstack((emit[used], start, move, own.sum(axis=0, dtype=np.float64))), known.buckets))
+            out.append(_in_buckets(b.block, words, own[: len(words)], known.buckets))
+            if len(own) > len(words):
+                out.append(pd.DataFrame({"bucket": [-1 - b.block % 1_000_003], "block": b.block, "words": b"", "sums": [own[len(words) :].tobytes()]}))
         return pd.concat(out) if out else pd.DataFrame({"bucket": [], "block": [], "words": [], "sums": []})
 
     return run
 
 
+def _dense_rows(block: int, rows: np.ndarray, sums: np.ndarray, buckets: int) -> pd.DataFrame:
+    """Sums of the symbols, and what follows them, in buckets of their own."""
+    order = np.argsort(rows % np.uint64(buckets), kind="stable")
+    return _in_buckets(block, rows[order], sums[order], buckets, "<f4", buckets)
+
+
 def _add_symbols(known: Known):
     """Of a task's rows, those of the symbols added up."""
 
@@ -382,19 +440,25 @@ def _add_symbols(known: Known):
                 total[np.frombuffer(words, "<u8").astype(np.int64)] += np.frombuffer(sums, "<f4").reshape(-1, k)
             yield pdf[~dense]
         used = np.flatnonzero(total.sum(axis=1))
-        yield _in_buckets(-1, used.astype(np.uint64), total[used], known.buckets, known.buckets)
+        yield _dense_rows(-1, used.astype(np.uint64), total[used], known.buckets)
 
     return run
 
 
+_SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+
+
 def _score_block(known: Known):
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         for b in left.itertuples():
-            m, symbols, _ = known.local(b, right)
-            rids = np.frombuffer(b.rids, "<i8")
-            out += [pd.DataFrame({"rid": rids[i:j], "chain": batch.log10(m).astype(float)}) for i, j, batch in _batches(symbols, np.frombuffer(b.lengths, "<i4"), BATCH // 2)]
-        return pd.concat(out) if out else pd.DataFrame({"rid": [], "chain": []})
+            m, symbols = known.local(b, right)
+            lengths, texts = np.frombuffer(b.lengths, "<i4"), np.frombuffer(b.texts, _TEXT)
+            score = np.concatenate([batch.log10(m) for _, _, batch in _batches(symbols, lengths, BATCH // 2)]).astype(float)
+            doc_id = pd.array(texts["doc_id"], "Int64")
+            doc_id[texts["null"]] = pd.NA
+            out.append(pd.DataFrame({"doc_id": doc_id, "held_out": bool(b.held_out), "n_tokens": lengths.astype(np.int64), "n_known": texts["known"].astype(np.int64), "base_score": texts["base"], "score": score}))
+        return pd.concat(out) if out else pd.DataFrame({c.split()[0]: [] for c in _SCORES.split(", ")})
 
     return run
 
@@ -421,24 +485,26 @@ def initial(tables: Tables, p: HiddenMarkov) -> tuple[Model, np.ndarray]:
 def train(blocks: DataFrame, tables: Tables, p: HiddenMarkov) -> tuple[Known, DataFrame]:
     """Baum-Welch over all training ``blocks``: what every block needs to score its texts,
     and the sums of the words of each."""
-    k, n, buckets = p.states, tables.n_symbols, partitions(blocks.sparkSession)
+    spark = blocks.sparkSession
+    k, n, buckets = p.states, tables.n_symbols, partitions(spark)
     training = blocks.where("not held_out")
-    asking = blocks.where("held_out").select("block", "words", "at").mapInPandas(_ask_partition(buckets, False), _SUMS)
+    asking = blocks.where("held_out").select("block", "held_out", "words", "at").mapInPandas(_ask_partition(buckets, False), _SUMS)
     m, overall = initial(tables, p)
     narrow = lambda m: Model(m.start.astype(np.float32), m.move.astype(np.float32), m.emit.astype(np.float32))
-    known = Known(narrow(m), np.ones(k), p.prior, tables.weight, p.classes, buckets)
-    asked = training.select("block", "words", "at").mapInPandas(_ask_partition(buckets, True), _SUMS)
-    sums = _summed(asked if p.iterations and tables.end_count else asked.union(asking), buckets)
+    known = Known(narrow(m), np.ones(k), p.prior, tables.weight, buckets)
+    sums = stored(spark.createDataFrame([], _SUMS))
     for i in range(p.iterations if tables.end_count else 0):
         asked = training.groupBy("block").cogroup(sums.groupBy("block")).applyInPandas(_expect_block(known), _SUMS).mapInPandas(_add_symbols(known), _SUMS)
-        sums = _summed(asked if i < p.iterations - 1 else asked.union(asking), buckets)
+        if i == p.iterations - 1:
+            asked = asked.union(asking)
+        before, sums = sums, stored(asked.groupBy("bucket").applyInPandas(_sum_bucket(buckets, k), _SUMS))
+        discard(before)
         counts = np.zeros((n + k + 2, k))
         for r in sums.where("block = -1").select("words", "sums").collect():  # symbols + states + 2 rows of counts
             counts[np.frombuffer(r["words"], "<u8").astype(np.int64)] = np.frombuffer(r["sums"], "<f8").reshape(-1, k)
         norm = counts[:n].sum(axis=0) + counts[-1] + p.prior
         m = Model(_normal(counts[n] + 1e-3, 0), _normal(counts[n + 1 : n + 1 + k] + 1e-3, 1), (counts[:n] + p.prior * overall[:, None]) / norm)
-        known = Known(narrow(m), norm, p.prior, tables.weight, p.classes, buckets)
-        sums = sums.where("block >= 0")
+        known = Known(narrow(m), norm, p.prior, tables.weight, buckets)
     known.model = m
     return known, sums
 
@@ -447,33 +513,23 @@ def score_texts(docs: DataFrame, p: HiddenMarkov = HiddenMarkov()) -> DataFrame:
     """Per row of ``docs`` (doc_id, text, held_out): doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score and score, learned from the rows not held out.
 
-    A null text is empty and has its end token alone.  Rows count one by one, whatever
-    their ids.  If nothing is held back for training every word is unknown; no rows
-    give no rows.  Further columns are left out.
+    A null or empty text has its end token alone; a very long one is a sequence like any
+    other.  Rows count one by one, whatever their ids.  If nothing is held back for
+    training every word is unknown; no rows give no rows.  Further columns are left out.
     """
     training = docs.where("not held_out")
     counts = stored(token_counts(training))
-    tables, least_held = tables_of(counts, training.count(), p)
+    tables = tables_of(counts, training.count(), p)
     rows = sequences(docs, tables)
-    blocks = blocks_of(rows)
+    blocks = blocks_of(rows, tables)
+    discard(counts, rows)
     known, sums = train(blocks, tables, p)
-    chain = blocks.groupBy("block").cogroup(sums.groupBy("block")).applyInPandas(_score_block(known), "rid long, chain double")
-    denominator = float(np.log10(tables.tokens + tables.types + 1))
-    rest = rows.select("rid", F.explode("rest").alias("word")).join(counts.where(F.col("c") < least_held), "word", "left")
-    logc = F.log10(F.coalesce("c", F.lit(0)) + 1)
-    by_text = rest.groupBy("rid").agg(F.count("c").alias("rest_known"), F.sum(logc - denominator).alias("rest_base"))
-    out = rows.drop("symbols", "rare", "rest").join(chain, "rid").join(by_text, "rid", "left")
-    return out.select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("n_known") + F.coalesce("rest_known", F.lit(0))).alias("n_known"),
-        F.lit(tables.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rest_base", F.lit(0.0))).alias("base_score"),
-        F.col("chain").alias("score"),
-    )
+    scores = stored(blocks.groupBy("block").cogroup(sums.where("block >= 0").groupBy("block")).applyInPandas(_score_block(known), _SCORES))
+    discard(blocks, sums)
+    return scores.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tables.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def scored(docs: DataFrame, p: HiddenMarkov = HiddenMarkov()) -> DataFrame:
-    """``score_texts`` with remainder 2 of 7 held out."""
+    """``score_texts`` with remainder 2 of 7 held out; nulls, empty and very long texts,
+    repeated rows, empty tables and further columns count as there."""
     return score_texts(docs.select("doc_id", "text", (fold(F.col("doc_id"), 7) == 2).alias("held_out")), p)

@@ -178,7 +178,7 @@ def test_every_training_word_has_emissions(spark):
     p = hmm_lm.HiddenMarkov(states=3, iterations=4, symbols=4, classes=2, held_words=20)
     is_held = lambda i: brute.fold(i, 7) == 2 or i == 100
     docs = spark.createDataFrame([(i, t, is_held(i)) for i, t in mine], "doc_id long, text string, held_out boolean")
-    tables, _ = hmm_lm.tables_of(hmm_lm.token_counts(docs.where("not held_out")), sum(not is_held(i) for i, _ in mine), p)
+    tables = hmm_lm.tables_of(hmm_lm.token_counts(docs.where("not held_out")), sum(not is_held(i) for i, _ in mine), p)
     c = Counter(w for i, t in mine if not is_held(i) for w in brute.words(t))
     own = list(tables.index)
     rare = sorted(set(c) - set(own))
