@@ -30,12 +30,14 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import ascii_lower, bucketed, discard, partitions, stored
+from sluice.llm.common import bucketed, discard, partitions, stored
 from sluice.llm.langid import fold
-from sluice.llm.tokens import blocks as text_blocks
+from sluice.llm.tokens import bytes_of, slices
 
 
 #: In place of a symbol: a word that is none.
@@ -52,16 +54,31 @@ class HiddenMarkov:
     #: whose counts and emissions the tasks hold, at most.
     symbols: int = 30_000
     classes: int = 512
-    held_words: int = 300_000
+    held_words: int = 80_000
     #: Weight of the words' overall shares in a state's emissions, in tokens.
     prior: float = 50.0
     seed: int = 3
 
 
+def _split(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of all texts, one text's after the other's, and the text of each."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string()).fill_null("")))
+    words, text = split.flatten(), np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy(zero_copy_only=False))
+    there = pc.not_equal(words, "")  # a blank before the first word leaves an empty one
+    return words.filter(there).dictionary_encode(), text[there.to_numpy(zero_copy_only=False)]
+
+
+def _count_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for rows in slices(batch, most=16_000_000):
+            words, _ = _split(rows.column("text"))
+            counts = np.bincount(words.indices.to_numpy(), minlength=len(words.dictionary))
+            yield pa.RecordBatch.from_arrays([words.dictionary.cast(pa.string()), pa.array(counts, pa.int64())], ["word", "c"])
+
+
 def token_counts(texts: DataFrame) -> DataFrame:
     """(word, c) over the words of ``texts`` (text)."""
-    words = F.split(ascii_lower(F.coalesce("text", F.lit(""))), r"[\x20\x09-\x0D]+")
-    return texts.select(F.explode(words).alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("c"))
+    return texts.select("text").mapInArrow(_count_partition, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 def _least_count(histogram: list, most: int) -> int:
@@ -129,28 +146,28 @@ def tables_of(counts: DataFrame, n_docs: int, p: HiddenMarkov) -> Tables:
 
 
 def _sequence_partition(tables: Tables):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tables
         find, denominator = t.index.get, np.log10(t.tokens + t.types + 1)
         base = np.log10(t.counts + 1.0) - denominator
         end_base = float(np.log10(t.end_count + 1.0) - denominator)
-        for pdf in batches:
-            texts = list(pdf["text"])
-            for part in text_blocks(texts):
-                rows = []
-                for text in texts[part]:
-                    words = text.encode().lower().split() if text else []
-                    at = np.fromiter(map(find, words, repeat(-1)), np.int64, len(words))
-                    missing = np.flatnonzero(at < 0)
-                    known = at[at >= 0]
-                    symbols = np.full(len(words) + 1, t.end, np.int64)
-                    symbols[:-1] = np.where(at < 0, RARE, at)
-                    keys = np.fromiter((word_key(words[i]) for i in missing), "<u8", len(missing))
-                    rows.append((packed(symbols), keys.tobytes(), len(words) + 1, len(known) + (t.end_count > 0), float(base[known].sum()) + end_base))
-                out = pd.DataFrame(rows, columns=["symbols", "rare", "n_tokens", "n_known", "base"])
-                for c in ("rid", "doc_id", "held_out"):
-                    out[c] = pdf[c][part].array
-                yield out
+        for batch in batches:
+            for rows in slices(batch):
+                words, text = _split(rows.column("text"))
+                every, code, n = bytes_of(words.dictionary), words.indices.to_numpy(), rows.num_rows
+                place = np.fromiter(map(find, every, repeat(-1)), np.int64, len(every))
+                keys = np.array([0 if p >= 0 else word_key(w) for w, p in zip(every, place.tolist(), strict=True)], "<u8")
+                at = place[code]
+                rare = at < 0
+                length = np.bincount(text, minlength=n)
+                symbols = np.insert(np.where(rare, RARE, at), np.cumsum(length), t.end)
+                past, rare_past = np.cumsum(length + 1).tolist(), np.cumsum(np.bincount(text[rare], minlength=n)).tolist()
+                rare_keys = keys[code[rare]]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([packed(symbols[a:b]) for a, b in zip([0, *past], past)], pa.binary()), pa.array([rare_keys[a:b].tobytes() for a, b in zip([0, *rare_past], rare_past)], pa.binary()),
+                    pa.array(length + 1, pa.int64()), pa.array(np.bincount(text[~rare], minlength=n) + (t.end_count > 0), pa.int64()), pa.array(np.bincount(text[~rare], base[at[~rare]], n) + end_base),
+                    rows.column("rid"), rows.column("doc_id"), rows.column("held_out"),
+                ], ["symbols", "rare", "n_tokens", "n_known", "base", "rid", "doc_id", "held_out"])
 
     return run
 
@@ -160,7 +177,7 @@ def sequences(docs: DataFrame, tables: Tables) -> DataFrame:
     those words, and what its held words add to the base score."""
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "held_out", "text")
     schema = "symbols binary, rare binary, n_tokens long, n_known long, base double, rid long, doc_id long, held_out boolean"
-    return stored(rows.mapInPandas(_sequence_partition(tables), schema).sortWithinPartitions("n_tokens"))
+    return stored(rows.mapInArrow(_sequence_partition(tables), schema).sortWithinPartitions("n_tokens"))
 
 
 @dataclass
@@ -191,11 +208,11 @@ class Batch:
         """Emissions, scaled forward weights and scales of every token, by time step."""
         seen = m.emit[self.symbols]
         weight, scale = np.empty_like(seen), np.empty(len(seen), seen.dtype)
-        before = np.broadcast_to(m.start, (self.alive[0], len(m.start)))
+        before, ones = np.broadcast_to(m.start, (self.alive[0], len(m.start))), np.ones(len(m.start), seen.dtype)
         for t, n in enumerate(self.alive.tolist()):
             a, b = self.first[t], self.first[t] + n
             now = (before[:n] @ m.move if t else before) * seen[a:b]
-            s = now.sum(axis=1)
+            s = now @ ones
             now /= s[:, None]
             weight[a:b], scale[a:b] = now, s
             before = now
@@ -222,7 +239,7 @@ class Batch:
             moves += weight[a : a + n].T @ ahead
             back[a : a + n] = ahead @ m.move.T
         weight *= back
-        weight /= weight.sum(axis=1, keepdims=True)
+        weight /= (weight @ np.ones(len(m.start), weight.dtype))[:, None]
         move += moves * m.move
         start += weight[: self.alive[0]].sum(axis=0)
         for k in range(weight.shape[1]):

@@ -90,10 +90,12 @@ def _first(place: dict, n: int, rows: _Rows) -> dict:
     return kept
 
 
-def _bytes_of(chunks: pa.Array) -> list[bytes]:
+def bytes_of(chunks: pa.Array) -> list[bytes]:
     """``chunks``, which hold no line feed, as a list; one cut is faster than an object each."""
+    if len(chunks) == 0:
+        return []
     joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(chunks)], pa.int32()), chunks.cast(pa.binary())), b"\n")
-    return joined[0].as_py().split(b"\n") if len(chunks) else []
+    return joined[0].as_py().split(b"\n")
 
 
 class ChunkEncoder:
@@ -179,7 +181,7 @@ class ChunkEncoder:
         self._shrink()
         split = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
         chunks = split.flatten().dictionary_encode()
-        every = _bytes_of(chunks.dictionary)
+        every = bytes_of(chunks.dictionary)
         at = np.fromiter(map(self._place.get, every, repeat(-1)), np.int64, len(every))
         if missing := np.flatnonzero(at < 0).tolist():
             new = [every[i] for i in missing]
