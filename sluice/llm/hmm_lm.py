@@ -43,7 +43,7 @@ from sluice.llm.tokens import bytes_of, slices
 #: In place of a symbol: a word that is none.
 RARE = 0xFFFFFF
 #: Tokens of a block, and of a batch within, about.
-BLOCK, BATCH = 2_000_000, 600_000
+BLOCK, BATCH = 1_200_000, 250_000
 
 
 @dataclass(frozen=True)
@@ -70,7 +70,7 @@ def _split(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
 
 def _count_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for rows in slices(batch, most=16_000_000):
+        for rows in slices(batch, most=6_000_000):
             words, _ = _split(rows.column("text"))
             counts = np.bincount(words.indices.to_numpy(), minlength=len(words.dictionary))
             yield pa.RecordBatch.from_arrays([words.dictionary.cast(pa.string()), pa.array(counts, pa.int64())], ["word", "c"])
@@ -471,7 +471,7 @@ def _score_block(known: Known):
         for b in left.itertuples():
             m, symbols = known.local(b, right)
             lengths, texts = np.frombuffer(b.lengths, "<i4"), np.frombuffer(b.texts, _TEXT)
-            score = np.concatenate([batch.log10(m) for _, _, batch in _batches(symbols, lengths, BATCH // 2)]).astype(float)
+            score = np.concatenate([batch.log10(m) for _, _, batch in _batches(symbols, lengths, BATCH)]).astype(float)
             doc_id = pd.array(texts["doc_id"], "Int64")
             doc_id[texts["null"]] = pd.NA
             out.append(pd.DataFrame({"doc_id": doc_id, "held_out": bool(b.held_out), "n_tokens": lengths.astype(np.int64), "n_known": texts["known"].astype(np.int64), "base_score": texts["base"], "score": score}))
