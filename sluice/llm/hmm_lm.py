@@ -62,8 +62,9 @@ class HiddenMarkov:
 
 def _split(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     """The words of all texts, one text's after the other's, and the text of each."""
-    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string()).fill_null("")))
-    words, text = split.flatten(), np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy(zero_copy_only=False))
+    split = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+    # lower case comes after the split: of an array with an offset Arrow makes other text
+    words, text = pc.ascii_lower(split.flatten()), np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy(zero_copy_only=False))
     there = pc.not_equal(words, "")  # a blank before the first word leaves an empty one
     return words.filter(there).dictionary_encode(), text[there.to_numpy(zero_copy_only=False)]
 

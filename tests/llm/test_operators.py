@@ -171,6 +171,24 @@ def test_language_model(spark, docs):
     assert hmm_lm.scored(table(spark, []), p).count() == 0
 
 
+def test_words_of_slices():
+    """Slices of an Arrow batch give the words and ids of their own rows."""
+    import pyarrow as pa
+
+    rng = random.Random(9)
+    texts = [prose(rng, rng.randrange(40)) for _ in range(50)] + [None, "", "  Two words ", "ÉTÉ été"]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+    parts = list(tokens.slices(batch, most=300))
+    assert len(parts) > 5 and [t for p in parts for t in p.column(0).to_pylist()] == texts
+    encoder = tokens.ChunkEncoder(tokens.public_tokenizer_path())
+    for part in parts:
+        words, text = hmm_lm._split(part.column("text"))
+        own = part.column("text").to_pylist()
+        assert [(i, w.encode()) for i, w in zip(text.tolist(), words.to_pylist())] == [(i, w) for i, t in enumerate(own) for w in brute.words(t)]
+        flat, n = encoder.encode_flat(part.column("text"))
+        assert flat.tolist() == [x for t in own for x in encoder.encode(t).tolist()] and n.tolist() == [len(encoder.encode(t)) for t in own]
+
+
 def test_every_training_word_has_emissions(spark):
     """Scores against Baum-Welch on one dense table of all training words, most of which are not symbols."""
     rng = random.Random(8)
