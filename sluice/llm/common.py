@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import weakref
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,3 +133,12 @@ def partitions(spark: SparkSession) -> int:
 def small_enough(df: DataFrame, limit: int) -> bool:
     """Whether ``df`` has at most ``limit`` rows; reads no further than it must."""
     return df.limit(limit + 1).count() <= limit
+
+
+def give_back() -> None:
+    """Return what this Python worker has freed to the system; it lives on between tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

@@ -25,7 +25,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from hashlib import blake2b
 from itertools import repeat
 
 import numpy as np
@@ -34,8 +33,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
-from sluice.llm.common import bucketed, discard, partitions, stored
+from sluice.llm.common import bucketed, discard, give_back, partitions, stored
 from sluice.llm.langid import fold
 from sluice.llm.tokens import bytes_of, slices
 
@@ -43,7 +43,7 @@ from sluice.llm.tokens import bytes_of, slices
 #: In place of a symbol: a word that is none.
 RARE = 0xFFFFFF
 #: Tokens of a block, and of a batch within, about.
-BLOCK, BATCH = 1_200_000, 250_000
+BLOCK, BATCH = 600_000, 150_000
 
 
 @dataclass(frozen=True)
@@ -75,6 +75,7 @@ def _count_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             words, _ = _split(rows.column("text"))
             counts = np.bincount(words.indices.to_numpy(), minlength=len(words.dictionary))
             yield pa.RecordBatch.from_arrays([words.dictionary.cast(pa.string()), pa.array(counts, pa.int64())], ["word", "c"])
+    give_back()
 
 
 def token_counts(texts: DataFrame) -> DataFrame:
@@ -128,7 +129,7 @@ def unpacked(data: bytes) -> np.ndarray:
 
 def word_key(word: bytes) -> int:
     """64 bits that stand for a word."""
-    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+    return xxh64_intdigest(word)
 
 
 def tables_of(counts: DataFrame, n_docs: int, p: HiddenMarkov) -> Tables:
@@ -169,6 +170,7 @@ def _sequence_partition(tables: Tables):
                     pa.array(length + 1, pa.int64()), pa.array(np.bincount(text[~rare], minlength=n) + (t.end_count > 0), pa.int64()), pa.array(np.bincount(text[~rare], base[at[~rare]], n) + end_base),
                     rows.column("rid"), rows.column("doc_id"), rows.column("held_out"),
                 ], ["symbols", "rare", "n_tokens", "n_known", "base", "rid", "doc_id", "held_out"])
+        give_back()
 
     return run
 
@@ -209,11 +211,11 @@ class Batch:
         """Emissions, scaled forward weights and scales of every token, by time step."""
         seen = m.emit[self.symbols]
         weight, scale = np.empty_like(seen), np.empty(len(seen), seen.dtype)
-        before, ones = np.broadcast_to(m.start, (self.alive[0], len(m.start))), np.ones(len(m.start), seen.dtype)
+        before = np.broadcast_to(m.start, (self.alive[0], len(m.start)))
         for t, n in enumerate(self.alive.tolist()):
             a, b = self.first[t], self.first[t] + n
             now = (before[:n] @ m.move if t else before) * seen[a:b]
-            s = now @ ones
+            s = now.sum(axis=1)
             now /= s[:, None]
             weight[a:b], scale[a:b] = now, s
             before = now
@@ -240,7 +242,7 @@ class Batch:
             moves += weight[a : a + n].T @ ahead
             back[a : a + n] = ahead @ m.move.T
         weight *= back
-        weight /= (weight @ np.ones(len(m.start), weight.dtype))[:, None]
+        weight /= weight.sum(axis=1, keepdims=True)
         move += moves * m.move
         start += weight[: self.alive[0]].sum(axis=0)
         for k in range(weight.shape[1]):
@@ -279,6 +281,7 @@ def _block_partition(buckets: int):
         for held_out, rows in open_.items():
             if rows:
                 yield block(held_out, rows)
+        give_back()
 
     return run
 
@@ -427,6 +430,7 @@ def _expect_block(known: Known):
             start, move, emit = np.zeros(k), np.zeros((k, k)), np.zeros(m.emit.shape)
             for _, _, batch in _batches(symbols, np.frombuffer(b.lengths, "<i4"), BATCH):
                 batch.expect(m, start, move, emit)
+            give_back()
             own, words = emit[n:].astype("<f2"), np.frombuffer(b.words, "<u8")
             used = np.flatnonzero(emit[:n].sum(axis=1))
             # after the symbols: the start, the moves and the total of the other words

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import partitions, shared_dir, stored, write
+from sluice.llm.common import give_back, partitions, shared_dir, stored, write
 from sluice.llm.tokens import slices, worker_encoder
 
 MAGIC, HEAD, BLOCK_IDS = b"SLTP", struct.Struct("<4sHHIIQ"), 4096
@@ -142,6 +142,7 @@ def _encode_partition(path: str, end_id: int, kind: str, bounds: list[tuple]):
                 keys = zip(rows.column("doc_id").to_pylist(), rows.column("rid").to_pylist(), strict=True)
                 file = [bisect_right(bounds, _order(d, r)) for d, r in keys]
                 yield pa.RecordBatch.from_arrays([pa.array(file, pa.int32()), rows.column("doc_id"), rows.column("rid"), pa.array(n + 1), ids.cast(pa.binary())], ["file", "doc_id", "rid", "n", "ids"])
+        give_back()
 
     return run
 
