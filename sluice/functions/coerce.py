@@ -11,8 +11,9 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sluice.functions.jsonpath import as_text, present
-from sluice.functions.timestamps import from_epoch, parse_iso
+from sluice.functions.ip import V4
+from sluice.functions.jsonpath import as_text, bound, kind, present
+from sluice.functions.timestamps import epoch_of, parse_iso
 
 #: Bounds and Spark types of the integer types.
 INTEGERS = {
@@ -59,28 +60,28 @@ def spark_type(text: str) -> str:
     return plain.get(name, "string")
 
 
-def _point(value: Column, text: Column) -> Column:
+def _point(value: Column, text: Column, kind: Column) -> Column:
     """(longitude, latitude) from an object, GeoJSON, "lat,lon", [lon,lat] or WKT."""
     get = lambda p: F.try_variant_get(value, p, "double")
     two = r"^\s*(-?\d+(?:\.\d+)?)\s*,\s*(-?\d+(?:\.\d+)?)\s*$"
     wkt = r"(?i)^\s*POINT\s*\(\s*(-?\d+(?:\.\d+)?)\s+(-?\d+(?:\.\d+)?)\s*\)\s*$"
     part = lambda pattern, k: F.regexp_extract(text, pattern, k).try_cast("double")
-    array = F.schema_of_variant(value).startswith("ARRAY")
-    string = F.schema_of_variant(value) == "STRING"
+    array, string = kind.startswith("ARRAY"), kind == "STRING"
     x = F.coalesce(F.when(array, get("$[0]")), F.when(string, F.coalesce(part(wkt, 1), part(two, 2))), get("$.lon"), get("$.lng"), get("$.longitude"), get("$.x"), get("$.coordinates[0]"))
     y = F.coalesce(F.when(array, get("$[1]")), F.when(string, F.coalesce(part(wkt, 2), part(two, 1))), get("$.lat"), get("$.latitude"), get("$.y"), get("$.coordinates[1]"))
-    return F.when((F.abs(x) <= 180) & (F.abs(y) <= 90), F.struct(x.alias("x"), y.alias("y")))
+    return bound(F.struct(x.alias("x"), y.alias("y")), lambda p: F.when((F.abs(p["x"]) <= 180) & (F.abs(p["y"]) <= 90), p))
 
 
-_V4 = r"^(25[0-5]|2[0-4]\d|1?\d?\d)(\.(25[0-5]|2[0-4]\d|1?\d?\d)){3}$"
-
-
-def _scalar(name: str, args: list[str], value: Column, text: Column) -> Column:
-    kind = F.schema_of_variant(value)
+def _scalar(name: str, args: list[str], value: Column, text: Column, kind: Column) -> Column:
+    if name in INTEGERS and INTEGERS[name][2] in ("tinyint", "smallint", "int", "bigint"):
+        low, high, spark = INTEGERS[name]
+        whole = F.when(text.contains("."), F.regexp_extract(text, r"^\s*([+-]?\d+)\.0*\s*$", 1).try_cast("long"))
+        n = F.coalesce(text.try_cast("long"), whole, F.when(kind == "BOOLEAN", (text == "true").cast("long")))
+        return n.try_cast(spark) if low < 0 else bound(n, lambda n: F.when(n.between(low, high), n.try_cast(spark)))
     if name in INTEGERS:
         low, high, spark = INTEGERS[name]
         n = F.when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("int").cast("decimal(38,0)")).otherwise(F.when(text.rlike(r"^\s*[+-]?\d+(\.0*)?\s*$"), text.try_cast("decimal(38,0)")))
-        return F.when((n >= F.lit(str(low)).cast("decimal(38,0)")) & (n <= F.lit(str(high)).cast("decimal(38,0)")), n.try_cast(spark))
+        return bound(n, lambda n: F.when((n >= F.lit(str(low)).cast("decimal(38,0)")) & (n <= F.lit(str(high)).cast("decimal(38,0)")), n.try_cast(spark)))
     if name == "Decimal":
         p, s = int(args[0]), int(args[1]) if len(args) > 1 else 0
         if p > 38:
@@ -90,14 +91,13 @@ def _scalar(name: str, args: list[str], value: Column, text: Column) -> Column:
     if name in ("Float32", "Float64"):
         return text.try_cast("float" if name == "Float32" else "double")
     if name == "Bool":
-        return F.when(F.lower(text).isin("true", "1"), True).when(F.lower(text).isin("false", "0"), False)
+        return F.when(text.rlike("^(?i:true|1)$"), True).when(text.rlike("^(?i:false|0)$"), False)
     if name in ("Date", "Date32"):
-        day = F.when(text.rlike(r"^\d{4}-\d\d-\d\d$"), text.try_cast("date"))
+        day = F.when(F.length(text) == 10, F.when(text.rlike(r"^\d{4}-\d\d-\d\d$"), text.try_cast("date")))
         low, high = ("1970-01-01", "2149-06-06") if name == "Date" else ("1900-01-01", "2299-12-31")
-        return F.when(day.between(low, high), day)
+        return bound(day, lambda d: F.when(d.between(low, high), d))
     if name in ("DateTime", "DateTime64"):
-        number = F.when(text.rlike(r"^-?\d{1,19}$"), text.try_cast("long"))
-        ts = F.coalesce(parse_iso(text), from_epoch(number))
+        ts = F.coalesce(parse_iso(text), epoch_of(text))
         return F.date_trunc("second", ts) if name == "DateTime" else ts
     if name == "UUID":
         plain = F.lower(F.regexp_replace(text, "-", ""))
@@ -105,9 +105,9 @@ def _scalar(name: str, args: list[str], value: Column, text: Column) -> Column:
         return F.when(text.rlike(r"(?i)^([0-9a-f]{32}|[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12})$"), F.concat_ws("-", *parts))
     if name == "IPv4":
         octets = [F.shiftright(text.try_cast("long"), s).bitwiseAND(255).cast("string") for s in (24, 16, 8, 0)]
-        return F.when(text.rlike(_V4), text).when(text.rlike(r"^\d{1,10}$") & (text.try_cast("long") < 2**32), F.concat_ws(".", *octets))
+        return F.when(text.rlike(V4), text).when(text.rlike(r"^\d{1,10}$") & (text.try_cast("long") < 2**32), F.concat_ws(".", *octets))
     if name == "IPv6":
-        return F.when(text.rlike(_V4), F.concat(F.lit("::ffff:"), text)).when(text.rlike(r"^[0-9A-Fa-f:]*:[0-9A-Fa-f:.]*$"), F.lower(text))
+        return F.when(text.rlike(V4), F.concat(F.lit("::ffff:"), text)).when(text.rlike(r"^[0-9A-Fa-f:]*:[0-9A-Fa-f:.]*$"), F.lower(text))
     if name in ("Enum8", "Enum16"):
         pairs = [re.fullmatch(r"'(.*)'\s*=\s*(-?\d+)", a) for a in args]
         by_number = F.create_map(*[F.lit(x) for m in pairs for x in (m[2], m[1])])
@@ -124,43 +124,56 @@ def _scalar(name: str, args: list[str], value: Column, text: Column) -> Column:
     return text
 
 
-def _convert(type_: str, value: Column) -> Column:
+def _read(value: Column) -> Column:
+    """A variant with its text and kind, to be read once."""
+    return F.struct(value.alias("value"), as_text(value).alias("text"), kind(value).alias("kind"))
+
+
+def _convert(type_: str, value: Column, text: Column, kind: Column) -> Column:
     """The value in its Spark type; null if it doesn't fit."""
     name, args = split_type(type_)
     if name in ("Nullable", "LowCardinality"):
-        return _convert(args[0], value)
+        return _convert(args[0], value, text, kind)
     if name in ("Ring", "LineString"):
-        return _convert("Array(Point)", value)
+        return _convert("Array(Point)", value, text, kind)
     if name in ("Polygon", "MultiLineString"):
-        return _convert("Array(Ring)", value)
+        return _convert("Array(Ring)", value, text, kind)
     if name == "MultiPolygon":
-        return _convert("Array(Polygon)", value)
+        return _convert("Array(Polygon)", value, text, kind)
     if name == "Point":
-        return _point(value, as_text(value))
+        return _point(value, text, kind)
     if name == "Array":
         items = F.try_variant_get(value, "$", "array<variant>")
-        one = F.schema_of_variant(value)
-        single = one.startswith("OBJECT") if args[0] != "Point" else F.lit(False)
+        single = kind.startswith("OBJECT") if args[0] != "Point" else F.lit(False)
         if args[0] == "Point":  # a bare pair of numbers is one point
-            items = F.when(_point(value, as_text(value)).isNotNull() & one.startswith("ARRAY"), F.array(value)).otherwise(items)
-        each = F.transform(F.coalesce(items, F.array(value)), lambda x: _convert(args[0], x))
+            items = F.when(kind.startswith("ARRAY") & _point(value, text, kind).isNotNull(), F.array(value)).otherwise(items)
+        each = F.transform(F.transform(F.coalesce(items, F.array(value)), _read), lambda x: _convert(args[0], x["value"], x["text"], x["kind"]))
         nullable = split_type(args[0])[0] == "Nullable"
-        bad = F.lit(False) if nullable else F.exists(each, lambda x: x.isNull())
-        return F.when(~single & ~bad, each)
+        return F.when(~single, each if nullable else bound(each, lambda e: F.when(~F.exists(e, lambda x: x.isNull()), e)))
     if name == "Map":
         items = F.try_variant_get(value, "$", "map<string,variant>")
-        made = F.transform_values(items, lambda _, x: _convert(args[1], x))
+        made = F.transform_values(F.transform_values(items, lambda _, x: _read(x)), lambda _, x: _convert(args[1], x["value"], x["text"], x["kind"]))
         keys = spark_type(args[0])
         return made if keys == "string" else F.transform_keys(made, lambda k, _: k.try_cast(keys))
-    return _scalar(name, args, value, as_text(value))
+    return _scalar(name, args, value, text, kind)
+
+
+def made_of(type_: str, value: Column, text: Column, kind: Column) -> Column:
+    """A value of ``type_`` from a variant column, its text and its kind; null if there is
+    none, if it is a JSON null, or if the type cannot hold it."""
+    return F.when(text.isNotNull(), _convert(type_, value, text, kind).cast(spark_type(type_)))
+
+
+def finished(type_: str, made: Column, text: Column) -> tuple[Column, Column]:
+    """What ``made_of`` gave, for an array the empty one where nothing is there, and whether
+    something is there that the type cannot hold."""
+    empty = split_type(type_)[0] == "Array"
+    return (F.when(text.isNull(), F.array().cast(spark_type(type_))).otherwise(made) if empty else made), text.isNotNull() & made.isNull()
 
 
 def coerced(type_: str, value: Column) -> tuple[Column, Column]:
     """The value of ``type_`` and whether a value is there that the type cannot hold.
     A missing value, or a JSON null, is null; for an array it is the empty array."""
-    spark = spark_type(type_)
     there = present(value)
-    made = _convert(type_, there).cast(spark)
-    if split_type(type_)[0] == "Array":
-        return F.when(there.isNull(), F.array().cast(spark)).otherwise(made), there.isNotNull() & made.isNull()
-    return F.when(there.isNotNull(), made), there.isNotNull() & made.isNull()
+    both = bound(_read(there), lambda x: F.struct(x["text"].alias("text"), made_of(type_, x["value"], x["text"], x["kind"]).alias("made")))
+    return finished(type_, both["made"], both["text"])

@@ -1,30 +1,70 @@
-"""Addresses: numbers, private ranges, selection."""
+"""Addresses: numbers, private ranges, selection, in DataFrame functions.
+
+An address of either kind is 128 bits as two whole numbers, ``hi`` and ``lo``; one of
+IPv4 counts as its mapped address (::ffff:0:0/96).
+"""
 
 from __future__ import annotations
 
 import ipaddress
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_V4 = r"^(25[0-5]|2[0-4]\d|1?\d?\d)(\.(25[0-5]|2[0-4]\d|1?\d?\d)){3}$"
-#: IPv4 ranges that are not on the public internet (fixed by the public registries).
+from sluice.functions.jsonpath import bound
+
+_OCTET = r"(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+V4 = rf"^{_OCTET}(\.{_OCTET}){{3}}$"
+#: Ranges that are not on the public internet (fixed by the public registries).
 PRIVATE_V4 = (
     "0.0.0.0/32", "10.0.0.0/8", "100.64.0.0/10", "127.0.0.0/8", "169.254.0.0/16", "172.16.0.0/12", "192.0.2.0/24", "192.168.0.0/16",
     "198.51.100.0/24", "203.0.113.0/24", "255.255.255.255/32",
 )
-PRIVATE_V6 = tuple(map(ipaddress.ip_network, ("::/128", "::1/128", "fc00::/7", "fe80::/10")))
+PRIVATE_V6 = ("::/128", "::1/128", "fc00::/7", "fe80::/10")
+_MAPPED = 0xFFFF << 32
 
 
 def v4_number(text: Column) -> Column:
     """An IPv4 address as a number; null for any other text."""
-    parts = F.split(text, r"\.")
-    number = F.lit(0).cast("long")
-    for k in range(4):
-        number = number * 256 + F.get(parts, F.lit(k)).try_cast("long")
-    return F.when(text.rlike(_V4), number)
+    number = F.aggregate(F.split(text, r"\."), F.lit(0).cast("long"), lambda n, x: n * 256 + x.cast("long"))
+    return F.when(text.rlike(V4), number)
+
+
+def _v6(text: Column) -> Column:
+    """struct(hi, lo) of an IPv6 address; null for any other text."""
+
+    def read(t: Column) -> Column:
+        sides = F.split(t, "::")
+        groups = lambda k: F.filter(F.split(F.coalesce(F.get(sides, F.lit(k)), F.lit("")), ":"), lambda g: g != "")
+        padded = lambda gs: F.array_join(F.transform(gs, lambda g: F.lpad(g, 4, "0")), "")
+
+        def made(x: Column) -> Column:
+            n = F.size(x["left"]) + F.size(x["right"])
+            fits = F.when(F.size(sides) == 2, n <= 7).otherwise(n == 8) & (F.size(sides) <= 2)
+            hexes = F.concat(padded(x["left"]), F.repeat(F.lit("0000"), 8 - n), padded(x["right"]))
+            part = lambda k: F.conv(F.substring(hexes, k, 16), 16, -10).cast("long")
+            return F.when(fits, F.struct(part(1).alias("hi"), part(17).alias("lo")))
+
+        shaped = t.rlike(r"^[0-9a-f:]+$") & ~t.rlike(r"[0-9a-f]{5}|^:[^:]|[^:]:$|:::")
+        return F.when(shaped, bound(F.struct(groups(0).alias("left"), groups(1).alias("right")), made))
+
+    def tail(n: Column) -> Column:
+        return F.concat(F.lower(F.hex(F.shiftright(n, 16))), F.lit(":"), F.lower(F.hex(n.bitwiseAND(0xFFFF))))
+
+    low = F.lower(text)
+    dotted = F.concat(F.regexp_extract(low, r"^(.*:)[0-9.]+$", 1), bound(v4_number(F.regexp_extract(low, r":([0-9.]+)$", 1)), tail))
+    return F.when(text.contains(":"), bound(F.when(text.contains("."), dotted).otherwise(low), read))
+
+
+def address(text: Column) -> Column:
+    """struct(hi, lo) of an address of either kind; null for any other text."""
+    mapped = lambda n: F.when(n.isNotNull(), F.struct(F.lit(0).cast("long").alias("hi"), (n + _MAPPED).alias("lo")))
+    return F.coalesce(bound(v4_number(text), mapped), _v6(text))
+
+
+def is_v4(a: Column) -> Column:
+    return (a["hi"] == 0) & (F.shiftrightunsigned(a["lo"], 32) == 0xFFFF)
 
 
 def v4_bounds(network: str) -> tuple[int, int]:
@@ -32,30 +72,31 @@ def v4_bounds(network: str) -> tuple[int, int]:
     return int(n.network_address), int(n.broadcast_address)
 
 
-@F.pandas_udf(T.BooleanType())
-def _private_v6(texts: pd.Series) -> pd.Series:
-    def one(text: str | None) -> bool | None:
-        try:
-            a = ipaddress.IPv6Address(text)
-        except ValueError:
-            return None
-        return any(a in n for n in PRIVATE_V6)
+def private_v4(n: Column) -> Column:
+    """Whether the number of an IPv4 address is private."""
+    return reduce(lambda x, y: x | y, [n.between(low, high) for low, high in map(v4_bounds, PRIVATE_V4)])
+
+
+def private(a: Column) -> Column:
+    """Whether an ``address`` is private."""
+
+    def held(network: str) -> Column:
+        n = ipaddress.IPv6Network(network)
+        signed = lambda x: x - (1 << 64) if x >> 63 else x
+        hi, lo = (signed(int(n.network_address) >> s & (1 << 64) - 1) for s in (64, 0))
+        return F.shiftrightunsigned(a["hi"], 64 - n.prefixlen) == int(n.network_address) >> 128 - n.prefixlen if n.prefixlen <= 64 else (a["hi"] == hi) & (a["lo"] == lo)
 
-    return texts.map(one)
+    return F.when(is_v4(a), private_v4(a["lo"] - _MAPPED)).otherwise(reduce(lambda x, y: x | y, map(held, PRIVATE_V6)))
 
 
 def is_private_v4(text: Column) -> Column:
     """Whether an IPv4 address is private; null if it is none."""
-    n, found = v4_number(text), F.lit(False)
-    for low, high in map(v4_bounds, PRIVATE_V4):
-        found = found | n.between(low, high)
-    return F.when(n.isNotNull(), found)
+    return bound(v4_number(text), private_v4)
 
 
 def is_private(text: Column) -> Column:
-    """Whether an address of either kind is private; null if it is neither.  Runs
-    Python for IPv6; ``is_private_v4`` does not."""
-    return F.coalesce(is_private_v4(text), _private_v6(text))
+    """Whether an address of either kind is private; null if it is neither."""
+    return bound(address(text), lambda a: F.when(a.isNotNull(), private(a)))
 
 
 def first_address(*columns: Column) -> Column:

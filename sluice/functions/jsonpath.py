@@ -7,6 +7,8 @@ tried, longest keys first.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,6 +38,11 @@ def at(record: Column, keys: list[str]) -> Column:
     return F.try_variant_get(record, quoted(keys), "variant")
 
 
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def field(record: Column, path: str) -> Column:
     """The value at a dotted path; null if missing or JSON null."""
     found = [present(at(record, keys)) for keys in readings(path)]
@@ -54,7 +61,11 @@ def kind(value: Column) -> Column:
 
 def string_field(record: Column, path: str) -> Column:
     """A string at a strict path (each dot a step); null for every other kind."""
-    value = at(record, path.split("."))
+    return string_of(at(record, path.split(".")))
+
+
+def string_of(value: Column) -> Column:
+    """A variant that is a string as text; null for every other kind."""
     return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
 
 
@@ -64,5 +75,5 @@ def first_string(record: Column, paths: tuple[str, ...]) -> Column:
 
 
 def as_text(value: Column) -> Column:
-    """A variant as text: strings as they are, everything else as JSON."""
-    return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string")).otherwise(F.to_json(value))
+    """A variant as text: strings as they are, everything else as JSON, JSON null as null."""
+    return F.try_variant_get(value, "$", "string")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sluice.functions.jsonpath import bound
+
 _ISO = r"^\d{4}-\d\d-\d\d[Tt ]\d\d:\d\d:[0-5]\d(\.\d+)?([Zz]|[+-]\d\d(:?\d\d)?)?$"
 #: Formats without a zone that are read as UTC when the strict form fails.
 NAIVE = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm", "yyyy/MM/dd HH:mm:ss", "dd/MMM/yyyy:HH:mm:ss", "MM/dd/yyyy HH:mm:ss", "yyyyMMddHHmmss")
@@ -13,14 +15,7 @@ NAIVE = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm", "yyyy/MM/dd HH:mm:ss", "dd
 def parse_iso(text: Column) -> Column:
     """A full date and time with optional fraction and zone (none: UTC), else null.
     Digits past the sixth are dropped."""
-    day = F.substring(text, 1, 10)
-    time = F.substring(text, 12, 8)
-    fraction = F.regexp_extract(text, r"\.(\d{1,6})", 1)
-    zone = F.regexp_extract(F.substring(text, 20, 40), r"([Zz]|[+-]\d\d(?::?\d\d)?)$", 1)
-    hours, minutes = F.substring(zone, 1, 3), F.regexp_extract(zone, r"^[+-]\d\d:?(\d\d)$", 1)
-    shift = F.when((zone == "") | (F.upper(zone) == "Z"), F.lit("Z")).otherwise(F.concat(hours, F.lit(":"), F.when(minutes == "", "00").otherwise(minutes)))
-    joined = F.concat(day, F.lit("T"), time, F.when(fraction == "", "").otherwise(F.concat(F.lit("."), fraction)), shift)
-    return F.when(text.rlike(_ISO), joined.try_cast("timestamp"))
+    return F.when(text.rlike(_ISO), F.upper(text).try_cast("timestamp"))
 
 
 def utc_text(ts: Column) -> Column:
@@ -43,6 +38,12 @@ def from_epoch(number: Column) -> Column:
     return F.timestamp_micros(micros.cast("long"))
 
 
+def epoch_of(text: Column) -> Column:
+    """A number as text: a whole one by its magnitude, one with a fraction as seconds."""
+    whole = bound(text.try_cast("long"), from_epoch)
+    return F.when(text.rlike(r"^-?\d{1,19}$"), whole).when(text.rlike(r"^-?\d{1,12}\.\d+$"), F.timestamp_seconds(text.try_cast("decimal(24,6)")))
+
+
 def from_unix(number: Column) -> Column:
     """A whole number as milliseconds above 10**12, else as seconds."""
     return F.when(number > 10**12, F.timestamp_millis(number.cast("long"))).otherwise(F.timestamp_seconds(number))
@@ -55,8 +56,7 @@ def lenient(text: Column) -> Column:
 
 def repaired(text: Column) -> Column:
     """Digits alone as an epoch: above 10**12 milliseconds, above 10**9 seconds."""
-    digits = F.when(text.rlike(r"^\d{1,18}$"), text.try_cast("long"))
-    return F.when(digits > 10**12, F.timestamp_millis(digits)).when(digits > 10**9, F.timestamp_seconds(digits))
+    return F.when(text.rlike(r"^\d{1,18}$"), bound(text.try_cast("long"), lambda n: F.when(n > 10**12, F.timestamp_millis(n)).when(n > 10**9, F.timestamp_seconds(n))))
 
 
 def within(ts: Column, now: Column, future: int, past: int) -> Column:
@@ -65,14 +65,20 @@ def within(ts: Column, now: Column, future: int, past: int) -> Column:
     return ~(ahead > future) & (F.lit(True) if past == 0 else ~(-ahead > past))
 
 
-def checked(text: Column, number: Column, now: Column, future: int, past: int) -> Column:
-    """struct(ts, quality): ``valid``, ``corrected`` for a repaired value (which is not
-    held to the bounds), or ``replaced`` by ``now``."""
-    parsed = F.coalesce(lenient(text), from_epoch(number))
+def believed(parsed: Column, text: Column, now: Column, future: int, past: int) -> Column:
+    """struct(ts, quality) of a value that was parsed (or null): ``valid``, ``corrected``
+    for a repaired one (which is not held to the bounds), or ``replaced`` by ``now``."""
     good = F.when(parsed.isNotNull() & within(parsed, now, future, past), parsed)
     fixed = F.when(parsed.isNull(), repaired(text))
-    quality = F.when(good.isNotNull(), "valid").when(fixed.isNotNull(), "corrected").otherwise("replaced")
-    return F.struct(F.coalesce(good, fixed, now).alias("ts"), quality.alias("quality"))
+    return bound(
+        F.struct(good.alias("good"), fixed.alias("fixed")),
+        lambda x: F.struct(F.coalesce(x["good"], x["fixed"], now).alias("ts"), F.when(x["good"].isNotNull(), "valid").when(x["fixed"].isNotNull(), "corrected").otherwise("replaced").alias("quality")),
+    )
+
+
+def checked(text: Column, number: Column, now: Column, future: int, past: int) -> Column:
+    """``believed`` of text, or else of a number."""
+    return bound(F.coalesce(lenient(text), from_epoch(number)), lambda p: believed(p, text, now, future, past))
 
 
 def clamped(ts: Column, low: str = "1900-01-01", high: str = "2299-12-31 23:59:59.999") -> Column:
