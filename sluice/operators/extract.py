@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions import jsonpath, timestamps
-from sluice.functions.coerce import coerced, spark_type
+from sluice.functions.coerce import finished, made_of, spark_type
 from sluice.operators.directives import Directive, Literal, directive_of
 from sluice.operators.model import CAPTURE, ColumnSpec, Settings, TableSpec
 
@@ -46,24 +46,20 @@ def default_of(directive: Directive, type_: str, now: Column) -> Column:
     return (found if found is not None else F.lit(None)).try_cast(spark)
 
 
-def _payload(blank_is_absent: bool, value: Column) -> Column:
-    return F.when(jsonpath.as_text(value) != "", value) if blank_is_absent else value
-
-
-def extract(df: DataFrame, table: TableSpec, settings: Settings, now: Column | None = None) -> DataFrame:
-    """One select: the table's columns from ``_record`` beside the columns of ``df``.
+def extract(df: DataFrame, table: TableSpec, settings: Settings, now: Column | None = None, inputs: tuple[str, ...] = ()) -> DataFrame:
+    """The table's columns from ``_record`` beside the columns of ``df``, in steps that read
+    every field, its text and its kind once each.
 
     Adds ``_reject`` where a value doesn't fit its column (with column and text) or
     where nothing was promoted and the capture mode doesn't keep the payload, and
-    ``_unstored``, the top-level keys that no column reads.
+    ``_unstored``, the top-level keys that no column reads.  ``inputs`` are paths that
+    later stages read though the table has no such column; they come along as text.
     """
     now = F.date_trunc("millisecond", F.current_timestamp()) if now is None else now
-    record, mode = F.col("_record"), settings.capture_of(table)
+    mode = settings.capture_of(table)
     to_json, to_raw = CAPTURE[mode]
     made: dict[str, Column] = {}
-    bad: list[Column] = []
-    read: set[str] = set()
-    promoted: list[Column] = []
+    fields: dict[str, tuple[ColumnSpec, Directive, tuple[str, ...]]] = {}
     for c in table.columns:
         d = directive_of(table, c, settings)
         paths = sources_of(c, d, settings)
@@ -71,50 +67,69 @@ def extract(df: DataFrame, table: TableSpec, settings: Settings, now: Column | N
             continue
         if c.name == "_json" and not d.source:
             made["_json"] = F.col("value") if to_json else F.lit(None).cast("string")
-            continue
-        if c.name == "_raw" and mode == "raw_only":
+        elif c.name == "_raw" and mode == "raw_only":
             made["_raw"] = F.col("value")
-            continue
-        if c.name == "_raw" and not to_raw and mode != "full":
+        elif c.name == "_raw" and not to_raw and mode != "full":
             made["_raw"] = F.lit(None).cast("string")
-            continue
-        value = _payload(c.name in ("_org_id", "_source"), jsonpath.first_field(record, paths))
-        read.update(p.split(".")[0] for p in paths)
-        read.update(paths)
-        if c.name == "_org_id":
-            made[c.name] = F.col("_org") if "_org" in df.columns else F.coalesce(jsonpath.as_text(value), F.lit(settings.routing.default_org_id))
-            continue
-        if c.name == "_timestamp":
-            text = jsonpath.as_text(value)
-            number = F.when(text.rlike(r"^-?\d{1,19}$") & (jsonpath.kind(value) != "STRING"), text.try_cast("long"))
-            if settings.quality is None:
-                made[c.name] = F.coalesce(timestamps.parse_iso(text), timestamps.from_epoch(number), now)
-            else:
-                made[c.name] = timestamps.checked(text, number, now, settings.quality.max_future_seconds, settings.quality.max_past_seconds)["ts"]
-            promoted.append(value.isNotNull())
-            continue
-        out, wrong = coerced(c.type, value)
-        if c.name == "_timestamp_received":
-            out = F.coalesce(out, now.cast(spark_type(c.type)))
-        elif c.name == "_json":
-            out = F.coalesce(out, F.lit("{}"))
+        elif c.name == "_org_id" and "_org" in df.columns:
+            made["_org_id"] = F.col("_org")
+        else:
+            fields[c.name] = (c, d, paths)
+    extra = [p for p in inputs if p not in fields and p not in made and p not in df.columns]
+    names = {n: f"_f{k}" for k, n in enumerate([*fields, *extra])}
+    all_paths = {n: fields[n][2] if n in fields else (n,) for n in names}
+    # the fields, each way of reading a path once
+    readings = [tuple(keys) for n in names for p in all_paths[n] for keys in jsonpath.readings(p)]
+    raw = {keys: f"_raw_{k}" for k, keys in enumerate(dict.fromkeys(readings))}
+    df = df.withColumns({c: jsonpath.at(F.col("_record"), list(keys)) for keys, c in raw.items()})
+
+    def chosen(n: str) -> Column:
+        found = [F.col(raw[tuple(keys)]) for p in all_paths[n] for keys in jsonpath.readings(p)]
+        return found[0] if len(found) == 1 else F.coalesce(*map(jsonpath.present, found))
+
+    df = df.withColumns({v: chosen(n) for n, v in names.items()}).drop(*raw.values())
+    blank = lambda n, t: F.nullif(t, F.lit("")) if n in ("_org_id", "_source") else t
+    df = df.withColumns({f"{v}t": blank(n, jsonpath.as_text(F.col(v))) for n, v in names.items()} | {f"{v}k": jsonpath.kind(F.col(v)) for n, v in names.items() if n in fields})
+    text = {n: F.col(f"{v}t") for n, v in names.items()}
+    # values of the columns' types
+    staged: dict[str, Column] = {}
+    for n, (c, d, _) in fields.items():
+        v, t, k = F.col(names[n]), text[n], F.col(f"{names[n]}k")
+        if n == "_timestamp":
+            parse = timestamps.parse_iso if settings.quality is None else timestamps.lenient
+            staged[n] = F.coalesce(parse(t), F.when(k != "STRING", timestamps.epoch_of(t)))
+        elif n != "_org_id":
+            staged[n] = made_of(c.type, v, t, k)
+    df = df.withColumns({f"{names[n]}m": v for n, v in staged.items()})
+    bad: list[Column] = []
+    for n, (c, d, _) in fields.items():
+        t, m = text[n], F.col(f"{names[n]}m")
+        if n == "_org_id":
+            made[n] = F.coalesce(t, F.lit(settings.routing.default_org_id))
+        elif n == "_timestamp":
+            q = settings.quality
+            made[n] = F.coalesce(m, now) if q is None else timestamps.believed(m, t, now, q.max_future_seconds, q.max_past_seconds)["ts"]
         else:
-            out = F.coalesce(F.when(value.isNotNull(), out), default_of(d, c.type, now)) if d.default is not None else out
-        made[c.name] = out
-        bad.append(F.when(wrong, F.concat(F.lit(f"{c.name} ({c.type}) cannot hold "), F.substring(jsonpath.as_text(value), 1, 60))))
-        promoted.append(value.isNotNull())
+            out, wrong = finished(c.type, m, t)
+            if n == "_timestamp_received":
+                out = F.coalesce(out, now.cast(spark_type(c.type)))
+            elif n == "_json":
+                out = F.coalesce(out, F.lit("{}"))
+            elif d.default is not None:
+                out = F.coalesce(F.when(t.isNotNull(), out), default_of(d, c.type, now))
+            made[n] = out
+            bad.append(F.when(wrong, F.concat(F.lit(f"{c.name} ({c.type}) cannot hold "), F.substring(t, 1, 60))))
+    read = {x for n in fields for p in all_paths[n] for x in (p, p.split(".")[0])} | {table_field for table_field in ("_org_id",) if "_org_id" in made}
     keys = F.json_object_keys("value")
     unstored = F.filter(keys, lambda k: ~k.startswith("_") & ~k.isin(*read)) if read else keys
-    some = F.lit(False)
-    for p in promoted:
-        some = some | p
-    stored = any(CAPTURE[mode])
+    promoted = F.coalesce(*[text[n] for n in fields if n != "_org_id"]).isNotNull() if set(fields) - {"_org_id"} else F.lit(False)
     reasons = F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>")
     before = F.col("_reject") if "_reject" in df.columns else F.lit(None).cast("string")
-    nothing = F.lit(None).cast("string") if stored else F.when(~some, "no column was promoted")
-    reject = F.coalesce(before, F.when(F.size(reasons) > 0, F.array_join(reasons, "; ")), nothing)
-    kept = [F.col(f"`{x}`") for x in df.columns if x != "_reject" and x not in made]
-    return df.select(*kept, *[v.alias(k) for k, v in made.items()], F.coalesce(unstored, F.array().cast("array<string>")).alias("_unstored"), reject.alias("_reject"))
+    nothing = F.lit(None).cast("string") if any(CAPTURE[mode]) else F.when(~promoted, "no column was promoted")
+    refused = F.when(F.coalesce(*bad).isNotNull(), F.array_join(reasons, "; ")) if bad else F.lit(None).cast("string")
+    inner = {x for v in names.values() for x in (v, f"{v}t", f"{v}k", f"{v}m")}
+    kept = [F.col(f"`{x}`") for x in df.columns if x != "_reject" and x not in made and x not in inner]
+    return df.select(*kept, *[v.alias(k) for k, v in made.items()], *[text[p].alias(p) for p in extra], F.coalesce(unstored, F.array().cast("array<string>")).alias("_unstored"), F.coalesce(before, refused, nothing).alias("_reject"))
 
 
 def project(df: DataFrame, columns: list[str]) -> tuple[DataFrame, list[str], list[str]]:

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.functions import jsonpath
+
 HEADER_KEYS = ("_org_id", "_source")
 _BLANK = " \t\r\n"
 
@@ -28,13 +30,19 @@ def _rejecting(df: DataFrame, bad: Column, reason: Column | str) -> DataFrame:
     return df.withColumn("_reject", F.coalesce(before, F.when(bad, F.lit(reason) if isinstance(reason, str) else reason)))
 
 
+def _split(df: DataFrame, looks: Column, parts: Column) -> DataFrame:
+    """A row for each of ``parts`` of a value that ``looks`` like a batch; a null list, as
+    any other value, leaves the row alone."""
+    own = F.array("value")
+    return df.withColumn("value", F.explode(F.when(looks, F.coalesce(parts, own)).otherwise(own)))
+
+
 def split_arrays(df: DataFrame) -> DataFrame:
     """A value that is a non-empty JSON array of objects alone becomes a row for each;
     any other value stays as it is.  Elements are the same JSON, without blanks."""
-    parts = F.from_json("value", "array<string>")
-    all_objects = (F.size(parts) > 0) & F.forall(parts, lambda x: F.coalesce(x.startswith("{"), F.lit(False)))
-    looks = F.ltrim("value").startswith("[") & F.rtrim("value").endswith("]")
-    return df.withColumn("value", F.explode_outer(F.when(looks & all_objects, parts).otherwise(F.array("value"))))
+    looks = F.col("value").startswith("[") | F.col("value").rlike(r"^[ \t\r\n]+\[")
+    objects = lambda x: F.when((F.size(x) > 0) & F.forall(x, lambda e: F.coalesce(e.startswith("{"), F.lit(False))) & F.rtrim("value").endswith("]"), x)
+    return _split(df, looks, jsonpath.bound(F.from_json("value", "array<string>"), objects))
 
 
 def split_lines(df: DataFrame) -> DataFrame:
@@ -46,10 +54,10 @@ def split_lines(df: DataFrame) -> DataFrame:
     an object a comma would come first.  All parts must be whole documents.
     """
     value = F.col("value")
-    many = value.rlike(r"\}[ \t\r\n]*\n[ \t\r\n]*\{")
+    looks = F.contains(value, F.lit("\n")) & value.rlike(r"\}[ \t\r\n]*\n[ \t\r\n]*\{")
     parts = F.split(F.trim(value, F.lit(_BLANK)), r"(?<=\})[ \t\r]*\n[ \t\r\n]*(?=\{)")
-    whole = F.forall(parts, lambda x: x.startswith("{") & _whole_document(x))
-    return df.withColumn("value", F.explode_outer(F.when(many & whole, parts).otherwise(F.array("value"))))
+    whole = lambda ps: F.when(F.forall(ps, lambda x: x.startswith("{") & _only(wrapped(x))), ps)
+    return _split(df, looks, jsonpath.bound(parts, whole))
 
 
 def gate(df: DataFrame) -> DataFrame:
@@ -62,7 +70,7 @@ def gate(df: DataFrame) -> DataFrame:
 
 def nesting(text: Column) -> Column:
     """Greatest depth of open brackets outside strings."""
-    plain = F.regexp_replace(F.regexp_replace(text, r"(?s)\\\\.", ""), '"[^"]*"', "")
+    plain = F.regexp_replace(F.regexp_replace(text, r"(?s)\\.", ""), '"[^"]*"', "")
     brackets = F.split(F.regexp_replace(plain, r"[^\[\]{}]", ""), "")
     begin = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
 
@@ -73,13 +81,18 @@ def nesting(text: Column) -> Column:
     return F.aggregate(brackets, begin, step)["most"]
 
 
+def _times(text: Column, part: str) -> Column:
+    """How often ``part`` stands in a text."""
+    return (F.length(text) - F.length(F.replace(text, F.lit(part), F.lit("")))) / len(part)
+
+
 def guard_depth(df: DataFrame, limit: int = 64) -> DataFrame:
     """Records nested past ``limit`` levels are rejected, array batches one level later.
     Only values with more opening brackets than that are measured."""
-    opened = F.octet_length("value") - F.octet_length(F.regexp_replace("value", r"[\[{]", ""))
+    value = F.col("value")
     most = F.lit(limit) + F.ltrim("value").startswith("[").cast("int")
-    deep = F.when(opened > limit, nesting(F.col("value")) > most).otherwise(F.lit(False))
-    return _rejecting(df, F.coalesce(deep, F.lit(False)), f"nested past {limit} levels")
+    many = (F.length(value) > limit) & (_times(value, "{") + _times(value, "[") > limit)
+    return _rejecting(df, F.coalesce(F.when(many, nesting(value) > most), F.lit(False)), f"nested past {limit} levels")
 
 
 def _same(key: str):
@@ -88,31 +101,38 @@ def _same(key: str):
 
 def guard_header_keys(df: DataFrame) -> DataFrame:
     """Records that repeat a header key at their top level are rejected; escapes in the
-    keys are decoded."""
-    keys = F.json_object_keys("value")
+    keys are decoded.  Only values that hold a key twice, or escapes, are read for it."""
+    value = F.col("value")
     for k in HEADER_KEYS:
-        df = _rejecting(df, F.coalesce(F.size(F.filter(keys, _same(k))) > 1, F.lit(False)), f"header key {k} is repeated")
+        may = F.contains(value, F.lit("\\u")) | (_times(value, k) > 1)
+        repeated = F.size(F.filter(F.json_object_keys("value"), _same(k))) > 1
+        df = _rejecting(df, F.coalesce(F.when(may, repeated), F.lit(False)), f"header key {k} is repeated")
     return df
 
 
-def _whole_document(value: Column) -> Column:
-    """Whether the text is one JSON document with nothing behind it: wrapped as the
-    only element of an array it must still parse, and to an array of one."""
-    wrapped = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<string>")
-    return F.coalesce(F.size(wrapped) == 1, F.lit(False))
+def wrapped(value: Column) -> Column:
+    """The text as the only element of a JSON array, as a variant; null if that does not
+    parse, as where something stands behind the text's document."""
+    return F.try_parse_json(F.concat(F.lit("["), value, F.lit("]")))
+
+
+def _only(array: Column) -> Column:
+    """Whether an array of ``wrapped`` holds one element and no more."""
+    return F.coalesce(F.try_variant_get(array, "$[0]", "variant").isNotNull() & F.try_variant_get(array, "$[1]", "variant").isNull(), F.lit(False))
 
 
 def parse(df: DataFrame) -> DataFrame:
     """Adds ``_record``, the value as a variant, for every good message; broken text,
-    several records left in one value, and arrays are rejected."""
-    record = F.try_parse_json("value")
-    df = df.withColumn("_record", F.when(F.col("_reject").isNull(), record) if "_reject" in df.columns else record)
+    several records left in one value, and arrays are rejected.  A good message is
+    parsed once."""
+    good = F.col("_reject").isNull() if "_reject" in df.columns else F.lit(True)
+    df = df.withColumn("_array", F.when(good, wrapped(F.col("value"))))
     array = F.ltrim("value").startswith("[")
-    whole = _whole_document(F.col("value"))
-    df = _rejecting(df, F.col("_record").isNull(), "JSON parse error")
+    broken = F.col("_array").isNull()
+    df = _rejecting(df, F.when(broken, F.try_parse_json("value").isNull()), "JSON parse error")
     df = _rejecting(df, array, "JSON array, not a record object")
-    df = _rejecting(df, ~whole, "several records that did not split")
-    return df.withColumn("_record", F.when(F.col("_reject").isNull(), F.col("_record")))
+    df = _rejecting(df, broken | ~_only(F.col("_array")), "several records that did not split")
+    return df.withColumn("_record", F.when(F.col("_reject").isNull(), F.try_variant_get("_array", "$[0]", "variant"))).drop("_array")
 
 
 @dataclass(frozen=True)

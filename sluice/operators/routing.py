@@ -29,9 +29,15 @@ def source_of_topic(topic: Column, suffixes: tuple[str, ...]) -> Column:
 def enforce_external(df: DataFrame, routing: Routing) -> DataFrame:
     """Adds ``_org`` and ``_named``, the tenant and source a record may claim: on an
     external topic a value outside its allow-list is replaced by the topic's own."""
-    org = F.nullif(F.trim(jsonpath.string_field(F.col("_record"), routing.org_field)), F.lit(""))
-    org = F.when(org.isNotNull(), jsonpath.string_field(F.col("_record"), routing.org_field)).otherwise(F.lit(routing.default_org_id))
-    named = jsonpath.first_string(F.col("_record"), routing.table_fields)
+    paths = dict.fromkeys((routing.org_field, *routing.table_fields))
+    inner = {p: f"_r{k}" for k, p in enumerate(paths)}
+    df = df.withColumns({c: jsonpath.at(F.col("_record"), p.split(".")) for p, c in inner.items()})
+    df = df.withColumns({c: jsonpath.string_of(F.col(c)) for c in inner.values()})
+    org = F.col(inner[routing.org_field])
+    df = df.withColumns({"_org": F.when(F.trim(org) != "", org).otherwise(F.lit(routing.default_org_id)), "_named": F.coalesce(*[F.nullif(F.col(inner[p]), F.lit("")) for p in routing.table_fields])}).drop(*inner.values())
+    if not routing.external:
+        return df.withColumn("_tenant_replaced", F.lit(False))
+    org, named = F.col("_org"), F.col("_named")
     replaced = F.lit(False)
     for e in routing.external:
         here = F.col("topic") == e.topic
