@@ -6,12 +6,14 @@ that the table holds, so that no pair of an address and a foreign range is ever
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.ip import is_private_v4, v4_number
+from sluice.functions import ip
+from sluice.functions.ip import first_address
 from sluice.operators.model import Risk
 
 #: Prefix rows up to which a table is broadcast (about 200 bytes each).
@@ -24,48 +26,80 @@ THREATS = {
     "malware": ("is_malicious",), "phishing": ("is_malicious",), "bruteforce": ("is_malicious",), "exploit": ("is_malicious",), "blocklist": ("is_malicious",),
 }
 FLAGS = ("is_vpn", "is_proxy", "is_tor", "is_relay", "is_datacenter", "is_anonymizer", "is_botnet", "is_malicious", "is_spam", "is_scanner")
-ALIASES = {"lat": "latitude", "lng": "longitude", "lon": "longitude", "isp": "asn_org", "org": "asn_org", "tz": "timezone", "state": "region", "cc": "country_code"}
+ALIASES = {"lat": "latitude", "lng": "longitude", "lon": "longitude", "isp": "asn_org", "org": "asn_org", "tz": "timezone", "state": "region", "cc": "country_code", "country_iso": "country_code", "country_name": "country", "continent": "continent_code", "zip": "postal_code", "as_number": "asn", "as_org": "asn_org"}
 
 
-def prefixes(table: DataFrame, network: str = "network") -> DataFrame:
-    """``table`` with the numbers ``base`` and ``length`` of its IPv4 networks; a single
-    address counts as length 32; rows that are neither are passed over."""
-    parts = F.split(F.trim(F.col(network)), "/")
-    base = v4_number(F.get(parts, F.lit(0)))
-    length = F.when(F.size(parts) == 2, F.get(parts, F.lit(1)).try_cast("int")).when(F.size(parts) == 1, 32)
-    masked = _masked(base, F.col("length"))
-    return table.withColumn("length", length).withColumn("base", base).where("base is not null and length between 0 and 32").withColumn("base", masked)
+#: Where an event's address may lie, in order.
+ADDRESS_FIELDS = ("src_ip", "client_ip", "ip", "source_ip")
+
+
+def address_of(rows: DataFrame, fields: tuple[str, ...] = ADDRESS_FIELDS) -> Column:
+    """The first non-empty of the address fields that ``rows`` has."""
+    found = [F.col(f"`{f}`").cast("string") for f in fields if f in rows.columns]
+    return first_address(*found) if found else F.lit(None).cast("string")
 
 
-def _masked(number: Column, length: Column) -> Column:
-    size = F.get(F.array(*[F.lit(1 << (32 - k)).cast("long") for k in range(33)]), length)
-    return number - F.pmod(number, size)
+def named(ranges: DataFrame) -> DataFrame:
+    """A location table with the names of GEO in place of the usual others (ALIASES)."""
+    return ranges.select(*[F.col(f"`{c}`").alias(ALIASES[c]) if c in ALIASES and ALIASES[c] not in ranges.columns else F.col(f"`{c}`") for c in ranges.columns])
 
 
-def match_prefixes(rows: DataFrame, address: Column, table: DataFrame) -> DataFrame:
-    """Every row of ``rows`` with every network of ``table`` (base, length, ...) that
-    holds its address; rows without any are left out."""
-    lengths = sorted(r["length"] for r in table.select("length").distinct().collect())  # 33 at most
-    keyed = rows.withColumn("_n", v4_number(address)).where("_n is not null")
-    keyed = keyed.withColumn("_length", F.explode(F.array(*map(F.lit, lengths)) if lengths else F.array().cast("array<int>")))
-    keyed = keyed.withColumn("_base", _masked(F.col("_n"), F.col("_length"))).drop("_n")
+def _cut(a: Column, length: Column) -> Column:
+    """struct(hi, lo) of an address cut to a number of bits."""
+    masks = F.array(*[F.lit(0 if k == 0 else -(1 << (64 - k))).cast("long") for k in range(65)])
+    part = lambda x, n: x.bitwiseAND(F.get(masks, F.greatest(F.lit(0), F.least(F.lit(64), n))))
+    return F.struct(part(a["hi"], length).alias("hi"), part(a["lo"], length - 64).alias("lo"))
+
+
+def prefixes(table: DataFrame, network: str = "network") -> DataFrame:
+    """``table`` with the ``base`` and ``length`` of its networks of either kind, those of
+    IPv4 as mapped ones (length 96 and more); a single address is a network of its own;
+    rows that are neither are passed over."""
+    parts = F.split(F.trim(F.col(network)), "/")
+    table = table.withColumn("base", ip.address(F.get(parts, F.lit(0)))).where("base is not null")
+    size = F.when(ip.is_v4(F.col("base")) & ~F.col(network).contains(":"), F.lit(32)).otherwise(F.lit(128))
+    length = F.when(F.size(parts) == 1, size).when(F.size(parts) == 2, F.get(parts, F.lit(1)).try_cast("int"))
+    table = table.withColumns({"length": length, "_size": size}).where("length between 0 and _size")
+    return table.withColumn("length", F.col("length") + 128 - F.col("_size")).drop("_size").withColumn("base", _cut(F.col("base"), F.col("length")))
+
+
+def addresses(rows: DataFrame, column: str) -> DataFrame:
+    """(_ip, _a, _private): the distinct valid addresses of a column, read once."""
+    found = rows.select(F.col(column).alias("_ip")).where("_ip is not null").distinct()
+    return found.withColumn("_a", ip.address(F.col("_ip"))).where("_a is not null").withColumn("_private", ip.private(F.col("_a")))
+
+
+def match_prefixes(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """Every row of ``rows`` (_ip, _a) with every network of ``table`` (base, length, ...)
+    that holds its address; rows without any are left out."""
+    lengths = sorted(r["length"] for r in table.select("length").distinct().collect())  # 129 at most
+    v4 = [n for n in lengths if n >= 96]
+    of = lambda values: F.array(*map(F.lit, values)) if values else F.array().cast("array<int>")
+    keyed = rows.withColumn("_length", F.explode(F.when(ip.is_v4(F.col("_a")), of(v4)).otherwise(of(lengths))))
+    keyed = keyed.withColumn("_base", _cut(F.col("_a"), F.col("_length")))
     if table.limit(BROADCAST_PREFIXES + 1).count() <= BROADCAST_PREFIXES:
         table = F.broadcast(table)
-    return keyed.join(table, (F.col("_base") == F.col("base")) & (F.col("_length") == F.col("length"))).drop("_length", "_base")
+    return keyed.join(table, (F.col("_base.hi") == F.col("base.hi")) & (F.col("_base.lo") == F.col("base.lo")) & (F.col("_length") == F.col("length"))).drop("_length", "_base")
+
+
+def _filled(rows: DataFrame, out: DataFrame, made: dict[str, Column]) -> DataFrame:
+    """``rows`` with the columns ``made``, which leave alone what is there."""
+    made = {k: F.coalesce(rows[k], v) if k in rows.columns else v for k, v in made.items()}
+    return out.select(*[rows[f"`{c}`"] for c in rows.columns if c not in made], *[v.alias(k) for k, v in made.items()])
 
 
 def geo_lookup(rows: DataFrame, address: str, ranges: DataFrame) -> DataFrame:
     """``rows`` with ``geo_`` columns from the longest network of ``ranges`` (network and
     columns of GEO) that holds the address; a private address has only
     ``geo_is_private``, an invalid one nothing.  Values already there stay."""
+    ranges = named(ranges)
     found = [c for c in GEO if c in ranges.columns]
     table = prefixes(ranges.select("network", *found)).drop("network")
-    addresses = rows.select(F.col(address).alias("_ip")).where(is_private_v4(F.col(address)) == F.lit(False)).distinct()
-    best = match_prefixes(addresses, F.col("_ip"), table).groupBy("_ip").agg(F.max_by(F.struct(*found), "length").alias("_geo"))
-    out = rows.join(best, F.col(address) == F.col("_ip"), "left")
-    made = {f"geo_{c}": F.col(f"_geo.{c}") for c in found} | {"geo_is_private": is_private_v4(F.col(address))}
-    made = {k: F.coalesce(F.col(k), v) if k in rows.columns else v for k, v in made.items()}
-    return out.select(*[c for c in rows.columns if c not in made], *[v.alias(k) for k, v in made.items()])
+    every = addresses(rows, address)
+    best = match_prefixes(every.where("not _private"), table).groupBy("_ip").agg(F.max_by(F.struct(*found), "length").alias("_geo"))
+    known = every.select("_ip", "_private").join(best.withColumnRenamed("_ip", "_best"), F.col("_ip") == F.col("_best"), "left").drop("_best")
+    out = rows.join(known, rows[address] == known["_ip"], "left")
+    return _filled(rows, out, {f"geo_{c}": known[f"_geo.{c}"] for c in found} | {"geo_is_private": known["_private"]})
 
 
 def reputation_lookup(rows: DataFrame, address: str, threats: DataFrame) -> DataFrame:
@@ -73,23 +107,22 @@ def reputation_lookup(rows: DataFrame, address: str, threats: DataFrame) -> Data
     source, score, order) that hold the address: flags of any match, the first match
     by ``order`` as threat type and source, and all of either where there are several."""
     table = prefixes(threats).drop("network")
-    addresses = rows.select(F.col(address).alias("_ip")).where(F.col(address).isNotNull()).distinct()
     flags = [F.bool_or(F.col("threat").isin(*[t for t, f in THREATS.items() if flag in f])).alias(flag) for flag in FLAGS]
     first = lambda c: F.min_by(c, "order")
-    found = match_prefixes(addresses, F.col("_ip"), table).groupBy("_ip").agg(
+    found = match_prefixes(addresses(rows, address), table).groupBy("_ip").agg(
         *flags, first("threat").alias("type"), first("source").alias("source"), F.max("score").alias("score"), F.array_sort(F.collect_set("threat")).alias("types"), F.array_sort(F.collect_set("source")).alias("sources"),
     )
-    out = rows.join(found, F.col(address) == F.col("_ip"), "left")
-    several = lambda c: F.when(F.size(c) > 1, F.col(c))
-    made = {f"rep_{f}": F.coalesce(F.col(f), F.lit(False)) for f in FLAGS}
-    made |= {"rep_threat_type": F.coalesce(F.col("type"), F.lit("none")), "rep_source": found["source"], "rep_abuse_score": F.when(F.col("score") > 0, F.col("score")), "rep_threat_types": several("types"), "rep_sources": several("sources")}
-    made = {k: F.coalesce(rows[k], v) if k in rows.columns else v for k, v in made.items()}
-    return out.select(*[rows[c] for c in rows.columns if c not in made], *[v.alias(k) for k, v in made.items()])
+    out = rows.join(found, rows[address] == found["_ip"], "left")
+    several = lambda c: F.when(F.size(found[c]) > 1, found[c])
+    made = {f"rep_{f}": F.coalesce(found[f], F.lit(False)) for f in FLAGS}
+    made |= {"rep_threat_type": F.coalesce(found["type"], F.lit("none")), "rep_source": found["source"], "rep_abuse_score": F.when(found["score"] > 0, found["score"]), "rep_threat_types": several("types"), "rep_sources": several("sources")}
+    return _filled(rows, out, made)
 
 
-def risk(rows: DataFrame, settings: Risk = Risk()) -> DataFrame:
+def risk(rows: DataFrame, settings: Risk = Risk(), gated: bool = False) -> DataFrame:
     """``rows`` with risk_score, risk_level and risk_factors from their ``geo_`` and
-    ``rep_`` columns; a missing column counts as not found."""
+    ``rep_`` columns; a missing column counts as not found.  If ``gated``, rows of which
+    neither lookup knows anything have none."""
     s = settings
     has = lambda c: F.coalesce(F.col(c), F.lit(False)) if c in rows.columns else F.lit(False)
     country = F.col("geo_country_code") if "geo_country_code" in rows.columns else F.lit(None).cast("string")
@@ -103,10 +136,39 @@ def risk(rows: DataFrame, settings: Risk = Risk()) -> DataFrame:
     threat = F.least(F.lit(100), total(F.when(has(f"rep_is_{k}"), v).otherwise(0) for k, v in s.threat.items()) + abuse)
     weight = sum(s.weights)
     scores = dict(zip(("geo", "reputation", "privacy", "threat"), (geo, reputation, privacy, threat), strict=True))
+    staged = rows.withColumns({f"_{k}_risk": v.cast("int") for k, v in scores.items()})  # read once by all that follows
+    scores = {k: F.col(f"_{k}_risk") for k in scores}
     composite = F.least(F.lit(100), F.floor(total(x * w for x, w in zip(scores.values(), s.weights, strict=True)) / weight)) if weight else F.lit(0)
+    factors = F.array_compact(F.array(*[F.when(scores[k] >= low, f"{k} risk") for k, low in (("geo", s.geo["medium"]), ("reputation", 50), ("privacy", s.privacy[0]), ("threat", 80))]))
     level = F.lit("minimal")
     for name, low in reversed(s.bands.items()):
         level = F.when(F.col("risk_score") >= low, name).otherwise(level)
-    factors = F.array_compact(F.array(*[F.when(scores[k] >= low, f"{k} risk") for k, low in (("geo", s.geo["medium"]), ("reputation", 50), ("privacy", s.privacy[0]), ("threat", 80))]))
-    out = rows.withColumns({"risk_score": composite.cast("int"), "risk_factors": factors})
-    return out.withColumn("risk_level", level)
+    staged = staged.withColumns({"risk_score": composite.cast("int"), "risk_factors": factors}).withColumn("risk_level", level)
+    if gated:
+        seen = [F.col(c).isNotNull() for c in rows.columns if c.startswith("geo_")] + [has(f"rep_{f}") for f in FLAGS if f"rep_{f}" in rows.columns]
+        some = reduce(lambda a, b: a | b, seen, F.lit(False))
+        staged = staged.withColumns({c: F.when(some, F.col(c)) for c in ("risk_score", "risk_factors", "risk_level")})
+    return staged.drop(*[f"_{k}_risk" for k in scores])
+
+
+@dataclass(frozen=True)
+class Enrichment:
+    """What a pipeline adds to records with an address: location, reputation and risk, each
+    where its table, or its settings, are given."""
+
+    ranges: DataFrame | None = None
+    threats: DataFrame | None = None
+    risk: Risk | None = None
+    fields: tuple[str, ...] = ADDRESS_FIELDS
+
+
+def enrich(rows: DataFrame, by: Enrichment) -> DataFrame:
+    """``rows`` with the columns of ``by``; risk only where location or reputation found
+    something."""
+    out = rows.withColumn("_address", address_of(rows, by.fields))
+    if by.ranges is not None:
+        out = geo_lookup(out, "_address", by.ranges)
+    if by.threats is not None:
+        out = reputation_lookup(out, "_address", by.threats)
+    out = risk(out, by.risk, gated=True) if by.risk is not None else out
+    return out.drop("_address")
