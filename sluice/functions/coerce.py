@@ -8,11 +8,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.ip import V4
-from sluice.functions.jsonpath import as_text, bound, kind, present
+from sluice.functions.jsonpath import as_text, bound, kind, once, present
 from sluice.functions.timestamps import epoch_of, parse_iso
 
 #: Bounds and Spark types of the integer types.
@@ -158,6 +158,14 @@ def _convert(type_: str, value: Column, text: Column, kind: Column) -> Column:
     return _scalar(name, args, value, text, kind)
 
 
+def wants_kind(type_: str) -> bool:
+    """Whether values of a type are told apart by their kind; else it may be null."""
+    name, args = split_type(type_)
+    if name in ("Nullable", "LowCardinality"):
+        return wants_kind(args[0])
+    return name in INTEGERS or name in ("JSON", "Point", "Array", "Map", "Ring", "LineString", "Polygon", "MultiLineString", "MultiPolygon")
+
+
 def made_of(type_: str, value: Column, text: Column, kind: Column) -> Column:
     """A value of ``type_`` from a variant column, its text and its kind; null if there is
     none, if it is a JSON null, or if the type cannot hold it."""
@@ -171,6 +179,18 @@ def finished(type_: str, made: Column, text: Column) -> tuple[Column, Column]:
     return (F.when(text.isNull(), F.array().cast(spark_type(type_))).otherwise(made) if empty else made), text.isNotNull() & made.isNull()
 
 
+def with_coerced(df: DataFrame, columns: dict[str, tuple[str, Column]]) -> DataFrame:
+    """``df`` with a column for each name, of a type and from a variant, and ``name_refused``
+    for each; every value is read once."""
+    df = once(df, "_values", F.struct(*[v.alias(n) for n, (_, v) in columns.items()]))
+    df = once(df, "_read", F.struct(*[_read(F.col(f"_values.{n}")).alias(n) for n in columns]))
+    df = once(df, "_made", F.struct(*[made_of(t, F.col(f"_read.{n}.value"), F.col(f"_read.{n}.text"), F.col(f"_read.{n}.kind")).alias(n) for n, (t, _) in columns.items()]))
+    for n, (t, _) in columns.items():
+        out, wrong = finished(t, F.col(f"_made.{n}"), F.col(f"_read.{n}.text"))
+        df = df.withColumns({n: out, f"{n}_refused": wrong})
+    return df.drop("_values", "_read", "_made")
+
+
 def coerced(type_: str, value: Column) -> tuple[Column, Column]:
     """The value of ``type_`` and whether a value is there that the type cannot hold.
     A missing value, or a JSON null, is null; for an array it is the empty array."""

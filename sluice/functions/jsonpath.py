@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -43,6 +43,13 @@ def bound(value: Column, f: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that is computed once, whatever reads it: the optimiser moves
+    filters and projections through a projection, and its expressions with them, but not
+    through a generator."""
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def field(record: Column, path: str) -> Column:
     """The value at a dotted path; null if missing or JSON null."""
     found = [present(at(record, keys)) for keys in readings(path)]

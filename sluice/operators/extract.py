@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions import jsonpath, timestamps
-from sluice.functions.coerce import finished, made_of, spark_type
+from sluice.functions.coerce import finished, made_of, spark_type, wants_kind
 from sluice.operators.directives import Directive, Literal, directive_of
 from sluice.operators.model import CAPTURE, ColumnSpec, Settings, TableSpec
 
@@ -89,21 +89,25 @@ def extract(df: DataFrame, table: TableSpec, settings: Settings, now: Column | N
 
     df = df.withColumns({v: chosen(n) for n, v in names.items()}).drop(*raw.values())
     blank = lambda n, t: F.nullif(t, F.lit("")) if n in ("_org_id", "_source") else t
-    df = df.withColumns({f"{v}t": blank(n, jsonpath.as_text(F.col(v))) for n, v in names.items()} | {f"{v}k": jsonpath.kind(F.col(v)) for n, v in names.items() if n in fields})
-    text = {n: F.col(f"{v}t") for n, v in names.items()}
+    kinds = [jsonpath.kind(F.col(v)).alias(f"{v}k") for n, v in names.items() if n in fields and (n == "_timestamp" or wants_kind(fields[n][0].type))]
+    if names:
+        df = jsonpath.once(df, "_read", F.struct(*[blank(n, jsonpath.as_text(F.col(v))).alias(f"{v}t") for n, v in names.items()], *kinds))
+    text = {n: F.col(f"_read.{v}t") for n, v in names.items()}
     # values of the columns' types
     staged: dict[str, Column] = {}
     for n, (c, d, _) in fields.items():
-        v, t, k = F.col(names[n]), text[n], F.col(f"{names[n]}k")
+        v, t = F.col(names[n]), text[n]
+        k = F.col(f"_read.{names[n]}k") if n == "_timestamp" or wants_kind(c.type) else F.lit(None).cast("string")
         if n == "_timestamp":
             parse = timestamps.parse_iso if settings.quality is None else timestamps.lenient
             staged[n] = F.coalesce(parse(t), F.when(k != "STRING", timestamps.epoch_of(t)))
         elif n != "_org_id":
             staged[n] = made_of(c.type, v, t, k)
-    df = df.withColumns({f"{names[n]}m": v for n, v in staged.items()})
+    if staged:
+        df = jsonpath.once(df, "_made", F.struct(*[v.alias(names[n]) for n, v in staged.items()]))
     bad: list[Column] = []
     for n, (c, d, _) in fields.items():
-        t, m = text[n], F.col(f"{names[n]}m")
+        t, m = text[n], F.col(f"_made.{names[n]}")
         if n == "_org_id":
             made[n] = F.coalesce(t, F.lit(settings.routing.default_org_id))
         elif n == "_timestamp":
@@ -127,7 +131,7 @@ def extract(df: DataFrame, table: TableSpec, settings: Settings, now: Column | N
     before = F.col("_reject") if "_reject" in df.columns else F.lit(None).cast("string")
     nothing = F.lit(None).cast("string") if any(CAPTURE[mode]) else F.when(~promoted, "no column was promoted")
     refused = F.when(F.coalesce(*bad).isNotNull(), F.array_join(reasons, "; ")) if bad else F.lit(None).cast("string")
-    inner = {x for v in names.values() for x in (v, f"{v}t", f"{v}k", f"{v}m")}
+    inner = {"_read", "_made", *names.values()}
     kept = [F.col(f"`{x}`") for x in df.columns if x != "_reject" and x not in made and x not in inner]
     return df.select(*kept, *[v.alias(k) for k, v in made.items()], *[text[p].alias(p) for p in extra], F.coalesce(unstored, F.array().cast("array<string>")).alias("_unstored"), F.coalesce(before, refused, nothing).alias("_reject"))
 

@@ -125,14 +125,19 @@ def parse(df: DataFrame) -> DataFrame:
     """Adds ``_record``, the value as a variant, for every good message; broken text,
     several records left in one value, and arrays are rejected.  A good message is
     parsed once."""
-    good = F.col("_reject").isNull() if "_reject" in df.columns else F.lit(True)
-    df = df.withColumn("_array", F.when(good, wrapped(F.col("value"))))
+    good = F.lit(True)
+    if "_reject" in df.columns:
+        df = jsonpath.once(df, "_reject", F.col("_reject"))
+        good = F.col("_reject").isNull()
+    df = jsonpath.once(df, "_array", F.when(good, wrapped(F.col("value"))))
     array = F.ltrim("value").startswith("[")
     broken = F.col("_array").isNull()
     df = _rejecting(df, F.when(broken, F.try_parse_json("value").isNull()), "JSON parse error")
     df = _rejecting(df, array, "JSON array, not a record object")
     df = _rejecting(df, broken | ~_only(F.col("_array")), "several records that did not split")
-    return df.withColumn("_record", F.when(F.col("_reject").isNull(), F.try_variant_get("_array", "$[0]", "variant"))).drop("_array")
+    record = F.when(F.col("_reject").isNull(), F.try_variant_get("_array", "$[0]", "variant"))
+    df = jsonpath.once(df, "_parsed", F.struct(F.col("_reject").alias("reject"), record.alias("record")))
+    return df.withColumns({"_reject": F.col("_parsed.reject"), "_record": F.col("_parsed.record")}).drop("_array", "_parsed")
 
 
 @dataclass(frozen=True)

@@ -32,9 +32,10 @@ def enforce_external(df: DataFrame, routing: Routing) -> DataFrame:
     paths = dict.fromkeys((routing.org_field, *routing.table_fields))
     inner = {p: f"_r{k}" for k, p in enumerate(paths)}
     df = df.withColumns({c: jsonpath.at(F.col("_record"), p.split(".")) for p, c in inner.items()})
-    df = df.withColumns({c: jsonpath.string_of(F.col(c)) for c in inner.values()})
-    org = F.col(inner[routing.org_field])
-    df = df.withColumns({"_org": F.when(F.trim(org) != "", org).otherwise(F.lit(routing.default_org_id)), "_named": F.coalesce(*[F.nullif(F.col(inner[p]), F.lit("")) for p in routing.table_fields])}).drop(*inner.values())
+    df = jsonpath.once(df, "_fields", F.struct(*[jsonpath.string_of(F.col(c)).alias(c) for c in inner.values()]))
+    org = F.col(f"_fields.{inner[routing.org_field]}")
+    named = F.coalesce(*[F.nullif(F.col(f"_fields.{inner[p]}"), F.lit("")) for p in routing.table_fields])
+    df = df.withColumns({"_org": F.when(F.trim(org) != "", org).otherwise(F.lit(routing.default_org_id)), "_named": named}).drop("_fields", *inner.values())
     if not routing.external:
         return df.withColumn("_tenant_replaced", F.lit(False))
     org, named = F.col("_org"), F.col("_named")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.functions import ip, jsonpath, timestamps
-from sluice.functions.coerce import coerced
+from sluice.functions.coerce import coerced, with_coerced
 from sluice.operators import enrich, flatten, intake, mapping
 from sluice.operators.extract import extract
 from sluice.operators.model import ColumnSpec, ExternalTopic, Quality, Risk, Routing, Settings, TableSpec
@@ -195,8 +195,8 @@ def timestamp_zoned_text(spark, d):
 @query("""SELECT l_orderkey, l_linenumber, TRY_CAST(CAST(l_extendedprice AS BIGINT) % 70000 AS USMALLINT)::INTEGER AS u16, CAST(l_extendedprice AS BIGINT) % 70000 > 65535 AS refused FROM lineitem""")
 def coerce_int_bounds(spark, d):
     n = F.expr("CAST(rint(l_extendedprice) AS BIGINT) % 70000")
-    made, bad = coerced("UInt16", F.parse_json(n.cast("string")))
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", made.alias("u16"), bad.alias("refused"))
+    rows = with_coerced(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.parse_json(n.cast("string")).alias("v")), {"u16": ("UInt16", F.col("v"))})
+    return rows.select("l_orderkey", "l_linenumber", "u16", F.col("u16_refused").alias("refused"))
 
 
 @query("SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN '{\"list\":[' || turn || ']}' WHEN turn % 3 = 1 THEN '{\"value\":' || turn || '}' ELSE '{\"t\":' || turn || '}' END AS j FROM conversations")
