@@ -90,6 +90,24 @@ class Risk:
             raise ValueError("risk scores lie between 0 and 100 and weights are not negative")
 
 
+#: Our own example lists of countries to weigh higher: (high, medium).  Pass them to Risk.
+COUNTRIES = {
+    "none": (frozenset(), frozenset()),
+    "sanctioned": (frozenset({"KP", "IR", "SY"}), frozenset({"CU", "BY", "RU", "MM"})),
+    "strict": (frozenset({"KP", "IR", "SY", "CU", "BY", "RU", "MM"}), frozenset({"AF", "LY", "SD", "SO", "YE", "ZW"})),
+    "conflict": (frozenset({"AF", "SD", "SO", "SY", "YE"}), frozenset({"LY", "ML", "MM", "UA"})),
+    "offshore": (frozenset(), frozenset({"KY", "PA", "SC", "VG", "VU"})),
+}
+
+
+def risk_for(countries: str, **values: Any) -> Risk:
+    """Settings with one of the lists of ``COUNTRIES``."""
+    if countries not in COUNTRIES:
+        raise ValueError(f"no list of countries {countries}")
+    high, medium = COUNTRIES[countries]
+    return Risk(high_countries=high, medium_countries=medium, **values)
+
+
 @dataclass(frozen=True)
 class Quality:
     """Bounds of believable timestamps, in seconds; 0 for the past means no bound."""

@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.functions import ip, jsonpath, timestamps
+from sluice.functions import sql as sql_names
 from sluice.functions.coerce import coerced, with_coerced
 from sluice.operators import enrich, flatten, intake, mapping
 from sluice.operators.extract import extract
 from sluice.operators.model import ColumnSpec, ExternalTopic, Quality, Risk, Routing, Settings, TableSpec
 from sluice.operators.routing import route
 from sluice.plans import pipeline
+from sluice.sources import readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -33,9 +35,13 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def events(spark: SparkSession, d: str) -> DataFrame:
+    return readers.spread(table(spark, d, "events"))
+
+
 def event_messages(spark: SparkSession, d: str) -> DataFrame:
     """``events`` as JSON messages with ``event_id`` as offset."""
-    e = table(spark, d, "events")
+    e = events(spark, d)
     body = F.to_json(F.struct("event_id", timestamps.utc_text(F.col("ts")).alias("timestamp"), F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("user"), "event_type", "value", F.parse_json("props").alias("props")))
     return intake.messages(e, body, "events_land", F.col("event_id"))
 
@@ -115,7 +121,7 @@ _REASONS = ("not JSON", "JSON parse error", "several records", "JSON array", "he
 
 @query("""SELECT CASE event_id % 8 WHEN 0 THEN 'good' WHEN 1 THEN 'not JSON' WHEN 2 THEN 'JSON parse error' WHEN 3 THEN 'several records' WHEN 4 THEN 'JSON array' WHEN 5 THEN 'header key' WHEN 6 THEN 'nested past' ELSE 'not JSON' END AS reason, count(*) AS n FROM events GROUP BY 1""")
 def json_gate_reasons(spark, d):
-    e = table(spark, d, "events")
+    e = events(spark, d)
     value = F.when(F.col("event_id") % 8 == 0, F.col("props")).otherwise(F.get(F.array(*map(F.lit, _BAD)), (F.col("event_id") % 8 - 1).cast("int")))
     df = pipeline.admitted(intake.messages(e, value, "events_land", F.col("event_id")), Settings())
     short = F.lit("good")
@@ -149,9 +155,11 @@ def flatten_order_customer(spark, d):
     return flatten.flatten(j.select(F.struct(F.col("o_orderkey").alias("key")).alias("order"), F.struct(F.col("c_name").alias("name"), F.struct(F.col("n_name").alias("name")).alias("nation")).alias("customer")))
 
 
-@query("SELECT event_id, 'k' AS key, CAST(json_extract_string(props, '$.k') AS VARCHAR) AS value FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL")
+@query("SELECT event_id, u.key, u.value FROM (SELECT event_id, unnest([{'key': 'k', 'value': json_extract_string(props, '$.k')}, {'key': 'in.event', 'value': event_type}, {'key': 'in.a', 'value': '[1,2]'}]) AS u FROM events) WHERE u.value IS NOT NULL")
 def flatten_dynamic(spark, d):
-    e = table(spark, d, "events").select("event_id", flatten.flatten_map(F.concat(F.lit('{"@_k__":'), F.get_json_object("props", "$.k"), F.lit("}"))).alias("m"))
+    whole = F.concat(F.expr("substring(props, 1, length(props) - 1)"), F.lit(',"@_in":{"event":"'), F.col("event_type"), F.lit('","__a":[1,2],"e":{}}}'))
+    e = events(spark, d).select("event_id", flatten.flatten_map(whole).alias("m"))
+    e = e.select("event_id", F.transform_keys("m", lambda k, _: F.regexp_replace(k, "[.]__a$", ".a")).alias("m"))
     return e.select("event_id", F.explode(flatten.clean_keys(F.col("m")))).select("event_id", "key", "value")
 
 
@@ -183,7 +191,7 @@ _NOW = "2024-01-15 00:00:00"
 def timestamp_dq_bounds(spark, d):
     text = F.when(F.col("event_id") % 5 == 0, "1700000000").when(F.col("event_id") % 5 == 1, "yesterday").otherwise(timestamps.utc_text(F.date_trunc("second", "ts")))
     got = timestamps.checked(text, F.lit(None).cast("long"), F.lit(_NOW).cast("timestamp"), 600, 864000)
-    return table(spark, d, "events").select("event_id", got["quality"].alias("quality"))
+    return events(spark, d).select("event_id", got["quality"].alias("quality"))
 
 
 @query("SELECT event_id, strftime(date_trunc('milliseconds', ts) - INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS utc FROM events")
@@ -195,7 +203,7 @@ def timestamp_zoned_text(spark, d):
 @query("""SELECT l_orderkey, l_linenumber, TRY_CAST(CAST(l_extendedprice AS BIGINT) % 70000 AS USMALLINT)::INTEGER AS u16, CAST(l_extendedprice AS BIGINT) % 70000 > 65535 AS refused FROM lineitem""")
 def coerce_int_bounds(spark, d):
     n = F.expr("CAST(rint(l_extendedprice) AS BIGINT) % 70000")
-    rows = with_coerced(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.parse_json(n.cast("string")).alias("v")), {"u16": ("UInt16", F.col("v"))})
+    rows = with_coerced(readers.spread(table(spark, d, "lineitem")).select("l_orderkey", "l_linenumber", F.parse_json(n.cast("string")).alias("v")), {"u16": ("UInt16", F.col("v"))})
     return rows.select("l_orderkey", "l_linenumber", "u16", F.col("u16_refused").alias("refused"))
 
 
@@ -232,7 +240,7 @@ def _threats(spark):
 
 @query(f"SELECT e.event_id, coalesce(threat, 'none') AS threat, coalesce(anon, false) AS anonymizer, coalesce(n, 0) AS n FROM events e LEFT JOIN {_MATCHED_SQL} m ON e.event_id = m.event_id")
 def ip_blocklist_cidr(spark, d):
-    rows = table(spark, d, "events").select("event_id", address().alias("ip"))
+    rows = events(spark, d).select("event_id", address().alias("ip"))
     out = enrich.reputation_lookup(rows, "ip", _threats(spark))
     n = F.coalesce(F.size("rep_threat_types"), (F.col("rep_threat_type") != "none").cast("int"))
     return out.select("event_id", F.col("rep_threat_type").alias("threat"), F.col("rep_is_anonymizer").alias("anonymizer"), n.cast("long").alias("n"))
@@ -254,7 +262,7 @@ def ip_geo_longest_prefix(spark, d):
  c AS (SELECT event_id, CAST((geo * 15 + rep * 25 + priv * 25 + threat * 35) // 100 AS INTEGER) AS risk_score FROM s)
  SELECT event_id, risk_score, CASE WHEN risk_score >= 80 THEN 'critical' WHEN risk_score >= 60 THEN 'high' WHEN risk_score >= 40 THEN 'medium' WHEN risk_score >= 20 THEN 'low' ELSE 'minimal' END AS risk_level FROM c""")
 def risk_score_levels(spark, d):
-    rows = table(spark, d, "events").select("event_id", address().alias("ip"))
+    rows = events(spark, d).select("event_id", address().alias("ip"))
     found = enrich.reputation_lookup(enrich.geo_lookup(rows, "ip", spark.createDataFrame(RANGES, "network string, country_code string")), "ip", _threats(spark))
     return enrich.risk(found, Risk(high_countries=frozenset({"FR"}), medium_countries=frozenset({"DE"}))).select("event_id", "risk_score", "risk_level")
 
@@ -302,10 +310,176 @@ def conservation_check(spark, d):
     return m.agg(F.count("*").alias("input")).crossJoin(placed.agg(F.count("*").alias("placed")))  # two single rows
 
 
-@query(f"""SELECT 'accepted' AS name, count(*) AS value FROM events UNION ALL SELECT 'defaulted', 0 UNION ALL SELECT 'tenant_replaced', 0""")
+@query("""WITH m AS (SELECT event_id % 6 AS k FROM events) SELECT name, CAST(value AS BIGINT) AS value FROM (SELECT unnest([
+ {'name': 'accepted', 'value': count(*) FILTER (k NOT IN (0, 1)) + count(*) FILTER (k = 2)}, {'name': 'defaulted', 'value': count(*) FILTER (k = 3)}, {'name': 'tenant_replaced', 'value': count(*) FILTER (k = 4)}, {'name': 'table_field_absent', 'value': count(*) FILTER (k = 3)},
+ {'name': 'unknown_table', 'value': count(*) FILTER (k = 5)}, {'name': 'dead_intake', 'value': count(*) FILTER (k IN (0, 1))}, {'name': 'duplicate_header', 'value': count(*) FILTER (k = 1)}, {'name': 'array_batches', 'value': count(*) FILTER (k = 2)}, {'name': 'line_batches', 'value': 0}], recursive := true) FROM m)""")
 def pipeline_metrics(spark, d):
-    parts = pipeline.routed(event_messages(spark, d), Settings(routing=ROUTING))
-    return pipeline.metrics(parts.good, parts.dead)
+    e = events(spark, d)
+    values = ["junk", '{"_source":"a","_source":"b"}', '[{"event_type":"click"},{"event_type":"view"}]', '{"n":1}', '{"event_type":"click","_org_id":"theirs"}', '{"event_type":"unheard"}']
+    m = intake.messages(e, F.get(F.array(*map(F.lit, values)), (F.col("event_id") % 6).cast("int")), "events_land", F.col("event_id"))
+    routing = Routing(table_fields=("event_type",), source_to_table=ROUTING.source_to_table, default_db="main", external=(ExternalTopic("events_land", "default", ("default",)),), topic_suffixes=())
+    parts = pipeline.routed(m, Settings(routing=routing), KNOWN)
+    return pipeline.metrics(parts.good, parts.dead, m)
+
+
+# Shapes of the published measurements: flat records of 30 and 15 columns, nested ones of 15
+
+
+def _shape(spark, d, n: int, nested: bool) -> DataFrame:
+    kinds = ("Int64", "String", "Float64")
+    value = lambda k: (F.col("event_id") + k, F.concat(F.lit(f"v{k}-"), F.col("user_id").cast("string")), F.col("value") + k)[k % 3]
+    fields = [value(k).alias(f"c{k}") for k in range(n)]
+    if nested:
+        fields = [F.struct(*fields[k : k + 5]).alias(f"g{k // 5}") for k in range(0, n, 5)]
+    m = intake.messages(events(spark, d), F.to_json(F.struct(*fields)), "events_land", F.col("event_id"))
+    columns = tuple(ColumnSpec(f"c{k}", kinds[k % 3], f"@source: g{k // 5}.c{k}" if nested else "") for k in range(n))
+    out = extract(intake.parse(m), TableSpec("main", "wide", columns, "@capture_mode: extracted_only"), Settings())
+    return out.select(*[f"c{k}" for k in range(n)])
+
+
+def _shape_sql(n: int) -> str:
+    return "SELECT " + ", ".join((f"event_id + {k} AS c{k}", f"'v{k}-' || user_id AS c{k}", f"value + {k} AS c{k}")[k % 3] for k in range(n)) + " FROM events"
+
+
+@query(_shape_sql(30))
+def extract_flat30(spark, d):
+    return _shape(spark, d, 30, False)
+
+
+@query(_shape_sql(15))
+def extract_flat15(spark, d):
+    return _shape(spark, d, 15, False)
+
+
+@query(_shape_sql(15))
+def extract_nested15(spark, d):
+    return _shape(spark, d, 15, True)
+
+
+@query("""SELECT event_id, 'h' || user_id AS host, CASE WHEN value > 50 THEN 'high' ELSE 'low' END AS size, CASE WHEN user_id % 3 = 0 THEN NULL WHEN user_id % 256 = 17 THEN 'DE' WHEN user_id % 256 BETWEEN 16 AND 31 THEN 'FR' ELSE 'US' END AS geo_country_code, user_id % 3 = 0 AS geo_is_private FROM events WHERE event_type = 'click'""")
+def pipeline_enriched(spark, d):
+    """Mapping, computed columns and enrichment over fields that the table lacks."""
+    e = events(spark, d)
+    body = F.to_json(F.struct("event_id", "event_type", F.concat(F.lit("h"), F.col("user_id").cast("string")).alias("hostname"), F.col("value").alias("reading"), address().alias("src_ip")))
+    clicks = TableSpec("main", "clicks", (ColumnSpec("event_id", "Int64"), ColumnSpec("host", "String", "@renamed: hostname"), ColumnSpec("size", "String", '@computed: reading > 50 ? "high" : "low"'), ColumnSpec("geo_country_code"), ColumnSpec("geo_is_private", "Bool")))
+    other = TableSpec("main", "events", (ColumnSpec("event_id", "Int64"),))
+    by = enrich.Enrichment(spark.createDataFrame(RANGES, "network string, cc string"))
+    rows, _ = pipeline.run(intake.messages(e, body, "events_land", F.col("event_id")), [clicks, other], Settings(routing=ROUTING), enrichment=by)
+    return rows["main.clicks"]
+
+
+@query("SELECT event_id, 64 + event_id % 3 - 1 > 64 AS refused FROM events")
+def json_depth_escapes(spark, d):
+    """Brackets in strings, behind escaped quotes, do not count."""
+    opened = F.repeat(F.lit('{"a":'), (F.lit(63) + F.col("event_id") % 3 - 1).cast("int"))
+    closed = F.repeat(F.lit("}"), (F.lit(63) + F.col("event_id") % 3 - 1).cast("int"))
+    value = F.concat(opened, F.lit('{"s":"\\\\\\"[[[{{","t":"x\\\\"}'), closed)
+    df = intake.guard_depth(intake.messages(events(spark, d), value, "events_land", F.col("event_id")))
+    return df.select(F.col("offset").alias("event_id"), F.col("_reject").isNotNull().alias("refused"))
+
+
+@query(f"""WITH c AS (SELECT event_id, {_TABLE_SQL} AS t, event_id % 4 AS p, strlen(props) AS n FROM events), w AS (SELECT event_id, row_number() OVER o AS r, sum(n) OVER o AS b FROM c WINDOW o AS (PARTITION BY t, p ORDER BY event_id))
+ SELECT event_id, CAST((r - 1) // 7 + (b - 1) // 60 AS BIGINT) AS flush FROM w""")
+def flush_plan_bytes(spark, d):
+    """Batches that end at 7 rows or 60 bytes, whichever comes first."""
+    return pipeline.flush_plan(_prop_messages(spark, d), rows=7, size=60).select(F.col("offset").alias("event_id"), F.col("_flush").alias("flush"))
+
+
+@query("SELECT event_id, event_id % 4 IN (0, 1) AS private FROM events")
+def ip_v6_private_class(spark, d):
+    h = F.lower(F.hex(F.col("user_id") % 65536))
+    text = F.when(F.col("event_id") % 4 == 0, F.concat(F.lit("FC00::"), h)).when(F.col("event_id") % 4 == 1, F.lit("::ffff:10.1.2.3")).when(F.col("event_id") % 4 == 2, F.concat(F.lit("2001:db8:0:0:0:0:0:"), h)).otherwise("::ffff:8.8.8.8")
+    return events(spark, d).select("event_id", ip.is_private(text).alias("private"))
+
+
+@query("SELECT event_id, CASE WHEN user_id % 16 = 1 THEN 'tor' WHEN user_id % 16 < 8 THEN 'vpn' ELSE 'none' END AS threat FROM events")
+def ip_blocklist_v6(spark, d):
+    rows = events(spark, d).select("event_id", F.concat(F.lit("2001:db8:"), F.lower(F.hex(F.col("user_id") % 16)), F.lit("000::"), F.lower(F.hex(F.col("event_id") % 65536))).alias("ip"))
+    listed = spark.createDataFrame([("2001:db8::/33", "vpn", "a", 1, 2), ("2001:0DB8:1000::/36", "tor", "b", 2, 1)], "network string, threat string, source string, score int, order int")
+    return enrich.reputation_lookup(rows, "ip", listed).select("event_id", F.col("rep_threat_type").alias("threat"))
+
+
+@query("SELECT CASE WHEN event_id % 5 = 1 THEN 'too odd' ELSE 'kept' END AS reason, count(*) AS n FROM events WHERE event_id % 5 <> 0 GROUP BY 1")
+def prefilter_counts(spark, d):
+    m = intake.messages(table(spark, d, "events"), F.col("props"), "events_land", F.col("event_id"))
+    out = intake.prefilter(m, (intake.Filter("offset % 5 = 0"), intake.Filter("offset % 5 = 1", "too odd")))
+    return out.groupBy(F.coalesce("_reject", F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT 'db' || event_id % 2 AS db, CASE event_id % 3 WHEN 0 THEN 'dead' WHEN 1 THEN 'audit' ELSE 'events' END AS "table", CASE event_id % 3 WHEN 0 THEN 'pinned' WHEN 1 THEN 'topic' ELSE 'default' END AS choice, count(*) AS n FROM events GROUP BY ALL""")
+def route_topics_and_orgs(spark, d):
+    """Pinned topics, tables by topic, and databases by tenant."""
+    e = table(spark, d, "events")
+    value = F.to_json(F.struct(F.concat(F.lit("org"), (F.col("event_id") % 2).cast("string")).alias("_org_id")))
+    m = intake.messages(e, value, "t", F.col("event_id")).withColumn("topic", F.get(F.array(F.lit("replay"), F.lit("audit_land"), F.lit("other")), (F.col("offset") % 3).cast("int")))
+    r = Routing(pinned_topics={"replay": "dead"}, org_routes={"org0": "db0", "org1": "db1"})
+    return route(intake.parse(m), r).groupBy(F.col("_db").alias("db"), F.col("_table").alias("table"), F.col("_choice").alias("choice")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT 'main.' || event_type AS "table", count(*) AS rows FROM events WHERE event_type NOT IN ('click', 'view', 'error') GROUP BY 1""")
+def fallbacks_by_table(spark, d):
+    return pipeline.fallbacks(pipeline.routed(event_messages(spark, d), Settings(routing=ROUTING), KNOWN).good)
+
+
+@query("SELECT event_id, CASE WHEN event_id % 6 = 5 THEN NULL ELSE event_id % 180 END AS x, CASE WHEN event_id % 6 = 5 THEN NULL ELSE event_id % 90 END AS y, event_id % 6 = 5 AS refused FROM events")
+def coerce_points(spark, d):
+    lon, lat = ((F.col("event_id") % n).cast("string") for n in (180, 90))
+    quote = lambda *parts: F.concat(F.lit('"'), *parts, F.lit('"'))
+    forms = [F.concat(F.lit("["), lon, F.lit(","), lat, F.lit("]")), quote(lat, F.lit(", "), lon), F.concat(F.lit('{"lon":'), lon, F.lit(',"lat":'), lat, F.lit("}")), quote(F.lit("POINT("), lon, F.lit(" "), lat, F.lit(")")), F.concat(F.lit('{"type":"Point","coordinates":['), lon, F.lit(","), lat, F.lit("]}")), quote(F.lit("u09tvw0"))]
+    rows = with_coerced(events(spark, d).select("event_id", F.parse_json(F.get(F.array(*forms), (F.col("event_id") % 6).cast("int"))).alias("v")), {"p": ("Point", F.col("v"))})
+    return rows.select("event_id", F.col("p.x").cast("long").alias("x"), F.col("p.y").cast("long").alias("y"), F.col("p_refused").alias("refused"))
+
+
+@query("SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 'open' WHEN 'F' THEN 'done' END AS state, o_orderstatus NOT IN ('O', 'F') AS refused FROM orders")
+def coerce_enum(spark, d):
+    v = F.when(F.col("o_orderstatus") == "O", "1").when(F.col("o_orderstatus") == "F", '"done"').otherwise('"lost"')
+    rows = with_coerced(table(spark, d, "orders").select("o_orderkey", F.parse_json(v).alias("v")), {"state": ("Enum8('open' = 1, 'done' = 2)", F.col("v"))})
+    return rows.select("o_orderkey", "state", F.col("state_refused").alias("refused"))
+
+
+@query("SELECT key, count(*) AS n FROM (SELECT unnest(CASE WHEN event_id % 2 = 0 THEN ['more', 'most'] ELSE ['more'] END) AS key FROM events) GROUP BY key")
+def unstored_keys(spark, d):
+    e = table(spark, d, "events")
+    body = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(',"more":1,"_inner":2'), F.when(F.col("event_id") % 2 == 0, ',"most":{}').otherwise(""), F.lit("}"))
+    out = extract(intake.parse(intake.messages(e, body, "t", F.col("event_id"))), TableSpec("main", "events", (ColumnSpec("event_id", "Int64"),)), Settings())
+    return out.select(F.explode("_unstored").alias("key")).groupBy("key").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT user_id AS "user.id", event_type AS "kind" FROM events""")
+def flatten_template(spark, d):
+    e = table(spark, d, "events").select(F.to_json(F.struct(F.struct(F.col("user_id").alias("id"), F.lit(1).alias("other")).alias("user"), F.col("event_type").alias("kind"), F.lit(2).alias("more"))).alias("v"))
+    return flatten.flatten_like(e, "v", '{"user":{"id":1},"kind":"x"}')
+
+
+@query("""SELECT o_orderkey, o_clerk AS "user.name", o_orderpriority AS "log.level" FROM (SELECT o_orderkey, 'c' || o_custkey AS o_clerk, o_orderstatus AS o_orderpriority FROM orders)""")
+def mapping_preset(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("username"), F.col("o_orderstatus").alias("severity"))
+    return mapping.apply_mapping(o, mapping.preset("ecs")).select("o_orderkey", "`user.name`", "`log.level`")
+
+
+@query("SELECT 't' AS topic, CAST(event_id % 4 AS INTEGER) AS partition, CASE WHEN event_id % 3 = 0 THEN 'dead' ELSE 'placed' END AS outcome, min(event_id) AS first, max(event_id) AS last, count(*) AS rows FROM events GROUP BY ALL")
+def offsets_by_outcome(spark, d):
+    m = _prop_messages(spark, d)
+    return pipeline.outcomes(m.where("offset % 3 <> 0"), m.where("offset % 3 = 0"))
+
+
+@query(f"""SELECT {_TABLE_SQL} AS "table", count(*) AS rows, min(event_id) AS first FROM (SELECT *, row_number() OVER (PARTITION BY {_TABLE_SQL} ORDER BY event_id DESC) AS n FROM events) WHERE n > 20 GROUP BY 1""")
+def oldest_retired(spark, d):
+    m = _prop_messages(spark, d)
+    _, gone = pipeline.held_back(m.where("offset % 2 = 0"), m.where("offset % 2 = 1"), 20)
+    return gone.groupBy(F.concat_ws(".", "_db", "_table").alias("table")).agg(F.count("*").alias("rows"), F.min("offset").alias("first"))
+
+
+@query("SELECT count(*) AS rows FROM events WHERE event_type = 'click' AND value > 50")
+def count_where(spark, d):
+    return readers.count_where(table(spark, d, "events"), "event_type = 'click' AND value > 50")
+
+
+@query("SELECT event_id, user_id % 3 = 0 AS private, CASE WHEN event_id % 100 >= 80 THEN 'critical' WHEN event_id % 100 >= 60 THEN 'high' WHEN event_id % 100 >= 40 THEN 'medium' WHEN event_id % 100 >= 20 THEN 'low' ELSE 'minimal' END AS level, make_timestamp(1700000000250000) AS at FROM events")
+def sql_functions(spark, d):
+    sql_names.register(spark)
+    e = table(spark, d, "events").select("event_id", address().alias("ip"))
+    return e.select("event_id", F.expr("is_private_ip(ip)").alias("private"), F.expr("risk_level(CAST(event_id % 100 AS INT))").alias("level"), F.expr("CAST(epoch_time(1700000000250) AS TIMESTAMP_NTZ)").alias("at"))
 
 
 # Relational extensions: what Spark gives beside the reference's own work
@@ -332,3 +506,34 @@ def customers_rollup(spark, d):
 def customers_without_orders(spark, d):
     c, o = table(spark, d, "customer"), table(spark, d, "orders")
     return c.join(o, c["c_custkey"] == o["o_custkey"], "left_anti").select("c_custkey")
+
+
+@query("SELECT l_returnflag, l_linestatus, count(*) AS n, grouping_id(l_returnflag, l_linestatus) AS g FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus)")
+def lines_cube(spark, d):
+    return table(spark, d, "lineitem").cube("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), F.grouping_id().alias("g"))
+
+
+@query("SELECT o_custkey, o_orderkey, CAST(sum(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS BIGINT) AS last3 FROM orders")
+def orders_moving_frame(spark, d):
+    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey").rowsBetween(-2, 0)
+    return table(spark, d, "orders").select("o_custkey", "o_orderkey", F.sum("o_orderkey").over(w).alias("last3"))
+
+
+@query("SELECT c_nationkey AS nation FROM customer INTERSECT SELECT s_nationkey FROM supplier")
+def nations_in_both(spark, d):
+    return table(spark, d, "customer").select(F.col("c_nationkey").alias("nation")).intersect(table(spark, d, "supplier").select("s_nationkey"))
+
+
+@query("SELECT e.event_id, (SELECT max(p.event_id) FROM events p WHERE p.event_type = 'purchase' AND p.user_id = e.user_id AND p.ts <= e.ts) AS purchase FROM events e WHERE e.event_type = 'error'")
+def errors_as_of_purchase(spark, d):
+    """Each error with the user's latest purchase before it, by one window instead of a range
+    join; ids grow with time."""
+    e = table(spark, d, "events").where("event_type in ('error', 'purchase')")
+    last = F.max(F.when(F.col("event_type") == "purchase", F.col("event_id"))).over(Window.partitionBy("user_id").orderBy("ts").rangeBetween(Window.unboundedPreceding, 0))
+    return e.select("event_id", "event_type", last.alias("purchase")).where("event_type = 'error'").drop("event_type")
+
+
+@query("""SELECT user_id, count(*) AS sessions FROM (SELECT user_id, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 1 HOUR THEN 0 ELSE 1 END AS opens FROM events) WHERE opens = 1 GROUP BY user_id""")
+def user_sessions(spark, d):
+    e = table(spark, d, "events").groupBy("user_id", F.session_window(F.col("ts").cast("timestamp"), "1 hour")).agg(F.count("*").alias("n"))
+    return e.groupBy("user_id").agg(F.count("*").alias("sessions"))

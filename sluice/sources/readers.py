@@ -36,9 +36,30 @@ def read_kafka(spark: SparkSession, **options) -> DataFrame:
 
 
 def read_messages(spark: SparkSession, path: str, topic: str) -> DataFrame:
-    """A stream of text files, a message a line, in the shape of a Kafka source."""
-    lines = spark.readStream.text(path)
-    return lines.select("value", F.lit(topic).alias("topic"), F.lit(0).alias("partition"), F.xxhash64("value").alias("offset"))
+    """A stream of text files, a message a line, in the shape of a Kafka source.  A file is
+    a partition, named by the hash of its path, and its first byte's place the offset, so
+    that what commits and buffers count holds; lines are told apart within a file by
+    their order in its blocks."""
+    lines = spark.readStream.text(path).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+    partition = F.pmod(F.crc32(F.col("path").cast("binary")), F.lit(1 << 31)).cast("int")
+    return lines.select("value", F.lit(topic).alias("topic"), partition.alias("partition"), F.col("start").alias("offset"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many partitions as the session has cores: a source of a few
+    small files is dealt out before heavy work, a large one has partitions enough."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
+def table_names(spark: SparkSession, db: str | None = None) -> list[str]:
+    """Names of the catalog's tables as ``db.table``."""
+    db = db or spark.catalog.currentDatabase()
+    return sorted(f"{db}.{t.name}" for t in spark.catalog.listTables(db) if not t.isTemporary)
+
+
+def table_exists(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name)
 
 
 def mapping_rules(path: str) -> tuple[Rule, ...]:

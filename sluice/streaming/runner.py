@@ -4,33 +4,95 @@ replaces what it wrote before."""
 
 from __future__ import annotations
 
+import random
 import time
 from collections.abc import Callable
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, ArithmeticException, ArrayIndexOutOfBoundsException, DateTimeException, IllegalArgumentException, NumberFormatException, ParseException, PySparkException
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sluice.operators.enrich import Enrichment
 from sluice.operators.model import Settings, TableSpec
 from sluice.plans import pipeline
 
 
-def write_batch(df: DataFrame, path: str, batch: int, tries: int = 5, wait: float = 0.1) -> None:
-    """Write ``df`` as the batch's folder of ``path``; a failed write is tried again
-    with growing waits, up to 30 seconds."""
+#: Ways to place dead letters: the queue and files if it fails, both, one of them, none.
+MODES = ("cascade", "fan_out", "file_only", "queue_only", "disabled")
+Writer = Callable[[DataFrame, int], None]
+_DATA = (ArithmeticException, NumberFormatException, DateTimeException, ArrayIndexOutOfBoundsException)
+_FATAL = (AnalysisException, ParseException, IllegalArgumentException)
+
+
+def error_class(error: BaseException) -> str:
+    """``data`` for an error that the rows make, however often they are written; ``fatal``
+    for one of plan or settings; ``transient`` for any other."""
+    if isinstance(error, _DATA) or (getattr(error, "getCondition", lambda: None)() or "").startswith(("CAST_", "DIVIDE_", "INVALID_", "MALFORMED_", "NUMERIC_")):
+        return "data"
+    return "fatal" if isinstance(error, _FATAL) or not isinstance(error, PySparkException) else "transient"
+
+
+def again(f: Callable[[], None], tries: int = 5, wait: float = 0.1) -> None:
+    """``f``, tried again after transient errors with growing, jittered waits up to 30
+    seconds."""
     for k in range(tries):
         try:
-            df.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+            return f()
+        except Exception as e:
+            if k == tries - 1 or error_class(e) != "transient":
+                raise
+            time.sleep(min(30.0, wait * 2**k) * random.uniform(0.5, 1.0))
+
+
+def write_batch(df: DataFrame, path: str, batch: int, tries: int = 5, wait: float = 0.1, form: str = "parquet") -> None:
+    """Write ``df`` as the batch's folder of ``path``: typed rows as Parquet, or lines of
+    JSON (``form``).  A batch that is written again replaces itself."""
+    again(lambda: df.write.mode("overwrite").format(form).save(f"{path}/batch={batch}"), tries, wait)
+
+
+def dead_letters_to(mode: str, path: str | None = None, queue: Writer | None = None, most_bytes: int = 1_000_000, own_topics: tuple[str, ...] = ()) -> Writer:
+    """Places a batch's dead letters by one of ``MODES``: files under ``path``, and ``queue``
+    (such as a batch writer to Kafka).
+
+    Letters from ``own_topics``, which are read back from the queue, go to files alone, so
+    that none goes round in circles, as do payloads of more than ``most_bytes``.  With
+    ``disabled``, letters are passed over.
+    """
+    if mode not in MODES:
+        raise ValueError(f"dead letters are placed by one of {MODES}")
+    if mode in ("cascade", "fan_out", "queue_only") and queue is None or mode in ("cascade", "fan_out", "file_only") and path is None:
+        raise ValueError(f"{mode} needs its places")
+
+    def run(dead: DataFrame, batch: int) -> None:
+        if mode == "disabled":
             return
-        except PySparkException:
-            if k == tries - 1:
+        fits = (F.octet_length("payload") <= most_bytes) & (~F.col("topic").isin(*own_topics) if own_topics else F.lit(True))
+        fits = F.coalesce(fits, F.lit(True))
+        files = lambda df: write_batch(df, path, batch)
+        if mode == "file_only":
+            return files(dead)
+        if mode == "queue_only":
+            return again(lambda: queue(dead.where(fits), batch))
+        if mode == "fan_out":
+            again(lambda: queue(dead.where(fits), batch))
+            return files(dead)
+        try:
+            again(lambda: queue(dead.where(fits), batch))
+        except Exception as e:
+            if error_class(e) == "fatal" and not isinstance(e, PySparkException | OSError):
                 raise
-            time.sleep(min(30.0, wait * 2**k))
+            return files(dead)
+        files(dead.where(~fits))
+
+    return run
 
 
-def sink(tables: list[TableSpec], settings: Settings | Callable[[], Settings], path: str, dead_path: str | None = None) -> Callable[[DataFrame, int], None]:
+def sink(tables: list[TableSpec], settings: Settings | Callable[[], Settings], path: str, dead: str | Writer | None = None, form: str = "parquet", enrichment: Enrichment | None = None) -> Writer:
     """The body of ``foreachBatch``.  Settings given as a function are read anew for each
-    batch; without a dead-letter path, a batch with dead letters fails."""
+    batch; dead letters go to files under a path or to a writer of ``dead_letters_to``, and
+    without either, a batch with dead letters fails."""
+    place = dead_letters_to("file_only", dead) if isinstance(dead, str) else dead
 
     def run(batch: DataFrame, number: int) -> None:
         now = settings() if callable(settings) else settings
@@ -38,15 +100,15 @@ def sink(tables: list[TableSpec], settings: Settings | Callable[[], Settings], p
 
         def hold(df: DataFrame) -> DataFrame:
             held.append(df.persist())
-            return df
+            return held[-1]
 
         try:
-            parts, dead = pipeline.run(batch, tables, now, hold=hold)
+            parts, letters = pipeline.run(batch, tables, now, hold=hold, enrichment=enrichment)
             for name, rows in parts.items():
-                write_batch(rows, f"{path}/{name}", number)
-            if dead_path is not None:
-                write_batch(dead, dead_path, number)
-            elif dead.limit(1).count():
+                write_batch(rows, f"{path}/{name}", number, form=form)
+            if place is not None:
+                place(letters, number)
+            elif letters.limit(1).count():
                 raise ValueError("there are dead letters and nowhere to put them")
         finally:
             for df in held:
@@ -55,9 +117,9 @@ def sink(tables: list[TableSpec], settings: Settings | Callable[[], Settings], p
     return run
 
 
-def start(messages: DataFrame, tables: list[TableSpec], settings: Settings | Callable[[], Settings], path: str, dead_path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+def start(messages: DataFrame, tables: list[TableSpec], settings: Settings | Callable[[], Settings], path: str, dead: str | Writer, checkpoint: str, interval: str | None = None, **options) -> StreamingQuery:
     """Start the pipeline on a message stream; without an interval it takes what there
-    is and stops."""
-    writer = messages.writeStream.foreachBatch(sink(tables, settings, path, dead_path)).option("checkpointLocation", checkpoint)
+    is and stops.  How much a micro-batch takes is the source's own option."""
+    writer = messages.writeStream.foreachBatch(sink(tables, settings, path, dead, **options)).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     return writer.start()

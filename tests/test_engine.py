@@ -58,6 +58,7 @@ GUARDED = [
     ("plain", "not JSON"), ('  {"a":1}', None), ('{"a":', "JSON parse"), ('{"a":1}{"b":2}', "several records"), ("[1,2]", "JSON array"), ("[]", "JSON array"),
     ('{"_org_id":"a","_org_id":"b"}', "header key"), ('{"_source":"a","\\u005fsource":"b"}', "header key"),
     ("[" * 64 + "]" * 64, "JSON array"), ('{"a":' * 64 + "1" + "}" * 64, None), ('{"a":' * 65 + "1" + "}" * 65, "nested"), (json.dumps({"a": "[" * 200}), None), ("", "not JSON"), (None, "not JSON"),
+    (json.dumps({"a": '"' + "[" * 70}), None), ("[" * 66 + '"\\""' + "]" * 66, "nested"), (json.dumps({"a": "_org_id", "_org_id": "x"}), None), ('{"a":1},{"b":2}', "several records"),
 ]
 
 
@@ -236,3 +237,70 @@ def test_timestamp_bounds_in_extraction(spark):
     now = F.lit("2024-01-01 00:00:00").cast("timestamp")
     got = extract(intake.parse(messages(spark, ['{"timestamp":"2030-01-01T00:00:00Z"}'])), t, Settings(quality=Quality()), now).first()
     assert str(got._timestamp) == "2024-01-01 00:00:00"
+
+
+def test_computed_language(spark):
+    df = spark.createDataFrame([("7", "abc", None), ("x", "b", "u")], "n string, s string, `user.name` string")
+    out, failed = mapping.compute(df, {
+        "big": "n > 5", "size": 's.startsWith("a") ? (n > 5 ? "both" : "start") : "none"', "named": "has(user.name) || size(s) > 2", "one": 's in ["b", "c"]', "sum": "int(n) + 1", "text": 'string(n) == "7"', "odd": "s ? 1",
+    }, texts=("n", "s", "user.name"))
+    got = [(r.big, r.size, r.named, r.one, r["sum"], r.text) for r in out.collect()]
+    assert failed == ["odd"] and got == [(True, "both", True, False, 8, True), (None, "none", True, True, None, False)]
+    assert mapping.names_in('a.b > 1 && f(c) ? "d" : msg.contains(e)') == ["a.b", "c", "msg", "e"]
+
+
+def test_mapping_takes_sources_by_row(spark):
+    df = spark.createDataFrame([(1, None, "x"), (2, "there", "y")], "id int, d string, s string")
+    out = mapping.apply_mapping(df, (mapping.Rule("d", ("s",)),), keep=("s",)).orderBy("id").collect()
+    assert [(r.d, r.s) for r in out] == [("x", None), ("there", "y")]
+
+
+def test_stages_read_fields_that_the_table_lacks(spark):
+    values = ['{"kind":"a","hostname":"h","n":7,"client_ip":"2001:db8::1"}', '{"kind":"a","host":"own","hostname":"h","n":"x","ip":"10.0.0.1"}']
+    t = TableSpec("default", "a", (ColumnSpec("host", "String", "@renamed: hostname"), ColumnSpec("big", "Bool", "@computed: n > 5"), ColumnSpec("geo_country_code"), ColumnSpec("risk_level")))
+    by = enrich.Enrichment(spark.createDataFrame([("2001:db8::/32", "FR")], "network string, country_iso string"), spark.createDataFrame([("2001:db8::1", "botnet", "s", 0, 1)], "network string, threat string, source string, score int, order int"), Risk())
+    rows, dead = pipeline.run(messages(spark, values), [t], Settings(routing=Routing(table_fields=("kind",))), enrichment=by)
+    got = rows["default.a"].orderBy("host").collect()
+    assert [(r.host, r.big, r.geo_country_code) for r in got] == [("h", True, "FR"), ("own", None, None)] and [r.risk_level for r in got] == ["low", "minimal"] and dead.count() == 0
+
+
+def test_addresses_of_version_six(spark):
+    cases = {"::": True, "::ffff:10.0.0.1": True, "::ffff:8.8.8.8": False, "1:2:3:4:5:6:7:8": False, "1:2:3:4:5:6:7": None, "1::2::3": None, ":1::2": None, "12345::": None, "fdff::1": True, "FE80::A": True, "fec0::1": False, "01.2.3.4": None, "1:::2": None}
+    for text, want in cases.items():
+        assert one(spark, ip.is_private(F.lit(text))) is want, text
+    table = enrich.prefixes(spark.createDataFrame([("2001:db8::/129",), ("::ffff:1.2.3.0/120",), ("1.2.3.4/33",), ("1.2.3.4",)], "network string"))
+    assert sorted(r.length for r in table.collect()) == [120, 128]
+
+
+def test_flush_bounds_hold(spark):
+    df = spark.createDataFrame([("v" * (1 if i < 10 else 40), "t", 0, i, "d", "x") for i in range(40)], "value string, topic string, partition int, offset long, _db string, _table string")
+    sizes = pipeline.flush_plan(df, rows=5, size=100).groupBy("_flush").agg(F.count("*").alias("n"), F.sum(F.octet_length("value")).alias("b")).collect()
+    assert all(r.n <= 5 and r.b < 100 + 40 for r in sizes)
+
+
+def test_dead_letters_are_placed(spark, tmp_path):
+    dead = spark.createDataFrame([("x" * 5, "r", "intake", "t", 0, 1, None), ("y" * 50, "r", "intake", "t", 0, 2, None), ("z", "r", "intake", "own", 0, 3, None)], "payload string, reason string, stage string, topic string, partition int, offset long, `table` string")
+    sent: list[int] = []
+
+    def queue(df, batch):
+        sent.extend(r.offset for r in df.collect())
+
+    def broken(df, batch):
+        raise OSError("no queue")
+
+    place = lambda mode, q, path: runner.dead_letters_to(mode, str(tmp_path / path), q, most_bytes=10, own_topics=("own",))(dead, 0)
+    there = lambda path: sorted(r.offset for r in spark.read.parquet(str(tmp_path / path)).collect())
+    place("cascade", queue, "a")
+    assert sent == [1] and there("a") == [2, 3]
+    place("cascade", broken, "b")
+    assert there("b") == [1, 2, 3]
+    place("fan_out", queue, "c")
+    assert there("c") == [1, 2, 3]
+    place("disabled", None, "d")
+    with pytest.raises(ValueError):
+        runner.dead_letters_to("queue_only")
+    with pytest.raises(ValueError):
+        runner.dead_letters_to("elsewhere")
+    assert [runner.error_class(e) for e in (OSError(), ValueError())] == ["fatal", "fatal"]
+    runner.write_batch(dead, str(tmp_path / "j"), 1, form="json")
+    assert spark.read.json(str(tmp_path / "j")).count() == 3
