@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from sluice.llm.tokens import blocks
 
 ALPHABET = 128
-#: Distinct languages of the training rows at most; the model holds a vector for each.
+#: Distinct languages of the training rows, beyond which training stops with an error: the
+#: model holds a vector for each in every task.
 MOST_LANGUAGES = 1000
 
 
@@ -162,24 +163,33 @@ def fold(doc_id: Column, folds: int) -> Column:
 
 def identified(docs: DataFrame, p: Profiles = Profiles()) -> DataFrame:
     """``identify`` with a model learned from the labelled rows of ``docs`` outside the
-    held-out fold (remainder 1 of 3); adds held_out."""
+    held-out fold (remainder 1 of 3); adds held_out.  Nulls, empty and very long texts,
+    ties, repeated rows and empty tables count as there; further columns are left out."""
     model = train(docs.where(fold(F.col("doc_id"), 3) != 1), p)
     return identify(docs, model, p).select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
-def language_stage(docs: DataFrame, least: float = 0.0, p: Profiles = Profiles()) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that have a language: a letter at
-    least and a cosine of ``least`` or more with the best prototype."""
+def language_stage(docs: DataFrame, p: Profiles = Profiles()) -> DataFrame:
+    """The rows of ``docs`` that have a language, which are all with a letter if anything
+    has been learned, with all their columns, whatever their names; a null ``lang`` is
+    filled with the prediction.  Null and empty texts go; very long ones are read whole,
+    repeated rows count one by one, and no rows give no rows."""
     model = train(docs.where(fold(F.col("doc_id"), 3) != 1), p)
+    text, lang = docs.columns.index("text"), docs.columns.index("lang")
 
     def run(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         scorer = _Scorer(model, p)
         for batch in batches:
             for at in range(0, len(batch), 500):  # few texts at a time as Python strings
                 rows = batch.slice(at, 500)
-                found = [scorer(t) for t in rows.column("text").to_pylist()]
-                yield rows.filter(pa.array([lang != "und" and score >= least for lang, score in found], pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+                found = [scorer(t)[0] for t in rows.column(text).to_pylist()]
+                filled = pc.coalesce(rows.column(lang), pa.array(found, rows.column(lang).type))
+                rows = rows.set_column(lang, rows.schema.field(lang), filled)
+                yield rows.filter(pa.array([x != "und" for x in found], pa.bool_()))
+
+    # by place, as a name may hold dots
+    placed = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    return placed.mapInArrow(run, placed.schema).toDF(*docs.columns)

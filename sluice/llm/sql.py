@@ -39,9 +39,18 @@ FROM x
 """
 
 
+#: The base kinds as the contract has them, apart from the operator's own: pattern, group
+#: that is measured, least length.
+_BASE = {
+    "assign": (r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    "access": (r"AKIA[A-Z0-9]+", 0, 20),
+    "hex": (r"[0-9a-f]+", 0, 24),
+}
+
+
 def _secrets() -> str:
     kinds = []
-    for k, r in enumerate(secrets.BASE + secrets.MORE):
+    for k, r in enumerate([secrets.Rule(kind, *x) for kind, x in _BASE.items()] + list(secrets.MORE)):
         p = "'" + r.pattern.replace("'", "''") + "'"
         kinds.append(f"SELECT doc_id, {k} AS k, '{r.kind}' AS kind, {r.least} AS least, regexp_split_to_array(t, {p}) AS g, regexp_extract_all(t, {p}) AS m, regexp_extract_all(t, {p}, {r.group}) AS e FROM d")
     base = len(secrets.BASE)
