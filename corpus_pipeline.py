@@ -46,8 +46,8 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", packing),
 ]
 
-#: The tokenizer and the prototypes have no SQL form; tests hold each stage, and the
-#: whole run, against brute-force versions.
+#: The tokenizer and the prototypes have no SQL form; tests/llm/test_pipeline.py holds each
+#: stage, and the whole run, against brute-force versions.
 ORACLE_SQL: str | None = None
 
 
