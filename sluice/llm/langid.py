@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.llm.common import give_back
 from sluice.llm.tokens import blocks
 
 ALPHABET = 128
@@ -101,6 +102,8 @@ def _train_partition(p: Profiles):
                         sums[lang] = sums.get(lang, 0) + bundler.bundle(grams, counts).astype(np.float64)
         for lang, v in sums.items():
             yield pd.DataFrame({"lang": lang, "dimension": np.arange(p.dimensions), "value": v})
+        del bundler
+        give_back()
 
     return run
 
@@ -140,6 +143,8 @@ def _predict_partition(model: dict[str, np.ndarray], p: Profiles):
         for pdf in batches:
             scored = [scorer(t) for t in pdf["text"]]
             yield pdf.drop(columns="text").assign(lang_pred=[x[0] for x in scored], score=[x[1] for x in scored])
+        del scorer
+        give_back()
 
     return run
 
@@ -189,6 +194,8 @@ def language_stage(docs: DataFrame, p: Profiles = Profiles()) -> DataFrame:
                 filled = pc.coalesce(rows.column(lang), pa.array(found, rows.column(lang).type))
                 rows = rows.set_column(lang, rows.schema.field(lang), filled)
                 yield rows.filter(pa.array([x != "und" for x in found], pa.bool_()))
+        del scorer
+        give_back()
 
     # by place, as a name may hold dots
     placed = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])

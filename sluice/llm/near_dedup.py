@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import discard, free_names, stored, text_digest
+from sluice.llm.common import discard, free_names, give_back, stored, text_digest
 from sluice.llm.graph import connected_components
 from sluice.llm.tokens import blocks
 
@@ -163,6 +163,7 @@ def _sketch_partition(p: NearDup):
                 for c in ("rid", "doc_id", "text_key"):
                     out[c] = list(pdf[c][part])
                 yield out
+        give_back()
 
     return run
 
@@ -297,6 +298,7 @@ def _meet(p: NearDup, forest: bool):
             held, of = [pdf[own]], last
         if held:
             yield whole_groups(pd.concat(held, ignore_index=True))
+        give_back()
 
     return run
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import partitions, stored
+from sluice.llm.common import give_back, partitions, stored
 from sluice.llm.tokens import slices, worker_encoder
 
 
@@ -113,6 +113,7 @@ def _piece_partition(path: str, end_id: int, capacity: int, keep_ids: bool):
                     made.append(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], past)), pa.int32()), pa.array(ids.astype(np.int32))))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(made, names)
+        give_back()
 
     return run
 
