@@ -63,12 +63,13 @@ def write(writer: DataFrameWriter, path: str) -> None:
 
 def bucketed(df: DataFrame, key: str, n: int) -> DataFrame:
     """``df`` written once as a Parquet table in ``n`` buckets by ``key``, so that what
-    groups or joins it by ``key`` again and again doesn't shuffle it."""
+    groups or joins it by ``key`` again and again doesn't shuffle it.  What comes out of a
+    grouping by ``key`` lies in its buckets already and is written as it lies."""
     spark = df.sparkSession
     path = shared_dir(spark)
     name = "sluice_" + path.rpartition("/")[2]
     with _shuffles_go(spark):
-        df.repartition(n, key).write.format("parquet").bucketBy(n, key).option("path", path).saveAsTable(name)
+        df.write.format("parquet").bucketBy(n, key).option("path", path).saveAsTable(name)
     out = spark.table(name)
     _paths[id(out)] = path
     weakref.finalize(out, _paths.pop, id(out), None)

@@ -377,9 +377,10 @@ def _settle_block(tables: Tables):
 
 def blocks_of(rows: DataFrame, tables: Tables) -> DataFrame:
     """Blocks of the rows of ``sequences``, of like lengths, training rows and others apart,
-    in buckets by their number, so that no iteration deals them out again."""
+    in buckets by their number, so that no iteration deals them out again.  The rows go."""
     n = partitions(rows.sparkSession)
     made = stored(rows.mapInPandas(_block_partition(n), _BLOCKS))
+    discard(rows)
     asked = made.select("block", "held_out", "words", "at").mapInPandas(_ask_partition(n, True), _SUMS)
     counts = stored(asked.groupBy("bucket").applyInPandas(_count_bucket, _SUMS))
     settled = bucketed(made.groupBy("block").cogroup(counts.groupBy("block")).applyInPandas(_settle_block(tables), _BLOCKS), "block", n)
@@ -544,7 +545,7 @@ def score_texts(docs: DataFrame, p: HiddenMarkov = HiddenMarkov()) -> DataFrame:
     tables = tables_of(counts, training.count(), p)
     rows = sequences(docs, tables)
     blocks = blocks_of(rows, tables)
-    discard(counts, rows)
+    discard(counts)
     known, sums = train(blocks, tables, p)
     scores = stored(blocks.groupBy("block").cogroup(sums.where("block >= 0").groupBy("block")).applyInPandas(_score_block(known), _SCORES))
     discard(blocks, sums)
