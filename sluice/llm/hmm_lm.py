@@ -478,6 +478,7 @@ def _score_block(known: Known):
             m, symbols = known.local(b, right)
             lengths, texts = np.frombuffer(b.lengths, "<i4"), np.frombuffer(b.texts, _TEXT)
             score = np.concatenate([batch.log10(m) for _, _, batch in _batches(symbols, lengths, BATCH)]).astype(float)
+            give_back()
             doc_id = pd.array(texts["doc_id"], "Int64")
             doc_id[texts["null"]] = pd.NA
             out.append(pd.DataFrame({"doc_id": doc_id, "held_out": bool(b.held_out), "n_tokens": lengths.astype(np.int64), "n_known": texts["known"].astype(np.int64), "base_score": texts["base"], "score": score}))
