@@ -43,7 +43,7 @@ from sluice.llm.tokens import bytes_of, slices
 #: In place of a symbol: a word that is none.
 RARE = 0xFFFFFF
 #: Tokens of a block, and of a batch within, about.
-BLOCK, BATCH = 600_000, 150_000
+BLOCK, BATCH = 600_000, 300_000
 
 
 @dataclass(frozen=True)
@@ -200,30 +200,32 @@ class Batch:
         top = int(self.length[0])
         self.alive = len(every) - np.searchsorted(self.length[::-1], np.arange(top), side="right")
         self.first = np.concatenate(([0], np.cumsum(self.alive)))
-        row = np.repeat(np.arange(len(every)), self.length)
-        time = np.arange(len(row)) - np.repeat(np.cumsum(self.length) - self.length, self.length)
-        self.at = self.first[time] + row
-        self.row = row
-        self.symbols = np.empty(len(row), np.int64)
+        self.row = np.repeat(np.arange(len(every), dtype=np.int32), self.length)
+        time = np.arange(len(self.row), dtype=np.int32) - np.repeat((np.cumsum(self.length) - self.length).astype(np.int32), self.length)
+        self.at = self.first.astype(np.int32)[time] + self.row
+        self.symbols = np.empty(len(self.row), np.int32)
         self.symbols[self.at] = np.concatenate(every)
 
-    def forward(self, m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Emissions, scaled forward weights and scales of every token, by time step."""
-        seen = m.emit[self.symbols]
-        weight, scale = np.empty_like(seen), np.empty(len(seen), seen.dtype)
-        before = np.broadcast_to(m.start, (self.alive[0], len(m.start)))
+    def forward(self, m: Model, keep: bool) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
+        """Emissions, scaled forward weights (with ``keep``) and scales of every token, by
+        time step."""
+        seen = np.take(m.emit, self.symbols, axis=0)
+        weight, scale = np.empty_like(seen) if keep else None, np.empty(len(seen), seen.dtype)
+        ones, first = np.ones(len(m.start), seen.dtype), self.first.tolist()
+        now = np.repeat(m.start[None], self.alive[0], 0)
         for t, n in enumerate(self.alive.tolist()):
-            a, b = self.first[t], self.first[t] + n
-            now = (before[:n] @ m.move if t else before) * seen[a:b]
-            s = now.sum(axis=1)
-            now /= s[:, None]
-            weight[a:b], scale[a:b] = now, s
-            before = now
+            a, b = first[t], first[t + 1]
+            if t:
+                now = now[:n] @ m.move
+            now *= seen[a:b]
+            now /= np.matmul(now, ones, out=scale[a:b])[:, None]  # sums of short rows are quicker this way
+            if keep:
+                weight[a:b] = now
         return seen, weight, scale
 
     def log10(self, m: Model) -> np.ndarray:
         """Log-probability of each sequence, in the order they were given."""
-        scale = self.forward(m)[2]
+        scale = self.forward(m, keep=False)[2]
         total = np.bincount(self.row, np.log10(scale[self.at]), len(self.length))
         out = np.empty(len(total))
         out[self.order] = total
@@ -231,20 +233,20 @@ class Batch:
 
     def expect(self, m: Model, start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> None:
         """Add the expected counts to the three arrays."""
-        seen, weight, scale = self.forward(m)
+        seen, weight, scale = self.forward(m, keep=True)
         seen /= scale[:, None]
-        back = np.ones_like(weight)
-        moves = np.zeros_like(m.move)
-        for t in range(len(self.alive) - 2, -1, -1):
-            n = self.alive[t + 1]
-            a, c = self.first[t], self.first[t + 1]
-            ahead = seen[c : c + n] * back[c : c + n]
-            moves += weight[a : a + n].T @ ahead
-            back[a : a + n] = ahead @ m.move.T
-        weight *= back
-        weight /= weight.sum(axis=1, keepdims=True)
+        moves, first, alive, backward = np.zeros_like(m.move), self.first.tolist(), self.alive.tolist(), np.ascontiguousarray(m.move.T)
+        back = np.ones((alive[0], len(m.start)), seen.dtype)  # of the step at hand; one where a sequence ends
+        for t in range(len(alive) - 2, -1, -1):
+            n, a, c = alive[t + 1], first[t], first[t + 1]
+            before, ahead, now = weight[a : a + n], seen[c : c + n], back[:n]
+            ahead *= now
+            moves += before.T @ ahead
+            np.matmul(ahead, backward, out=now)
+            before *= now
+        weight /= (weight @ np.ones(len(m.start), weight.dtype))[:, None]
         move += moves * m.move
-        start += weight[: self.alive[0]].sum(axis=0)
+        start += weight[: alive[0]].sum(axis=0)
         for k in range(weight.shape[1]):
             emit[:, k] += np.bincount(self.symbols, weight[:, k], len(emit))
 
