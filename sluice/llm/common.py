@@ -45,14 +45,19 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @contextmanager
-def _shuffles_go(spark: SparkSession):
-    """The shuffles that a query within takes go when it is done."""
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+def setting(spark: SparkSession, name: str, value: str):
+    """A query within runs with this setting."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def _shuffles_go(spark: SparkSession):
+    """The shuffles that a query within takes go when it is done."""
+    return setting(spark, _CLEANUP, "true")
 
 
 def write(writer: DataFrameWriter, path: str) -> None:

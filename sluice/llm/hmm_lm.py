@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from sluice.llm.common import bucketed, discard, give_back, partitions, stored
+from sluice.llm.common import bucketed, discard, give_back, partitions, setting, stored
 from sluice.llm.langid import fold
 from sluice.llm.tokens import bytes_of, slices
 
@@ -400,16 +400,15 @@ class Known:
     weight: int  # of all words
     buckets: int
 
-    def local(self, block, sums: pd.DataFrame) -> tuple[Model, np.ndarray]:
-        """The model of the symbols and then the block's words, and the block's tokens in it."""
+    def local(self, block, sums: list[bytes]) -> tuple[Model, np.ndarray]:
+        """The model of the symbols and then the block's words, and the block's tokens in it;
+        ``sums`` are those of the words in their order."""
         m, n = self.model, len(self.model.emit)
         symbols, counts = unpacked(block.symbols), np.frombuffer(block.counts, "<u4")
         if len(counts) == 0:
             return m, symbols
         share = (counts + 1.0) / self.weight
-        sums = sums.sort_values("bucket")
-        parts = [*sums["sums"][sums["bucket"] >= 0], *sums["sums"][sums["bucket"] < 0]]
-        got = np.frombuffer(b"".join(parts), "<f2").astype(np.float32).reshape(-1, len(m.start))
+        got = np.frombuffer(b"".join(sums), "<f2").astype(np.float32).reshape(-1, len(m.start))
         emit = (got + self.prior * share[:, None]) / self.norm if len(got) else np.repeat(share[:, None], len(m.start), 1)
         symbols[symbols == RARE] = n + np.frombuffer(block.at, "<u4").astype(np.int64)
         return Model(m.start, m.move, np.vstack((m.emit, emit.astype(m.emit.dtype)))), symbols
@@ -424,52 +423,46 @@ def _batches(symbols: np.ndarray, lengths: np.ndarray, most: int) -> Iterator[tu
             first, size = i + 1, 0
 
 
-def _expect_block(known: Known):
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for b in left.itertuples():
-            m, symbols = known.local(b, right)
-            k, n = len(m.start), len(known.model.emit)
-            start, move, emit = np.zeros(k), np.zeros((k, k)), np.zeros(m.emit.shape)
-            for _, _, batch in _batches(symbols, np.frombuffer(b.lengths, "<i4"), BATCH):
-                batch.expect(m, start, move, emit)
-            give_back()
-            own, words = emit[n:].astype("<f2"), np.frombuffer(b.words, "<u8")
-            used = np.flatnonzero(emit[:n].sum(axis=1))
-            # after the symbols: the start, the moves and the total of the other words
-            dense = np.concatenate((used, n + np.arange(k + 2))).astype(np.uint64)
-            out.append(_dense_rows(b.block, dense, np.vstack((emit[used], start, move, own.sum(axis=0, dtype=np.float64))), known.buckets))
-            out.append(_in_buckets(b.block, words, own[: len(words)], known.buckets))
-            if len(own) > len(words):
-                out.append(pd.DataFrame({"bucket": [-1 - b.block % 1_000_003], "block": b.block, "words": b"", "sums": [own[len(words) :].tobytes()]}))
-        return pd.concat(out) if out else pd.DataFrame({"bucket": [], "block": [], "words": [], "sums": []})
-
-    return run
+def _with_sums(blocks: DataFrame, sums: DataFrame) -> DataFrame:
+    """``blocks``, which are in buckets, with the sums of each one's words in the words'
+    order: those of the buckets, then its own."""
+    part = F.struct((F.col("bucket") < 0).alias("own"), "bucket", "sums")
+    parts = sums.where("block >= 0").groupBy("block").agg(F.sort_array(F.collect_list(part)).alias("parts"))
+    return blocks.join(parts.select("block", F.transform("parts", lambda p: p["sums"]).alias("sums")).hint("merge"), "block", "left")
 
 
-def _dense_rows(block: int, rows: np.ndarray, sums: np.ndarray, buckets: int) -> pd.DataFrame:
-    """Sums of the symbols, and what follows them, in buckets of their own."""
-    order = np.argsort(rows % np.uint64(buckets), kind="stable")
-    return _in_buckets(block, rows[order], sums[order], buckets, "<f4", buckets)
-
-
-def _add_symbols(known: Known):
-    """Of a task's rows, those of the symbols added up."""
+def _expect_blocks(known: Known):
+    """Expected counts of a task's blocks: of their words for each, of the symbols added up."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        k = len(known.model.start)
-        total = np.zeros((len(known.model.emit) + k + 2, k))
+        k, n = len(known.model.start), len(known.model.emit)
+        # after the symbols: the start, the moves and the total of the other words
+        total = np.zeros((n + k + 2, k))
         for pdf in frames:
-            dense = pdf["bucket"] >= known.buckets
-            for words, sums in zip(pdf["words"][dense], pdf["sums"][dense], strict=True):
-                total[np.frombuffer(words, "<u8").astype(np.int64)] += np.frombuffer(sums, "<f4").reshape(-1, k)
-            yield pdf[~dense]
+            for b in pdf.itertuples():
+                m, symbols = known.local(b, [] if b.sums is None else list(b.sums))
+                emit = np.zeros(m.emit.shape)
+                for _, _, batch in _batches(symbols, np.frombuffer(b.lengths, "<i4"), BATCH):
+                    batch.expect(m, total[n], total[n + 1 : n + 1 + k], emit)
+                own, words = emit[n:].astype("<f2"), np.frombuffer(b.words, "<u8")
+                total[:n] += emit[:n]
+                total[-1] += own.sum(axis=0, dtype=np.float64)
+                give_back()
+                yield _in_buckets(b.block, words, own[: len(words)], known.buckets)
+                if len(own) > len(words):
+                    yield pd.DataFrame({"bucket": [-1 - b.block % 1_000_003], "block": b.block, "words": b"", "sums": [own[len(words) :].tobytes()]})
         used = np.flatnonzero(total.sum(axis=1))
         yield _dense_rows(-1, used.astype(np.uint64), total[used], known.buckets)
 
     return run
 
 
+def _dense_rows(block: int, rows: np.ndarray, sums: np.ndarray, buckets: int) -> pd.DataFrame:
+    """Sums of the symbols, and what follows them, in buckets of their own."""
+    order = np.argsort(rows % np.uint64(buckets), kind="stable")
+    return _in_buckets(block, rows[order], sums[order], buckets, "<f4", buckets)
+
+
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
@@ -477,7 +470,8 @@ def _score_block(known: Known):
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         for b in left.itertuples():
-            m, symbols = known.local(b, right)
+            parts = right.sort_values("bucket")
+            m, symbols = known.local(b, [*parts["sums"][parts["bucket"] >= 0], *parts["sums"][parts["bucket"] < 0]])
             lengths, texts = np.frombuffer(b.lengths, "<i4"), np.frombuffer(b.texts, _TEXT)
             score = np.concatenate([batch.log10(m) for _, _, batch in _batches(symbols, lengths, BATCH)]).astype(float)
             give_back()
@@ -520,10 +514,11 @@ def train(blocks: DataFrame, tables: Tables, p: HiddenMarkov) -> tuple[Known, Da
     known = Known(narrow(m), np.ones(k), p.prior, tables.weight, buckets)
     sums = stored(spark.createDataFrame([], _SUMS))
     for i in range(p.iterations if tables.end_count else 0):
-        asked = training.groupBy("block").cogroup(sums.groupBy("block")).applyInPandas(_expect_block(known), _SUMS).mapInPandas(_add_symbols(known), _SUMS)
+        asked = _with_sums(training, sums).mapInPandas(_expect_blocks(known), _SUMS)
         if i == p.iterations - 1:
             asked = asked.union(asking)
-        before, sums = sums, stored(asked.groupBy("bucket").applyInPandas(_sum_bucket(buckets, k), _SUMS))
+        with setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", "8m"):  # a task holds few blocks
+            before, sums = sums, stored(asked.groupBy("bucket").applyInPandas(_sum_bucket(buckets, k), _SUMS))
         discard(before)
         counts = np.zeros((n + k + 2, k))
         for r in sums.where("block = -1").select("words", "sums").collect():  # symbols + states + 2 rows of counts
