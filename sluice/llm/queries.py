@@ -16,6 +16,7 @@ from sluice.llm.common import read
 from sluice.llm.decontaminate import contamination
 from sluice.llm.hmm_lm import scored
 from sluice.llm.langid import identified
+from sluice.llm.merkle import tampered_manifest
 from sluice.llm.near_dedup import NearDup, near_duplicates
 from sluice.llm.packing import pack_documents
 from sluice.llm.sharding import shard_documents
@@ -72,6 +73,10 @@ def op10_odd_sketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), NearDup(shingle=3, percent=85, bands=30, rows=6))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tampered_manifest(read(spark, sf_dir, "documents")).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packed_token_files,
         op9_trigram_secret_scan,
         op10_odd_sketch_near_dedup,
+        op11_merkle_manifest,
     )
 }
 SQL: dict[str, str] = {
