@@ -22,6 +22,7 @@ from sluice.llm.packing import pack_documents
 from sluice.llm.sharding import shard_documents
 from sluice.llm.token_files import token_files
 from sluice.llm.tokens import public_tokenizer_path
+from sluice.llm.vector_codes import coded_embeddings
 from sluice.llm.vector_search import embedding_search
 from sluice.llm.warc import archive_pages
 
@@ -77,6 +78,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tampered_manifest(read(spark, sf_dir, "documents")).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op12_segment_mean_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coded_embeddings(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_trigram_secret_scan,
         op10_odd_sketch_near_dedup,
         op11_merkle_manifest,
+        op12_segment_mean_codes,
     )
 }
 SQL: dict[str, str] = {
@@ -99,4 +105,6 @@ SQL: dict[str, str] = {
     "op7_arc_to_warc": sql.OP7,
     "op9_trigram_secret_scan": sql.OP9,
     "op10_odd_sketch_near_dedup": sql.OP10,
+
+
 }

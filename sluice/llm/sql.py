@@ -83,3 +83,24 @@ m AS (SELECT a, min(b) AS b FROM r GROUP BY a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.b, d.doc_id)) AS component_id, d.doc_id = least(d.doc_id, coalesce(m.b, d.doc_id)) AS kept
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN m ON m.a = d.doc_id
 """
+
+
+def _spelt(column: str) -> str:
+    return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_spelt(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _polynomial_tables() -> str:
+    """One step of CRC-32 (IEEE) over a byte: eight shifts."""
+    return "list_reduce(range(0, 8), lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, {})"
+
+
+def _crc32(text: str) -> str:
+    """Of a text of ASCII letters."""
+    step = _polynomial_tables().format("xor(a, CAST(ord(x) AS BIGINT))")
+    return f"xor(CAST(list_reduce(string_split({text}, ''), lambda a, x: {step}, 4294967295) AS BIGINT), 4294967295)"
+
+
