@@ -16,6 +16,7 @@ from sluice.llm.common import read
 from sluice.llm.decontaminate import contamination
 from sluice.llm.hmm_lm import scored
 from sluice.llm.langid import identified
+from sluice.llm.jaccard_join import joined
 from sluice.llm.merkle import tampered_manifest
 from sluice.llm.near_dedup import NearDup, near_duplicates
 from sluice.llm.packing import pack_documents
@@ -82,6 +83,10 @@ def op12_segment_mean_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded_embeddings(read(spark, sf_dir, "embeddings"))
 
 
+def op13_divide_skip_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return joined(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
@@ -97,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_odd_sketch_near_dedup,
         op11_merkle_manifest,
         op12_segment_mean_codes,
+        op13_divide_skip_join,
     )
 }
 SQL: dict[str, str] = {
@@ -105,6 +111,9 @@ SQL: dict[str, str] = {
     "op7_arc_to_warc": sql.OP7,
     "op9_trigram_secret_scan": sql.OP9,
     "op10_odd_sketch_near_dedup": sql.OP10,
+    "op11_merkle_manifest": sql.OP11,
+    "op12_segment_mean_codes": sql.OP12,
+    "op13_divide_skip_join": sql.OP13,
 
 
 }

@@ -85,22 +85,69 @@ FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN m ON m.a = d.doc_id
 """
 
 
-def _spelt(column: str) -> str:
-    return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR), '-')"
-
-
 def _leaf(text: str) -> str:
-    return "sha256(" + " || ".join(_spelt(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    spelt = [f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(spelt)})"
 
 
-def _polynomial_tables() -> str:
-    """One step of CRC-32 (IEEE) over a byte: eight shifts."""
-    return "list_reduce(range(0, 8), lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, {})"
+def _crc32(text: str) -> str:
+    """CRC-32 of a text of ASCII letters, a bit at a time."""
+    byte = "list_reduce(range(0, 8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, xor(a, x))"
+    return f"xor(list_reduce(list_transform(string_split({text}, ''), lambda x: CAST(ord(x) AS BIGINT)), lambda a, x: {byte}, CAST(4294967295 AS BIGINT)), 4294967295)"
+
+
+OP11 = f"""
+WITH RECURSIVE d AS (SELECT *, {_leaf("text")} AS leaf, CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS offered FROM documents),
+t AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS t FROM (SELECT DISTINCT source FROM documents)),
+l AS (SELECT doc_id, t, leaf, offered, row_number() OVER (PARTITION BY t ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY t) AS n FROM d JOIN t ON t.source IS NOT DISTINCT FROM d.source),
+s(t, level, pos, n, digest) AS (SELECT t, 0, pos, n, leaf FROM l UNION ALL SELECT t, level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM s WHERE n > 1 GROUP BY t, level, pos // 3, n),
+r AS (SELECT t, level AS height, digest AS subroot FROM s WHERE n = 1),
+u(level, pos, n, digest) AS (SELECT 0, t, (SELECT count(*) FROM r), subroot FROM r UNION ALL SELECT level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM u WHERE n > 1 GROUP BY level, pos // 3, n),
+top AS (SELECT level AS summit, digest AS root FROM u WHERE n = 1),
+g AS (SELECT t, level, pos // 3 AS up, list(digest ORDER BY pos) AS run FROM (SELECT * FROM s UNION ALL SELECT -1, * FROM u) GROUP BY t, level, pos // 3),
+k AS (SELECT doc_id, t, pos, height, summit, unnest(range(0, height + summit)) AS k FROM l JOIN r USING (t), top),
+w AS (SELECT doc_id, k, CASE WHEN k < height THEN t ELSE -1 END AS tree, CASE WHEN k < height THEN k ELSE k - height END AS level, CASE WHEN k < height THEN pos // CAST(pow(3, k) AS BIGINT) ELSE t // CAST(pow(3, k - height) AS BIGINT) END AS node FROM k),
+p AS (SELECT doc_id, k, array_to_string(run[1:(node % 3)], '') AS before, array_to_string(run[(node % 3) + 2:], '') AS after FROM w JOIN g ON g.t = w.tree AND g.level = w.level AND g.up = w.node // 3),
+f(doc_id, k, digest) AS (SELECT doc_id, 0, offered FROM l UNION ALL SELECT f.doc_id, f.k + 1, sha256(before || digest || after) FROM f JOIN p ON p.doc_id = f.doc_id AND p.k = f.k),
+h AS (SELECT doc_id, sha256(string_agg(before || after, '' ORDER BY k)) AS proof FROM p GROUP BY doc_id),
+e AS (SELECT doc_id, arg_max(digest, k) AS folded FROM f GROUP BY doc_id)
+SELECT l.doc_id, leaf, subroot, root, coalesce(proof, sha256('')) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM l JOIN r USING (t) JOIN e ON e.doc_id = l.doc_id LEFT JOIN h ON h.doc_id = l.doc_id, top
+"""
 
 
-def _crc32(text: str) -> str:
-    """Of a text of ASCII letters."""
-    step = _polynomial_tables().format("xor(a, CAST(ord(x) AS BIGINT))")
-    return f"xor(CAST(list_reduce(string_split({text}, ''), lambda a, x: {step}, 4294967295) AS BIGINT), 4294967295)"
+def _codes() -> str:
+    far = "list_sum(list_transform(list_zip(x.s, c.s), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    steps = []
+    for r in range(5):
+        steps.append(f"a{r} AS MATERIALIZED (SELECT vec_id, p, CAST(arg_min(e, d * 256 + e) AS INTEGER) AS e, min(d) AS d FROM (SELECT x.vec_id, x.p, c.e, CAST({far} AS BIGINT) AS d FROM x JOIN c{r} c ON c.p = x.p) GROUP BY vec_id, p)")
+        if r < 4:
+            steps.append(f"m{r} AS (SELECT p, e, i, CAST(floor(sum(s[i]) / count(*)) AS BIGINT) AS m FROM (SELECT x.p, a.e, x.s, unnest(range(1, len(x.s) + 1)) AS i FROM x JOIN a{r} a ON a.vec_id = x.vec_id AND a.p = x.p) GROUP BY p, e, i)")
+            steps.append(f"c{r + 1} AS MATERIALIZED (SELECT c.p, c.e, coalesce(n.s, c.s) AS s FROM c{r} c LEFT JOIN (SELECT p, e, list(m ORDER BY i) AS s FROM m{r} GROUP BY p, e) n ON n.p = c.p AND n.e = c.e)")
+    return f"""
+WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+ WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS MATERIALIZED (SELECT vec_id, p, v[p * (len(v) // 4) + 1:(p + 1) * (len(v) // 4)] AS s FROM (SELECT *, unnest(range(0, 4)) AS p FROM v)),
+c0 AS MATERIALIZED (SELECT p, e, s FROM (SELECT *, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e FROM x) WHERE e < 256),
+{", ".join(steps)},
+b AS (SELECT sha256(string_agg(array_to_string(s, ','), ',' ORDER BY p, e)) AS digest FROM c4),
+o AS (SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a4 GROUP BY vec_id)
+SELECT o.vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, digest AS codebooks_sha256 FROM o JOIN v ON v.vec_id = o.vec_id, b
+"""
+
 
+OP12 = _codes()
 
+OP13 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+i AS (SELECT doc_id, w, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [1] ELSE range(1, len(w) - 2) END) AS i FROM d),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS x FROM i),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.x = b.x AND a.doc_id > b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+m AS (SELECT a, min(b) AS b FROM r GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.b, d.doc_id)) AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN m ON m.a = d.doc_id
+"""
