@@ -49,10 +49,11 @@ BASE = (
 )
 #: What follows the first line of a private key: all to its END line, no other such line
 #: being between; where END is missing, the lines before the base64 text and its runs of
-#: 16 letters and more.  Spelt so that Java, Python and RE2 agree.
+#: 16 letters and more, however many.  The runs are a possessive group, which Java's matcher
+#: works through in a loop, where it would go a call deeper for each turn of another group.
 _B64 = "[A-Za-z0-9+/=]"
 _KEY_TO_END = r"[^-]*(?:-{1,4}[^-]+){0,16}-----END [A-Z ]{0,30}PRIVATE KEY-----"
-_KEY_RUNS = r"(?:[\x20\t\r\n]*(?:Proc-Type|DEK-Info):[^\r\n]*){0,4}(?:[\x20\t\r\n\\]*" + _B64 * 16 + r"[A-Za-z0-9+/=\r\n\\]*){0,900}(?:[\x20\t]+[A-Za-z0-9+/]+={1,2})?"
+_KEY_RUNS = r"(?:[\x20\t\r\n]*(?:Proc-Type|DEK-Info):[^\r\n]*){0,4}(?:[\x20\t\r\n\\]*" + _B64 * 16 + r"[A-Za-z0-9+/=\r\n\\]*)*+(?:[\x20\t]+[A-Za-z0-9+/]+={1,2})?"
 MORE = (
     Rule("private_key", rf"-----BEGIN [A-Z ]{{0,30}}PRIVATE KEY-----(?:{_KEY_TO_END}|{_KEY_RUNS})"),
     Rule("github", r"gh[oprsu]_[A-Za-z0-9]{36}"),

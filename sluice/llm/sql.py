@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from sluice.llm import secrets
-
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP1 = rf"""
@@ -39,21 +37,30 @@ FROM x
 """
 
 
-#: The base kinds as the contract has them, apart from the operator's own: pattern, group
-#: that is measured, least length.
-_BASE = {
+#: Kinds apart from the operator's own rules, the base ones as the contract has them:
+#: pattern, group that is measured, least length.
+_KINDS = {
     "assign": (r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     "access": (r"AKIA[A-Z0-9]+", 0, 20),
     "hex": (r"[0-9a-f]+", 0, 24),
-}
+    "private_key": (
+        r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----(?:[^-]*(?:-{1,4}[^-]+){0,16}-----END [A-Z ]{0,30}PRIVATE KEY-----|(?:[ \t\r\n]*(?:Proc-Type|DEK-Info):[^\r\n]*){0,4}"
+        r"(?:[ \t\r\n\\]*[A-Za-z0-9+/=]{16}[A-Za-z0-9+/=\r\n\\]*)*(?:[ \t]+[A-Za-z0-9+/]+={1,2})?)",
+        0, 1,
+    ),
+    "github": (r"gh[oprsu]_[A-Za-z0-9]{36}", 0, 1),
+    "slack": (r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
+    "stripe": (r"sk_live_[A-Za-z0-9]{16,}", 0, 1),
+    "jwt": (r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
+}
 
 
 def _secrets() -> str:
     kinds = []
-    for k, r in enumerate([secrets.Rule(kind, *x) for kind, x in _BASE.items()] + list(secrets.MORE)):
-        p = "'" + r.pattern.replace("'", "''") + "'"
-        kinds.append(f"SELECT doc_id, {k} AS k, '{r.kind}' AS kind, {r.least} AS least, regexp_split_to_array(t, {p}) AS g, regexp_extract_all(t, {p}) AS m, regexp_extract_all(t, {p}, {r.group}) AS e FROM d")
-    base = len(secrets.BASE)
+    for k, (kind, (pattern, group, least)) in enumerate(_KINDS.items()):
+        p = "'" + pattern.replace("'", "''") + "'"
+        kinds.append(f"SELECT doc_id, {k} AS k, '{kind}' AS kind, {least} AS least, regexp_split_to_array(t, {p}) AS g, regexp_extract_all(t, {p}) AS m, regexp_extract_all(t, {p}, {group}) AS e FROM d")
+    base = 3
     written = "kind || ':' || s || ':' || e"
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),

@@ -422,6 +422,8 @@ def test_private_key_bodies_are_cut(spark):
         f"a {head}\n{crypt}" + "\n".join(lines) + " and more": "a [SECRET] and more",
         f"{head} {lines[0]} {lines[1]}, then {head}\n{lines[2]}\n{end}, then": "[SECRET], then [SECRET], then",
         f"the line {head} opens a key": "the line [SECRET] opens a key",
+        f"a {head} " + " ".join(lines[:-1] * 10 + lines[-1:]) + " b": "a [SECRET] b",  # 3000 runs
+        f"a {head} " + " ".join(lines[:-1] * 10 + lines[-1:]) + f" {end} b": "a [SECRET] b",
     }
     got = [r.text for r in secrets.redact(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
     assert got == list(texts.values())
