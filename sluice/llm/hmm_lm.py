@@ -13,8 +13,13 @@ words, stored, and sent back to the blocks that hold the word; those of a word t
 block alone holds, as of most rare words, stay with that block.  The emission of a word
 is its expected counts plus its prior over the state's total, so a block needs no more
 than that and the fixed-size part of the model.  A word's expected counts add up to its
-count; between iterations those of the rarer words are kept in half precision.  Scoring
-runs the forward recursion over each text.
+count; between iterations the roots of those of the rarer words are kept in half
+precision.  Scoring runs the forward recursion over each text.
+
+The weight of the prior is learned in every iteration: of the weights of ``PRIORS`` that
+one is taken under which the words are likeliest when each occurrence is scored by the
+others (leaving one out).  So a small corpus, in which most words are rare, keeps its
+states near the overall shares, and a large one lets them part.
 
 Rarer words are told apart by 64 bits of a hash, and their counts come back to the
 blocks that hold them in the same way, before the first iteration.  Being rare, none of
@@ -44,6 +49,10 @@ from sluice.llm.tokens import bytes_of, slices
 RARE = 0xFFFFFF
 #: Tokens of a block, and of a batch within, about.
 BLOCK, BATCH = 600_000, 300_000
+#: Weights, in tokens, that the words' overall shares may have in a state's emissions.
+PRIORS = 30.0 * 4.0 ** np.arange(16)
+#: Bytes of a bucket of words, about.
+BUCKET_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -55,8 +64,6 @@ class HiddenMarkov:
     symbols: int = 30_000
     classes: int = 512
     held_words: int = 80_000
-    #: Weight of the words' overall shares in a state's emissions, in tokens.
-    prior: float = 50.0
     seed: int = 3
 
 
@@ -291,11 +298,35 @@ def _block_partition(buckets: int):
 _SUMS = "bucket int, block long, words binary, sums binary"
 
 
-def _in_buckets(block: int, words: np.ndarray, sums: np.ndarray | None, buckets: int, kind: str = "<f2", first: int = 0) -> pd.DataFrame:
+def halved(sums: np.ndarray) -> bytes:
+    """Counts below 2**32 in half precision, by their roots."""
+    return np.sqrt(sums).astype("<f2").tobytes()
+
+
+def whole(data: bytes, states: int) -> np.ndarray:
+    return np.square(np.frombuffer(data, "<f2").astype(np.float32)).reshape(-1, states)
+
+
+def left_out(sums: np.ndarray, weight: int) -> np.ndarray:
+    """For each of ``PRIORS`` what words with these expected counts (words x states) add to
+    the log-likelihood of emissions, each occurrence scored by the word's others, before
+    the states' totals are taken off."""
+    c = sums.sum(axis=1)
+    sums, c = sums[c > 0], c[c > 0]
+    rest, share = sums * np.maximum(0.0, 1 - 1 / c)[:, None], ((c + 1) / weight)[:, None]
+    return np.array([(sums * np.log(rest + p * share)).sum() for p in PRIORS])
+
+
+def _in_rows(values: np.ndarray, states: int) -> np.ndarray:
+    """Values as rows of ``states`` columns, the last filled up with zeros."""
+    return np.pad(values, (0, -len(values) % states)).reshape(-1, states)
+
+
+def _in_buckets(block: int, words: np.ndarray, sums: np.ndarray | None, buckets: int, kind: str = "", first: int = 0) -> pd.DataFrame:
     """A row for each bucket that has some of ``words``, which lie in the buckets' order."""
     bucket = (words % np.uint64(buckets)).astype(np.int64)
     parts = np.split(np.arange(len(words)), np.flatnonzero(np.diff(bucket)) + 1) if len(words) else []
-    return pd.DataFrame([(first + int(bucket[i[0]]), block, words[i].astype("<u8").tobytes(), b"" if sums is None else sums[i].astype(kind).tobytes()) for i in parts], columns=["bucket", "block", "words", "sums"])
+    return pd.DataFrame([(first + int(bucket[i[0]]), block, words[i].astype("<u8").tobytes(), b"" if sums is None else sums[i].astype(kind).tobytes() if kind else halved(sums[i])) for i in parts], columns=["bucket", "block", "words", "sums"])
 
 
 def _ask_partition(buckets: int, count: bool):
@@ -324,15 +355,15 @@ def _count_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"bucket": pdf["bucket"].array, "block": pdf["block"].array, "words": b"", "sums": [total[i].tobytes() for i in np.split(at, np.cumsum(list(map(len, words)))[:-1])]})
 
 
-def _sum_bucket(buckets: int, states: int):
+def _sum_bucket(buckets: int, states: int, symbols: int, weight: int):
     """Sums over the blocks of a bucket's words, for each block that has asked; those of
-    the symbols once, as block -1.  What blocks keep for themselves passes."""
+    the symbols, and what the words add to ``left_out``, as block -1.  What blocks keep for
+    themselves passes."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         bucket = int(pdf["bucket"].iloc[0])
         if bucket < 0:
             return pdf
-        kind = "<f2" if bucket < buckets else "<f4"
         pdf = pdf.sort_values("block")
         words = [np.frombuffer(w, "<u8") for w in pdf["words"]]
         every, at = np.unique(np.concatenate(words), return_inverse=True)
@@ -340,10 +371,13 @@ def _sum_bucket(buckets: int, states: int):
         total = np.zeros((len(every), states))
         for i, s in zip(at, pdf["sums"], strict=True):
             if s:
-                total[i] += np.frombuffer(s, kind).reshape(len(i), states)  # a block has a word once
-        if bucket >= buckets:
-            return pd.DataFrame({"bucket": [bucket], "block": [-1], "words": [every.astype("<u8").tobytes()], "sums": [total.astype("<f8").tobytes()]})
-        return pd.DataFrame({"bucket": bucket, "block": pdf["block"].array, "words": b"", "sums": [total[i].astype("<f2").tobytes() for i in at]})
+                total[i] += whole(s, states) if bucket < buckets else np.frombuffer(s, "<f4").reshape(len(i), states)  # a block has a word once
+        if bucket < buckets:
+            back = pd.DataFrame({"bucket": bucket, "block": pdf["block"].array, "words": b"", "sums": [halved(total[i]) for i in at]})
+            total = _in_rows(left_out(total, weight), states)
+            every = symbols + states + 2 + np.arange(len(total))
+        made = pd.DataFrame({"bucket": [bucket], "block": [-1], "words": [every.astype("<u8").tobytes()], "sums": [total.astype("<f8").tobytes()]})
+        return pd.concat((back, made)) if bucket < buckets else made
 
     return run
 
@@ -377,13 +411,20 @@ def _settle_block(tables: Tables):
     return run
 
 
-def blocks_of(rows: DataFrame, tables: Tables) -> DataFrame:
+def word_buckets(rows: DataFrame) -> int:
+    """Buckets of the rarer words in the rows of ``sequences``, so many that what one holds
+    doesn't grow with the rows."""
+    size = rows.agg(F.sum(F.octet_length("rare"))).first()[0] or 0
+    return max(partitions(rows.sparkSession), size // BUCKET_BYTES)
+
+
+def blocks_of(rows: DataFrame, tables: Tables, buckets: int) -> DataFrame:
     """Blocks of the rows of ``sequences``, of like lengths, training rows and others apart,
     in buckets by their number, so that no iteration deals them out again.  The rows go."""
     n = partitions(rows.sparkSession)
-    made = stored(rows.mapInPandas(_block_partition(n), _BLOCKS))
+    made = stored(rows.mapInPandas(_block_partition(buckets), _BLOCKS))
     discard(rows)
-    asked = made.select("block", "held_out", "words", "at").mapInPandas(_ask_partition(n, True), _SUMS)
+    asked = made.select("block", "held_out", "words", "at").mapInPandas(_ask_partition(buckets, True), _SUMS)
     counts = stored(asked.groupBy("bucket").applyInPandas(_count_bucket, _SUMS))
     settled = bucketed(made.groupBy("block").cogroup(counts.groupBy("block")).applyInPandas(_settle_block(tables), _BLOCKS), "block", n)
     discard(made, counts)
@@ -408,7 +449,7 @@ class Known:
         if len(counts) == 0:
             return m, symbols
         share = (counts + 1.0) / self.weight
-        got = np.frombuffer(b"".join(sums), "<f2").astype(np.float32).reshape(-1, len(m.start))
+        got = whole(b"".join(sums), len(m.start))
         emit = (got + self.prior * share[:, None]) / self.norm if len(got) else np.repeat(share[:, None], len(m.start), 1)
         symbols[symbols == RARE] = n + np.frombuffer(block.at, "<u4").astype(np.int64)
         return Model(m.start, m.move, np.vstack((m.emit, emit.astype(m.emit.dtype)))), symbols
@@ -436,21 +477,23 @@ def _expect_blocks(known: Known):
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         k, n = len(known.model.start), len(known.model.emit)
-        # after the symbols: the start, the moves and the total of the other words
-        total = np.zeros((n + k + 2, k))
+        # after the symbols: the start, the moves, the total of the other words, and what those
+        # of one block add to ``left_out``
+        total = np.zeros((n + k + 2 + len(_in_rows(PRIORS, k)), k))
         for pdf in frames:
             for b in pdf.itertuples():
                 m, symbols = known.local(b, [] if b.sums is None else list(b.sums))
                 emit = np.zeros(m.emit.shape)
                 for _, _, batch in _batches(symbols, np.frombuffer(b.lengths, "<i4"), BATCH):
                     batch.expect(m, total[n], total[n + 1 : n + 1 + k], emit)
-                own, words = emit[n:].astype("<f2"), np.frombuffer(b.words, "<u8")
+                own, words = emit[n:], np.frombuffer(b.words, "<u8")
                 total[:n] += emit[:n]
-                total[-1] += own.sum(axis=0, dtype=np.float64)
+                total[n + k + 1] += own.sum(axis=0)
+                total[n + k + 2 :] += _in_rows(left_out(own[len(words) :], known.weight), k)
                 give_back()
                 yield _in_buckets(b.block, words, own[: len(words)], known.buckets)
                 if len(own) > len(words):
-                    yield pd.DataFrame({"bucket": [-1 - b.block % 1_000_003], "block": b.block, "words": b"", "sums": [own[len(words) :].tobytes()]})
+                    yield pd.DataFrame({"bucket": [-1 - b.block % 1_000_003], "block": b.block, "words": b"", "sums": [halved(own[len(words) :])]})
         used = np.flatnonzero(total.sum(axis=1))
         yield _dense_rows(-1, used.astype(np.uint64), total[used], known.buckets)
 
@@ -502,30 +545,33 @@ def initial(tables: Tables, p: HiddenMarkov) -> tuple[Model, np.ndarray]:
     return Model(np.full(k, 1 / k), 0.1 / k + 0.9 * np.eye(k), emit), overall
 
 
-def train(blocks: DataFrame, tables: Tables, p: HiddenMarkov) -> tuple[Known, DataFrame]:
+def train(blocks: DataFrame, tables: Tables, buckets: int, p: HiddenMarkov) -> tuple[Known, DataFrame]:
     """Baum-Welch over all training ``blocks``: what every block needs to score its texts,
     and the sums of the words of each."""
     spark = blocks.sparkSession
-    k, n, buckets = p.states, tables.n_symbols, partitions(spark)
+    k, n = p.states, tables.n_symbols
     training = blocks.where("not held_out")
     asking = blocks.where("held_out").select("block", "held_out", "words", "at").mapInPandas(_ask_partition(buckets, False), _SUMS)
     m, overall = initial(tables, p)
     narrow = lambda m: Model(m.start.astype(np.float32), m.move.astype(np.float32), m.emit.astype(np.float32))
-    known = Known(narrow(m), np.ones(k), p.prior, tables.weight, buckets)
+    known = Known(narrow(m), np.ones(k), float(PRIORS[0]), tables.weight, buckets)
     sums = stored(spark.createDataFrame([], _SUMS))
     for i in range(p.iterations if tables.end_count else 0):
         asked = _with_sums(training, sums).mapInPandas(_expect_blocks(known), _SUMS)
         if i == p.iterations - 1:
             asked = asked.union(asking)
         with setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", "8m"):  # a task holds few blocks
-            before, sums = sums, stored(asked.groupBy("bucket").applyInPandas(_sum_bucket(buckets, k), _SUMS))
+            before, sums = sums, stored(asked.groupBy("bucket").applyInPandas(_sum_bucket(buckets, k, n, tables.weight), _SUMS))
         discard(before)
-        counts = np.zeros((n + k + 2, k))
-        for r in sums.where("block = -1").select("words", "sums").collect():  # symbols + states + 2 rows of counts
-            counts[np.frombuffer(r["words"], "<u8").astype(np.int64)] = np.frombuffer(r["sums"], "<f8").reshape(-1, k)
-        norm = counts[:n].sum(axis=0) + counts[-1] + p.prior
-        m = Model(_normal(counts[n] + 1e-3, 0), _normal(counts[n + 1 : n + 1 + k] + 1e-3, 1), (counts[:n] + p.prior * overall[:, None]) / norm)
-        known = Known(narrow(m), norm, p.prior, tables.weight, buckets)
+        counts = np.zeros((n + k + 2 + len(_in_rows(PRIORS, k)), k))
+        for r in sums.where("block = -1").select("words", "sums").collect():  # symbols and states rows of counts, and 3 or 4 of a bucket
+            counts[np.frombuffer(r["words"], "<u8").astype(np.int64)] += np.frombuffer(r["sums"], "<f8").reshape(-1, k)
+        total = counts[:n].sum(axis=0) + counts[n + k + 1]
+        likely = counts[n + k + 2 :].ravel()[: len(PRIORS)] + left_out(counts[:n], tables.weight)
+        prior = float(PRIORS[np.argmax(likely - np.log(total + PRIORS[:, None]) @ total)])
+        norm = total + prior
+        m = Model(_normal(counts[n] + 1e-3, 0), _normal(counts[n + 1 : n + 1 + k] + 1e-3, 1), (counts[:n] + prior * overall[:, None]) / norm)
+        known = Known(narrow(m), norm, prior, tables.weight, buckets)
     known.model = m
     return known, sums
 
@@ -542,9 +588,10 @@ def score_texts(docs: DataFrame, p: HiddenMarkov = HiddenMarkov()) -> DataFrame:
     counts = stored(token_counts(training))
     tables = tables_of(counts, training.count(), p)
     rows = sequences(docs, tables)
-    blocks = blocks_of(rows, tables)
+    buckets = word_buckets(rows)
+    blocks = blocks_of(rows, tables, buckets)
     discard(counts)
-    known, sums = train(blocks, tables, p)
+    known, sums = train(blocks, tables, buckets, p)
     scores = stored(blocks.groupBy("block").cogroup(sums.where("block >= 0").groupBy("block")).applyInPandas(_score_block(known), _SCORES))
     discard(blocks, sums)
     return scores.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tables.tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -160,7 +160,7 @@ def test_language_model(spark, docs):
     unknown, k = {}, 0
     while len(unknown) < p.classes:
         w = f"unknown{k}".encode()
-        unknown.setdefault(zlib.crc32(w) % p.classes, w)
+        unknown.setdefault(hmm_lm.word_key(w) % p.classes, w)
         k += 1
     held = [i for i in range(1000, 20000) if brute.fold(i, 7) == 2][: len(counts) + len(unknown) + 1]
     singles = list(zip(held, [*(w.decode() for w in counts), *(w.decode() for w in unknown.values()), ""], strict=True))
@@ -171,6 +171,24 @@ def test_language_model(spark, docs):
     assert hmm_lm.scored(table(spark, []), p).count() == 0
 
 
+def test_held_out_scores_beat_the_base(spark):
+    """On a small corpus whose words come in kinds, and on one of the given tables."""
+    rng = random.Random(2)
+    kinds = [[f"{a}{i}" for i in range(60)] for a in "abcd"]
+    mine = [(i, " ".join(rng.choice(kinds[i % 4]) for _ in range(rng.randrange(5, 60)))) for i in range(300)]
+    for docs in (spark.createDataFrame(mine, "doc_id long, text string"), spark.read.parquet("/root/testdata/sf0.01/documents.parquet")):
+        held = hmm_lm.scored(docs).where("held_out").agg(F.sum("score").alias("score"), F.sum("base_score").alias("base")).first()
+        assert held.score > 0.98 * held.base
+
+
+def test_frequent_words_that_are_not_held_are_scored(spark):
+    rows = [(i, "aa bb " * 10 + ("often " * 30_000 if i < 10 else "some words here")) for i in range(40)]
+    out = hmm_lm.scored(spark.createDataFrame(rows, "doc_id long, text string"), hmm_lm.HiddenMarkov(states=2, iterations=2, symbols=1, classes=2, held_words=1)).collect()
+    assert len(out) == 40 and all(r.score is not None and -1e7 < r.score < 0 for r in out)
+    sums = np.array([[3e5, 0.0, 1e-6], [4e9, 1.0, 0.3]])
+    assert np.allclose(hmm_lm.whole(hmm_lm.halved(sums), 3), sums, rtol=2e-3, atol=1e-9)
+
+
 def test_words_of_slices():
     """Slices of an Arrow batch give the words and ids of their own rows."""
     import pyarrow as pa
@@ -214,7 +232,12 @@ def test_every_training_word_has_emissions(spark):
     for _ in range(p.iterations):
         start, move, emit = np.zeros(3), np.zeros((3, 3)), np.zeros(m.emit.shape)
         batch.expect(m, start, move, emit)
-        m = hmm_lm.Model(hmm_lm._normal(start + 1e-3, 0), hmm_lm._normal(move + 1e-3, 1), hmm_lm._normal(emit + p.prior * overall[:, None], 0))
+        c, total = emit.sum(axis=1), emit.sum(axis=0)
+        likely = {}  # of each occurrence by the others of its word
+        for prior in hmm_lm.PRIORS:
+            likely[prior] = sum(emit[w, s] * math.log((emit[w, s] * max(0, 1 - 1 / c[w]) + prior * (c[w] + 1) / tables.weight) / (total[s] + prior)) for w in range(len(c)) if c[w] > 0 for s in range(3))
+        prior = max(likely, key=likely.get)
+        m = hmm_lm.Model(hmm_lm._normal(start + 1e-3, 0), hmm_lm._normal(move + 1e-3, 1), hmm_lm._normal(emit + prior * overall[:, None], 0))
     want = hmm_lm.Batch(list(line.values())).log10(m)
     got = {r.doc_id: r.score for r in hmm_lm.score_texts(docs, p).collect()}
     assert np.allclose([got[i] for i in line], want, rtol=1e-4)
