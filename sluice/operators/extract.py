@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Hashable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,20 +49,16 @@ def default_of(directive: Directive, type_: str, now: Column) -> Column:
     return (found if found is not None else F.lit(None)).try_cast(spark)
 
 
-def extract(df: DataFrame, table: TableSpec, settings: Settings, now: Column | None = None, inputs: tuple[str, ...] = ()) -> DataFrame:
-    """The table's columns from ``_record`` beside the columns of ``df``, in steps that read
-    every field, its text and its kind once each.
+Field = tuple[ColumnSpec, Directive, tuple[str, ...]]
 
-    Adds ``_reject`` where a value doesn't fit its column (with column and text) or
-    where nothing was promoted and the capture mode doesn't keep the payload, and
-    ``_unstored``, the top-level keys that no column reads.  ``inputs`` are paths that
-    later stages read though the table has no such column; they come along as text.
-    """
-    now = F.date_trunc("millisecond", F.current_timestamp()) if now is None else now
+
+def columns_of(df: DataFrame, table: TableSpec, settings: Settings) -> tuple[dict[str, Column], dict[str, Field]]:
+    """The table's columns that are made of the message as it is, and those that are read
+    from the record."""
     mode = settings.capture_of(table)
     to_json, to_raw = CAPTURE[mode]
     made: dict[str, Column] = {}
-    fields: dict[str, tuple[ColumnSpec, Directive, tuple[str, ...]]] = {}
+    fields: dict[str, Field] = {}
     for c in table.columns:
         d = directive_of(table, c, settings)
         paths = sources_of(c, d, settings)
@@ -75,7 +74,25 @@ def extract(df: DataFrame, table: TableSpec, settings: Settings, now: Column | N
             made["_org_id"] = F.col("_org")
         else:
             fields[c.name] = (c, d, paths)
-    extra = [p for p in inputs if p not in fields and p not in made and p not in df.columns]
+    return made, fields
+
+
+@dataclass
+class Promoted:
+    """Records with what was read from them: by key of the fields the value and the reason
+    why it is refused, by key of fields and of further paths the text; ``inner`` columns
+    are to be dropped."""
+
+    df: DataFrame
+    values: dict[Hashable, Column]
+    wrong: dict[Hashable, Column]
+    text: dict[Hashable, Column]
+    inner: set[str]
+
+
+def promote(df: DataFrame, fields: dict[Hashable, Field], extra: list[str], settings: Settings, now: Column) -> Promoted:
+    """``fields`` of ``_record``, and ``extra`` paths as text, in steps that read every
+    field, its text and its kind once each."""
     names = {n: f"_f{k}" for k, n in enumerate([*fields, *extra])}
     all_paths = {n: fields[n][2] if n in fields else (n,) for n in names}
     # the fields, each way of reading a path once
@@ -83,56 +100,86 @@ def extract(df: DataFrame, table: TableSpec, settings: Settings, now: Column | N
     raw = {keys: f"_raw_{k}" for k, keys in enumerate(dict.fromkeys(readings))}
     df = df.withColumns({c: jsonpath.at(F.col("_record"), list(keys)) for keys, c in raw.items()})
 
-    def chosen(n: str) -> Column:
+    def chosen(n: Hashable) -> Column:
         found = [F.col(raw[tuple(keys)]) for p in all_paths[n] for keys in jsonpath.readings(p)]
         return found[0] if len(found) == 1 else F.coalesce(*map(jsonpath.present, found))
 
+    def is_(n: Hashable, *of: str) -> bool:
+        return n in fields and fields[n][0].name in of
+
     df = df.withColumns({v: chosen(n) for n, v in names.items()}).drop(*raw.values())
-    blank = lambda n, t: F.nullif(t, F.lit("")) if n in ("_org_id", "_source") else t
-    kinds = [jsonpath.kind(F.col(v)).alias(f"{v}k") for n, v in names.items() if n in fields and (n == "_timestamp" or wants_kind(fields[n][0].type))]
+    blank = lambda n, t: F.nullif(t, F.lit("")) if is_(n, "_org_id", "_source") else t
+    with_kind = lambda n: n in fields and (is_(n, "_timestamp") or wants_kind(fields[n][0].type))
+    kinds = [jsonpath.kind(F.col(v)).alias(f"{v}k") for n, v in names.items() if with_kind(n)]
     if names:
         df = jsonpath.once(df, "_read", F.struct(*[blank(n, jsonpath.as_text(F.col(v))).alias(f"{v}t") for n, v in names.items()], *kinds))
     text = {n: F.col(f"_read.{v}t") for n, v in names.items()}
     # values of the columns' types
-    staged: dict[str, Column] = {}
-    for n, (c, d, _) in fields.items():
+    staged: dict[Hashable, Column] = {}
+    for n, (c, _, _) in fields.items():
         v, t = F.col(names[n]), text[n]
-        k = F.col(f"_read.{names[n]}k") if n == "_timestamp" or wants_kind(c.type) else F.lit(None).cast("string")
-        if n == "_timestamp":
+        k = F.col(f"_read.{names[n]}k") if with_kind(n) else F.lit(None).cast("string")
+        if is_(n, "_timestamp"):
             parse = timestamps.parse_iso if settings.quality is None else timestamps.lenient
             staged[n] = F.coalesce(parse(t), F.when(k != "STRING", timestamps.epoch_of(t)))
-        elif n != "_org_id":
+        elif not is_(n, "_org_id"):
             staged[n] = made_of(c.type, v, t, k)
     if staged:
         df = jsonpath.once(df, "_made", F.struct(*[v.alias(names[n]) for n, v in staged.items()]))
-    bad: list[Column] = []
+    values: dict[Hashable, Column] = {}
+    wrong_of: dict[Hashable, Column] = {}
     for n, (c, d, _) in fields.items():
         t, m = text[n], F.col(f"_made.{names[n]}")
-        if n == "_org_id":
-            made[n] = F.coalesce(t, F.lit(settings.routing.default_org_id))
-        elif n == "_timestamp":
+        if is_(n, "_org_id"):
+            values[n] = F.coalesce(t, F.lit(settings.routing.default_org_id))
+        elif is_(n, "_timestamp"):
             q = settings.quality
-            made[n] = F.coalesce(m, now) if q is None else timestamps.believed(m, t, now, q.max_future_seconds, q.max_past_seconds)["ts"]
+            values[n] = F.coalesce(m, now) if q is None else timestamps.believed(m, t, now, q.max_future_seconds, q.max_past_seconds)["ts"]
         else:
             out, wrong = finished(c.type, m, t)
-            if n == "_timestamp_received":
+            if is_(n, "_timestamp_received"):
                 out = F.coalesce(out, now.cast(spark_type(c.type)))
-            elif n == "_json":
+            elif is_(n, "_json"):
                 out = F.coalesce(out, F.lit("{}"))
             elif d.default is not None:
                 out = F.coalesce(F.when(t.isNotNull(), out), default_of(d, c.type, now))
-            made[n] = out
-            bad.append(F.when(wrong, F.concat(F.lit(f"{c.name} ({c.type}) cannot hold "), F.substring(t, 1, 60))))
-    read = {x for n in fields for p in all_paths[n] for x in (p, p.split(".")[0])} | {table_field for table_field in ("_org_id",) if "_org_id" in made}
+            values[n] = out
+            wrong_of[n] = F.when(wrong, F.concat(F.lit(f"{c.name} ({c.type}) cannot hold "), F.substring(t, 1, 60)))
+    return Promoted(df, values, wrong_of, text, {"_read", "_made", *names.values()})
+
+
+def ingest_time() -> Column:
+    return F.date_trunc("millisecond", F.current_timestamp())
+
+
+def read_keys(made: dict[str, Column], fields: dict[str, Field]) -> set[str]:
+    """Top-level keys that a table's columns read."""
+    return {x for _, _, paths in fields.values() for p in paths for x in (p, p.split(".")[0])} | ({"_org_id"} & set(made))
+
+
+def extract(df: DataFrame, table: TableSpec, settings: Settings, now: Column | None = None, inputs: tuple[str, ...] = ()) -> DataFrame:
+    """The table's columns from ``_record`` beside the columns of ``df``.
+
+    Adds ``_reject`` where a value doesn't fit its column (with column and text) or
+    where nothing was promoted and the capture mode doesn't keep the payload, and
+    ``_unstored``, the top-level keys that no column reads.  ``inputs`` are paths that
+    later stages read though the table has no such column; they come along as text.
+    """
+    now = ingest_time() if now is None else now
+    made, fields = columns_of(df, table, settings)
+    extra = [p for p in inputs if p not in fields and p not in made and p not in df.columns]
+    found = promote(df, fields, extra, settings, now)
+    df, text, made = found.df, found.text, made | found.values
+    bad = list(found.wrong.values())
+    read = read_keys(made, fields)
     keys = F.json_object_keys("value")
     unstored = F.filter(keys, lambda k: ~k.startswith("_") & ~k.isin(*read)) if read else keys
     promoted = F.coalesce(*[text[n] for n in fields if n != "_org_id"]).isNotNull() if set(fields) - {"_org_id"} else F.lit(False)
     reasons = F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>")
     before = F.col("_reject") if "_reject" in df.columns else F.lit(None).cast("string")
-    nothing = F.lit(None).cast("string") if any(CAPTURE[mode]) else F.when(~promoted, "no column was promoted")
+    nothing = F.lit(None).cast("string") if any(CAPTURE[settings.capture_of(table)]) else F.when(~promoted, "no column was promoted")
     refused = F.when(F.coalesce(*bad).isNotNull(), F.array_join(reasons, "; ")) if bad else F.lit(None).cast("string")
-    inner = {"_read", "_made", *names.values()}
-    kept = [F.col(f"`{x}`") for x in df.columns if x != "_reject" and x not in made and x not in inner]
+    kept = [F.col(f"`{x}`") for x in df.columns if x != "_reject" and x not in made and x not in found.inner]
     return df.select(*kept, *[v.alias(k) for k, v in made.items()], *[text[p].alias(p) for p in extra], F.coalesce(unstored, F.array().cast("array<string>")).alias("_unstored"), F.coalesce(before, refused, nothing).alias("_reject"))
 
 

@@ -3,13 +3,17 @@ value that is already there."""
 
 from __future__ import annotations
 
-import re
+import logging
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException, ParseException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.operators import expressions
+
+log = logging.getLogger("sluice")
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -71,107 +75,37 @@ def apply_mapping(df: DataFrame, rules: tuple[Rule, ...], keep: tuple[str, ...]
     return df.select(*kept, *[v.alias(k) for k, v in made.items()])
 
 
-_SPELLINGS = {"&&": " AND ", "||": " OR ", "==": " = ", "!=": " != ", "!": " NOT "}
-_BARRED = re.compile(r"(?i)\b(rlike|regexp\w*|matches|current_\w+|now|rand\w*|uuid|transform|filter|aggregate|exists|reflect|java_method|input_file_\w+|select|timestamp|duration)\s*\(")
-_QUOTED = re.compile(r"('(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")")
-_NAME = r"[A-Za-z_]\w*(?:\.[A-Za-z_]\w*)*"
-#: Words of an expression that name no field.
-_WORDS = {"and", "or", "not", "in", "is", "null", "true", "false", "if", "case", "when", "then", "else", "end", "as", "between", "like"}
-#: Spellings of calls: has a field, size of a text, casts.
-_CALLS = (
-    (r"\bhas\(\s*(" + _NAME + r")\s*\)", r"(\1 IS NOT NULL)"), (r"\bsize\(", "length("), (r"\bdyn\(", "("),
-    (r"\b(?:int|uint)\(\s*([^()]*)\)", r"try_cast(\1 AS BIGINT)"), (r"\bdouble\(\s*([^()]*)\)", r"try_cast(\1 AS DOUBLE)"), (r"\bstring\(\s*([^()]*)\)", r"CAST(\1 AS STRING)"),
-    (r"\bbool\(\s*([^()]*)\)", r"try_cast(\1 AS BOOLEAN)"), (r"\bbytes\(\s*([^()]*)\)", r"CAST(\1 AS BINARY)"), (r"\btype\(\s*([^()]*)\)", r"typeof(\1)"),
-    (r"(" + _NAME + r")\.(contains|startsWith|endsWith)\(", lambda m: f"{m[2].lower()}({m[1]}, "),
-)
-
-
-def _outside(text: str, f) -> str:
-    """``f`` of the parts of a text outside quotes."""
-    return "".join(part if k % 2 else f(part) for k, part in enumerate(_QUOTED.split(text)))
-
-
-def _choices(text: str) -> str:
-    """``condition ? a : b``, within brackets too, as if(condition, a, b)."""
-    held: list[str] = []
-
-    def hide(piece: str) -> str:
-        held.append(piece)
-        return f"\0{len(held) - 1}\0"
-
-    def choose(piece: str) -> str:
-        if "," in piece:
-            return ",".join(map(choose, piece.split(",")))
-        condition, mark, rest = piece.partition("?")
-        if not mark:
-            return piece
-        depth = 0
-        for k, c in enumerate(rest):
-            if c == "?":
-                depth += 1
-            elif c == ":" and depth == 0:
-                return f"if({condition}, {choose(rest[:k])}, {choose(rest[k + 1 :])})"
-            elif c == ":":
-                depth -= 1
-        raise ValueError("a choice has no second part")
-
-    text = _QUOTED.sub(lambda m: hide(m[0]), text)
-    while inner := re.search(r"[(\[][^()\[\]]*[)\]]", text):
-        text = text[: inner.start()] + hide(inner[0][0] + choose(inner[0][1:-1]) + inner[0][-1]) + text[inner.end() :]
-    text = choose(text)
-    while "\0" in text:
-        text = re.sub(r"\0(\d+)\0", lambda m: held[int(m[1])], text)
-    return text
+def names_in(text: str) -> list[str]:
+    """The fields that an expression names; none if it can't be read."""
+    try:
+        return expressions.names(expressions.parse(text))
+    except ValueError:
+        return []
 
 
-def names_in(text: str) -> list[str]:
-    """The fields that an expression names."""
-    plain = "".join(_QUOTED.split(text)[::2])
-    plain = re.sub(r"\.(contains|startsWith|endsWith)\(", " ,(", plain)
-    found = re.finditer(rf"(?<![\w.])({_NAME})(\s*\()?", plain)
-    return list(dict.fromkeys(m[1] for m in found if not m[2] and m[1].lower() not in _WORDS))
-
-
-def expression(text: str, texts: tuple[str, ...] = ()) -> str:
-    """A computed column's text as Spark SQL: ``&& || ! == ?:``, lists after ``in``, ``has``,
-    ``size``, ``contains``, ``startsWith``, ``endsWith`` and casts in their SQL spelling,
-    double quotes as string quotes.  Fields among ``texts`` that stand beside a number are
-    read as numbers.  Expressions with regular expressions, iteration, time or subqueries
-    are refused."""
-    if _BARRED.search("".join(_QUOTED.split(text)[::2])):
-        raise ValueError("regular expressions, iteration and time are not for computed columns")
-    text = _choices(text)
-
-    def spelt(part: str) -> str:
-        part = re.sub(r"\bin\s*\[([^\[\]]*)$", r"in (\1", part)
-        for pattern, to in _CALLS:
-            part = re.sub(pattern, to, part)
-        for name in texts:
-            plain = rf"(?<![\w.`]){re.escape(name)}(?![\w.(])"
-            part = re.sub(plain + r"(?=\s*(?:==|!=|<=|>=|[<>+*/%-])\s*-?\d)", f"try_cast(`{name}` AS DOUBLE)", part)
-            part = re.sub(r"(\d\s*(?:==|!=|<=|>=|[<>+*/%-])\s*)" + plain, rf"\1try_cast(`{name}` AS DOUBLE)", part)
-            if "." in name:
-                part = re.sub(plain, f"`{name}`", part)
-        return re.sub(r"&&|\|\||==|!=|!", lambda m: _SPELLINGS[m[0]], part)
-
-    text = re.sub(r"\bin\s*\[([^\[\]]*)\]", r"in (\1)", text)
-    parts = _QUOTED.split(_outside(text, spelt))
-    return "".join("'" + p[1:-1].replace("'", "\\'") + "'" if k % 2 and p[0] == '"' else p for k, p in enumerate(parts))
-
-
-def compute(df: DataFrame, columns: dict[str, str], texts: tuple[str, ...] = (), types: dict[str, str] | None = None) -> tuple[DataFrame, list[str]]:
+def compute(df: DataFrame, columns: dict[str, str], texts: tuple[str, ...] = (), types: dict[str, str] | None = None, failures: str | None = None) -> tuple[DataFrame, list[str]]:
     """``df`` with computed columns, all over the columns as they came in, and the names
     of those that could not be compiled, which are left out.  A value already there
-    stays; use try_divide, try_add and try_cast where a row may fail.  ``types`` names
-    the types of the columns; a value that such a type can't hold counts as not there."""
-    made, failed, types = {}, [], types or {}
+    stays, and its expression counts for nothing on that row; one that fails on a row
+    leaves the column empty there.  ``texts`` are columns that hold any kind of value as
+    text.  ``types`` names the types of the columns; a value that such a type can't hold
+    counts as not there.  ``failures`` names an array column for the computed columns
+    that failed on the row."""
+    made, failed, types, wrong = {}, [], types or {}, []
+    compiler = expressions.Compiler(df.schema, texts)
     for name, text in columns.items():
         try:
-            value = F.expr(expression(text, texts))
-            value = value.try_cast(types[name]) if name in types else value
-            df.select(value)  # binds the names now, so that one bad column is left out alone
-        except (ValueError, AnalysisException, ParseException):
+            term = compiler.compile(text)
+            value = expressions.finished(term, types.get(name))
+            df.select(value)  # binds the types now, so that one bad column is left out alone
+        except (ValueError, AnalysisException) as e:
+            log.warning("computed column %s is left out: %s", name, str(e).split("\n")[0])
             failed.append(name)
             continue
-        made[name] = F.coalesce(F.col(f"`{name}`"), value) if name in df.columns else value
+        own = F.col(f"`{name}`") if name in df.columns else F.lit(None)
+        made[name] = F.coalesce(own, value) if name in df.columns else value
+        if not term.null:
+            wrong.append(F.when(own.isNull() & value.isNull(), F.lit(name)))
+    if failures:
+        made[failures] = F.array_compact(F.array(*wrong)) if wrong else F.array().cast("array<string>")
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in made], *[v.alias(k) for k, v in made.items()]), failed
