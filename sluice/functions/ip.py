@@ -102,3 +102,67 @@ def is_private(text: Column) -> Column:
 def first_address(*columns: Column) -> Column:
     """The first of the columns that is not null or empty."""
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in columns])
+
+
+def _top(x: Column) -> Column:
+    """The place of the highest set bit of 64; -1 for none."""
+    return F.when(x == 0, -1).otherwise(F.length(F.bin(x)) - 1)
+
+
+def _power(k: Column) -> Column:
+    """2**k as 64 bits, for k modulo 64."""
+    return F.get(F.array(*[F.lit(-(1 << 63) if n == 63 else 1 << n).cast("long") for n in range(64)]), k % 64)
+
+
+def _bit(a: Column, k: Column) -> Column:
+    return F.when(k < 64, a["lo"]).otherwise(a["hi"]).bitwiseAND(_power(k)) != 0
+
+
+def _from(a: Column, k: Column, one: bool) -> Column:
+    """An address with bit ``k`` set (or not) and none below it."""
+
+    def set_(w: Column) -> Column:
+        masks = F.array(*[F.lit(0 if n == 63 else -(1 << n + 1)).cast("long") for n in range(64)])
+        above = w.bitwiseAND(F.get(masks, k % 64))
+        return above.bitwiseOR(_power(k)) if one else above
+
+    return F.struct(F.when(k < 64, a["hi"]).otherwise(set_(a["hi"])).alias("hi"), F.when(k < 64, set_(a["lo"])).otherwise(F.lit(0).cast("long")).alias("lo"))
+
+
+def least_prefixes(start: Column, end: Column) -> Column:
+    """The fewest networks, array of struct(base, length), that together hold the addresses
+    from ``start`` to ``end`` (both ``address``es) and no other; null if the first is
+    greater.
+
+    Let D be the highest bit in which both differ.  The half up to the middle is made of
+    the block at the lowest set bit of ``start`` and one at every clear bit between
+    that and D; the half from there of the block at the lowest clear bit of ``end`` and one
+    at every set bit between that and D.  So each bit tells by itself what it adds.
+    """
+    word = lambda f: F.struct(f("hi").alias("hi"), f("lo").alias("lo"))
+    top = lambda a: F.when(a["hi"] != 0, _top(a["hi"]) + 64).otherwise(_top(a["lo"]))
+    low_bit = lambda x: F.when(x == F.lit(-(1 << 63)), 63).otherwise(_top(x.bitwiseAND(F.try_subtract(F.lit(0).cast("long"), x))))
+    lowest = lambda a: F.when(a["lo"] != 0, low_bit(a["lo"])).when(a["hi"] != 0, low_bit(a["hi"]) + 64).otherwise(128)
+
+    def made(x: Column) -> Column:
+        s, e = x["s"], x["e"]
+        d = top(word(lambda w: s[w].bitwiseXOR(e[w])))
+        m, z = lowest(s), lowest(word(lambda w: F.bitwise_not(e[w])))
+
+        def halves(n: Column) -> Column:
+            d, m, z = n["d"], F.least(n["m"], n["d"]), F.least(n["z"], n["d"])
+            block = lambda a, k: F.struct(a.alias("base"), (F.lit(128) - k).cast("int").alias("length"))
+            between = lambda low: F.when(low + 1 < d, F.sequence(low + 1, d - 1)).otherwise(F.array().cast("array<int>"))
+            left = F.transform(F.filter(between(m), lambda k: ~_bit(s, k)), lambda k: block(_from(s, k, True), k))
+            right = F.transform(F.filter(between(z), lambda k: _bit(e, k)), lambda k: block(_from(e, k, False), k))
+            ends = F.array(block(s, m), block(F.when(z == 0, e).otherwise(_from(e, F.greatest(z - 1, F.lit(0)), False)), z))
+            # one block of both halves, where each is whole
+            whole = (m == d) & (z == d)
+            return F.when(d < 0, F.array(block(s, F.lit(0)))).when(whole, F.array(block(s, d + 1))).otherwise(F.concat(ends, left, right))
+
+        return bound(F.struct(d.cast("int").alias("d"), m.cast("int").alias("m"), z.cast("int").alias("z")), halves)
+
+    # without a sign the first bit counts as any other
+    unsigned = lambda a: F.struct(a["hi"].bitwiseXOR(F.lit(-(1 << 63))), a["lo"].bitwiseXOR(F.lit(-(1 << 63))))
+    good = F.when(start.isNotNull() & end.isNotNull() & (unsigned(start) <= unsigned(end)), F.struct(start.alias("s"), end.alias("e")))
+    return F.when(good.isNotNull(), bound(good, made))

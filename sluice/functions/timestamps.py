@@ -84,3 +84,56 @@ def checked(text: Column, number: Column, now: Column, future: int, past: int) -
 def clamped(ts: Column, low: str = "1900-01-01", high: str = "2299-12-31 23:59:59.999") -> Column:
     """A timestamp held between two bounds."""
     return F.least(F.greatest(ts, F.lit(low).cast("timestamp")), F.lit(high).cast("timestamp"))
+
+
+# Nanoseconds: Spark's own timestamps end at microseconds, so these are struct(seconds, nanos)
+
+#: Formats without T that are read when the strict form fails; those in ``_ZONED`` end in an
+#: offset such as +01:00 (fixed list).
+_ZONED = ("yyyy-MM-dd HH:mm:ssXXX", "dd/MMM/yyyy:HH:mm:ss XX", "yyyy/MM/dd HH:mm:ss XXX")
+_FRACTION = r"^([^.,]*\d)[.,](\d{1,9})\d*(.*)$"
+
+
+def instant(seconds: Column, nanos: Column) -> Column:
+    """struct(seconds, nanos) of whole seconds from 1970 in UTC; nanos from 0 to 999,999,999."""
+    return F.struct(seconds.cast("long").alias("seconds"), nanos.cast("int").alias("nanos"))
+
+
+def parse_nanos(text: Column) -> Column:
+    """``parse_iso``, or one of the formats without and with an offset, as struct(seconds,
+    nanos) that keeps nine digits of the second; null for any other text."""
+    fraction = F.regexp_extract(text, _FRACTION, 2)
+    plain = F.when(fraction != "", F.concat(F.regexp_extract(text, _FRACTION, 1), F.regexp_extract(text, _FRACTION, 3))).otherwise(text)
+    nanos = F.when(fraction != "", F.rpad(fraction, 9, "0").try_cast("int")).otherwise(0)
+    return bound(
+        F.struct(plain.alias("plain"), nanos.alias("nanos")),
+        lambda x: bound(
+            F.coalesce(lenient(x["plain"]), *[F.try_to_timestamp(x["plain"], F.lit(f)) for f in _ZONED]),
+            lambda t: F.when(t.isNotNull(), instant(F.unix_seconds(t), x["nanos"])),
+        ),
+    )
+
+
+def nanos_of_epoch(number: Column) -> Column:
+    """A whole number as nano-, micro-, milli- or plain seconds, by its magnitude, with all its
+    digits."""
+
+    def made(n: Column) -> Column:
+        size = F.abs(n)
+        unit = F.when(size > 10**18, 10**9).when(size > 10**15, 10**6).when(size > 10**12, 10**3).otherwise(1).cast("long")
+        return bound(unit, lambda u: instant(F.call_function("div", n - F.pmod(n, u), u), F.pmod(n, u) * F.call_function("div", F.lit(10**9).cast("long"), u)))
+
+    return F.when(number.isNotNull(), bound(number.cast("long"), made))
+
+
+def nanos_text(at: Column) -> Column:
+    """ISO text ending in Z with 3, 6 or 9 digits of a second, as many as are needed."""
+    digits = F.lpad(at["nanos"].cast("string"), 9, "0")
+    short = F.when(digits.endswith("000000"), F.substring(digits, 1, 3)).when(digits.endswith("000"), F.substring(digits, 1, 6)).otherwise(digits)
+    return F.concat(F.date_format(F.timestamp_seconds(at["seconds"]), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("."), short, F.lit("Z"))
+
+
+def nanos_clamped(at: Column, low: str = "1900-01-01", high: str = "2299-12-31 23:59:59") -> Column:
+    """An instant held between the first nanosecond of ``low`` and the last of ``high``."""
+    first, last = (F.unix_seconds(F.lit(t).cast("timestamp")) for t in (low, high))
+    return F.when(at["seconds"] < first, instant(first, F.lit(0))).when(at["seconds"] > last, instant(last, F.lit(999_999_999))).otherwise(at)

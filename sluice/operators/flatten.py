@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.functions.jsonpath import bound
+from sluice.operators.intake import nesting
+
 PROTECTED = ("_uuid", "_timestamp_load", "_timestamp", "_timestamp_received", "_org_id", "_source", "_raw", "_json", "_tags")
 
 
@@ -38,28 +37,44 @@ def flatten_like(df: DataFrame, column: str, sample: str) -> DataFrame:
     return flatten(parsed)
 
 
-def _flat(value: dict, prefix: str = "") -> Iterator[tuple[str, str | None]]:
-    for k, v in value.items():
-        if isinstance(v, dict):
-            yield from _flat(v, f"{prefix}{k}.")
-        elif isinstance(v, list) or v is None or isinstance(v, (bool, int, float)):
-            yield prefix + k, None if v is None else json.dumps(v, ensure_ascii=False, separators=(",", ":"))
-        else:
-            yield prefix + k, v
+def _children(key: Column, text: Column) -> Column:
+    """The entries of an object's text: their keys under ``key``, texts, and whether they are
+    objects themselves."""
+    texts, kinds = F.from_json(text, "map<string,string>"), F.try_variant_get(F.try_parse_json(text), "$", "map<string,variant>")
+
+    def made(x: Column) -> Column:
+        def one(e: Column) -> Column:
+            of = F.try_element_at(x["kinds"], e["key"])
+            # the text of a string has lost its quotes; where keys repeat, kinds are not known
+            nested = F.when(of.isNotNull(), F.schema_of_variant(of).startswith("OBJECT")).otherwise(e["value"].startswith("{") & F.try_parse_json(e["value"]).isNotNull())
+            return F.struct(F.concat(key, e["key"]).alias("key"), e["value"].alias("text"), F.coalesce(nested, F.lit(False)).alias("nested"))
+
+        return F.transform(F.map_entries(x["texts"]), one)
+
+    return bound(F.struct(texts.alias("texts"), kinds.alias("kinds")), made)
+
 
+def flatten_map(text: Column | str) -> Column:
+    """JSON objects of unknown keys as maps of dotted keys; null for anything else.  Arrays
+    are JSON text, numbers stay as they are spelt, JSON null is null, an empty object
+    vanishes, and of keys that repeat the last stands.
 
-@F.pandas_udf(T.MapType(T.StringType(), T.StringType()))
-def flatten_map(values: pd.Series) -> pd.Series:
-    """JSON objects of unknown keys as maps of dotted keys; null for anything else."""
+    Level by level: objects among the entries give way to their own entries, as often as
+    the text is nested."""
+    text = F.col(text) if isinstance(text, str) else text
+    first = F.when(F.ltrim(text).startswith("{") & F.rtrim(text).endswith("}") & (F.try_parse_json(text).isNotNull() | F.json_object_keys(text).isNotNull()), text)
+    step = lambda entries, _: F.flatten(F.transform(entries, lambda e: F.when(e["nested"], _children(F.concat(e["key"], F.lit(".")), e["text"])).otherwise(F.array(e))))
+    levels = F.sequence(F.lit(1), F.greatest(nesting(text) - 1, F.lit(1)))
+    entries = F.aggregate(levels, _children(F.lit(""), first), step)
+    return F.when(first.isNotNull(), bound(entries, lambda es: F.map_from_entries(F.transform(last_of(es, "key"), lambda e: F.struct(e["key"].alias("key"), e["text"].alias("value"))))))
 
-    def one(text: str | None):
-        try:
-            value = json.loads(text) if text else None
-        except ValueError:
-            return None
-        return dict(_flat(value)) if isinstance(value, dict) else None
 
-    return values.map(one)
+def last_of(entries: Column, name: str) -> Column:
+    """Entries of which none that follows has the same ``name``."""
+    names = F.transform(entries, lambda e: e[name])
+    repeated = F.size(F.array_distinct(names)) < F.size(names)
+    last = F.filter(entries, lambda e, i: ~F.array_contains(F.slice(names, i + 2, F.greatest(F.size(names), F.lit(1))), e[name]))
+    return F.when(repeated, last).otherwise(entries)
 
 
 def clean_key(key: Column) -> Column:
@@ -73,8 +88,7 @@ def clean_key(key: Column) -> Column:
 def clean_keys(entries: Column) -> Column:
     """A map under clean keys; of keys that become the same the last stands."""
     listed = F.transform(F.map_entries(entries), lambda e: F.struct(clean_key(e["key"]).alias("key"), e["value"].alias("value")))
-    last = F.filter(listed, lambda e, i: ~F.exists(F.slice(listed, i + 2, F.greatest(F.size(listed), F.lit(1))), lambda o: o["key"] == e["key"]))
-    return F.map_from_entries(last)
+    return bound(listed, lambda es: F.map_from_entries(last_of(es, "key")))
 
 
 def without_keys(entries: Column, keys: tuple[str, ...]) -> Column:

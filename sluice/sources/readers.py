@@ -37,12 +37,14 @@ def read_kafka(spark: SparkSession, **options) -> DataFrame:
 
 def read_messages(spark: SparkSession, path: str, topic: str) -> DataFrame:
     """A stream of text files, a message a line, in the shape of a Kafka source.  A file is
-    a partition, named by the hash of its path, and its first byte's place the offset, so
-    that what commits and buffers count holds; lines are told apart within a file by
-    their order in its blocks."""
-    lines = spark.readStream.text(path).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+    a partition, named by the hash of its path, and the number of a line in it the offset,
+    so that no two messages of a file share one.  A file is read as one row; for files of
+    hundreds of megabytes take ``landed.LandedLines``, which cuts them."""
+    files = spark.readStream.option("wholetext", True).text(path).select("value", F.col("_metadata.file_path").alias("path"))
     partition = F.pmod(F.crc32(F.col("path").cast("binary")), F.lit(1 << 31)).cast("int")
-    return lines.select("value", F.lit(topic).alias("topic"), partition.alias("partition"), F.col("start").alias("offset"))
+    # a last line feed ends a line and begins none
+    lines = files.select(partition.alias("partition"), F.posexplode(F.split(F.regexp_replace("value", r"\r?\n\z", ""), r"\r?\n")).alias("offset", "value"))
+    return lines.select("value", F.lit(topic).alias("topic"), "partition", F.col("offset").cast("long").alias("offset"))
 
 
 def spread(df: DataFrame) -> DataFrame:

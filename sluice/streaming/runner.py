@@ -4,8 +4,10 @@ replaces what it wrote before."""
 
 from __future__ import annotations
 
+import logging
 import random
 import time
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException, ArithmeticException, ArrayIndexOutOfBoundsException, DateTimeException, IllegalArgumentException, NumberFormatException, ParseException, PySparkException
@@ -17,7 +19,7 @@ from sluice.operators.enrich import Enrichment
 from sluice.operators.model import Settings, TableSpec
 from sluice.plans import pipeline
 
-
+log = logging.getLogger("sluice")
 #: Ways to place dead letters: the queue and files if it fails, both, one of them, none.
 MODES = ("cascade", "fan_out", "file_only", "queue_only", "disabled")
 Writer = Callable[[DataFrame, int], None]
@@ -56,24 +58,38 @@ def dead_letters_to(mode: str, path: str | None = None, queue: Writer | None = N
     (such as a batch writer to Kafka).
 
     Letters from ``own_topics``, which are read back from the queue, go to files alone, so
-    that none goes round in circles, as do payloads of more than ``most_bytes``.  With
-    ``disabled``, letters are passed over.
+    that none goes round in circles, as do payloads of more than ``most_bytes``, if there
+    is a ``path``.  What has no place, as all letters with ``disabled``, is counted by
+    reason in the writer's ``dropped`` and logged; a batch that is written again counts
+    in place of its first try.
     """
     if mode not in MODES:
         raise ValueError(f"dead letters are placed by one of {MODES}")
     if mode in ("cascade", "fan_out", "queue_only") and queue is None or mode in ("cascade", "fan_out", "file_only") and path is None:
         raise ValueError(f"{mode} needs its places")
 
+    counted: dict[int, dict[str, int]] = {}
+    own = F.coalesce(F.col("topic").isin(*own_topics), F.lit(False)) if own_topics else F.lit(False)
+
+    def drop(letters: DataFrame, batch: int) -> None:
+        why = F.when(F.lit(mode == "disabled"), "disabled").when(own, "own_topic").otherwise("too_large")
+        counted[batch] = {r["why"]: r["n"] for r in letters.groupBy(why.alias("why")).agg(F.count("*").alias("n")).collect()}  # a row for each reason
+        run.dropped.clear()
+        for reasons in counted.values():
+            run.dropped.update(reasons)
+        if counted[batch]:
+            log.warning("dead letters of batch %d without a place: %s", batch, counted[batch])
+
     def run(dead: DataFrame, batch: int) -> None:
         if mode == "disabled":
-            return
-        fits = (F.octet_length("payload") <= most_bytes) & (~F.col("topic").isin(*own_topics) if own_topics else F.lit(True))
-        fits = F.coalesce(fits, F.lit(True))
+            return drop(dead, batch)
+        fits = F.coalesce(F.octet_length("payload") <= most_bytes, F.lit(True)) & ~own
         files = lambda df: write_batch(df, path, batch)
         if mode == "file_only":
             return files(dead)
         if mode == "queue_only":
-            return again(lambda: queue(dead.where(fits), batch))
+            again(lambda: queue(dead.where(fits), batch))
+            return files(dead.where(~fits)) if path is not None else drop(dead.where(~fits), batch)
         if mode == "fan_out":
             again(lambda: queue(dead.where(fits), batch))
             return files(dead)
@@ -85,6 +101,7 @@ def dead_letters_to(mode: str, path: str | None = None, queue: Writer | None = N
             return files(dead)
         files(dead.where(~fits))
 
+    run.dropped = Counter()
     return run
 
 
