@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,8 +78,10 @@ def addressed(rows: DataFrame, column: str) -> DataFrame:
     return out.withColumn("_private", F.when(F.col("_a").isNotNull(), ip.private(F.col("_a"))))
 
 
-def _lengths(table: DataFrame) -> list[int]:
-    return sorted(r["length"] for r in table.select("length").distinct().collect())  # 129 at most
+def _grouped(table: DataFrame) -> DataFrame:
+    """(base, length, entries): the entries of each network, those of longer ``own`` first."""
+    longest = F.sort_array(F.collect_list(F.struct((-F.col("own")).alias("n"), "entry")))
+    return table.groupBy("base", "length").agg(F.transform(longest, lambda x: x["entry"]).alias("entries"))
 
 
 def match_prefixes(rows: DataFrame, table: DataFrame, lengths: list[int]) -> DataFrame:
@@ -119,21 +122,22 @@ def with_matches(rows: DataFrame, table: DataFrame, into: str) -> DataFrame:
     larger table the distinct addresses are matched and joined back; rows without an
     address are dealt out by themselves.
     """
-    table = _stepped(table, 4 if len(_lengths(table)) > MOST_LENGTHS else 1)
-    longest = F.sort_array(F.collect_list(F.struct((-F.col("own")).alias("n"), "entry")))
-    table = table.groupBy("base", "length").agg(F.transform(longest, lambda x: x["entry"]).alias("entries"))
-    lengths = _lengths(table)
-    if table.limit(BROADCAST_PREFIXES + 1).count() <= BROADCAST_PREFIXES:
+    table = _grouped(table.withColumn("own", F.col("length")))
+    kind, held = table.schema["entries"].dataType, table.limit(BROADCAST_PREFIXES + 1).toArrow()
+    if held.num_rows <= BROADCAST_PREFIXES:
+        if len(set(held["length"].to_pylist())) > MOST_LENGTHS:
+            held = _grouped(_stepped(rows.sparkSession.createDataFrame(held, table.schema).select("base", "length", F.explode("entries").alias("entry")), 4)).toArrow()
         found = []
-        for n in reversed(lengths):
-            side = F.broadcast(table.where(F.col("length") == n).select(F.col("base.hi").alias("_hi"), F.col("base.lo").alias("_lo"), F.col("entries").alias(f"_entries_{n}")))
+        for n in sorted(set(held["length"].to_pylist()), reverse=True):
+            mine = rows.sparkSession.createDataFrame(held.filter(pc.equal(held["length"], n)), table.schema)
+            side = F.broadcast(mine.select(F.col("base.hi").alias("_hi"), F.col("base.lo").alias("_lo"), F.col("entries").alias(f"_entries_{n}")))
             hi, lo = _masked(F.col("_a"), n)
             mine = F.lit(True) if n >= 96 else ~ip.is_v4(F.col("_a"))
             rows = rows.join(side, (hi == F.col("_hi")) & (lo == F.col("_lo")) & mine, "left").drop("_hi", "_lo")
             found.append(f"_entries_{n}")
-        kind = table.schema["entries"].dataType
         every = F.flatten(F.array_compact(F.array(*found))) if found else F.array().cast(kind)
         return rows.withColumn(into, every).drop(*found)
+    lengths = sorted(r["length"] for r in table.select("length").distinct().collect())  # 129 at most
     every = match_prefixes(rows.where("_a is not null").select("_a").distinct(), table, lengths)
     ordered = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("length")).alias("n"), "entries"))), lambda x: x["entries"]))
     best = every.groupBy("_a").agg(ordered.alias(into)).select(F.col("_a.hi").alias("_hi"), F.col("_a.lo").alias("_lo"), into)
