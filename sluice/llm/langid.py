@@ -113,9 +113,9 @@ def train(labelled: DataFrame, p: Profiles = Profiles()) -> dict[str, np.ndarray
     Rows with a null text or lang teach nothing."""
     rows = labelled.select("text", "lang").where("text is not null and lang is not null")
     sums = rows.mapInPandas(_train_partition(p), "lang string, dimension int, value double").groupBy("lang", "dimension").agg(F.sum("value").alias("value"))
-    if sums.where("dimension = 0").limit(MOST_LANGUAGES + 1).count() > MOST_LANGUAGES:
+    found = sums.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("dimension", "value"))).alias("v")).limit(MOST_LANGUAGES + 1).collect()
+    if len(found) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    found = sums.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("dimension", "value"))).alias("v")).collect()  # MOST_LANGUAGES rows at most
     model = {r["lang"]: np.array([x["value"] for x in r["v"]]) for r in found}
     return {k: v / max(np.linalg.norm(v), 1e-300) for k, v in sorted(model.items())}
 
@@ -153,8 +153,8 @@ def identify(docs: DataFrame, model: dict[str, np.ndarray], p: Profiles = Profil
     """(doc_id, lang_pred, score) for every row of ``docs`` (doc_id, text).
 
     ``lang_pred`` is ``und`` with a score of 0 if the text is null or has no letter, or
-    if nothing has been learned; a tie goes to the first language by name.  Rows count
-    one by one, whatever their ids; no rows give no rows.
+    if nothing has been learned; a tie goes to the first language by name.  A very long
+    text is read whole.  Rows count one by one, whatever their ids; no rows give no rows.
     """
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     out = rows.mapInPandas(_predict_partition(model, p), "doc_id string, lang_pred string, score double")
