@@ -290,7 +290,8 @@ def _component_edges(nodes: DataFrame, p: Join) -> DataFrame:
     """Links (a, b) that connect what is linked, for ``nodes`` (nid, n, shared, short)."""
     groups = stored(_groups(nodes))
     size = groups.join(nodes.select("nid", F.octet_length("shared").alias("bytes")), "nid").groupBy("root").agg(F.count("*").alias("members"), F.sum("bytes").alias("bytes"))
-    size = size.select("root", F.ceil(F.greatest(F.col("members") / MEMBERS, F.col("bytes") / (8 * SHINGLES))).cast("int").alias("blocks"), "bytes")
+    # stored, so that what is joined with it by root can be split where a group is large
+    size = stored(size.select("root", F.ceil(F.greatest(F.col("members") / MEMBERS, F.col("bytes") / (8 * SHINGLES))).cast("int").alias("blocks")))
     grouped = nodes.drop("short").join(groups, "nid").join(size, "root").withColumn("own", F.pmod(F.xxhash64("nid"), "blocks").cast("int"))
     grouped = stored(grouped.withColumn("label", F.col("nid")))
     total = grouped.agg(F.sum(F.octet_length("shared"))).first()[0] or 0
@@ -351,7 +352,8 @@ def joined(docs: DataFrame, p: Join = Join()) -> DataFrame:
     discard(nodes)
     of = ids.join(labels, ids["nid"] == labels["node"], "left").select("set_key", F.coalesce("root", "nid").alias("root"))
     named = texts.where("n > 0").groupBy("set_key").agg(F.min("doc_id").alias("least")).join(of, "set_key", "left")
-    ranked = named.where("root is not null").groupBy("root").agg(F.min("least").alias("component"))
+    named = stored(named)
+    ranked = stored(named.where("root is not null").groupBy("root").agg(F.min("least").alias("component")))
     component = named.join(ranked, "root", "left").select("set_key", F.coalesce("component", "least").alias("component"))
     out = texts.join(component, "set_key", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
