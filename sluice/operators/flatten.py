@@ -56,7 +56,7 @@ def _children(key: Column, text: Column) -> Column:
 
 def flatten_map(text: Column | str) -> Column:
     """JSON objects of unknown keys as maps of dotted keys; null for anything else.  Arrays
-    are JSON text, numbers stay as they are spelt, JSON null is null, an empty object
+    are JSON text, a number keeps its point (1.0), JSON null is null, an empty object
     vanishes, and of keys that repeat the last stands.
 
     Level by level: objects among the entries give way to their own entries, as often as

@@ -26,12 +26,121 @@ class Rule:
             raise ValueError(f"unknown mapping action {self.action}")
 
 
-#: Our own short presets: a few names of each schema that event sources share.
+def _copies(table: str) -> tuple[Rule, ...]:
+    """Rules that copy, a line each: the destination, then the sources in order."""
+    return tuple(Rule(d, tuple(s), "copy") for d, *s in (line.split() for line in table.strip().splitlines()))
+
+
+#: Our own presets: names of the public schemas, and what event sources often call them.
 PRESETS = {
-    "ecs": (Rule("source.ip", ("src_ip", "client_ip"), "copy"), Rule("host.name", ("hostname", "host"), "copy"), Rule("event.action", ("action",), "copy"), Rule("user.name", ("user", "username"), "copy"), Rule("log.level", ("level", "severity"), "copy")),
-    "ocsf": (Rule("src_endpoint.ip", ("src_ip", "client_ip"), "copy"), Rule("device.hostname", ("hostname", "host"), "copy"), Rule("activity_name", ("action",), "copy"), Rule("actor.user.name", ("user", "username"), "copy")),
-    "cim": (Rule("src", ("src_ip", "source_ip"), "copy"), Rule("dest", ("dest_ip", "destination_ip"), "copy"), Rule("signature", ("rule", "alert"), "copy")),
-    "beats": (Rule("host", ("hostname",)), Rule("message", ("msg", "log"))),
+    "ecs": _copies("""
+        event.action action event_action operation
+        event.outcome outcome result status
+        event.category category event_category
+        event.code event_id eventid code
+        event.duration duration elapsed
+        event.reason reason
+        message message msg text
+        log.level level severity loglevel
+        log.logger logger logger_name
+        host.name hostname host computer_name
+        host.ip host_ip
+        host.os.name os os_name platform
+        agent.name agent agent_name
+        agent.version agent_version
+        user.name username user account
+        user.id user_id uid
+        user.domain domain user_domain
+        user.email email mail
+        source.ip src_ip client_ip source_ip
+        source.port src_port source_port client_port
+        source.mac src_mac
+        source.bytes bytes_out sent_bytes
+        destination.ip dst_ip dest_ip destination_ip server_ip
+        destination.port dst_port dest_port destination_port
+        destination.mac dst_mac dest_mac
+        destination.bytes bytes_in received_bytes
+        network.protocol protocol app_protocol
+        network.transport transport proto
+        url.full url uri
+        url.path path url_path
+        url.domain url_host
+        http.request.method method http_method
+        http.response.status_code status_code http_status
+        user_agent.original user_agent useragent
+        process.name process process_name
+        process.pid pid process_id
+        process.command_line command command_line cmdline
+        process.parent.pid ppid parent_pid
+        file.path file file_path
+        file.hash.sha256 sha256 file_sha256
+        file.size file_size
+        dns.question.name query dns_query
+        rule.name rule rule_name signature
+        service.name service app application
+        error.message error error_message
+    """),
+    "ocsf": _copies("""
+        activity_name action operation
+        status outcome result
+        severity severity level
+        message message msg
+        duration duration elapsed
+        src_endpoint.ip src_ip client_ip source_ip
+        src_endpoint.port src_port source_port
+        src_endpoint.mac src_mac
+        dst_endpoint.ip dst_ip dest_ip destination_ip
+        dst_endpoint.port dst_port dest_port destination_port
+        device.hostname hostname host computer_name
+        device.os.name os os_name
+        actor.user.name username user account
+        actor.user.uid user_id uid
+        actor.user.email_addr email mail
+        actor.process.name process process_name
+        actor.process.pid pid process_id
+        actor.process.cmd_line command command_line
+        file.name file_name
+        file.path file file_path
+        http_request.http_method method http_method
+        http_request.url.url_string url uri
+        http_request.user_agent user_agent useragent
+        http_response.code status_code http_status
+        query.hostname query dns_query
+        connection_info.protocol_name protocol proto
+        traffic.bytes_in bytes_in received_bytes
+        traffic.bytes_out bytes_out sent_bytes
+    """),
+    "cim": _copies("""
+        src src_ip source_ip client_ip
+        src_port source_port client_port
+        src_mac source_mac
+        dest dest_ip destination_ip dst_ip
+        dest_port destination_port dst_port
+        dest_mac destination_mac dst_mac
+        dvc device host hostname
+        user username account
+        user_id uid
+        src_user source_user
+        action event_action outcome
+        signature rule alert rule_name
+        severity level priority
+        app application service
+        protocol app_protocol
+        transport proto
+        bytes_in received_bytes
+        bytes_out sent_bytes
+        http_method method
+        http_user_agent user_agent useragent
+        status status_code http_status
+        uri_path url_path path
+        url uri
+        process process_name
+        process_id pid
+        file_hash sha256 md5
+        file_path file
+        query dns_query
+    """),
+    "beats": (Rule("host", ("hostname", "beat.hostname")), Rule("message", ("msg", "log")), Rule("source", ("log.file.path", "path")), Rule("agent", ("beat.name",)), Rule("agent_version", ("beat.version",)), Rule("level", ("severity", "log.level")), Rule("tags", ("labels",)), Rule("event_id", ("winlog.event_id",)), Rule("channel", ("winlog.channel",))),
 }
 ALIASES = {"splunk": "cim", "splunk_cim": "cim", "beats_legacy": "beats"}
 

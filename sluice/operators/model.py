@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import re
-from dataclasses import dataclass, field
-from typing import Any
+from dataclasses import dataclass, field, is_dataclass
+from pathlib import Path
+from types import UnionType
+from typing import Any, Union, get_args, get_origin, get_type_hints
 
 #: Kinds of capture: whether the payload lands in ``_json`` and in ``_raw``.
 CAPTURE = {"full": (True, False), "json_only": (True, False), "raw_only": (False, True), "extracted_only": (False, False)}
@@ -129,6 +132,7 @@ class Settings:
     raw_fields: tuple[str, ...] = ("raw", "_raw")
     mapping: tuple = ()
     max_depth: int = 64
+    risk: Risk | None = None
 
     def __post_init__(self):
         for mode in (self.capture, *self.table_capture.values()):
@@ -146,22 +150,77 @@ class Settings:
 
 def settings_from(values: dict[str, Any], environment: dict[str, str] | None = None, prefix: str = "SLUICE_") -> Settings:
     """Defaults, then ``values``, then environment variables such as
-    ``SLUICE_ROUTING__DEFAULT_TABLE``; unknown keys are refused."""
-    merged = {k: dict(v) if isinstance(v, dict) else v for k, v in values.items()}
-    for key, text in (environment or {}).items():
+    ``SLUICE_ROUTING__DEFAULT_TABLE`` (text, numbers, or JSON for lists and objects);
+    unknown keys and values of another kind are refused with their place."""
+    merged = _merged({}, values)
+    for key, text in sorted((environment or {}).items()):
         if key.startswith(prefix):
-            at, *path = key[len(prefix) :].lower().split("__")
-            if path:
-                merged.setdefault(at, {})[path[0]] = text
-            else:
-                merged[at] = text
-    made = {"routing": Routing, "quality": Quality}
-    for k, kind in made.items():
-        if isinstance(merged.get(k), dict):
-            known = kind.__dataclass_fields__
-            if unknown := set(merged[k]) - set(known):
-                raise ValueError(f"unknown settings: {sorted(unknown)}")
-            merged[k] = kind(**{n: int(x) if known[n].type == "int" else tuple(x) if isinstance(x, list) else x for n, x in merged[k].items()})
-    if unknown := set(merged) - set(Settings.__dataclass_fields__):
-        raise ValueError(f"unknown settings: {sorted(unknown)}")
-    return Settings(**{k: tuple(v) if isinstance(v, list) else v for k, v in merged.items()})
+            at, *path = reversed(key[len(prefix) :].lower().split("__"))
+            value: Any = json.loads(text) if text[:1] in "[{" else text
+            for step in (at, *path):
+                value = {step: value}
+            merged = _merged(merged, value)
+    return _made(Settings, merged, "settings")
+
+
+def load_settings(*paths: str, environment: dict[str, str] | None = None) -> Settings:
+    """``settings_from`` of JSON or YAML files, each over those before it: objects are merged
+    key by key, anything else is replaced.  A file that is missing is an error."""
+    values: dict[str, Any] = {}
+    for path in paths:
+        text = Path(path).read_text()
+        if path.endswith((".yaml", ".yml")):
+            try:
+                import yaml
+            except ImportError as e:
+                raise ValueError("YAML settings need the yaml package") from e
+            found = yaml.safe_load(text) or {}
+        else:
+            found = json.loads(text)
+        if not isinstance(found, dict):
+            raise ValueError(f"{path} holds no object")
+        values = _merged(values, found)
+    return settings_from(values, environment)
+
+
+def _merged(low: dict[str, Any], high: dict[str, Any]) -> dict[str, Any]:
+    both = {k: _merged(low[k], v) for k, v in high.items() if isinstance(v, dict) and isinstance(low.get(k), dict)}
+    return {**low, **high, **both}
+
+
+def _made(kind: Any, value: Any, at: str) -> Any:
+    """``value`` as a value of a type of the settings."""
+    origin, args = get_origin(kind), get_args(kind)
+    if is_dataclass(kind):
+        if isinstance(value, kind):
+            return value
+        if not isinstance(value, dict):
+            raise ValueError(f"{at} is no object")
+        hints = get_type_hints(kind)
+        if unknown := set(value) - set(hints):
+            raise ValueError(f"unknown settings in {at}: {sorted(unknown)}")
+        try:
+            return kind(**{k: _made(hints[k], v, f"{at}.{k}") for k, v in value.items()})
+        except TypeError as e:
+            raise ValueError(f"{at}: {e}") from None
+    if origin in (Union, UnionType):
+        return None if value is None else _made(next(a for a in args if a is not type(None)), value, at)
+    if origin in (tuple, frozenset) or kind is tuple:
+        if not isinstance(value, list | tuple | set | frozenset):
+            raise ValueError(f"{at} is no list")
+        inner = args[0] if args else Any
+        return (frozenset if origin is frozenset else tuple)(_made(inner, v, f"{at}[{k}]") for k, v in enumerate(value))
+    if origin is dict:
+        if not isinstance(value, dict):
+            raise ValueError(f"{at} is no object")
+        return {k: _made(args[1], v, f"{at}.{k}") for k, v in value.items()}
+    if kind is bool and isinstance(value, str) and value.lower() in ("true", "false"):
+        return value.lower() == "true"
+    if kind is int and isinstance(value, str):
+        try:
+            return int(value)
+        except ValueError:
+            raise ValueError(f"{at} is no whole number") from None
+    if kind in (int, str, bool) and (not isinstance(value, kind) or kind is int and isinstance(value, bool)):
+        raise ValueError(f"{at} is no {kind.__name__}")
+    return value

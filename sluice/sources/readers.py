@@ -40,7 +40,7 @@ def read_messages(spark: SparkSession, path: str, topic: str) -> DataFrame:
     a partition, named by the hash of its path, and the number of a line in it the offset,
     so that no two messages of a file share one.  A file is read as one row; for files of
     hundreds of megabytes take ``landed.LandedLines``, which cuts them."""
-    files = spark.readStream.option("wholetext", True).text(path).select("value", F.col("_metadata.file_path").alias("path"))
+    files = spark.readStream.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
     partition = F.pmod(F.crc32(F.col("path").cast("binary")), F.lit(1 << 31)).cast("int")
     # a last line feed ends a line and begins none
     lines = files.select(partition.alias("partition"), F.posexplode(F.split(F.regexp_replace("value", r"\r?\n\z", ""), r"\r?\n")).alias("offset", "value"))

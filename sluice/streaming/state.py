@@ -13,6 +13,11 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 OUT = "value string, topic string, partition int, offset long, table string, outcome string"
 
 
+def _out(message: tuple, table: str, outcome: str) -> Row:
+    value, topic, partition, offset = message
+    return Row(value=value, topic=topic, partition=partition, offset=offset, table=table, outcome=outcome)
+
+
 class Waiting(StatefulProcessor):
     """One key is one absent table, or one of the ``parts`` of it.
 
@@ -30,11 +35,11 @@ class Waiting(StatefulProcessor):
         self.held = handle.getListState("held", "value string, topic string, partition int, offset long")
         self.since = handle.getValueState("since", "ms long")
 
-    def handleInputRows(self, key, rows: Iterator[Row], timers) -> Iterator[Row]:
-        table, now = key[0], timers.getCurrentProcessingTimeInMs()
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        table, now = key[0], timerValues.getCurrentProcessingTimeInMs()
         if not self.since.exists() and self.exists(table):
             for r in rows:
-                yield Row(r.value, r.topic, r.partition, r.offset, table, "found")
+                yield _out((r.value, r.topic, r.partition, r.offset), table, "found")
             return
         if not self.since.exists():
             self.since.update((now,))
@@ -42,12 +47,12 @@ class Waiting(StatefulProcessor):
         for r in rows:
             self.held.appendValue((r.value, r.topic, r.partition, r.offset))
 
-    def handleExpiredTimer(self, key, timers, expired) -> Iterator[Row]:
-        table, now = key[0], timers.getCurrentProcessingTimeInMs()
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        table, now = key[0], timerValues.getCurrentProcessingTimeInMs()
         there = self.exists(table)
         if there or now - self.since.get()[0] >= self.ttl_ms:
             for h in self.held.get():
-                yield Row(*h, table, "found" if there else "expired")
+                yield _out(h, table, "found" if there else "expired")
             self.held.clear()
             self.since.clear()
         else:
