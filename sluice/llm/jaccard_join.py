@@ -337,11 +337,13 @@ def joined(docs: DataFrame, p: Join = Join()) -> DataFrame:
     read = stored(rows.mapInPandas(_sampled(p), "block long, doc_id string, text_key binary, set_key binary, place long, n long, hashes binary, lengths binary"))
     texts, samples = read.where("set_key is not null").withColumn("doc_id", F.col("doc_id").cast("long")), read.where("hashes is not null").select("block", "hashes", "lengths")
     sets = texts.groupBy("block", "place", "set_key").agg(F.max("n").alias("n"))
-    sets = sets.join(sets.groupBy("set_key").agg(F.count("*").alias("copies")), "set_key")
+    # summed apart, so that neither join nor count brings the copies of one set together
+    copies = stored(sets.groupBy("set_key").agg(F.count("*").alias("copies")))
+    sets = sets.join(copies, "set_key")
     back = _shared(samples, buckets).unionByName(sets, True)
     kept = stored(samples.groupBy("block").cogroup(back.groupBy("block")).applyInPandas(_promising(p), "set_key binary"))
-    ids = texts.join(kept.distinct(), "set_key").groupBy("set_key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("x"))
-    ids = stored(ids.select(F.monotonically_increasing_id().alias("nid"), "set_key", F.col("x.doc_id").alias("id"), F.col("x.text_key").alias("tk")))
+    firsts = texts.groupBy("set_key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("x"))
+    ids = stored(firsts.join(kept.distinct(), "set_key").select(F.monotonically_increasing_id().alias("nid"), "set_key", F.col("x.doc_id").alias("id"), F.col("x.text_key").alias("tk")))
     side = F.broadcast(ids) if small_enough(ids, BROADCAST_SETS) else ids
     wanted = rows.join(side, rows["doc_id"].cast("long").eqNullSafe(ids["id"]) & rows["text_key"].eqNullSafe(ids["tk"])).select("nid", "text").dropDuplicates(["nid"])
     full = stored(wanted.mapInPandas(_full_sets(p), "block long, nids binary, hashes binary, lengths binary"))
