@@ -72,11 +72,12 @@ def _point(value: Column, text: Column, kind: Column) -> Column:
     return bound(F.struct(x.alias("x"), y.alias("y")), lambda p: F.when((F.abs(p["x"]) <= 180) & (F.abs(p["y"]) <= 90), p))
 
 
-def _scalar(name: str, args: list[str], value: Column, text: Column, kind: Column) -> Column:
+def _scalar(name: str, args: list[str], value: Column, text: Column, kind: Column, number: Column | None = None) -> Column:
     if name in INTEGERS and INTEGERS[name][2] in ("tinyint", "smallint", "int", "bigint"):
         low, high, spark = INTEGERS[name]
         whole = F.when(text.contains("."), F.regexp_extract(text, r"^\s*([+-]?\d+)\.0*\s*$", 1).try_cast("long"))
-        n = F.coalesce(text.try_cast("long"), whole, F.when(kind == "BOOLEAN", (text == "true").cast("long")))
+        # a number that was read as one holds, but for what it would have lost behind a point
+        n = F.coalesce(text.try_cast("long"), whole, F.when(kind == "BOOLEAN", (text == "true").cast("long"))) if number is None else F.when(text.contains("."), whole).otherwise(number)
         return n.try_cast(spark) if low < 0 else bound(n, lambda n: F.when(n.between(low, high), n.try_cast(spark)))
     if name in INTEGERS:
         low, high, spark = INTEGERS[name]
@@ -129,11 +130,11 @@ def _read(value: Column) -> Column:
     return F.struct(value.alias("value"), as_text(value).alias("text"), kind(value).alias("kind"))
 
 
-def _convert(type_: str, value: Column, text: Column, kind: Column) -> Column:
+def _convert(type_: str, value: Column, text: Column, kind: Column, number: Column | None = None) -> Column:
     """The value in its Spark type; null if it doesn't fit."""
     name, args = split_type(type_)
     if name in ("Nullable", "LowCardinality"):
-        return _convert(args[0], value, text, kind)
+        return _convert(args[0], value, text, kind, number)
     if name in ("Ring", "LineString"):
         return _convert("Array(Point)", value, text, kind)
     if name in ("Polygon", "MultiLineString"):
@@ -155,7 +156,16 @@ def _convert(type_: str, value: Column, text: Column, kind: Column) -> Column:
         made = F.transform_values(F.transform_values(items, lambda _, x: _read(x)), lambda _, x: _convert(args[1], x["value"], x["text"], x["kind"]))
         keys = spark_type(args[0])
         return made if keys == "string" else F.transform_keys(made, lambda k, _: k.try_cast(keys))
-    return _scalar(name, args, value, text, kind)
+    return _scalar(name, args, value, text, kind, number)
+
+
+def wants_number(type_: str) -> bool:
+    """Whether values of a type can be read as 64-bit numbers, which then take the place of
+    their kind."""
+    name, args = split_type(type_)
+    if name in ("Nullable", "LowCardinality"):
+        return wants_number(args[0])
+    return name in INTEGERS and INTEGERS[name][2] in ("tinyint", "smallint", "int", "bigint")
 
 
 def wants_kind(type_: str) -> bool:
@@ -166,10 +176,11 @@ def wants_kind(type_: str) -> bool:
     return name in INTEGERS or name in ("JSON", "Point", "Array", "Map", "Ring", "LineString", "Polygon", "MultiLineString", "MultiPolygon")
 
 
-def made_of(type_: str, value: Column, text: Column, kind: Column) -> Column:
-    """A value of ``type_`` from a variant column, its text and its kind; null if there is
-    none, if it is a JSON null, or if the type cannot hold it."""
-    return F.when(text.isNotNull(), _convert(type_, value, text, kind).cast(spark_type(type_)))
+def made_of(type_: str, value: Column, text: Column, kind: Column, number: Column | None = None) -> Column:
+    """A value of ``type_`` from a variant column, its text and its kind, or the number that
+    the variant casts to; null if there is none, if it is a JSON null, or if the type
+    cannot hold it."""
+    return F.when(text.isNotNull(), _convert(type_, value, text, kind, number).cast(spark_type(type_)))
 
 
 def finished(type_: str, made: Column, text: Column) -> tuple[Column, Column]:

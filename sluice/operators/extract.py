@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions import jsonpath, timestamps
-from sluice.functions.coerce import finished, made_of, spark_type, wants_kind
+from sluice.functions.coerce import finished, made_of, spark_type, wants_kind, wants_number
 from sluice.operators.directives import Directive, Literal, directive_of
 from sluice.operators.model import CAPTURE, ColumnSpec, Settings, TableSpec
 
@@ -109,8 +109,9 @@ def promote(df: DataFrame, fields: dict[Hashable, Field], extra: list[str], sett
 
     df = df.withColumns({v: chosen(n) for n, v in names.items()}).drop(*raw.values())
     blank = lambda n, t: F.nullif(t, F.lit("")) if is_(n, "_org_id", "_source") else t
-    with_kind = lambda n: n in fields and (is_(n, "_timestamp") or wants_kind(fields[n][0].type))
-    kinds = [jsonpath.kind(F.col(v)).alias(f"{v}k") for n, v in names.items() if with_kind(n)]
+    with_number = lambda n: n in fields and not is_(n, "_timestamp", "_org_id") and wants_number(fields[n][0].type)
+    with_kind = lambda n: n in fields and not with_number(n) and (is_(n, "_timestamp") or wants_kind(fields[n][0].type))
+    kinds = [jsonpath.kind(F.col(v)).alias(f"{v}k") for n, v in names.items() if with_kind(n)] + [F.try_variant_get(F.col(v), "$", "bigint").alias(f"{v}n") for n, v in names.items() if with_number(n)]
     if names:
         df = jsonpath.once(df, "_read", F.struct(*[blank(n, jsonpath.as_text(F.col(v))).alias(f"{v}t") for n, v in names.items()], *kinds))
     text = {n: F.col(f"_read.{v}t") for n, v in names.items()}
@@ -123,7 +124,7 @@ def promote(df: DataFrame, fields: dict[Hashable, Field], extra: list[str], sett
             parse = timestamps.parse_iso if settings.quality is None else timestamps.lenient
             staged[n] = F.coalesce(parse(t), F.when(k != "STRING", timestamps.epoch_of(t)))
         elif not is_(n, "_org_id"):
-            staged[n] = made_of(c.type, v, t, k)
+            staged[n] = made_of(c.type, v, t, k, F.col(f"_read.{names[n]}n") if with_number(n) else None)
     if staged:
         df = jsonpath.once(df, "_made", F.struct(*[v.alias(names[n]) for n, v in staged.items()]))
     values: dict[Hashable, Column] = {}

@@ -325,14 +325,21 @@ def pipeline_metrics(spark, d):
 # Shapes of the published measurements: flat records of 30 and 15 columns, nested ones of 15
 
 
-def _shape(spark, d, n: int, nested: bool) -> DataFrame:
-    kinds = ("Int64", "String", "Float64")
+_SHAPE_TYPES = ("Int64", "String", "Float64")
+#: Shapes by the name of their query: number of columns, and whether they are nested.
+SHAPES = {"extract_flat30": (30, False), "extract_flat15": (15, False), "extract_nested15": (15, True)}
+
+
+def shape_messages(spark, d, n: int, nested: bool) -> DataFrame:
     value = lambda k: (F.col("event_id") + k, F.concat(F.lit(f"v{k}-"), F.col("user_id").cast("string")), F.col("value") + k)[k % 3]
     fields = [value(k).alias(f"c{k}") for k in range(n)]
     if nested:
         fields = [F.struct(*fields[k : k + 5]).alias(f"g{k // 5}") for k in range(0, n, 5)]
-    m = intake.messages(events(spark, d), F.to_json(F.struct(*fields)), "events_land", F.col("event_id"))
-    columns = tuple(ColumnSpec(f"c{k}", kinds[k % 3], f"@source: g{k // 5}.c{k}" if nested else "") for k in range(n))
+    return intake.messages(events(spark, d), F.to_json(F.struct(*fields)), "events_land", F.col("event_id"))
+
+
+def shape_rows(m: DataFrame, n: int, nested: bool) -> DataFrame:
+    columns = tuple(ColumnSpec(f"c{k}", _SHAPE_TYPES[k % 3], f"@source: g{k // 5}.c{k}" if nested else "") for k in range(n))
     out = extract(intake.parse(m), TableSpec("main", "wide", columns, "@capture_mode: extracted_only"), Settings())
     return out.select(*[f"c{k}" for k in range(n)])
 
@@ -343,17 +350,17 @@ def _shape_sql(n: int) -> str:
 
 @query(_shape_sql(30))
 def extract_flat30(spark, d):
-    return _shape(spark, d, 30, False)
+    return shape_rows(shape_messages(spark, d, 30, False), 30, False)
 
 
 @query(_shape_sql(15))
 def extract_flat15(spark, d):
-    return _shape(spark, d, 15, False)
+    return shape_rows(shape_messages(spark, d, 15, False), 15, False)
 
 
 @query(_shape_sql(15))
 def extract_nested15(spark, d):
-    return _shape(spark, d, 15, True)
+    return shape_rows(shape_messages(spark, d, 15, True), 15, True)
 
 
 @query("""SELECT event_id, 'h' || user_id AS host, CASE WHEN value > 50 THEN 'high' ELSE 'low' END AS size, CASE WHEN user_id % 3 = 0 THEN NULL WHEN user_id % 256 = 17 THEN 'DE' WHEN user_id % 256 BETWEEN 16 AND 31 THEN 'FR' ELSE 'US' END AS geo_country_code, user_id % 3 = 0 AS geo_is_private FROM events WHERE event_type = 'click'""")
