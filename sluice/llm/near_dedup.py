@@ -11,9 +11,10 @@
    put aside only if it is six standard deviations below the threshold), and that
    over the whole sets never exceeds the true difference of the sets, so what it
    rules out is certain.
-4. The first round sends on a spanning forest of each block's candidates; these are
-   confirmed on the full sets.  The second round sends on every candidate whose two
-   ends the first has not connected, so no link between components is lost.
+4. The first round, in which large buckets contract towards their first block, sends on a
+   spanning forest of each block's candidates; these are confirmed on the full sets.  The
+   second round sends on every candidate whose two ends the first has not connected, so
+   no link between components is lost.
 5. To be confirmed, nodes are dealt into groups and candidates into pairs of groups: a
    node's full set goes once to each such pair, however many candidates it has there.
 
@@ -304,7 +305,10 @@ def _meet(p: NearDup, forest: bool):
 
 
 def _candidates(nodes: DataFrame, p: NearDup, labels: DataFrame | None) -> DataFrame:
-    """Distinct (a, b) that share a bucket, differ in label and pass the sketches."""
+    """Distinct (a, b) that share a bucket, differ in label and pass the sketches.  In the
+    first round, without labels, the blocks of a large bucket meet themselves and the first
+    block alone: most of what is alike is connected by that, and buckets that then have one
+    label are done."""
     keys = nodes.select("nid", F.explode("bands").alias("band"))
     if labels is None:
         keys = keys.withColumn("label", F.col("nid"))
@@ -314,7 +318,8 @@ def _candidates(nodes: DataFrame, p: NearDup, labels: DataFrame | None) -> DataF
     members = keys.join(open_.select("band", "size"), "band")
     blocks_ = F.ceil(F.col("size") / BLOCK).cast("int")
     dealt = members.withColumn("own", F.pmod(F.xxhash64("nid"), blocks_).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks_ - 1)))
+    every, first = F.sequence(F.lit(0), blocks_ - 1), F.array_distinct(F.array(F.lit(0), F.col("own")))
+    dealt = dealt.withColumn("other", F.explode(every if labels is not None else F.when(F.col("own") == 0, every).otherwise(first)))
     dealt = dealt.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "nid", "label", "own")
     dealt = dealt.join(nodes.select("nid", "n_shingles", "sample_sketch", "set_sketch"), "nid")
     grouped = dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "nid")
