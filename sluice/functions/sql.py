@@ -2,7 +2,38 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+
+class SplitRecords:
+    """Rows (place, value) of the whole JSON objects in a text, however they are spread over
+    lines or set side by side; what is none, and all behind it, comes last as it is."""
+
+    def eval(self, text: str) -> Iterator[tuple[int, str]]:
+        decoder, at, place, text = json.JSONDecoder(), 0, 0, text or ""
+        while at < len(text):
+            start = len(text) - len(text[at:].lstrip())
+            if start == len(text):
+                break
+            try:
+                value, at = decoder.raw_decode(text, start)
+                if not isinstance(value, dict):
+                    raise ValueError
+            except ValueError:
+                at = len(text)
+            yield place, text[start:at].rstrip()
+            place += 1
+
+
+def register_python(spark: SparkSession) -> None:
+    """The table function ``split_records(text)``, which Spark's own functions can't make.
+    Aggregates of Python would bring a whole group to one task; for those there are
+    ``operators.sketches``, which merge."""
+    spark.udtf.register("split_records", F.udtf(SplitRecords, returnType="place int, value string"))
 
 
 def register(spark: SparkSession) -> None:

@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from sluice.functions import jsonpath, timestamps
+from sluice.functions import sql as sql_names
+from sluice.functions import timestamps
 from sluice.operators import enrich, flatten, intake, mapping, sketches
 from sluice.operators.model import COUNTRIES, ColumnSpec, ExternalTopic, Routing, Settings, TableSpec, risk_for
 from sluice.plans import onepass
@@ -230,3 +231,13 @@ def parts_never_in_bulk(spark, d):
 def customers_without_urgent_orders(spark, d):
     c, o = table(spark, d, "customer"), table(spark, d, "orders").where("o_orderpriority = '1-URGENT' and o_totalprice > 200000")
     return c.join(o, c["c_custkey"] == o["o_custkey"], "left_anti").select("c_custkey")
+
+
+@query("SELECT event_id, place, CASE place WHEN 0 THEN event_type WHEN 1 THEN 'user' END AS kind FROM events, (VALUES (0), (1), (2)) AS p(place) WHERE place < 2 OR event_id % 2 = 0")
+def records_of_udtf(spark, d):
+    """A table function in SQL: two objects side by side, and for every second text a rest that is none."""
+    sql_names.register_python(spark)
+    text = F.concat(F.lit('{"t":"'), F.col("event_type"), F.lit('",\n "n":1} {"t":"user"}'), F.when(F.col("event_id") % 2 == 0, " and more").otherwise("\n"))
+    events(spark, d).select("event_id", text.alias("text")).createOrReplaceTempView("sluice_texts")
+    out = spark.sql("SELECT event_id, place, value FROM sluice_texts, LATERAL split_records(text)")
+    return out.select("event_id", "place", F.get_json_object("value", "$.t").alias("kind"))
