@@ -196,6 +196,12 @@ def write_tagged(frame: DataFrame, path: str, form: str = "parquet") -> None:
     frame.write.mode("overwrite").partitionBy("_table").format(form).save(path)
 
 
+def letters(frame: DataFrame) -> DataFrame:
+    """The dead letters of a tagged frame, in the columns of ``pipeline.dead_letters``."""
+    named = {"_payload": "payload", "_reject": "reason", "_stage": "stage", "_topic": "topic", "_partition": "partition", "_offset": "offset", "_target": "table"}
+    return frame.where(F.col("_table") == DEAD).select(*[F.col(c).alias(n) for c, n in named.items()])
+
+
 def read_table(spark: SparkSession, path: str, table: TableSpec, form: str = "parquet") -> DataFrame:
     """The rows of one table of what ``write_tagged`` has written."""
     types = {c.name: spark_type(c.type) for c in table.columns}

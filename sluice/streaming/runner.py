@@ -11,13 +11,13 @@ from collections import Counter
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException, ArithmeticException, ArrayIndexOutOfBoundsException, DateTimeException, IllegalArgumentException, NumberFormatException, ParseException, PySparkException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.operators.enrich import Enrichment
 from sluice.operators.model import Settings, TableSpec
-from sluice.plans import pipeline
+from sluice.plans import onepass, pipeline
 
 log = logging.getLogger("sluice")
 #: Ways to place dead letters: the queue and files if it fails, both, one of them, none.
@@ -47,6 +47,14 @@ def again(f: Callable[[], None], tries: int = 5, wait: float = 0.1) -> None:
             time.sleep(min(30.0, wait * 2**k) * random.uniform(0.5, 1.0))
 
 
+def _count_once(totals: Counter, last: dict[int, dict[str, int]], batch: int, counts: dict[str, int]) -> None:
+    """Add a batch's counts, in place of those of its last try."""
+    totals.subtract(last.get(batch, {}))
+    totals.update(counts)
+    last.clear()
+    last[batch] = counts
+
+
 def write_batch(df: DataFrame, path: str, batch: int, tries: int = 5, wait: float = 0.1, form: str = "parquet") -> None:
     """Write ``df`` as the batch's folder of ``path``: typed rows as Parquet, or lines of
     JSON (``form``).  A batch that is written again replaces itself."""
@@ -68,17 +76,15 @@ def dead_letters_to(mode: str, path: str | None = None, queue: Writer | None = N
     if mode in ("cascade", "fan_out", "queue_only") and queue is None or mode in ("cascade", "fan_out", "file_only") and path is None:
         raise ValueError(f"{mode} needs its places")
 
-    counted: dict[int, dict[str, int]] = {}
+    last: dict[int, dict[str, int]] = {}  # only the batch at hand can come again
     own = F.coalesce(F.col("topic").isin(*own_topics), F.lit(False)) if own_topics else F.lit(False)
 
     def drop(letters: DataFrame, batch: int) -> None:
         why = F.when(F.lit(mode == "disabled"), "disabled").when(own, "own_topic").otherwise("too_large")
-        counted[batch] = {r["why"]: r["n"] for r in letters.groupBy(why.alias("why")).agg(F.count("*").alias("n")).collect()}  # a row for each reason
-        run.dropped.clear()
-        for reasons in counted.values():
-            run.dropped.update(reasons)
-        if counted[batch]:
-            log.warning("dead letters of batch %d without a place: %s", batch, counted[batch])
+        found = {r["why"]: r["n"] for r in letters.groupBy(why.alias("why")).agg(F.count("*").alias("n")).collect()}  # a row for each reason
+        _count_once(run.dropped, last, batch, found)
+        if found:
+            log.warning("dead letters of batch %d without a place: %s", batch, found)
 
     def run(dead: DataFrame, batch: int) -> None:
         if mode == "disabled":
@@ -134,6 +140,32 @@ def sink(tables: list[TableSpec], settings: Settings | Callable[[], Settings], p
     return run
 
 
+def sink_once(tables: list[TableSpec], settings: Settings | Callable[[], Settings], path: str, dead: Writer | None = None, enrichment: Enrichment | None = None) -> Writer:
+    """``sink`` with one scan and one write a batch: all tables and the dead letters go to
+    ``path``/batch=N, in a folder for each table, and the letters from there to ``dead``, if
+    given.  The counters of ``onepass``, summed over batches, are the writer's ``totals``; a
+    batch that is written again counts in place of its first try."""
+    last: dict[int, dict[str, int]] = {}
+
+    def run(batch: DataFrame, number: int) -> None:
+        now = settings() if callable(settings) else settings
+        at = f"{path}/batch={number}"
+
+        def write() -> None:
+            seen = Observation(f"batch-{number}")  # observes one write
+            frame = onepass.tagged(batch, tables, now, enrichment=enrichment, counters=seen)
+            onepass.write_tagged(frame, at)
+            _count_once(run.totals, last, number, seen.get)
+            if dead is not None:
+                letters = batch.sparkSession.read.schema(frame.schema).parquet(at).where(F.col("_table") == onepass.DEAD)
+                dead(onepass.letters(letters), number)
+
+        again(write)
+
+    run.totals = Counter()
+    return run
+
+
 def start(messages: DataFrame, tables: list[TableSpec], settings: Settings | Callable[[], Settings], path: str, dead: str | Writer, checkpoint: str, interval: str | None = None, **options) -> StreamingQuery:
     """Start the pipeline on a message stream; without an interval it takes what there
     is and stops.  How much a micro-batch takes is the source's own option."""

@@ -67,8 +67,7 @@ def test_one_pass_gives_what_the_passes_give(spark, tmp_path, enriched):
         want = rows[t.name]
         got = onepass.read_table(spark, str(tmp_path / "o"), t).select(want.columns)
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), t.name
-    letters = spark.read.parquet(str(tmp_path / "o")).where(F.col("_table") == onepass.DEAD)
-    same = letters.select(F.col("_payload").alias("payload"), F.col("_reject").alias("reason"), F.col("_stage").alias("stage"), F.col("_topic").alias("topic"), F.col("_partition").alias("partition"), F.col("_offset").alias("offset"), F.col("_target").alias("table"))
+    same = onepass.letters(spark.read.parquet(str(tmp_path / "o")))
     assert sorted(map(str, same.collect())) == sorted(map(str, dead.collect()))
     total = sum(r.count() for r in rows.values())
     assert (seen.get["accepted"], seen.get["messages"]) == (total, total + dead.count()) and seen.get["dead_intake"] == 4 and seen.get["dead_extract"] == 2
@@ -106,6 +105,17 @@ def test_counters_of_a_stream(spark, tmp_path):
     assert listener.totals["messages"] == out.count() and listener.totals["accepted"] == out.where("_reject is null").count() > 0
 
 
+def test_a_stream_with_one_write_a_batch(spark, tmp_path):
+    sent = []
+    body = runner.sink_once([A, B, C, E], Settings(routing=Routing(table_fields=("kind",))), str(tmp_path / "out"), lambda df, k: sent.append((k, sorted(r.offset for r in df.collect()))))
+    body(messages(spark, VALUES[:4]), 0)
+    body(messages(spark, VALUES[4:]), 1)
+    body(messages(spark, VALUES[4:]), 1)  # again
+    assert [k for k, _ in sent] == [0, 1, 1] and sent[1] == sent[2] and sent[0][1] == [0, 2]
+    rows = spark.read.parquet(str(tmp_path / "out"))
+    assert rows.count() == body.totals["messages"] and rows.where("_reject is null").count() == body.totals["accepted"] and onepass.read_table(spark, str(tmp_path / "out/batch=0"), A).count() == 1
+
+
 def test_letters_without_a_place_are_counted(spark, tmp_path):
     dead = spark.createDataFrame([("x" * 5, "t", 1), ("y" * 50, "t", 2), ("z", "own", 3), (None, "t", 4)], "payload string, topic string, offset int")
     sent = []
