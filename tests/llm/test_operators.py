@@ -255,7 +255,7 @@ def test_shards(spark, docs):
     assert all(sorted(p) == list(range(len(p))) for p in places.values())
     grown = sharding.rebalance(slot_map, sizes, 5)
     loads = grown.loads(sizes)
-    assert grown.version == 2 and all(grown.of[u] in (s, 4) or slot_map.loads(sizes)[s] > 0 for u, s in slot_map.of.items()) and slot_map.moved(grown) < len(slot_map.of) / 2 and sum(loads) == sum(sizes.values())
+    assert grown.version == 2 and max(loads) - min(loads) <= max(sizes.values()) and slot_map.moved(grown) < len(slot_map.of) / 2 and sum(loads) == sum(sizes.values())
     path = common.shared_dir(spark)
     slot_map.write(spark, path)
     grown.write(spark, path)
