@@ -19,7 +19,7 @@ from sluice.operators.model import Settings, TableSpec
 from sluice.operators.routing import route, to_known_tables
 
 #: Fixed names of the places a message can be refused.
-STAGES = ("intake", "route", "extract")
+STAGES = ("intake", "route", "extract", "sink")
 
 
 @dataclass

@@ -114,7 +114,9 @@ def dead_letters_to(mode: str, path: str | None = None, queue: Writer | None = N
 def sink(tables: list[TableSpec], settings: Settings | Callable[[], Settings], path: str, dead: str | Writer | None = None, form: str = "parquet", enrichment: Enrichment | None = None) -> Writer:
     """The body of ``foreachBatch``.  Settings given as a function are read anew for each
     batch; dead letters go to files under a path or to a writer of ``dead_letters_to``, and
-    without either, a batch with dead letters fails."""
+    without either, a batch with dead letters fails.  Where the rows of a table can't be
+    written for what they hold, its messages become dead letters of the stage ``sink``, with
+    the table and the error as their reason, and the other tables are written."""
     place = dead_letters_to("file_only", dead) if isinstance(dead, str) else dead
 
     def run(batch: DataFrame, number: int) -> None:
@@ -128,7 +130,12 @@ def sink(tables: list[TableSpec], settings: Settings | Callable[[], Settings], p
         try:
             parts, letters = pipeline.run(batch, tables, now, hold=hold, enrichment=enrichment)
             for name, rows in parts.items():
-                write_batch(rows, f"{path}/{name}", number, form=form)
+                try:
+                    write_batch(rows, f"{path}/{name}", number, form=form)
+                except Exception as e:
+                    if place is None or error_class(e) != "data":
+                        raise
+                    letters = letters.unionByName(_refused(batch, tables, now, hold, name, e))
             if place is not None:
                 place(letters, number)
             elif letters.limit(1).count():
@@ -140,6 +147,13 @@ def sink(tables: list[TableSpec], settings: Settings | Callable[[], Settings], p
     return run
 
 
+def _refused(batch: DataFrame, tables: list[TableSpec], settings: Settings, hold: Callable[[DataFrame], DataFrame], name: str, error: Exception) -> DataFrame:
+    """The messages of a table whose rows the sink refused, as dead letters."""
+    good = pipeline.routed(batch, settings, [t.name for t in tables], hold=hold).good.where(F.concat_ws(".", "_db", "_table") == name)
+    reason = f"sink refused {name}: {str(error).splitlines()[0][:200]}" if str(error) else f"sink refused {name}"
+    return pipeline.dead_letters(good.withColumn("_reject", F.lit(reason)), "sink")
+
+
 def sink_once(tables: list[TableSpec], settings: Settings | Callable[[], Settings], path: str, dead: Writer | None = None, enrichment: Enrichment | None = None) -> Writer:
     """``sink`` with one scan and one write a batch: all tables and the dead letters go to
     ``path``/batch=N, in a folder for each table, and the letters from there to ``dead``, if

@@ -1,7 +1,7 @@
 """Catalog reads, retries, settings read anew, and the figure for scaling out."""
 
 import pytest
-from pyspark.errors import PySparkException
+from pyspark.errors import ArithmeticException, PySparkException
 from pyspark.sql import functions as F
 
 from sluice.functions.sql import SplitRecords
@@ -67,6 +67,26 @@ def test_settings_are_read_anew_for_each_batch(spark, tmp_path):
         runner.sink(tables, Settings(), str(tmp_path / "o2"))(m, 0)
 
 
+def test_rows_that_the_sink_refuses_become_dead_letters(spark, tmp_path, monkeypatch):
+    plain = runner.write_batch
+
+    def refusing(df, path, batch, **options):
+        if path.endswith("default.b"):
+            raise ArithmeticException("a value does not fit\nand more")
+        plain(df, path, batch, **options)
+
+    monkeypatch.setattr(runner, "write_batch", refusing)
+    tables = [TableSpec("default", t, (ColumnSpec("id", "Int64"),)) for t in ("a", "b")]
+    m = spark.createDataFrame([('{"kind":"a","id":1}', "t", 0, 1), ('{"kind":"b","id":2}', "t", 0, 2), ("junk", "t", 0, 3)], "value string, topic string, partition int, offset long")
+    body = runner.sink(tables, Settings(routing=Routing(table_fields=("kind",), default_table="a")), str(tmp_path / "out"), str(tmp_path / "dead"))
+    body(m, 0)
+    assert spark.read.parquet(str(tmp_path / "out" / "default.a" / "batch=0")).count() == 1
+    got = {r.offset: (r.stage, r.table, r.reason) for r in spark.read.parquet(str(tmp_path / "dead")).collect()}
+    assert got[2] == ("sink", "default.b", "sink refused default.b: a value does not fit") and got[3][0] == "intake" and len(got) == 2
+    with pytest.raises(ArithmeticException):
+        runner.sink(tables, Settings(routing=Routing(table_fields=("kind",), default_table="a")), str(tmp_path / "o3"))(m, 0)
+
+
 def test_pressure(spark):
     figure = lambda *x: round(spark.range(1).select(pipeline.pressure(*map(F.lit, x)).alias("x")).first().x, 6)
     assert figure(1.0, 1.0, 1.0, 1.0, 1.0) == 1.0 and figure(0.0, 0.0, 0.0, 0.0, 0.0) == 0.0 and figure(5.0, 0.0, 0.0, -1.0, 0.5) == 0.4
