@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.common import give_back, partitions, stored
-from sluice.llm.tokens import slices, worker_encoder
+from sluice.llm.tokens import let_go, slices, worker_encoder
 
 
 def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -113,6 +113,9 @@ def _piece_partition(path: str, end_id: int, capacity: int, keep_ids: bool):
                     made.append(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], past)), pa.int32()), pa.array(ids.astype(np.int32))))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(made, names)
+        if keep_ids:  # other stages follow in this worker, which need its memory
+            del encoder
+            let_go(path)
         give_back()
 
     return run

@@ -210,6 +210,11 @@ def worker_encoder(path: str) -> ChunkEncoder:
     return _encoders[path]
 
 
+def let_go(path: str) -> None:
+    """Forget this worker's encoder; the next task that needs one learns anew."""
+    _encoders.pop(path, None)
+
+
 def blocks(texts: list[str | None], most: int = 1_500_000):
     """Slices of ``texts`` with about ``most`` characters at most, one text at least."""
     first = size = 0
