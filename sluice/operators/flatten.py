@@ -40,18 +40,20 @@ def flatten_like(df: DataFrame, column: str, sample: str) -> DataFrame:
 def _children(key: Column, text: Column) -> Column:
     """The entries of an object's text: their keys under ``key``, texts, and whether they are
     objects themselves."""
-    texts, kinds = F.from_json(text, "map<string,string>"), F.try_variant_get(F.try_parse_json(text), "$", "map<string,variant>")
+    texts, opens = F.map_entries(F.from_json(text, "map<string,string>")), lambda e: F.coalesce(e["value"].startswith("{"), F.lit(False))
+    # kinds tell objects from strings that begin like one, so they are read where a text does
+    kinds = lambda es: F.when(F.exists(es, opens), F.try_variant_get(F.try_parse_json(text), "$", "map<string,variant>"))
 
     def made(x: Column) -> Column:
         def one(e: Column) -> Column:
             of = F.try_element_at(x["kinds"], e["key"])
             # the text of a string has lost its quotes; where keys repeat, kinds are not known
-            nested = F.when(of.isNotNull(), F.schema_of_variant(of).startswith("OBJECT")).otherwise(e["value"].startswith("{") & F.try_parse_json(e["value"]).isNotNull())
+            nested = F.when(opens(e), F.when(of.isNotNull(), F.schema_of_variant(of).startswith("OBJECT")).otherwise(F.try_parse_json(e["value"]).isNotNull()))
             return F.struct(F.concat(key, e["key"]).alias("key"), e["value"].alias("text"), F.coalesce(nested, F.lit(False)).alias("nested"))
 
-        return F.transform(F.map_entries(x["texts"]), one)
+        return F.transform(x["texts"], one)
 
-    return bound(F.struct(texts.alias("texts"), kinds.alias("kinds")), made)
+    return bound(bound(texts, lambda es: F.struct(es.alias("texts"), kinds(es).alias("kinds"))), made)
 
 
 def flatten_map(text: Column | str) -> Column:
@@ -60,13 +62,22 @@ def flatten_map(text: Column | str) -> Column:
     vanishes, and of keys that repeat the last stands.
 
     Level by level: objects among the entries give way to their own entries, as often as
-    the text is nested."""
-    text = F.col(text) if isinstance(text, str) else text
-    first = F.when(F.ltrim(text).startswith("{") & F.rtrim(text).endswith("}") & (F.try_parse_json(text).isNotNull() | F.json_object_keys(text).isNotNull()), text)
-    step = lambda entries, _: F.flatten(F.transform(entries, lambda e: F.when(e["nested"], _children(F.concat(e["key"], F.lit(".")), e["text"])).otherwise(F.array(e))))
-    levels = F.sequence(F.lit(1), F.greatest(nesting(text) - 1, F.lit(1)))
-    entries = F.aggregate(levels, _children(F.lit(""), first), step)
-    return F.when(first.isNotNull(), bound(entries, lambda es: F.map_from_entries(F.transform(last_of(es, "key"), lambda e: F.struct(e["key"].alias("key"), e["text"].alias("value"))))))
+    the text is nested.  The text, and whether it is an object's, are computed once."""
+    nested = lambda e: e["nested"]
+
+    def first(t: Column) -> Column:
+        return F.when(F.ltrim(t).startswith("{") & F.rtrim(t).endswith("}") & (F.try_parse_json(t).isNotNull() | F.json_object_keys(t).isNotNull()), t)
+
+    def step(entries: Column, _: Column) -> Column:
+        below = F.flatten(F.transform(entries, lambda e: F.when(e["nested"], _children(F.concat(e["key"], F.lit(".")), e["text"])).otherwise(F.array(e))))
+        return F.when(F.exists(entries, nested), below).otherwise(entries)
+
+    def flat(t: Column) -> Column:
+        levels = F.sequence(F.lit(1), F.greatest(nesting(t) - 1, F.lit(1)))
+        entries = F.aggregate(levels, _children(F.lit(""), t), step)
+        return F.when(t.isNotNull(), bound(entries, lambda es: F.map_from_entries(F.transform(last_of(es, "key"), lambda e: F.struct(e["key"].alias("key"), e["text"].alias("value"))))))
+
+    return bound(bound(F.col(text) if isinstance(text, str) else text, first), flat)
 
 
 def last_of(entries: Column, name: str) -> Column:

@@ -47,10 +47,15 @@ def read_messages(spark: SparkSession, path: str, topic: str) -> DataFrame:
     return lines.select("value", F.lit(topic).alias("topic"), "partition", F.col("offset").cast("long").alias("offset"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` over at least as many partitions as the session has cores: a source of a few
-    small files is dealt out before heavy work, a large one has partitions enough."""
-    n = df.sparkSession.sparkContext.defaultParallelism
+#: Most rows that a task of heavy work gets from ``spread``.
+TASK_ROWS = 100_000
+
+
+def spread(df: DataFrame, rows: int = TASK_ROWS) -> DataFrame:
+    """``df`` over at least as many partitions as the session has cores, and over more where
+    those would hold more than ``rows`` rows each: a source is dealt out before heavy work,
+    and a task's work does not grow with it.  Counting a source reads the files' footers."""
+    n = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
 

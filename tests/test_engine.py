@@ -304,3 +304,11 @@ def test_dead_letters_are_placed(spark, tmp_path):
     assert [runner.error_class(e) for e in (OSError(), ValueError())] == ["fatal", "fatal"]
     runner.write_batch(dead, str(tmp_path / "j"), 1, form="json")
     assert spark.read.json(str(tmp_path / "j")).count() == 3
+
+
+def test_spread_bounds_rows_of_a_task(spark, tmp_path):
+    spark.range(950_000).coalesce(1).write.parquet(str(tmp_path / "t"))
+    out = readers.spread(spark.read.parquet(str(tmp_path / "t")))
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 10 and max(sizes) <= readers.TASK_ROWS and out.agg(F.sum("id")).first()[0] == 949_999 * 950_000 // 2
+    assert readers.spread(spark.read.parquet(str(tmp_path / "t")).limit(5)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism

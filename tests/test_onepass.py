@@ -213,6 +213,12 @@ def test_flatten_by_levels(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_flatten_computes_its_text_once(spark):
+    made = spark.createDataFrame([('{"k":{"a":{"b":"{"}}}',)], "t string").select(flatten.flatten_map(F.get_json_object("t", "$.k")).alias("m"))
+    assert made.first().m == {"a.b": "{"}
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("get_json_object(") == 1
+
+
 def test_sketches_merge(spark):
     rows = spark.range(20_000).select((F.col("id") % 3).alias("g"), (F.col("id") % 1000).alias("u"), F.col("id").cast("double").alias("v"), (F.col("id") % 7).alias("batch"))
     parts = sketches.sketched(rows, ["g", "batch"], {"us": "u"}, {"vs": "v"})
