@@ -68,17 +68,23 @@ def gate(df: DataFrame) -> DataFrame:
     return _rejecting(df, ~begins, F.concat(F.lit("not JSON, begins with "), F.coalesce(head, F.lit(""))))
 
 
+#: What is no bracket: escapes, strings, all other text, and a quote that nothing closes.
+#: Every loop is possessive, so that it neither goes back nor deepens the matcher's stack.
+_PLAIN = r'(?s)(?:\\.|"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^\[\]{}"\\]|["\\])++'
+
+
 def nesting(text: Column) -> Column:
-    """Greatest depth of open brackets outside strings."""
-    plain = F.regexp_replace(F.regexp_replace(text, r"(?s)\\.", ""), '"[^"]*"', "")
-    brackets = F.split(F.regexp_replace(plain, r"[^\[\]{}]", ""), "")
+    """Greatest depth of open brackets outside strings, by runs of opening brackets and of
+    the closing ones that follow, not bracket by bracket."""
+    runs = F.split(F.translate(F.regexp_replace(text, _PLAIN, ""), "[]", "{}"), r"(?<=\})(?=\{)")
     begin = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
 
-    def step(acc: Column, c: Column) -> Column:
-        now = acc["now"] + F.when(c.isin("{", "["), 1).when(c.isin("}", "]"), -1).otherwise(0)
-        return F.struct(now.alias("now"), F.greatest(acc["most"], now).alias("most"))
+    def step(acc: Column, run: Column) -> Column:
+        opened = F.length(F.rtrim(run, F.lit("}")))
+        now = acc["now"] + opened
+        return F.struct((now + opened - F.length(run)).alias("now"), F.greatest(acc["most"], now).alias("most"))
 
-    return F.aggregate(brackets, begin, step)["most"]
+    return F.aggregate(runs, begin, step)["most"]
 
 
 def _times(text: Column, part: str) -> Column:

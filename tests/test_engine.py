@@ -312,3 +312,15 @@ def test_spread_bounds_rows_of_a_task(spark, tmp_path):
     sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) == 10 and max(sizes) <= readers.TASK_ROWS and out.agg(F.sum("id")).first()[0] == 949_999 * 950_000 // 2
     assert readers.spread(spark.read.parquet(str(tmp_path / "t")).limit(5)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_nesting_goes_by_runs_of_brackets(spark):
+    cases = {
+        "": 0, "}}{{": 0, "[[}{": 2, '"{{': 2, "\\{{": 1, '"a\\': 0, '{"a":[{"b":{}},{"c":[[]]}]}': 5, '{"s":"\\\\","t":{"u":"]\\"{"}}': 2, "[" * 300 + "]" * 300: 300, "[{},{},[{}]]": 3,
+        '{"s":"' + 'x\\"{' * 50_000 + '","t":[' + "1," * 50_000 + "[]]}": 3, None: None,
+    }
+    made = spark.createDataFrame([(t,) for t in cases], "t string").select("t", intake.nesting(F.col("t")).alias("n"))
+    assert {r.t: r.n for r in made.collect()} == cases
+    # one pass over the text, and no step for a single character
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 1 and " IN (" not in plan
