@@ -7,6 +7,7 @@ tried, longest keys first.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -50,6 +51,25 @@ def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.withColumn(name, F.explode(F.array(value)))
 
 
+def columns_at(df: DataFrame, record: str, paths: dict[str, tuple[str, ...]]) -> DataFrame:
+    """``df`` with the value at each path as a column.  Paths under one parent are read in one
+    pass over its keys; only keys that differ in case alone, or cannot name a field, are
+    looked up one by one."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for *parent, key in paths.values():
+        groups.setdefault(tuple(parent), []).append(key)
+    made: dict[tuple[str, ...], Column] = {}
+    for g, (parent, keys) in enumerate(groups.items()):
+        folded = Counter(k.lower() for k in keys)
+        together = [k for k in keys if k and "`" not in k and folded[k.lower()] == 1]
+        if len(together) > 1:
+            fields = ", ".join(f"`{k}`: variant" for k in together)
+            df = once(df, f"_keys_{g}", F.try_variant_get(F.col(record), quoted(list(parent)), f"struct<{fields}>"))
+            made |= {(*parent, k): F.col(f"_keys_{g}").getField(k) for k in together}
+    out = {name: made[keys] if keys in made else at(F.col(record), list(keys)) for name, keys in paths.items()}
+    return df.withColumns(out).drop(*[f"_keys_{g}" for g in range(len(groups))])
+
+
 def field(record: Column, path: str) -> Column:
     """The value at a dotted path; null if missing or JSON null."""
     found = [present(at(record, keys)) for keys in readings(path)]

@@ -98,7 +98,7 @@ def promote(df: DataFrame, fields: dict[Hashable, Field], extra: list[str], sett
     # the fields, each way of reading a path once
     readings = [tuple(keys) for n in names for p in all_paths[n] for keys in jsonpath.readings(p)]
     raw = {keys: f"_raw_{k}" for k, keys in enumerate(dict.fromkeys(readings))}
-    df = df.withColumns({c: jsonpath.at(F.col("_record"), list(keys)) for keys, c in raw.items()})
+    df = jsonpath.columns_at(df, "_record", {c: keys for keys, c in raw.items()})
 
     def chosen(n: Hashable) -> Column:
         found = [F.col(raw[tuple(keys)]) for p in all_paths[n] for keys in jsonpath.readings(p)]

@@ -324,3 +324,18 @@ def test_nesting_goes_by_runs_of_brackets(spark):
     # one pass over the text, and no step for a single character
     plan = made._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_replace(") == 1 and " IN (" not in plan
+
+
+def test_columns_at_read_keys_together(spark):
+    texts = ['{"a":1,"A":"x","b.c":null,"b":{"c":[1],"d":{"e":2.50}},"it\'s":true,"x y":"z"}', '{"b":{"c":"{","d":5},"a":{"a":1}}', '{"b":[1],"a":null}', "{}", "[1]", "7", "null", None]
+    paths = {f"p{i}": k for i, k in enumerate([("a",), ("A",), ("b.c",), ("b",), ("b", "c"), ("b", "d"), ("b", "d", "e"), ("it's",), ("x y",), ("no`ne",), ("none",), ("a", "a")])}
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").withColumn("r", F.try_parse_json("t"))
+    got = jsonpath.columns_at(df, "r", paths)
+    read = lambda x: [F.is_variant_null(x), jsonpath.kind(x), jsonpath.as_text(x)]
+    each = df.select("i", F.array(*[F.to_json(F.array(*[y.cast("string") for y in read(jsonpath.at(F.col("r"), list(k)))])) for k in paths.values()]).alias("x"))
+    made = got.select("i", F.array(*[F.to_json(F.array(*[y.cast("string") for y in read(F.col(p))])) for p in paths]).alias("x"))
+    assert sorted(made.collect()) == sorted(each.collect()) and got.columns == ["i", "t", "r", *paths]
+    columns = tuple(ColumnSpec(f"c{k}", "Int64") for k in range(30))
+    out = extract(intake.parse(messages(spark, ['{"c7":8}'])), TableSpec("m", "t", columns), Settings()).select(*[c.name for c in columns])
+    # beside the looks at a message's array, none by a key
+    assert out.first()["c7"] == 8 and out._jdf.queryExecution().optimizedPlan().toString().count(", $[") <= 3
