@@ -109,7 +109,7 @@ def _sent(buckets: int):
                 h, n = np.unique(np.frombuffer(hashes, np.uint64), return_counts=True)
                 bucket = (h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
                 first = np.flatnonzero(np.concatenate((np.ones(min(1, len(h)), bool), bucket[1:] != bucket[:-1])))
-                past = np.append(first[1:], len(h))
+                past = np.append(first[1:], len(h))[: len(first)]  # none of a block without shingles
                 n = n.astype(np.int32)
                 yield pd.DataFrame({"block": block, "bucket": bucket[first].astype(np.int32), "hashes": [h[s:e].tobytes() for s, e in zip(first, past, strict=True)], "counts": [n[s:e].tobytes() for s, e in zip(first, past, strict=True)]})
         give_back()
